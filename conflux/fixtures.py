@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .session import new_path
+from .session import new_path, spread
 
 # Fixed values of the message fixture (topic family and the seven special
 # record shapes selected by event_id % 20).
@@ -44,7 +44,7 @@ def messages(events: DataFrame) -> DataFrame:
               .when(k == 5, F.lit('{bad'))
               .when(k == 6, F.lit('[1]'))
               .otherwise(good))
-    return events.select(
+    return spread(events).select(
         F.concat(F.lit(TOPIC_PREFIX), (eid % N_TOPICS + 1).cast("string")).alias("topic"),
         F.lit(0).alias("partition"),
         F.expr(f"event_id div {N_TOPICS}").cast("bigint").alias("offset"),
@@ -62,7 +62,7 @@ def response_pages(pages: DataFrame) -> DataFrame:
         F.struct(F.struct(cursor.alias("next_cursor")).alias("meta"),
                  F.array(F.struct(pid.alias("id"), F.col("url").alias("title"))).alias("results")),
         {"ignoreNullFields": "false"})
-    return pages.select(F.expr("page_id div 10").cast("bigint").alias("request_id"),
+    return spread(pages).select(F.expr("page_id div 10").cast("bigint").alias("request_id"),
                         (pid % 10 + 1).cast("int").alias("page_num"),
                         body.alias("body"))
 
@@ -85,7 +85,7 @@ def work_records(documents: DataFrame) -> DataFrame:
                  .when(shape == 2, F.concat(F.lit(',"primary_location":['), loc, F.lit("]")))
                  .otherwise(F.lit("")))
     # splice the location into the object: drop the closing brace, append
-    return (documents.select("doc_id", base.alias("base"), loc_part.alias("loc"))
+    return (spread(documents).select("doc_id", base.alias("base"), loc_part.alias("loc"))
             .select("doc_id", F.concat(F.expr("substring(base, 1, length(base) - 1)"),
                                        F.col("loc"), F.lit("}")).alias("record")))
 

@@ -35,11 +35,12 @@ def _bucket_starts(df: DataFrame, keys: Sequence[str], nb: int) -> DataFrame:
     return counts.withColumn("_start", F.sum("_n").over(w) - F.col("_n"))
 
 
-def number_rows(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str],
-                buckets: Sequence[Column], out: str = "rn") -> DataFrame:
-    """Exact ``row_number() over (partition by keys order by order)``.
-    ``buckets`` must be non-decreasing along ``order`` (e.g. the leading
-    order column, or ``offset div width``)."""
+# A key with more rows than this is numbered through the bucketed path.
+HOT_KEY_ROWS = 1_000_000
+
+
+def _number_bucketed(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str],
+                     buckets: Sequence[Column], out: str) -> DataFrame:
     nb = len(buckets)
     bnames = [f"{_B}{i}" for i in range(nb)]
     b = df.select("*", *_bucket_cols(buckets))
@@ -50,6 +51,32 @@ def number_rows(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str
              .drop("_start", *bnames))
 
 
+def number_rows(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str],
+                buckets: Sequence[Column], out: str = "rn",
+                hot_key_rows: int = HOT_KEY_ROWS) -> DataFrame:
+    """Exact ``row_number() over (partition by keys order by order)``.
+
+    Per-key counts (a partial aggregate) find the hot keys -- at most
+    ``total_rows / hot_key_rows`` of them, so that list has a proven size
+    bound and is broadcast. Ordinary keys take the plain window; hot keys
+    are numbered through ``buckets``, which must be non-decreasing along
+    ``order`` (e.g. the leading order column, or ``offset div width``)."""
+    hk = [f"_hot_{i}" for i in range(len(keys))]
+    hot = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_kn"))
+             .filter(F.col("_kn") > hot_key_rows)
+             .select(*[F.col(k).alias(h) for k, h in zip(keys, hk)]))
+    cond = None
+    for k, h in zip(keys, hk):
+        c = F.col(k).eqNullSafe(F.col(h))
+        cond = c if cond is None else cond & c
+    hot = F.broadcast(hot)
+    w = Window.partitionBy(*keys).orderBy(*order)
+    plain = (df.join(hot, cond, "left_anti")
+               .withColumn(out, F.row_number().over(w).cast("bigint")))
+    heavy = _number_bucketed(df.join(hot, cond, "left_semi"), keys, order, buckets, out)
+    return plain.unionByName(heavy)
+
+
 def cap_rows(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str],
              buckets: Sequence[Column], n: int, prior: DataFrame | None = None) -> DataFrame:
     """First ``n`` rows per key in ``order`` (ties broken by ``order``).
@@ -75,11 +102,13 @@ def cap_rows(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str],
     return whole.unionByName(part).drop(*bnames)
 
 
-def number_tasks(df: DataFrame, keys: Sequence[str], order: Sequence[str], step: int = 20) -> DataFrame:
+def number_tasks(df: DataFrame, keys: Sequence[str], order: Sequence[str], step: int = 20,
+                 hot_key_rows: int = HOT_KEY_ROWS) -> DataFrame:
     """``task_thread_num = i`` and ``sequence_num = i * step`` within
     each key, ordered by ``order`` (list every column needed for a total
     order). The leading order column is the bucket."""
-    numbered = number_rows(df, keys, [F.col(c) for c in order], [F.col(order[0])], out="task_thread_num")
+    numbered = number_rows(df, keys, [F.col(c) for c in order], [F.col(order[0])], out="task_thread_num",
+                           hot_key_rows=hot_key_rows)
     return numbered.withColumn("sequence_num", F.col("task_thread_num") * F.lit(step))
 
 

@@ -73,5 +73,17 @@ def new_path(spark: SparkSession, tag: str) -> str:
     return f"{staging_root(spark)}/conflux/{tag}-{uuid.uuid4().hex[:12]}"
 
 
+def spread(df, min_partitions: int | None = None):
+    """Round-robin a frame over the cluster's cores when its source yields
+    fewer splits than cores (a single-row-group file is one task). A source
+    that already has enough splits -- the normal case at scale -- is left
+    alone, so this adds no shuffle there. Use before CPU-heavy row-wise
+    work (JSON/text encoding and parsing)."""
+    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < want:
+        return df.repartition(want)
+    return df
+
+
 def table(spark: SparkSession, sf_dir: str, name: str):
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")

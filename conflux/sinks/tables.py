@@ -111,6 +111,11 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p, jvm
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    fs, p, _ = _fs(spark, path)
+    return bool(fs.exists(p))
+
+
 def delete_path(spark: SparkSession, path: str) -> None:
     fs, p, _ = _fs(spark, path)
     fs.delete(p, True)

@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..operators.project import enrich_message
 from ..operators.validate import REASON, dlq_records, with_reason
 from ..operators.windows import cap_rows
+from ..sinks.tables import path_exists
 from ..sources.messages import MESSAGE_SCHEMA
 
 CAP_BUCKET = 1 << 16
@@ -62,10 +63,9 @@ class IngestTargets:
 
 
 def _prior_counts(spark: SparkSession, state: str, batch_id: int) -> DataFrame | None:
-    try:
-        st = spark.read.parquet(state)
-    except Exception:  # no state yet
+    if not path_exists(spark, state):
         return None
+    st = spark.read.parquet(state)
     return (st.filter(F.col("batch_id") < batch_id).groupBy("topic")
               .agg(F.sum("taken").alias("_prior")))
 
