@@ -33,6 +33,7 @@ from ..sources import relational as RL
 from ..sources import responses as RS
 from ..streaming import consumer as SC
 from . import procs
+from .entities import project_entity
 from .flatfile import load_flat_file
 from .ingest import ingest
 
@@ -426,6 +427,16 @@ def works_rename_map(spark, sf):
     })
 
 
+@check("works_entity", """
+SELECT 'W' || CAST(doc_id AS VARCHAR) AS id, source AS title, CAST(NULL AS VARCHAR) AS doi,
+       CAST(2000 + doc_id % 25 AS VARCHAR) AS publication_year,
+       CASE WHEN doc_id % 4 = 0 THEN lang END AS host_venue, CAST(NULL AS VARCHAR) AS type
+FROM documents""")
+def works_entity(spark, sf):
+    """C1+C2+C3: a landed work record mapped to the works table's fields."""
+    return project_entity(fx.work_records(_t(spark, sf, "documents")), "openalex_works")
+
+
 @check("add_lineage", """
 SELECT r_regionkey, r_name, CAST(42 AS INTEGER) AS job_inst_id, TIMESTAMP '2024-01-01 00:00:00' AS date_created
 FROM region""")
@@ -1048,6 +1059,32 @@ def ingest_task(spark, sf):
     return df
 
 
+@check("ingest_file_task", """
+SELECT s_suppkey, s_name, CAST(s_nationkey AS INTEGER) AS s_nationkey, s_acctbal, CAST(NULL AS VARCHAR) AS s_phone,
+       CAST(42 AS INTEGER) AS job_inst_id, TIMESTAMP '2024-01-01 00:00:00' AS date_created
+FROM supplier""")
+def ingest_file_task(spark, sf):
+    """U2 with a delimited-file task: same rows as the direct A4 + C5 path."""
+    prepare(spark)
+    csv = FS.write_text_csv(_t(spark, sf, "supplier"), new_path(spark, "supplier-task"))
+    task = {"conn_type": "file", "file_path": csv, "fields": SUPPLIER.fieldNames(), "target_schema": SUPPLIER,
+            "is_full_load": True, "job_inst_id": RUN_ID, "run_ts": RUN_TS,
+            "constraints": Constraints(not_null=["s_suppkey"], primary_key=["s_suppkey"])}
+    df, _ = ingest(spark, task, new_path(spark, "ingest-file-target"))
+    return df
+
+
+@check("ingest_json_task", WORKS_SQL)
+def ingest_json_task(spark, sf):
+    """U2 with a JSON task: landed work pages read by schema."""
+    prepare(spark)
+    path = fx.write_work_pages(spark, _t(spark, sf, "documents"))
+    task = {"conn_type": "json", "file_path": path, "schema": WORK, "is_full_load": True,
+            "fields": ["id", "title", "publication_year", "cited_by_count"]}
+    df, _ = ingest(spark, task)
+    return df
+
+
 @check("load_envelope", """
 SELECT CAST(n.n_nationkey AS INTEGER) AS id, n.n_name AS name, CAST(1 AS INTEGER) AS page,
        CAST((SELECT count(*) FROM nation n2 WHERE n2.n_regionkey = r.r_regionkey) AS INTEGER) AS total,

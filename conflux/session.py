@@ -27,6 +27,21 @@ DEFAULT_CONF = {
 }
 
 
+# Suggested settings for a large cluster (~100 TB inputs). AQE coalesces the
+# many initial shuffle partitions to ~256 MB each and splits skewed ones;
+# scans produce ~512 MB splits. Broadcast only below 64 MB of estimated or
+# runtime size.
+CLUSTER_CONF = {
+    **{k: v for k, v in DEFAULT_CONF.items() if k != "spark.ui.enabled"},
+    "spark.sql.shuffle.partitions": "20000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1g",
+    "spark.sql.files.maxPartitionBytes": "512m",
+    "spark.sql.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
+}
+
+
 def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
                   app_name: str = "conflux", extra: dict | None = None) -> SparkSession:
     b = SparkSession.builder.master(master).appName(app_name)
