@@ -1,12 +1,15 @@
 """Flat file to typed table (the flagship load).
 
 ``text CSV -> read by header (A4) -> project fields (C1) -> empty text to
-null + cast (C5) -> target constraints (C14) -> lineage (C4) -> full
-reload (B1) counted while writing (B4)``.
-
-Everything before the write is one narrow scan stage (no shuffle); the
-constraint check is a separate aggregate over the same input (partial
-aggregation on the primary key), run before anything is written.
+null + cast (C5) -> lineage (C4) -> typed stage, counted while writing
+(B4) -> target constraints on the stage (C14) -> stage promoted to target
+(B1)``.
+
+The text is parsed exactly once: parsing and casting are one narrow stage
+(no shuffle) that writes a columnar stage. Constraint checks then read only
+the constrained columns of the stage (partial aggregation on the primary
+key), and a clean stage replaces the target by a folder rename. A bad value
+(strict cast) or a violated constraint leaves the target untouched.
 """
 
 from __future__ import annotations
@@ -18,7 +21,8 @@ from pyspark.sql import DataFrame, SparkSession, types as T
 
 from ..operators.conform import Constraints, conform, enforce
 from ..operators.project import add_lineage
-from ..sinks.tables import load_with_rowcount
+from ..session import new_path
+from ..sinks.tables import load_with_rowcount, replace_with
 from ..sources.files import read_csv_by_header
 
 
@@ -40,8 +44,9 @@ def load_flat_file(spark: SparkSession, csv_path: str, target_schema: T.StructTy
                    constraints: Constraints | None = None, encoding: str = "ISO-8859-1",
                    sep: str = ",") -> LoadResult:
     typed = typed_from_text(spark, csv_path, target_schema, encoding, sep)
+    stage = new_path(spark, f"stage_{target_path.rstrip('/').rsplit('/', 1)[-1]}_{job_inst_id}")
+    n = load_with_rowcount(add_lineage(typed, job_inst_id, load_ts), stage, mode="errorifexists")
     if constraints is not None:
-        enforce(typed, constraints)
-    stamped = add_lineage(typed, job_inst_id, load_ts)
-    n = load_with_rowcount(stamped, target_path, mode="overwrite")
+        enforce(spark.read.parquet(stage), constraints)
+    replace_with(spark, stage, target_path)
     return LoadResult(target_path, n)

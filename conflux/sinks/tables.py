@@ -121,6 +121,19 @@ def delete_path(spark: SparkSession, path: str) -> None:
     fs.delete(p, True)
 
 
+def replace_with(spark: SparkSession, stage: str, target: str) -> None:
+    """B1 by promotion: make a fully written and checked stage the target
+    (drop the old target, rename the stage folder -- a metadata operation
+    on HDFS-like file systems, no second pass over the data)."""
+    fs, src, jvm = _fs(spark, stage)
+    dst = jvm.org.apache.hadoop.fs.Path(target)
+    if fs.exists(dst):
+        fs.delete(dst, True)
+    fs.mkdirs(dst.getParent())
+    if not fs.rename(src, dst):
+        raise OSError(f"could not promote {stage} to {target}")
+
+
 def archive_source_files(spark: SparkSession, files: Sequence[str], failed: bool,
                          when: datetime | None = None) -> list[str]:
     """Move each input file to ``processed/`` (or ``error/`` with an

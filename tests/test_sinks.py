@@ -49,3 +49,26 @@ def test_jdbc_reader_options_and_incremental_pushdown(spark, sf):
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters" in plan and "o_orderdate" in plan
     assert incremental(df, "o_orderdate", None, is_full_load=True) is df
+
+
+def test_flagship_load_keeps_target_on_violation(spark, tmp_path):
+    import datetime as dt
+
+    import pytest
+    from pyspark.sql import types as T
+
+    from conflux.operators.conform import ConstraintViolation
+    from conflux.plans.flatfile import load_flat_file
+
+    schema = T.StructType([T.StructField("id", T.IntegerType()), T.StructField("name", T.StringType())])
+    good, bad, target = tmp_path / "good", tmp_path / "bad", str(tmp_path / "target")
+    good.mkdir(), bad.mkdir()
+    (good / "a.csv").write_text("name,id\nx,1\ny,2\n")
+    (bad / "a.csv").write_text("id,name\n1,x\n1,y\n")
+    spec = Constraints(primary_key=["id"])
+    res = load_flat_file(spark, str(good), schema, target, 7, dt.datetime(2024, 1, 1), spec)
+    assert res.rows == 2
+    with pytest.raises(ConstraintViolation):
+        load_flat_file(spark, str(bad), schema, target, 8, dt.datetime(2024, 1, 1), spec)
+    rows = sorted((r.id, r.name, r.job_inst_id) for r in spark.read.parquet(target).collect())
+    assert rows == [(1, "x", 7), (2, "y", 7)]
