@@ -20,8 +20,9 @@ def _blank_to_null(c: Column) -> Column:
 def conform(df: DataFrame, target: T.StructType, mode: str = "strict") -> DataFrame:
     """Cast text columns to the target types.
 
-    ``strict``: ANSI ``cast`` -- any bad value fails the whole load (the
-    query raises), like an INSERT ... SELECT with CONVERT.
+    ``strict``: any value that is set but does not convert fails the whole
+    load (the query raises, naming column and value), like an
+    ``INSERT ... SELECT`` with ``CONVERT``.
     ``reject``: ``try_cast``; a row with a value that is set but does not
     convert gets ``reject_reason`` naming the first such column (null for
     good rows). Split with :func:`split_rejects`.
@@ -36,13 +37,16 @@ def conform(df: DataFrame, target: T.StructType, mode: str = "strict") -> DataFr
         raw = F.col(f"`{src}`")
         if isinstance(df.schema[src].dataType, T.StringType):
             raw = _blank_to_null(raw)
+        typed = raw.try_cast(f.dataType)
+        bad = raw.isNotNull() & typed.isNull()
+        reason = F.lit(f"bad {f.dataType.simpleString()}: {f.name}")
         if mode == "strict":
-            cols.append(raw.cast(f.dataType).alias(f.name))
+            # fails the query whatever spark.sql.ansi.enabled says
+            cols.append(F.when(bad, F.raise_error(F.concat(reason, F.lit(" = '"), raw.cast("string"), F.lit("'"))))
+                         .otherwise(typed).alias(f.name))
         elif mode == "reject":
-            typed = raw.try_cast(f.dataType)
             cols.append(typed.alias(f.name))
-            reasons.append(F.when(raw.isNotNull() & typed.isNull(),
-                                  F.lit(f"bad {f.dataType.simpleString()}: {f.name}")))
+            reasons.append(F.when(bad, reason))
         else:
             raise ValueError(f"unknown conform mode {mode!r}")
     if mode == "reject":

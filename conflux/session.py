@@ -94,10 +94,12 @@ def spread(df, min_partitions: int | None = None):
     that already has enough splits -- the normal case at scale -- is left
     alone, so this adds no shuffle there. Use before CPU-heavy row-wise
     work (JSON/text encoding and parsing)."""
-    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < want:
-        return df.repartition(want)
-    return df
+    try:
+        want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        have = df.rdd.getNumPartitions()
+    except Exception:  # e.g. a Spark Connect session: leave the plan alone
+        return df
+    return df.repartition(want) if have < want else df
 
 
 def table(spark: SparkSession, sf_dir: str, name: str):

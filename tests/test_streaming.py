@@ -45,3 +45,17 @@ def test_replay_doubles_checkpoint_does_not(spark, sf, tmp_path):
     n_valid = spark.read.parquet(b.table).count()
     assert n_valid > 0
     assert spark.read.parquet(a.table).count() == 2 * n_valid
+
+
+def test_file_stream_archives_consumed_files(spark, sf, tmp_path):
+    import os
+    msgs = fx.messages(spark.read.parquet(f"{sf}/events.parquet"))
+    root, arch = str(tmp_path / "src"), str(tmp_path / "archive")
+    _land_in_order(spark, msgs, root, 2)
+    t = IngestTargets(table=str(tmp_path / "tbl"), dlq=str(tmp_path / "dlq"))
+    ck = str(tmp_path / "ck")
+    for _ in range(2):   # the last file of a run is archived by the next run
+        consume_available(message_file_stream(spark, root, max_files_per_trigger=1, archive_dir=arch), t, ck)
+    archived = [f for _, _, fs in os.walk(arch) for f in fs if f.endswith(".json")]
+    assert len(archived) >= 1
+    assert spark.read.parquet(t.table).count() + spark.read.parquet(t.dlq).count() == msgs.count()
