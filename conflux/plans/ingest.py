@@ -11,13 +11,13 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..operators.conform import Constraints, conform, enforce
+from ..operators.conform import conform, enforce
 from ..operators.joins import Dim, task_catalog
 from ..operators.project import add_lineage, project_fields
 from ..operators.windows import number_tasks
-from ..sinks.tables import append_load, load_with_rowcount
+from ..sinks.tables import load_with_rowcount
 from ..sources.relational import extract
 
 

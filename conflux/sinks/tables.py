@@ -15,7 +15,6 @@ from datetime import datetime
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from ..functions.text import archive_file_name
-from ..functions.timefmt import file_stamp
 from ..operators.conform import Constraints, enforce
 from ..session import new_path
 
@@ -186,10 +185,6 @@ def append_run_log(entries: DataFrame, log_path: str) -> None:
     entries.select(row).write.mode("append").partitionBy("job_inst_id").parquet(log_path)
 
 
-def file_stamp_now() -> str:
-    return datetime.now().strftime("%Y%m%d_%H%M%S")
-
-
 __all__ = ["truncate_and_load", "truncate_and_load_jdbc", "append_load", "load_with_rowcount",
            "staged_insert", "chunked_insert", "chunked_insert_jdbc", "archive_json",
-           "archive_source_files", "publish", "append_run_log", "delete_path", "file_stamp"]
+           "archive_source_files", "publish", "append_run_log", "delete_path", "path_exists", "replace_with"]

@@ -2,8 +2,6 @@
 
 import os
 
-from pyspark.sql import functions as F
-
 from conflux.operators.conform import Constraints
 from conflux.sinks.tables import (archive_source_files, load_with_rowcount, path_exists, staged_insert,
                                   truncate_and_load)
