@@ -72,6 +72,14 @@ def staged_insert(spark: SparkSession, df: DataFrame, target: str, run_id: int,
     stage = stage_path or new_path(spark, f"temp_{name}_{run_id}")
     df.write.mode("errorifexists").parquet(stage)
     staged = spark.read.parquet(stage)
+    if path_exists(spark, target):
+        # positional, like INSERT ... SELECT *: i-th stage column -> i-th
+        # target column, cast to its type (a width mismatch is an error)
+        tgt = spark.read.parquet(target).schema
+        if len(tgt.fields) != len(staged.columns):
+            raise ValueError(f"stage has {len(staged.columns)} columns, target {len(tgt.fields)}")
+        staged = staged.select([F.col(f"`{c}`").cast(f.dataType).alias(f.name)
+                                for c, f in zip(staged.columns, tgt.fields)])
     if constraints is not None:
         enforce(staged, constraints)
     n = load_with_rowcount(staged, target, mode="append")

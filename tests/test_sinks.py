@@ -70,3 +70,12 @@ def test_flagship_load_keeps_target_on_violation(spark, tmp_path):
         load_flat_file(spark, str(bad), schema, target, 8, dt.datetime(2024, 1, 1), spec)
     rows = sorted((r.id, r.name, r.job_inst_id) for r in spark.read.parquet(target).collect())
     assert rows == [(1, "x", 7), (2, "y", 7)]
+
+
+def test_staged_insert_is_positional(spark, tmp_path):
+    target = str(tmp_path / "target")
+    staged_insert(spark, spark.createDataFrame([(1, "a")], "id int, name string"), target, 1)
+    staged_insert(spark, spark.createDataFrame([(2, "b")], "k long, label string"), target, 2)
+    rows = sorted(tuple(r) for r in spark.read.parquet(target).collect())
+    assert rows == [(1, "a"), (2, "b")]
+    assert spark.read.parquet(target).columns == ["id", "name"]
