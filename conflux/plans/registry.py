@@ -35,7 +35,7 @@ from ..streaming import consumer as SC
 from . import procs
 from .entities import project_entity
 from .flatfile import load_flat_file
-from .ingest import ingest
+from .ingest import ingest, run_step
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -1085,6 +1085,27 @@ def ingest_json_task(spark, sf):
     return df
 
 
+@check("run_step_status", """
+WITH dup AS (SELECT count(*) > count(DISTINCT l_orderkey) AS d FROM lineitem)
+SELECT CAST(5 AS INTEGER) AS job_inst_id, CASE WHEN d THEN 'failed' ELSE 'succeeded' END AS last_status,
+       d AS any_failed, CAST(4 AS BIGINT) AS n_entries, (SELECT CAST(count(*) AS BIGINT) FROM orders) AS orders_loaded
+FROM dup""")
+def run_step_status(spark, sf):
+    """U2 + B11 + E4 + I14: an E step of two task rows (orders; lineitem
+    with a primary key on l_orderkey), logged and folded."""
+    prepare(spark)
+    o_target = new_path(spark, "step-orders")
+    tasks = [{"job_task_name": "orders", "etl_step": "E", "step_seq": 1, "conn_type": "parquet",
+              "file_path": _path(sf, "orders"), "target_path": o_target},
+             {"job_task_name": "lineitem", "etl_step": "E", "step_seq": 2, "conn_type": "parquet",
+              "file_path": _path(sf, "lineitem"), "target_path": new_path(spark, "step-lineitem"),
+              "constraints": Constraints(primary_key=["l_orderkey"])}]
+    st = run_step(spark, tasks, 5, new_path(spark, "step-log"), RUN_TS)
+    loaded = AG.row_count(spark.read.parquet(o_target)).select(F.col("n_rows").alias("orders_loaded"))
+    return st.select("job_inst_id", "last_status", "any_failed", "n_entries",
+                     loaded.scalar().alias("orders_loaded"))
+
+
 @check("load_envelope", """
 SELECT CAST(n.n_nationkey AS INTEGER) AS id, n.n_name AS name, CAST(1 AS INTEGER) AS page,
        CAST((SELECT count(*) FROM nation n2 WHERE n2.n_regionkey = r.r_regionkey) AS INTEGER) AS total,

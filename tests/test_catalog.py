@@ -58,3 +58,19 @@ def test_run_sql_parameters(spark, sf):
     assert n == exp
     procs.register("fn", lambda spark, k: spark.range(k))
     assert procs.run_sql(spark, "fn", k=3).count() == 3
+
+
+def test_run_step_logs_and_folds(spark, sf, tmp_path):
+    from conflux.operators.conform import Constraints
+    from conflux.plans.ingest import run_step
+    good = {"job_task_name": "orders", "etl_step": "E", "step_seq": 1, "conn_type": "parquet",
+            "file_path": f"{sf}/orders.parquet", "is_full_load": True, "target_path": str(tmp_path / "o")}
+    bad = {"job_task_name": "lineitem", "etl_step": "E", "step_seq": 2, "conn_type": "parquet",
+           "file_path": f"{sf}/lineitem.parquet", "is_full_load": True, "target_path": str(tmp_path / "l"),
+           "constraints": Constraints(primary_key=["l_orderkey"])}
+    st = run_step(spark, [bad, good], 5, str(tmp_path / "log"), dt.datetime(2024, 1, 1)).first()
+    assert st.any_failed and st.n_entries == 4
+    assert "primary_key" in st.error_msg
+    assert spark.read.parquet(str(tmp_path / "o")).count() == spark.read.parquet(f"{sf}/orders.parquet").count()
+    msgs = [r.error_msg for r in spark.read.parquet(str(tmp_path / "log")).filter("task_status = 'succeeded'").collect()]
+    assert msgs and msgs[0].startswith("inserted rows || ")
