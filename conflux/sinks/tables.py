@@ -106,9 +106,13 @@ def chunked_insert_jdbc(df: DataFrame, url: str, table: str, chunk: int = 100,
 
 def archive_json(df: DataFrame, root: str, job_inst_id: int, load_date: str) -> str:
     """Keep fetched records as JSON for reprocessing, partitioned by run
-    and load date; re-read with :func:`conflux.sources.files.read_json_records`."""
+    and load date; re-read with :func:`conflux.sources.files.read_json_records`.
+    Only this run/date partition is replaced (dynamic partition overwrite),
+    so re-running a failed archive step does not duplicate it and leaves
+    other runs alone."""
     (df.withColumn("job_inst_id", F.lit(job_inst_id)).withColumn("load_date", F.lit(load_date))
-       .write.mode("append").partitionBy("job_inst_id", "load_date").json(root))
+       .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+       .partitionBy("job_inst_id", "load_date").json(root))
     return root
 
 

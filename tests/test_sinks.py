@@ -79,3 +79,13 @@ def test_staged_insert_is_positional(spark, tmp_path):
     rows = sorted(tuple(r) for r in spark.read.parquet(target).collect())
     assert rows == [(1, "a"), (2, "b")]
     assert spark.read.parquet(target).columns == ["id", "name"]
+
+
+def test_archive_json_is_idempotent_per_run(spark, tmp_path):
+    from conflux.sinks.tables import archive_json
+    root = str(tmp_path / "arch")
+    archive_json(spark.range(3), root, 1, "2024_01_01")
+    archive_json(spark.range(3), root, 1, "2024_01_01")      # retry of the same run
+    archive_json(spark.range(2), root, 2, "2024_01_01")
+    counts = {r.job_inst_id: r["count"] for r in spark.read.json(root).groupBy("job_inst_id").count().collect()}
+    assert counts == {1: 3, 2: 2}
