@@ -62,8 +62,9 @@ def enrich_message(df: DataFrame, group_id: str, created: datetime | None = None
 
 
 def run_scope(df: DataFrame, job_inst_id: int, column: str = "job_inst_id") -> DataFrame:
-    """C11: only this run's rows. On a table partitioned by ``job_inst_id``
-    the predicate prunes partitions; on Parquet it is a pushed filter."""
+    """C11: only this run's rows. A literal equality: it prunes partitions
+    when the table is partitioned by the column, and otherwise is a pushed
+    Parquet filter that skips row groups when files are sorted by it."""
     return df.filter(F.col(column) == F.lit(job_inst_id))
 
 
