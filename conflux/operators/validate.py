@@ -7,7 +7,7 @@ before taking the two filters.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.jsonpath import has_empty_value, parse_object
 
@@ -18,13 +18,32 @@ PROCESSING_ERROR = "Processing error"
 REASON = "error_reason"
 
 
+# Columns added by enrichment (C6); in the record they replace any key of
+# the same name, so those keys never decide validity.
+ENRICH_KEYS = ("group_id", "date_created", "kafka_topic")
+
+
+def _enriched(df: DataFrame) -> list[str]:
+    return [k for k in ENRICH_KEYS if k in df.columns]
+
+
+def _record_map(df: DataFrame, value_col: str) -> Column:
+    """The message as ``map<string, variant>`` with enrichment applied:
+    enrichment keys removed from the parsed value (they are overwritten)."""
+    obj = parse_object(F.col(value_col))
+    keys = _enriched(df)
+    if keys:
+        obj = F.map_filter(obj, lambda k, v: ~k.isin(*keys))
+    return obj
+
+
 def with_reason(msgs: DataFrame, value_col: str = "value") -> DataFrame:
     """``error_reason`` is null for a valid record, ``Processing
     error`` when the value is not a JSON object (S6: it never stops the
     stream), else ``Validation failed`` when a present value is null/empty.
-    Enrichment columns (C6) are never empty, so validating the original
-    value equals validating the enriched record."""
-    obj = parse_object(F.col(value_col))
+    Enrichment values (C6) are never empty and overwrite same-named keys,
+    so the check runs on the value without those keys."""
+    obj = _record_map(msgs, value_col)
     reason = (F.when(obj.isNull(), F.lit(PROCESSING_ERROR))
                .when(has_empty_value(obj), F.lit(VALIDATION_FAILED)))
     return msgs.withColumn(REASON, reason)
@@ -38,13 +57,18 @@ def split_valid(msgs: DataFrame, value_col: str = "value") -> tuple[DataFrame, D
 
 def dlq_records(bad: DataFrame, value_col: str = "value") -> DataFrame:
     """Dead-letter value ``{"bad_record": ..., "error_reason": ...}``.
-    A record that parsed keeps its fields as an object; one that did not is
-    kept as ``{"original_message": text}``. Kafka-shaped output
-    ``(topic, key, value)`` plus the source coordinates."""
+    A record that parsed is kept as the (enriched) record; one that did not
+    is kept as ``{"original_message": text, "error_reason": why}``.
+    Kafka-shaped output plus the source coordinates."""
     raw = F.col(value_col)
-    wrapped = F.to_json(F.struct(raw.alias("original_message")))
-    record = F.when(parse_object(raw).isNull(), F.parse_json(wrapped)).otherwise(
-        F.coalesce(F.try_parse_json(raw), F.parse_json(wrapped)))
+    obj = _record_map(bad, value_col)
+    keys = _enriched(bad)
+    if keys:
+        extra = F.create_map(*[x for k in keys for x in (F.lit(k), F.col(k).cast("string").try_cast("variant"))])
+        obj = F.map_concat(obj, extra)
+    unparsed = F.create_map(F.lit("original_message"), raw.try_cast("variant"),
+                            F.lit("error_reason"), F.lit("value is not a JSON object").try_cast("variant"))
+    record = F.when(obj.isNull(), unparsed).otherwise(obj)
     value = F.to_json(F.struct(record.alias("bad_record"), F.col(REASON).alias("error_reason")))
     return bad.select(F.col("topic").alias("source_topic"), "partition", "offset",
                       F.col(REASON), value.alias("value"))

@@ -69,4 +69,17 @@ def test_split_and_dlq(spark):
             assert reasons[i] == PROCESSING_ERROR
     d = {r.offset: json.loads(r.value) for r in dlq_records(bad).collect()}
     assert d[0] == {"bad_record": {"name": None, "amount": 1}, "error_reason": VALIDATION_FAILED}
-    assert d[8] == {"bad_record": {"original_message": "{bad"}, "error_reason": PROCESSING_ERROR}
+    assert d[8] == {"bad_record": {"original_message": "{bad", "error_reason": "value is not a JSON object"},
+                    "error_reason": PROCESSING_ERROR}
+
+
+def test_enrichment_overwrites_keys(spark):
+    import datetime as dt
+    from conflux.operators.project import enrich_message
+    rows = [("t1", 0, 0, '{"name":"a","group_id":""}'), ("t1", 0, 1, '{"name":"","group_id":"x"}')]
+    msgs = spark.createDataFrame(rows, "topic string, partition int, offset long, value string")
+    enriched = enrich_message(msgs, "g", dt.datetime(2024, 1, 1))
+    good, bad = split_valid(enriched)
+    assert [r.offset for r in good.collect()] == [0]       # its empty group_id is overwritten
+    rec = json.loads(dlq_records(bad).first().value)["bad_record"]
+    assert rec == {"name": "", "group_id": "g", "date_created": "2024-01-01 00:00:00", "kafka_topic": "t1"}
