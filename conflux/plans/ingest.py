@@ -9,6 +9,7 @@ the number of configured jobs, so they are broadcast.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -47,9 +48,10 @@ def ingest(spark: SparkSession, task: dict, target_path: str | None = None) -> t
 
 def job_tasks(job_inst_task: DataFrame, job_task: DataFrame, tbl: DataFrame, conn: DataFrame,
               job_inst_id: int, etl_step: str, task_id: int = 0, step: int = 20) -> DataFrame:
-    """The task catalog of one run and step (D2 + D3 + F1): each instance
-    task with its definition, source and target table (the same ``tbl``
-    joined in two roles), its connection, and thread/sequence numbers."""
+    """A reduced task catalog of one run and step (D2 + D3 + F1): each
+    instance task with its definition, source and target table (the same
+    ``tbl`` joined in two roles), its connection, and thread/sequence
+    numbers. :func:`task_catalog_for` is the full form."""
     t = job_inst_task.filter((F.col("job_inst_id") == job_inst_id) & (F.col("etl_step") == etl_step))
     if task_id:
         t = t.filter(F.col("job_task_id") == task_id)
@@ -64,6 +66,114 @@ def job_tasks(job_inst_task: DataFrame, job_task: DataFrame, tbl: DataFrame, con
     return number_tasks(out, ["job_inst_id", "etl_step"], ["step_seq", "job_task_id"], step)
 
 
+@dataclass
+class Metadata:
+    """The metadata tables (configuration: bounded by the number of
+    configured jobs, tasks and connections)."""
+    job_inst_task: DataFrame
+    job_task: DataFrame
+    job_inst: DataFrame
+    job: DataFrame
+    tbl: DataFrame
+    conn_str: DataFrame
+    conn_api: DataFrame
+    conn_kafka: DataFrame
+    sql_script: DataFrame
+    data_source: DataFrame
+
+
+# Connection-string fragments that name the database kind
+# (case-insensitive, first match wins).
+DB_TYPE_RULES = [("mssql", "MSSQL"), ("SQL Server", "MSSQL"), ("postgres", "POSTGRES")]
+
+
+def _pick(df: DataFrame, key: str, alias: str, cols: dict[str, str]) -> DataFrame:
+    """``df`` narrowed to its key (renamed ``alias``) and ``{out: col}``."""
+    return df.select(F.col(key).alias(alias), *[F.col(c).alias(o) for o, c in cols.items()])
+
+
+def task_catalog_for(md: Metadata, job_inst_id: int, etl_step: str, job_inst_task_id: int = 0,
+                     run_ts: datetime | None = None, step: int = 20) -> DataFrame:
+    """One row per instance task of a run and step -- the chain of ten
+    left joins over the metadata tables (``tbl`` in two roles, D3; the
+    parent API connection, D5), with the derived columns: ``sql_type`` and
+    ``db_type`` (C7), name/url by connection type, ``src_incr_date``
+    defaulting to the day before the run (C13), and thread/sequence numbers
+    in ``step_seq`` order (F1). ``job_inst_task_id`` 0 means all tasks
+    (C12)."""
+    from ..functions.text import classify
+    from ..operators.joins import with_parent
+    from ..operators.project import null_default, optional_filter
+
+    run_ts = run_ts or datetime.now()
+    jit = optional_filter(md.job_inst_task.filter(F.col("job_inst_id") == job_inst_id)
+                          .select("job_inst_task_id", "job_inst_id", "job_task_id", "task_status"),
+                          "job_inst_task_id", job_inst_task_id)
+    jt = md.job_task.select("job_task_id", "job_id", "job_task_name", "etl_step", "step_seq", "conn_type",
+                            "src_tbl_id", "tgt_tbl_id", "conn_str_id", "conn_api_id", "conn_kafka_id",
+                            "sql_script_id")
+    ji = _pick(md.job_inst, "job_inst_id", "ji_id", {"ji_job_id": "job_id", "etl_steps": "etl_steps",
+                                                      "is_full_load": "is_full_load",
+                                                      "del_temp_data": "del_temp_data"})
+    j = _pick(md.job, "job_id", "j_id", {"job_type": "job_type"})
+    t1 = _pick(md.tbl, "tbl_id", "t1_id", {"src_fully_qualified_tbl_name": "fully_qualified_tbl_name",
+                                           "t1_incr_date": "incr_date", "src_incr_column": "incr_column",
+                                           "src_data_size": "data_size"})
+    t2 = _pick(md.tbl, "tbl_id", "t2_id", {"tgt_fully_qualified_tbl_name": "fully_qualified_tbl_name"})
+    cs = _pick(md.conn_str, "conn_str_id", "cs_id", {"cs_name": "conn_str_name", "cs_conn_str": "conn_str",
+                                                     "username": "username", "pass": "pass",
+                                                     "file_path": "file_path"})
+    api_cols = ["conn_api_id", "parent_conn_api_id", "data_source_id", "conn_api_name", "api_url",
+                "need_token", "payload_json", "page_param_name", "page_size", "cursor_param_name",
+                "cursor_path", "max_pages", "output_file_path", "chunk_size", "username", "pass"]
+    api = with_parent(md.conn_api.select(*api_cols), "conn_api_id", "parent_conn_api_id",
+                      ["api_url", "username", "pass"], prefix="api_key_")
+    api = api.select(F.col("conn_api_id").alias("api_id"), "data_source_id", "conn_api_name", "api_url",
+                     "need_token", "payload_json", "page_param_name", "page_size", "cursor_param_name",
+                     "cursor_path", "max_pages", "output_file_path", "chunk_size",
+                     F.col("api_key_api_url").alias("api_key_url"), F.col("api_key_username"),
+                     F.col("api_key_pass"))
+    kafka = _pick(md.conn_kafka, "conn_kafka_id", "k_id", {
+        "kafka_topic": "topic", "kafka_bootstrap_servers": "bootstrap_servers", "kafka_group_id": "group_id",
+        "is_kafka_consumer": "is_consumer", "kafka_batch_record_size": "batch_record_size",
+        "max_message_num": "max_message_num", "kafka_topic_pattern": "topic_pattern"})
+    ss = _pick(md.sql_script, "sql_script_id", "ss_id", {"sql_text": "sql_text",
+                                                         "is_stored_proc": "is_stored_proc"})
+    ds = _pick(md.data_source, "data_source_id", "ds_id", {"data_source_name": "data_source_name"})
+
+    b = F.broadcast
+    out = (jit.join(b(jt), "job_task_id", "left")
+              .join(b(ji), F.col("job_inst_id") == F.col("ji_id"), "left")
+              .join(b(j), F.col("ji_job_id") == F.col("j_id"), "left")
+              .join(b(t1), F.col("src_tbl_id") == F.col("t1_id"), "left")
+              .join(b(t2), F.col("tgt_tbl_id") == F.col("t2_id"), "left")
+              .join(b(cs), F.col("conn_str_id") == F.col("cs_id"), "left")
+              .join(b(api), F.col("conn_api_id") == F.col("api_id"), "left")
+              .join(b(kafka), F.col("conn_kafka_id") == F.col("k_id"), "left")
+              .join(b(ss), F.col("sql_script_id") == F.col("ss_id"), "left")
+              .join(b(ds), F.col("data_source_id") == F.col("ds_id"), "left")
+              .filter(F.col("etl_step") == etl_step))
+    is_db = F.col("conn_type") == "db"
+    conn_str = F.when(is_db, F.col("cs_conn_str")).otherwise(F.col("api_url"))
+    out = out.select(
+        "job_inst_task_id", "job_id", "job_task_name", "etl_step", "step_seq",
+        F.when(F.col("is_stored_proc").cast("int") == 1, "proc")
+         .when(F.col("is_stored_proc").cast("int") == 0, "raw-sql")
+         .alias("sql_type"),
+        "sql_text",
+        F.when(is_db, F.col("cs_name")).otherwise(F.col("conn_api_name")).alias("conn_str_name"),
+        "conn_type", "username", "pass", "file_path", conn_str.alias("conn_str"), "need_token", "payload_json",
+        F.when(is_db, classify(conn_str, DB_TYPE_RULES)).alias("db_type"),
+        "src_fully_qualified_tbl_name", "tgt_fully_qualified_tbl_name",
+        null_default("t1_incr_date", run_ts).alias("src_incr_date"), "src_incr_column", "src_data_size",
+        "task_status", "api_key_url", "api_key_username", "api_key_pass",
+        "page_param_name", "page_size", "cursor_param_name", "cursor_path", "max_pages", "output_file_path",
+        "chunk_size", "data_source_name", "job_inst_id", "etl_steps", "is_full_load", "del_temp_data",
+        "job_type", "kafka_topic", "kafka_bootstrap_servers", "kafka_group_id", "is_kafka_consumer",
+        "kafka_batch_record_size", "max_message_num", "kafka_topic_pattern")
+    return number_tasks(out, ["job_inst_id", "etl_step"], ["step_seq", "job_inst_task_id"], step)
+
+
 def run_step(spark: SparkSession, tasks: list[dict], job_inst_id: int, log_path: str,
              run_ts: datetime | None = None) -> DataFrame:
     """Run the task rows of one ETL step in order (``step_seq``) and append

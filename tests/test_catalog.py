@@ -74,3 +74,62 @@ def test_run_step_logs_and_folds(spark, sf, tmp_path):
     assert spark.read.parquet(str(tmp_path / "o")).count() == spark.read.parquet(f"{sf}/orders.parquet").count()
     msgs = [r.error_msg for r in spark.read.parquet(str(tmp_path / "log")).filter("task_status = 'succeeded'").collect()]
     assert msgs and msgs[0].startswith("inserted rows || ")
+
+
+def test_full_task_catalog(spark):
+    from conflux.plans.ingest import Metadata, task_catalog_for
+
+    df = spark.createDataFrame
+    md = Metadata(
+        job_inst_task=df([(1, 9, 100, "not started"), (2, 9, 101, "not started"), (3, 9, 102, "not started"),
+                          (4, 9, 103, "not started"), (5, 8, 100, "done")],
+                         "job_inst_task_id int, job_inst_id int, job_task_id int, task_status string"),
+        job_task=df([(100, 1, "db extract", "E", 2, "db", 1, 2, 1, None, None, 1),
+                     (101, 1, "api extract", "E", 1, "api", None, 3, None, 2, None, None),
+                     (102, 1, "consume", "E", 3, "kafka", None, 4, None, None, 1, None),
+                     (103, 1, "transform", "T", 1, "db", 2, 3, 2, None, None, 2)],
+                    "job_task_id int, job_id int, job_task_name string, etl_step string, step_seq int, "
+                    "conn_type string, src_tbl_id int, tgt_tbl_id int, conn_str_id int, conn_api_id int, "
+                    "conn_kafka_id int, sql_script_id int"),
+        job_inst=df([(9, 1, "ETL", True, False), (8, 1, "E", True, False)],
+                    "job_inst_id int, job_id int, etl_steps string, is_full_load boolean, del_temp_data boolean"),
+        job=df([(1, "etl")], "job_id int, job_type string"),
+        tbl=df([(1, "src.dbo.orders", dt.datetime(2024, 5, 1), "o_orderdate", "large"),
+                (2, "raw.orders", None, "o_orderdate", "small"), (3, "raw.api", None, None, None),
+                (4, "raw.kafka_topic", None, None, None)],
+               "tbl_id int, fully_qualified_tbl_name string, incr_date timestamp_ntz, incr_column string, "
+               "data_size string"),
+        conn_str=df([(1, "src", "mssql+pyodbc://host/db", "u", "p", None),
+                     (2, "dwh", "postgresql://host/dwh", "u", "p", None)],
+                    "conn_str_id int, conn_str_name string, conn_str string, username string, pass string, "
+                    "file_path string"),
+        conn_api=df([(1, None, 1, "login", "https://api/login", "lu", "lp", False, None, None, None, None, None,
+                      None, None, None),
+                     (2, 1, 1, "works", "https://api/works", None, None, True, "{}", "page", 100, "cursor",
+                      "meta.next_cursor", 2, "/out", 100)],
+                    "conn_api_id int, parent_conn_api_id int, data_source_id int, conn_api_name string, "
+                    "api_url string, username string, pass string, need_token boolean, payload_json string, "
+                    "page_param_name string, page_size int, cursor_param_name string, cursor_path string, "
+                    "max_pages int, output_file_path string, chunk_size int"),
+        conn_kafka=df([(1, "test-topic1", '{"pattern": "test-.*"}', "kafka:9092", "etl-group", True, 100, 500)],
+                      "conn_kafka_id int, topic string, topic_pattern string, bootstrap_servers string, "
+                      "group_id string, is_consumer boolean, batch_record_size int, max_message_num int"),
+        sql_script=df([(1, "SELECT * FROM orders", False), (2, "dbo.load_orders", True)],
+                      "sql_script_id int, sql_text string, is_stored_proc boolean"),
+        data_source=df([(1, "scholarly api")], "data_source_id int, data_source_name string"))
+    rows = task_catalog_for(md, 9, "E", run_ts=dt.datetime(2024, 6, 2)).orderBy("task_thread_num").collect()
+    assert [r.job_task_name for r in rows] == ["api extract", "db extract", "consume"]
+    assert [r.sequence_num for r in rows] == [20, 40, 60]
+    api, db, kafka = rows
+    assert (api.conn_str_name, api.conn_str, api.api_key_url, api.api_key_username) == \
+        ("works", "https://api/works", "https://api/login", "lu")
+    assert api.db_type is None and api.data_source_name == "scholarly api" and api.sql_type is None
+    assert (db.conn_str_name, db.db_type, db.sql_type) == ("src", "MSSQL", "raw-sql")
+    assert db.src_incr_date == dt.datetime(2024, 5, 1) and db.src_data_size == "large"
+    assert api.src_incr_date == dt.datetime(2024, 6, 1)          # run date - 1 day
+    assert kafka.kafka_topic_pattern == '{"pattern": "test-.*"}' and kafka.max_message_num == 500
+    assert all(r.etl_steps == "ETL" and r.job_type == "etl" for r in rows)
+    one = task_catalog_for(md, 9, "E", job_inst_task_id=1).collect()
+    assert [r.job_task_name for r in one] == ["db extract"]
+    t = task_catalog_for(md, 9, "T").first()
+    assert (t.db_type, t.sql_type) == ("POSTGRES", "proc")
