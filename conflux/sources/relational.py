@@ -64,15 +64,29 @@ def incremental(df: DataFrame, incr_column: str | None, incr_date: datetime | No
     return df.filter(F.col(incr_column) >= ts_literal(bound))
 
 
+def _topic_pattern(value: str | None) -> str | None:
+    """The consumer pattern is stored as JSON ``{"pattern": ...}``."""
+    import json
+    if value is None:
+        return None
+    return json.loads(value).get("pattern", "Key not found")
+
+
 def extract(spark: SparkSession, task: dict) -> DataFrame:
     """Read the source of one task row by ``conn_type`` (U2 dispatcher):
-    ``db`` (JDBC), ``parquet``, ``file`` (delimited text), ``json``."""
+    ``db`` (JDBC: a raw SQL text, else the source table), ``parquet``,
+    ``file`` (delimited text by header), ``json`` (records by schema),
+    ``api`` (landed response pages, A8) and ``kafka`` (pattern
+    subscription, A10). Accepts the catalog's column names
+    (``src_incr_column`` / ``src_incr_date``, ``sql_type``...)."""
     from .files import read_csv_by_header, read_json_records
 
     kind = (task.get("conn_type") or "").strip().lower()
     if kind == "db":
-        df = jdbc_extract(spark, JdbcSource(url=task["conn_str"], query=task.get("sql_text"),
-                                            table=task.get("src_tbl_name"),
+        raw_sql = task.get("sql_text") if task.get("sql_type") in (None, "raw-sql") else None
+        df = jdbc_extract(spark, JdbcSource(url=task["conn_str"], query=raw_sql,
+                                            table=task.get("src_tbl_name")
+                                            or task.get("src_fully_qualified_tbl_name"),
                                             partition_column=task.get("partition_column"),
                                             lower_bound=task.get("lower_bound"),
                                             upper_bound=task.get("upper_bound"),
@@ -85,7 +99,18 @@ def extract(spark: SparkSession, task: dict) -> DataFrame:
                                 encoding=task.get("encoding", "ISO-8859-1"))
     elif kind == "json":
         df = read_json_records(spark, task["file_path"], task["schema"])
+    elif kind == "api":
+        from .responses import DEFAULT_MAX_PAGES, landed_pages
+        pages = spark.read.schema("request_id bigint, page_num int, body string").json(
+            task.get("file_path") or task["output_file_path"])
+        df = landed_pages(pages, task["result_schema"], max_pages=task.get("max_pages") or DEFAULT_MAX_PAGES)
+    elif kind == "kafka":
+        from .messages import kafka_source
+        df = kafka_source(spark, task.get("kafka_bootstrap_servers") or "kafka:9092",
+                          _topic_pattern(task.get("kafka_topic_pattern")) or task["kafka_topic"],
+                          streaming=False)
     else:
         raise ValueError(f"unknown connection type {kind!r}")
-    return incremental(df, task.get("incr_column"), task.get("incr_date"),
+    return incremental(df, task.get("incr_column") or task.get("src_incr_column"),
+                       task.get("incr_date") or task.get("src_incr_date"),
                        bool(task.get("is_full_load", True)), task.get("run_ts"))

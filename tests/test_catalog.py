@@ -133,3 +133,20 @@ def test_full_task_catalog(spark):
     assert [r.job_task_name for r in one] == ["db extract"]
     t = task_catalog_for(md, 9, "T").first()
     assert (t.db_type, t.sql_type) == ("POSTGRES", "proc")
+
+
+def test_ingest_api_task_from_landed_pages(spark, sf, tmp_path):
+    from conflux import fixtures as fx
+    from conflux.plans.ingest import ingest
+    from conflux.sources.relational import _topic_pattern
+    landed = str(tmp_path / "landed")
+    fx.response_pages(spark.read.parquet(f"{sf}/pages.parquet")).write.json(landed)
+    df, _ = ingest(spark, {"conn_type": "api", "output_file_path": landed, "max_pages": 2,
+                           "result_schema": "id bigint, title string", "is_full_load": True})
+    pages = spark.read.parquet(f"{sf}/pages.parquet")
+    # page 1 of every request, page 2 unless page 1 ended the chain (page_id % 7 == 6)
+    exp = pages.filter((F.col("page_id") % 10 == 0) |
+                       ((F.col("page_id") % 10 == 1) & ((F.col("page_id") - 1) % 7 != 6))).count()
+    assert df.count() == exp and df.columns == ["request_id", "page_num", "id", "title"]
+    assert _topic_pattern('{"pattern": "test-.*"}') == "test-.*"
+    assert _topic_pattern("{}") == "Key not found" and _topic_pattern(None) is None
