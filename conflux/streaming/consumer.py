@@ -23,13 +23,16 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..operators.project import enrich_message
-from ..operators.validate import REASON, dlq_records, with_reason
+from ..operators.validate import DLQ_VALUE, REASON, route
 from ..operators.windows import cap_rows
 from ..sinks.tables import path_exists
 from ..sources.messages import MESSAGE_SCHEMA
 
 CAP_BUCKET = 1 << 16
 
+# Typed fields of a message record in the target table.
+RECORD_FIELDS = {"name": "string", "address": "string", "transaction_id": "string", "amount": "bigint"}
+
 
 def write_message_files(msgs: DataFrame, path: str, n_files: int) -> str:
     """Land a Kafka-shaped frame as JSON-lines files, each file a
@@ -79,18 +82,16 @@ def ingest_batch(batch: DataFrame, batch_id: int, t: IngestTargets) -> None:
         msgs = cap_rows(msgs, ["topic"], [F.col("partition"), F.col("offset")],
                         [F.col("partition"), F.floor(F.col("offset") / CAP_BUCKET)],
                         t.max_messages, prior=prior)
-    routed = with_reason(msgs).persist()
+    routed = route(msgs, RECORD_FIELDS).persist()
     try:
-        valid = routed.filter(F.col(REASON).isNull()).drop(REASON)
-        parsed = F.from_json(F.col("value"),
-                             "name string, address string, transaction_id string, amount bigint")
-        (valid.select("topic", "partition", "offset", "timestamp", parsed.alias("r"),
-                      "group_id", "date_created", "kafka_topic")
-              .select("topic", "partition", "offset", "timestamp", "r.*",
-                      "group_id", "date_created", "kafka_topic")
-              .write.mode("overwrite").parquet(f"{t.table}/batch_id={batch_id}"))
-        (dlq_records(routed.filter(F.col(REASON).isNotNull()))
-             .write.mode("overwrite").parquet(f"{t.dlq}/batch_id={batch_id}"))
+        (routed.filter(F.col(REASON).isNull())
+               .select("topic", "partition", "offset", "timestamp", *RECORD_FIELDS,
+                       "group_id", "date_created", "kafka_topic")
+               .write.mode("overwrite").parquet(f"{t.table}/batch_id={batch_id}"))
+        (routed.filter(F.col(REASON).isNotNull())
+               .select(F.col("topic").alias("source_topic"), "partition", "offset", REASON,
+                       F.col(DLQ_VALUE).alias("value"))
+               .write.mode("overwrite").parquet(f"{t.dlq}/batch_id={batch_id}"))
         if t.max_messages is not None and t.state:
             (routed.groupBy("topic").agg(F.count(F.lit(1)).cast("bigint").alias("taken"))
                    .write.mode("overwrite").parquet(f"{t.state}/batch_id={batch_id}"))
