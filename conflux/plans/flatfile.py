@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession, types as T
 from ..operators.conform import Constraints, conform, enforce
 from ..operators.project import add_lineage
 from ..session import new_path
-from ..sinks.tables import load_with_rowcount, replace_with
+from ..sinks.tables import archive_source_files, list_files, load_with_rowcount, replace_with
 from ..sources.files import read_csv_by_header
 
 
@@ -42,11 +42,23 @@ def typed_from_text(spark: SparkSession, csv_path: str, target: T.StructType,
 def load_flat_file(spark: SparkSession, csv_path: str, target_schema: T.StructType,
                    target_path: str, job_inst_id: int, load_ts: datetime,
                    constraints: Constraints | None = None, encoding: str = "ISO-8859-1",
-                   sep: str = ",") -> LoadResult:
-    typed = typed_from_text(spark, csv_path, target_schema, encoding, sep)
-    stage = new_path(spark, f"stage_{target_path.rstrip('/').rsplit('/', 1)[-1]}_{job_inst_id}")
-    n = load_with_rowcount(add_lineage(typed, job_inst_id, load_ts), stage, mode="errorifexists")
-    if constraints is not None:
-        enforce(spark.read.parquet(stage), constraints)
-    replace_with(spark, stage, target_path)
+                   sep: str = ",", archive_files: bool = False) -> LoadResult:
+    """Load, check and publish; with ``archive_files`` the input files are
+    moved to ``processed/`` after a good load, or to ``error/`` (``err_``
+    prefix) when the load fails -- and the error is raised, never
+    swallowed."""
+    inputs = list_files(spark, csv_path) if archive_files else []
+    try:
+        typed = typed_from_text(spark, csv_path, target_schema, encoding, sep)
+        stage = new_path(spark, f"stage_{target_path.rstrip('/').rsplit('/', 1)[-1]}_{job_inst_id}")
+        n = load_with_rowcount(add_lineage(typed, job_inst_id, load_ts), stage, mode="errorifexists")
+        if constraints is not None:
+            enforce(spark.read.parquet(stage), constraints)
+        replace_with(spark, stage, target_path)
+    except Exception:
+        if inputs:
+            archive_source_files(spark, inputs, failed=True)
+        raise
+    if inputs:
+        archive_source_files(spark, inputs, failed=False)
     return LoadResult(target_path, n)

@@ -145,6 +145,21 @@ def replace_with(spark: SparkSession, stage: str, target: str) -> None:
         raise OSError(f"could not promote {stage} to {target}")
 
 
+def list_files(spark: SparkSession, path: str) -> list[str]:
+    """Data files under ``path`` (a file or a folder; hidden and ``_``
+    files skipped) -- a driver-side listing of file names only."""
+    fs, p, _ = _fs(spark, path)
+    if fs.isFile(p):
+        return [p.toString()]
+    out = []
+    it = fs.listFiles(p, True)
+    while it.hasNext():
+        f = it.next().getPath()
+        if not f.getName().startswith((".", "_")):
+            out.append(f.toString())
+    return out
+
+
 def archive_source_files(spark: SparkSession, files: Sequence[str], failed: bool,
                          when: datetime | None = None) -> list[str]:
     """Move each input file to ``processed/`` (or ``error/`` with an
@@ -206,4 +221,4 @@ def append_run_log(entries: DataFrame, log_path: str) -> None:
 
 __all__ = ["truncate_and_load", "truncate_and_load_jdbc", "append_load", "load_with_rowcount",
            "staged_insert", "chunked_insert", "chunked_insert_jdbc", "archive_json",
-           "archive_source_files", "publish", "append_run_log", "delete_path", "path_exists", "replace_with"]
+           "archive_source_files", "list_files", "publish", "append_run_log", "delete_path", "path_exists", "replace_with"]

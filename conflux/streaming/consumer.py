@@ -116,10 +116,10 @@ def consume_available(stream: DataFrame, targets: IngestTargets, checkpoint: str
     return len(batches)
 
 
-def consume(spark: SparkSession, source_path: str, targets: IngestTargets, replay: bool,
+def consume(spark: SparkSession, source_path: str, targets: IngestTargets, replay: bool = False,
             checkpoint: str | None = None) -> None:
     """``replay=True`` reads every message again on each run (a fresh
-    consumer group that never commits) and appends; ``replay=False`` keeps a
+    consumer group that never commits) and appends; the default keeps a
     checkpoint, so each offset is loaded once across runs."""
     if replay:
         batch = spark.read.schema(MESSAGE_SCHEMA).json(source_path)

@@ -89,3 +89,26 @@ def test_archive_json_is_idempotent_per_run(spark, tmp_path):
     archive_json(spark.range(2), root, 2, "2024_01_01")
     counts = {r.job_inst_id: r["count"] for r in spark.read.json(root).groupBy("job_inst_id").count().collect()}
     assert counts == {1: 3, 2: 2}
+
+
+def test_flagship_load_archives_inputs(spark, tmp_path):
+    import datetime as dt
+
+    import pytest
+    from pyspark.sql import types as T
+
+    from conflux.plans.flatfile import load_flat_file
+
+    schema = T.StructType([T.StructField("id", T.IntegerType()), T.StructField("name", T.StringType())])
+    good, bad = tmp_path / "good", tmp_path / "bad"
+    good.mkdir(), bad.mkdir()
+    (good / "city.csv").write_text("id,name\n1,x\n")
+    (bad / "city.csv").write_text("id,name\nnot-a-number,y\n")
+    load_flat_file(spark, str(good / "city.csv"), schema, str(tmp_path / "t1"), 1, dt.datetime(2024, 1, 1),
+                   archive_files=True)
+    assert not (good / "city.csv").exists()
+    assert [p.name.startswith("city_") and p.suffix == ".csv" for p in (good / "processed").iterdir()] == [True]
+    with pytest.raises(Exception):
+        load_flat_file(spark, str(bad / "city.csv"), schema, str(tmp_path / "t2"), 2, dt.datetime(2024, 1, 1),
+                       archive_files=True)
+    assert [p.name.startswith("err_city_") for p in (bad / "error").iterdir()] == [True]
