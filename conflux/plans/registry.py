@@ -265,11 +265,12 @@ def kafka_subscribe(spark, sf):
 
 
 @check("generate_messages", """
-SELECT 'topic' || CAST(event_id % 3 + 1 AS VARCHAR) AS topic, CAST(count(*) AS BIGINT) AS n_messages,
-       true AS amounts_in_range, CAST(count(*) AS BIGINT) AS n_distinct_ids
-FROM events GROUP BY 1""")
+SELECT t.topic, CAST(count(*) AS BIGINT) AS n_messages, true AS amounts_in_range,
+       CAST(count(*) AS BIGINT) AS n_distinct_ids
+FROM events, (SELECT 'topic1' AS topic UNION ALL SELECT 'topic2' UNION ALL SELECT 'topic3') t
+GROUP BY t.topic""")
 def generate_messages(spark, sf):
-    """A11 + I15: one reproducible synthetic record per event id."""
+    """A11 + I15: one reproducible synthetic record per event id and topic."""
     g = MS.generate_messages(_t(spark, sf, "events"), "event_id")
     tid = F.get_json_object("value", "$.transaction_id")
     return g.groupBy("topic").agg(

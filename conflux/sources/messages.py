@@ -45,20 +45,24 @@ def subscribe(msgs: DataFrame, pattern: str) -> DataFrame:
 
 def generate_messages(ids: DataFrame, id_col: str, n_topics: int = 3,
                       topic_prefix: str = "topic", seed: int = 42) -> DataFrame:
-    """One synthetic ``{name, address, transaction_id, amount}`` record
-    per input id, spread over ``topic1..topicN``; reproducible (seeded
-    hashes instead of random values), ``amount`` at most 5 digits. Output
-    is Kafka-shaped with the record as JSON text."""
-    i = F.col(id_col)
-    name = F.concat(F.lit("name-"), F.lower(F.hex(F.xxhash64(i, F.lit(seed)))).substr(1, 8))
-    address = F.concat(synthetic_digits(i, seed + 1, 4).cast("string"), F.lit(" Main St"))
-    amount = synthetic_digits(i, seed + 2, 5)
+    """Synthetic ``{name, address, transaction_id, amount}`` records --
+    one per input id **in each** of ``topic1..topicN`` (so every topic gets
+    as many messages as there are ids, the generator's message count).
+    Reproducible (seeded hashes instead of random values); ``amount`` has
+    at most 5 digits. Output is Kafka-shaped with the record as JSON text;
+    the offset within a topic is the id."""
+    base = ids.select(F.col(id_col).alias("_i"),
+                      F.explode(F.sequence(F.lit(1), F.lit(n_topics))).alias("_k"))
+    key = F.concat_ws(":", F.col("_i").cast("string"), F.col("_k").cast("string"))
+    name = F.concat(F.lit("name-"), F.lower(F.hex(F.xxhash64(key, F.lit(seed)))).substr(1, 8))
+    address = F.concat(synthetic_digits(key, seed + 1, 4).cast("string"), F.lit(" Main St"))
+    amount = synthetic_digits(key, seed + 2, 5)
     record = F.to_json(F.struct(name.alias("name"), address.alias("address"),
-                                synthetic_id(i, seed).alias("transaction_id"), amount.alias("amount")))
-    return ids.select(
-        F.concat(F.lit(topic_prefix), (F.pmod(i, F.lit(n_topics)) + 1).cast("string")).alias("topic"),
+                                synthetic_id(key, seed).alias("transaction_id"), amount.alias("amount")))
+    return base.select(
+        F.concat(F.lit(topic_prefix), F.col("_k").cast("string")).alias("topic"),
         F.lit(0).alias("partition"),
-        F.expr(f"`{id_col}` div {int(n_topics)}").cast("bigint").alias("offset"),
+        F.col("_i").cast("bigint").alias("offset"),
         F.lit(None).cast("timestamp_ntz").alias("timestamp"),
         F.lit(None).cast("string").alias("key"),
         record.alias("value"),
