@@ -18,7 +18,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 _B = "_bucket"
 
@@ -102,12 +102,25 @@ def cap_rows(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str],
     return whole.unionByName(part).drop(*bnames)
 
 
+def _monotone_bucket(df: DataFrame, name: str, width: int) -> Column:
+    """A bucket of one order column that never decreases along it."""
+    t = df.schema[name].dataType
+    if isinstance(t, (T.IntegralType, T.FractionalType, T.DecimalType)):
+        return F.floor(F.col(name) / width)
+    return F.col(name)          # any ordered type is its own (fine) bucket
+
+
 def number_tasks(df: DataFrame, keys: Sequence[str], order: Sequence[str], step: int = 20,
-                 hot_key_rows: int = HOT_KEY_ROWS) -> DataFrame:
+                 hot_key_rows: int = HOT_KEY_ROWS, bucket_width: int = 1024) -> DataFrame:
     """``task_thread_num = i`` and ``sequence_num = i * step`` within
     each key, ordered by ``order`` (list every column needed for a total
-    order). The leading order column is the bucket."""
-    numbered = number_rows(df, keys, [F.col(c) for c in order], [F.col(order[0])], out="task_thread_num",
+    order). Hot keys are bucketed by ``(order[0], order[1] div width)`` --
+    lexicographically non-decreasing along the order, and fine enough to
+    split a hot key even when the leading column has few values."""
+    buckets = [F.col(order[0])]
+    if len(order) > 1:
+        buckets.append(_monotone_bucket(df, order[1], bucket_width))
+    numbered = number_rows(df, keys, [F.col(c) for c in order], buckets, out="task_thread_num",
                            hot_key_rows=hot_key_rows)
     return numbered.withColumn("sequence_num", F.col("task_thread_num") * F.lit(step))
 

@@ -45,3 +45,16 @@ def test_page_chain_stops_after_first_empty_cursor(spark):
     df = spark.createDataFrame(rows, "request_id int, page_num int, next_cursor string")
     got = sorted(tuple(r)[:2] for r in page_chain(df, max_pages=2).collect())
     assert got == [(1, 1), (1, 2), (2, 1), (2, 2), (3, 1)]
+
+
+def test_number_tasks_hot_key_with_few_leading_values(spark):
+    from conflux.operators.windows import number_tasks
+    # one key, leading order column with 3 values: the second column splits it
+    df = spark.range(5000).select(F.lit(1).alias("k"), (F.col("id") % 3).alias("step_seq"),
+                                  (F.col("id") * 7919 % 5000).alias("task_id"))
+    got = number_tasks(df, ["k"], ["step_seq", "task_id"], hot_key_rows=10, bucket_width=100)
+    w = Window.partitionBy("k").orderBy("step_seq", "task_id")
+    exp = df.withColumn("task_thread_num", F.row_number().over(w))
+    assert sorted(map(tuple, got.select("task_id", "task_thread_num").collect())) == \
+        sorted(map(tuple, exp.select("task_id", "task_thread_num").collect()))
+    assert got.agg(F.max("sequence_num")).first()[0] == 5000 * 20
