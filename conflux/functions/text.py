@@ -83,15 +83,19 @@ def thousands(num: Column | str) -> Column:
     return F.format_number(_c(num), 0)
 
 
+# Fixed value: base name and extension of a file name, split at the last
+# dot that has a non-dot character before it (leading dots are part of
+# the name, as for hidden files).
+NAME_EXT = r"^(\.*[^.].*)(\.[^.]*)$"
+
+
 def archive_file_name(path: Column | str, stamp: Column, failed: Column | bool = False) -> Column:
     """I8: ``[err_]<name>_<stamp><.ext>`` for the last segment of a path."""
     seg = F.regexp_extract(_c(path), r"([^/]*)$", 1)
-    m = r"^(.*?)(\.[^.]*)?$"
-    name, ext = F.regexp_extract(seg, m, 1), F.regexp_extract(seg, m, 2)
+    has_ext = seg.rlike(NAME_EXT)
+    name = F.when(has_ext, F.regexp_extract(seg, NAME_EXT, 1)).otherwise(seg)
+    ext = F.when(has_ext, F.regexp_extract(seg, NAME_EXT, 2)).otherwise(F.lit(""))
     fail = failed if isinstance(failed, Column) else F.lit(bool(failed))
-    # a leading-dot name (".env") has no extension
-    name = F.when(name == "", seg).otherwise(name)
-    ext = F.when(F.regexp_extract(seg, m, 1) == "", F.lit("")).otherwise(ext)
     return F.concat(F.when(fail, F.lit("err_")).otherwise(F.lit("")), name, F.lit("_"), stamp, ext)
 
 

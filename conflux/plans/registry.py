@@ -868,14 +868,14 @@ def time_formats(spark, sf):
 
 
 @check("archive_names", """
-WITH s AS (SELECT page_id, regexp_extract(url, '([^/]*)$', 1) AS seg FROM pages),
-p AS (SELECT page_id, seg, regexp_extract(seg, '^(.*?)(\\.[^.]*)?$', 1) AS nm,
-             regexp_extract(seg, '^(.*?)(\\.[^.]*)?$', 2) AS ext FROM s)
+WITH s AS (SELECT page_id, regexp_extract(url, '([^/]*)$', 1) AS seg FROM pages)
 SELECT page_id,
        CASE WHEN page_id % 5 = 0 THEN 'err_' ELSE '' END
-       || CASE WHEN nm = '' THEN seg ELSE nm END || '_20240101_000000'
-       || CASE WHEN nm = '' THEN '' ELSE ext END AS archive_name
-FROM p""")
+       || CASE WHEN regexp_matches(seg, '^(\\.*[^.].*)(\\.[^.]*)$')
+               THEN regexp_extract(seg, '^(\\.*[^.].*)(\\.[^.]*)$', 1) || '_20240101_000000'
+                    || regexp_extract(seg, '^(\\.*[^.].*)(\\.[^.]*)$', 2)
+               ELSE seg || '_20240101_000000' END AS archive_name
+FROM s""")
 def archive_names(spark, sf):
     """I8: [err_]name_stamp.ext for each page url's last segment."""
     p = _t(spark, sf, "pages")

@@ -49,3 +49,20 @@ def test_flags_lists_and_log_order(spark):
     assert tuple(r[0].f) == (1, 1, 1) and tuple(r[1].f) == (0, 1, 1)
     assert r[0].l == ["a", "b", "c"]
     assert [x.o for x in r] == [123, 4]
+
+
+from hypothesis import given, settings, strategies as st  # noqa: E402
+
+
+@settings(max_examples=40, deadline=None)
+@given(st.lists(st.text(alphabet="ab.", min_size=1, max_size=6), min_size=1, max_size=8))
+def test_archive_name_matches_splitext(spark, names):
+    import os.path
+    rows = [(f"/in/{n}", i % 2 == 0) for i, n in enumerate(names)]
+    df = spark.createDataFrame(rows, "p string, f boolean")
+    got = [r[0] for r in df.select(archive_file_name("p", F.lit("S"), F.col("f"))).collect()]
+    exp = []
+    for p, f in rows:
+        name, ext = os.path.splitext(os.path.basename(p))
+        exp.append(f"{'err_' if f else ''}{name}_S{ext}")
+    assert got == exp
