@@ -29,19 +29,25 @@ def split_table_name(name: Column | str) -> Column:
     return F.struct(schema.alias("schema_name"), F.try_element_at(checked, F.lit(-1)).alias("table_name"))
 
 
+def strip(col: Column | str) -> Column:
+    """Remove leading/trailing whitespace of any kind (tabs and newlines
+    too, like ``str.strip``; ``trim`` removes spaces only)."""
+    return F.regexp_replace(_c(col), r"(?U)^\s+|\s+$", "")
+
+
 def normalize_upper(col: Column | str) -> Column:
-    """Trimmed upper-case config text."""
-    return F.upper(F.trim(_c(col)))
+    """Stripped upper-case config text."""
+    return F.upper(strip(col))
 
 
 def normalize_lower(col: Column | str) -> Column:
-    """Trimmed lower-case config text."""
-    return F.lower(F.trim(_c(col)))
+    """Stripped lower-case config text."""
+    return F.lower(strip(col))
 
 
 def comma_list(col: Column | str) -> Column:
-    """``'a, b ,c'`` -> ``['a','b','c']`` (each item trimmed)."""
-    return F.transform(F.split(_c(col), ","), lambda x: F.trim(x))
+    """``'a, b ,c'`` -> ``['a','b','c']`` (each item stripped)."""
+    return F.transform(F.split(_c(col), ","), lambda x: strip(x))
 
 
 def contains_ci(col: Column | str, fragment: str) -> Column:

@@ -66,3 +66,13 @@ def test_archive_name_matches_splitext(spark, names):
         name, ext = os.path.splitext(os.path.basename(p))
         exp.append(f"{'err_' if f else ''}{name}_S{ext}")
     assert got == exp
+
+
+@settings(max_examples=30, deadline=None)
+@given(st.lists(st.text(alphabet=" \t\nab, ", max_size=8), min_size=1, max_size=6))
+def test_comma_list_and_case_match_python(spark, texts):
+    from conflux.functions.text import normalize_lower
+    df = spark.createDataFrame([(t,) for t in texts], "s string")
+    got = df.select(comma_list("s").alias("l"), normalize_lower("s").alias("n")).collect()
+    assert [r.l for r in got] == [[x.strip() for x in t.split(",")] for t in texts]
+    assert [r.n for r in got] == [t.strip().lower() for t in texts]
