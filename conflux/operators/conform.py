@@ -11,10 +11,13 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 REJECT_COLUMN = "reject_reason"
 
 
-def _blank_to_null(c: Column) -> Column:
+def _blank_to_null(c: Column, target: T.DataType) -> Column:
     # Decision: empty text is NULL on every load path (a bulk loader loads
     # it as NULL; a dict reader gives ''), then NOT NULL is checked by C14.
-    return F.when(F.trim(c) == "", F.lit(None).cast("string")).otherwise(c)
+    # Text targets keep whitespace-only values; for typed targets they are
+    # as empty as ''.
+    empty = (c == "") if isinstance(target, T.StringType) else (F.trim(c) == "")
+    return F.when(empty, F.lit(None).cast("string")).otherwise(c)
 
 
 def conform(df: DataFrame, target: T.StructType, mode: str = "strict") -> DataFrame:
@@ -36,7 +39,7 @@ def conform(df: DataFrame, target: T.StructType, mode: str = "strict") -> DataFr
             continue
         raw = F.col(f"`{src}`")
         if isinstance(df.schema[src].dataType, T.StringType):
-            raw = _blank_to_null(raw)
+            raw = _blank_to_null(raw, f.dataType)
         typed = raw.try_cast(f.dataType)
         bad = raw.isNotNull() & typed.isNull()
         reason = F.lit(f"bad {f.dataType.simpleString()}: {f.name}")

@@ -10,10 +10,12 @@ TARGET = T.StructType([T.StructField("id", T.IntegerType(), False), T.StructFiel
 
 
 def test_strict_casts_and_blank_is_null(spark):
-    df = spark.createDataFrame([("1", "2.5", "a"), ("2", "", " ")], "id string, amt string, name string")
-    rows = conform(df, TARGET).collect()
+    df = spark.createDataFrame([("1", "2.5", "a"), ("2", "", ""), ("3", " ", " ")],
+                               "id string, amt string, name string")
+    rows = conform(df, TARGET).orderBy("id").collect()
     assert rows[0] == (1, 2.5, "a")
     assert rows[1].amt is None and rows[1].name is None
+    assert rows[2].amt is None and rows[2].name == " "
 
 
 def test_strict_fails_the_load(spark):
