@@ -69,14 +69,20 @@ def prepare(spark: SparkSession) -> SparkSession:
 
 def staging_root(spark: SparkSession) -> str:
     """Shared folder for written intermediates (``spark.checkpoint.dir``)."""
-    sc = spark.sparkContext
-    root = sc.getCheckpointDir()
-    if not root:
-        root = sc.getConf().get("spark.checkpoint.dir", None)
+    root = None
+    try:
+        root = spark.conf.get("spark.checkpoint.dir", None)
+    except Exception:
+        pass
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: no SparkContext on the client
+        sc = None
+    if not root and sc is not None:
+        root = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
     if not root:
-        if not sc.master.startswith("local"):
-            raise RuntimeError(
-                "spark.checkpoint.dir must name a shared folder on a cluster")
+        if sc is None or not sc.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
         root = tempfile.mkdtemp(prefix="conflux-ckpt-")
         sc.setCheckpointDir(root)
         root = sc.getCheckpointDir() or root
