@@ -1012,6 +1012,22 @@ def cap_per_topic_stream(spark, sf):
     return a.unionByName(b)
 
 
+@check("cap_per_topic_multibatch", "WITH " + M_SQL + """
+SELECT topic, "partition", "offset" FROM (
+  SELECT *, row_number() OVER (PARTITION BY topic ORDER BY "partition", "offset") AS rn FROM m)
+WHERE rn <= (SELECT count(*) FROM events) // 8""")
+def cap_per_topic_multibatch(spark, sf):
+    """S4 across micro-batches: 4 files (offset ranges) read one per
+    trigger; the cap (1.5 files' worth per topic) is reached in the second
+    batch and carried by the state table -- equal to the batch F2."""
+    src, t = _stream_setup(spark, sf, n_files=4)
+    t.max_messages = _t(spark, sf, "events").count() // 8
+    SC.consume_available(SC.message_file_stream(spark, src, max_files_per_trigger=1), t, new_path(spark, "ckpt"))
+    a = spark.read.parquet(t.table).select("topic", "partition", "offset")
+    b = spark.read.parquet(t.dlq).select(F.col("source_topic").alias("topic"), "partition", "offset")
+    return a.unionByName(b)
+
+
 @check("micro_batch_options", "SELECT CAST(4 AS BIGINT) AS n_batches, CAST(count(*) AS BIGINT) AS n_rows FROM events")
 def micro_batch_options(spark, sf):
     """maxFilesPerTrigger=1 over 4 message files -> 4 batches, all rows."""

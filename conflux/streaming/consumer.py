@@ -34,15 +34,33 @@ CAP_BUCKET = 1 << 16
 RECORD_FIELDS = {"name": "string", "address": "string", "transaction_id": "string", "amount": "bigint"}
 
 
-def write_message_files(msgs: DataFrame, path: str, n_files: int) -> str:
+def write_message_files(msgs: DataFrame, path: str, n_files: int, ordered_times: bool = True) -> str:
     """Land a Kafka-shaped frame as JSON-lines files, each file a
-    contiguous offset range (range partitioning, sorted within file)."""
+    contiguous offset range (range partitioning, sorted within file).
+
+    A file stream takes files oldest first. With ``ordered_times`` the
+    files' modification times are set one second apart in offset order, so
+    micro-batches arrive in offset order as they would from a Kafka
+    partition (files written by parallel tasks otherwise finish in any
+    order)."""
     (msgs.repartitionByRange(n_files, "offset", "topic")
          .sortWithinPartitions("offset", "topic")
          .write.mode("errorifexists").json(path))
+    if ordered_times:
+        import time
+        from ..sinks.tables import _fs, list_files
+        files = sorted(f for f in list_files(spark_of(msgs), path) if "/part-" in f)
+        base = int(time.time() * 1000) - 1000 * (len(files) + 1)
+        for i, f in enumerate(files):
+            fs, p, _ = _fs(spark_of(msgs), f)
+            fs.setTimes(p, base + 1000 * i, -1)
     return path
 
 
+def spark_of(df: DataFrame) -> SparkSession:
+    return df.sparkSession
+
+
 def message_file_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None,
                         archive_dir: str | None = None) -> DataFrame:
     """JSON-lines message files as a stream. With ``archive_dir``
