@@ -40,7 +40,10 @@ def read_csv_by_header(spark: SparkSession, path: str, fields: Sequence[str],
     target field list then selects and orders them, and a field absent from
     the header becomes null (C1). Empty text reads as null. Quoted
     delimiters are honoured."""
-    raw = (spark.read.option("header", True).option("inferSchema", False)
+    # The column names come from the first file's header; enforceSchema
+    # off makes Spark check every other file's header against them, so a
+    # folder mixing header orders fails instead of being read by position.
+    raw = (spark.read.option("header", True).option("inferSchema", False).option("enforceSchema", False)
            .option("sep", sep).option("encoding", encoding)
            .option("mode", "PERMISSIVE").csv(path))
     return project_fields(raw, fields)

@@ -45,3 +45,18 @@ def test_empty_text_in_int_column_is_null(spark, tmp_path):
     t = T.StructType([T.StructField("id", T.IntegerType()), T.StructField("n", T.IntegerType())])
     rows = conform(read_csv_by_header(spark, p, ["id", "n"]), t).orderBy("id").collect()
     assert [tuple(r) for r in rows] == [(1, None), (2, 7)]
+
+
+def test_mixed_header_orders_fail_instead_of_misaligning(spark, tmp_path):
+    import pytest
+    p = tmp_path / "mixed"
+    p.mkdir()
+    (p / "a.csv").write_text("id,name\n1,x\n")
+    (p / "b.csv").write_text("name,id\ny,2\n")
+    with pytest.raises(Exception):
+        read_csv_by_header(spark, str(p), ["id", "name"]).collect()
+    same = tmp_path / "same"
+    same.mkdir()
+    (same / "a.csv").write_text("id,name\n1,x\n")
+    (same / "b.csv").write_text("id,name\n2,y\n")
+    assert read_csv_by_header(spark, str(same), ["id", "name"]).count() == 2
