@@ -39,11 +39,18 @@ def truncate_and_load_jdbc(df: DataFrame, url: str, table: str, properties: dict
 
 
 def append_load(df: DataFrame, path: str, fmt: str = "parquet",
-                partition_by: Sequence[str] = ()) -> None:
-    """B2: add rows to the target."""
-    w = df.write.mode("append").format(fmt)
-    if partition_by:
-        w = w.partitionBy(*partition_by)
+                partition_by: Sequence[str] = (), run_column: str | None = None) -> None:
+    """B2: add rows to the target. With ``run_column`` (e.g. ``job_inst_id``)
+    the target is partitioned by it and the load replaces only its own run
+    partition(s) (dynamic partition overwrite): re-running a failed or
+    repeated load does not append its rows twice."""
+    if run_column is None:
+        w = df.write.mode("append").format(fmt)
+        if partition_by:
+            w = w.partitionBy(*partition_by)
+    else:
+        w = (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").format(fmt)
+               .partitionBy(run_column, *[c for c in partition_by if c != run_column]))
     w.save(path)
 
 

@@ -2,6 +2,8 @@
 
 import os
 
+from pyspark.sql import functions as F
+
 from conflux.operators.conform import Constraints
 from conflux.sinks.tables import (archive_source_files, load_with_rowcount, path_exists, staged_insert,
                                   truncate_and_load)
@@ -112,3 +114,15 @@ def test_flagship_load_archives_inputs(spark, tmp_path):
         load_flat_file(spark, str(bad / "city.csv"), schema, str(tmp_path / "t2"), 2, dt.datetime(2024, 1, 1),
                        archive_files=True)
     assert [p.name.startswith("err_city_") for p in (bad / "error").iterdir()] == [True]
+
+
+def test_append_is_idempotent_per_run(spark, tmp_path):
+    from conflux.sinks.tables import append_load
+    p = str(tmp_path / "t")
+    a = spark.range(5).withColumn("job_inst_id", F.lit(1))
+    b = spark.range(3).withColumn("job_inst_id", F.lit(2))
+    append_load(a, p, run_column="job_inst_id")
+    append_load(b, p, run_column="job_inst_id")
+    append_load(b, p, run_column="job_inst_id")          # the same run again
+    counts = {r.job_inst_id: r["count"] for r in spark.read.parquet(p).groupBy("job_inst_id").count().collect()}
+    assert counts == {1: 5, 2: 3}
