@@ -27,6 +27,20 @@ def _bucket_cols(buckets: Sequence[Column]) -> list[Column]:
     return [b.alias(f"{_B}{i}") for i, b in enumerate(buckets)]
 
 
+def _join_on(left: DataFrame, right: DataFrame, cols: Sequence[str], how: str) -> DataFrame:
+    """Null-safe equi-join on ``cols`` (a null key or bucket is a value
+    here, as it is a group for ``row_number``); ``right`` keeps only the
+    join columns plus its payload, renamed apart and dropped after."""
+    r = right.select(*[F.col(c).alias(f"_r_{c}") for c in cols],
+                     *[c for c in right.columns if c not in cols])
+    cond = None
+    for c in cols:
+        e = F.col(c).eqNullSafe(F.col(f"_r_{c}"))
+        cond = e if cond is None else cond & e
+    out = left.join(r, cond, how)
+    return out if how in ("left_semi", "left_anti") else out.drop(*[f"_r_{c}" for c in cols])
+
+
 def _bucket_starts(df: DataFrame, keys: Sequence[str], nb: int) -> DataFrame:
     bnames = [f"{_B}{i}" for i in range(nb)]
     counts = df.groupBy(*keys, *bnames).agg(F.count(F.lit(1)).alias("_n"))
@@ -46,7 +60,7 @@ def _number_bucketed(df: DataFrame, keys: Sequence[str], order: Sequence[Column
     b = df.select("*", *_bucket_cols(buckets))
     starts = _bucket_starts(b, keys, nb).select(*keys, *bnames, "_start")
     w = Window.partitionBy(*keys, *bnames).orderBy(*order)
-    return (b.join(starts, [*keys, *bnames], "inner")
+    return (_join_on(b, starts, [*keys, *bnames], "inner")
              .withColumn(out, (F.col("_start") + F.row_number().over(w)).cast("bigint"))
              .drop("_start", *bnames))
 
@@ -87,15 +101,15 @@ def cap_rows(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str],
     b = df.select("*", *_bucket_cols(buckets))
     starts = _bucket_starts(b, keys, nb)
     if prior is not None:
-        starts = (starts.join(prior, list(keys), "left")
-                        .withColumn("_start", F.col("_start") + F.coalesce(F.col("_prior"), F.lit(0)))
-                        .drop("_prior"))
+        starts = (_join_on(starts, prior, list(keys), "left")
+                  .withColumn("_start", F.col("_start") + F.coalesce(F.col("_prior"), F.lit(0)))
+                  .drop("_prior"))
     inside = starts.filter(F.col("_start") + F.col("_n") <= n).select(*keys, *bnames)
     edge = starts.filter((F.col("_start") < n) & (F.col("_start") + F.col("_n") > n)) \
                  .select(*keys, *bnames, "_start")
-    whole = b.join(inside, [*keys, *bnames], "left_semi")
+    whole = _join_on(b, inside, [*keys, *bnames], "left_semi")
     w = Window.partitionBy(*keys, *bnames).orderBy(*order)
-    part = (b.join(edge, [*keys, *bnames], "inner")
+    part = (_join_on(b, edge, [*keys, *bnames], "inner")
              .withColumn("_rn", F.row_number().over(w))
              .filter(F.col("_start") + F.col("_rn") <= n)
              .drop("_start", "_rn"))

@@ -58,3 +58,14 @@ def test_number_tasks_hot_key_with_few_leading_values(spark):
     assert sorted(map(tuple, got.select("task_id", "task_thread_num").collect())) == \
         sorted(map(tuple, exp.select("task_id", "task_thread_num").collect()))
     assert got.agg(F.max("sequence_num")).first()[0] == 5000 * 20
+
+
+def test_null_keys_and_buckets_are_kept(spark):
+    rows = [(None, 1, 1), (None, 2, 2), ("a", None, 3), ("a", 5, 4), ("a", None, 5)]
+    df = spark.createDataFrame(rows, "k string, o int, id int")
+    w = Window.partitionBy("k").orderBy("o", "id")
+    exp = sorted(map(tuple, df.withColumn("rn", F.row_number().over(w)).select("id", "rn").collect()))
+    got = number_rows(df, ["k"], ["o", "id"], [F.col("o")], "rn", hot_key_rows=0)
+    assert sorted(map(tuple, got.select("id", "rn").collect())) == exp
+    capped = cap_rows(df, ["k"], ["o", "id"], [F.col("o")], 2)
+    assert sorted(r.id for r in capped.collect()) == [1, 2, 3, 5]
