@@ -24,7 +24,7 @@ from ..operators import joins as JN
 from ..operators import project as PR
 from ..operators import windows as WN
 from ..operators.conform import Constraints, conform, violations
-from ..operators.validate import DLQ_VALUE, REASON, route, split_valid, with_reason
+from ..operators.validate import REASON, land_routed, split_valid, with_reason
 from ..session import new_path, prepare
 from ..sinks import tables as SK
 from ..sources import files as FS
@@ -352,13 +352,12 @@ SELECT topic AS source_topic, "partition", "offset", error_reason,
        CASE WHEN event_id % 20 IN (5, 6) THEN value END AS original_message
 FROM m WHERE error_reason IS NOT NULL""")
 def dlq_records_q(spark, sf):
-    """Dead-letter JSON for rejected messages (one parse per message
-    via ``route``), read back field-wise."""
-    routed = route(_messages(spark, sf), {"name": "string"})
-    d = routed.filter(F.col(REASON).isNotNull())
-    return d.select(F.col("topic").alias("source_topic"), "partition", "offset", REASON,
-                    F.get_json_object(DLQ_VALUE, "$.error_reason").alias("dlq_reason"),
-                    F.get_json_object(DLQ_VALUE, "$.bad_record.original_message").alias("original_message"))
+    """Dead-letter JSON for rejected messages (routed once, landed in
+    one write, read back field-wise)."""
+    _, dead = land_routed(_messages(spark, sf), {"name": "string"}, new_path(spark, "routed"))
+    return dead.select("source_topic", "partition", "offset", REASON,
+                       F.get_json_object("value", "$.error_reason").alias("dlq_reason"),
+                       F.get_json_object("value", "$.bad_record.original_message").alias("original_message"))
 
 
 @check("publish_fanout", "WITH " + M_SQL + """

@@ -83,3 +83,14 @@ def test_enrichment_overwrites_keys(spark):
     assert [r.offset for r in good.collect()] == [0]       # its empty group_id is overwritten
     rec = json.loads(dlq_records(bad).first().value)["bad_record"]
     assert rec == {"name": "", "group_id": "g", "date_created": "2024-01-01 00:00:00", "kafka_topic": "t1"}
+
+
+def test_land_routed_splits_in_one_write(spark, tmp_path):
+    from conflux.operators.validate import land_routed
+    rows = [("t1", 0, i, t) for i, (t, _) in enumerate(CASES)]
+    msgs = spark.createDataFrame(rows, "topic string, partition int, offset long, value string")
+    good, dead = land_routed(msgs, {"name": "string", "amount": "bigint"}, str(tmp_path / "landed"))
+    assert sorted(r.offset for r in good.collect()) == [i for i, (_, e) in enumerate(CASES) if e]
+    assert sorted(r.offset for r in dead.collect()) == [i for i, (_, e) in enumerate(CASES) if not e]
+    z = [r for r in good.collect() if r.offset == 4][0]
+    assert (z.name, z.amount) == ("z", 0)
