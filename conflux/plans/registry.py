@@ -24,7 +24,7 @@ from ..operators import joins as JN
 from ..operators import project as PR
 from ..operators import windows as WN
 from ..operators.conform import Constraints, conform, violations
-from ..operators.validate import REASON, land_routed, split_valid, with_reason
+from ..operators.validate import REASON, land_routed, with_reason
 from ..session import new_path, prepare
 from ..sinks import tables as SK
 from ..sources import files as FS
@@ -366,10 +366,8 @@ SELECT topic, CAST(count(*) AS BIGINT) AS n_messages,
 FROM m WHERE error_reason IS NULL GROUP BY topic""")
 def publish_fanout(spark, sf):
     """Valid records re-serialised to their topics."""
-    good, _ = split_valid(_messages(spark, sf))
-    rec = good.select("topic", F.from_json("value", "name string, address string, "
-                                                    "transaction_id string, amount bigint").alias("r")).select("topic", "r.*")
-    out = SK.publish(rec)
+    good, _ = land_routed(_messages(spark, sf), SC.RECORD_FIELDS, new_path(spark, "routed"))
+    out = SK.publish(good)
     return out.groupBy("topic").agg(
         F.count(F.lit(1)).cast("bigint").alias("n_messages"),
         F.count(F.get_json_object("value", "$.name")).cast("bigint").alias("n_named"))
