@@ -36,6 +36,24 @@ def run_sql(spark: SparkSession, name: str, **params) -> DataFrame:
     return spark.sql(body, args=params)
 
 
+def run_proc(spark: SparkSession, name: str, params: dict) -> DataFrame:
+    """U1 as a task step (``EXEC proc @p_job_inst_id, @p_job_inst_task_id``):
+    the task's standard parameters are offered to every procedure; a SQL
+    body receives those it names (``:p_job_inst_id`` ...), a function body
+    those it accepts."""
+    import inspect
+    import re
+
+    body = _REGISTRY[name.lower()]
+    if callable(body):
+        sig = inspect.signature(body)
+        takes_all = any(p.kind is p.VAR_KEYWORD for p in sig.parameters.values())
+        kw = params if takes_all else {k: v for k, v in params.items() if k in sig.parameters}
+        return body(spark, **kw)
+    named = set(re.findall(r":([A-Za-z_][A-Za-z0-9_]*)", body))
+    return spark.sql(body, args={k: v for k, v in params.items() if k in named})
+
+
 # -- U3 -----------------------------------------------------------------
 
 USER_ENVELOPE = T.StructType([

@@ -82,7 +82,12 @@ def extract(spark: SparkSession, task: dict) -> DataFrame:
     from .files import read_csv_by_header, read_json_records
 
     kind = (task.get("conn_type") or "").strip().lower()
-    if kind == "db":
+    if kind == "db" and task.get("sql_type") == "proc":
+        # a registered procedure is the source (U1): E, T and L steps alike
+        from ..plans.procs import run_proc
+        df = run_proc(spark, task["sql_text"], {"p_job_inst_id": task.get("job_inst_id"),
+                                                "p_job_inst_task_id": task.get("job_inst_task_id")})
+    elif kind == "db":
         raw_sql = task.get("sql_text") if task.get("sql_type") in (None, "raw-sql") else None
         df = jdbc_extract(spark, JdbcSource(url=task["conn_str"], query=raw_sql,
                                             table=task.get("src_tbl_name")

@@ -150,3 +150,17 @@ def test_ingest_api_task_from_landed_pages(spark, sf, tmp_path):
     assert df.count() == exp and df.columns == ["request_id", "page_num", "id", "title"]
     assert _topic_pattern('{"pattern": "test-.*"}') == "test-.*"
     assert _topic_pattern("{}") == "Key not found" and _topic_pattern(None) is None
+
+
+def test_proc_task_runs_registered_transform(spark, sf, tmp_path):
+    from conflux.plans.ingest import ingest
+    spark.read.parquet(f"{sf}/orders.parquet").createOrReplaceTempView("raw_orders")
+    procs.register("dbo.load_orders", "SELECT o_orderkey, o_orderstatus, :p_job_inst_id AS job_inst_id "
+                                      "FROM raw_orders WHERE o_orderstatus = 'F'")
+    procs.register("dbo.count_orders", lambda spark: spark.sql("SELECT count(*) AS n FROM raw_orders"))
+    df, n = ingest(spark, {"conn_type": "db", "sql_type": "proc", "sql_text": "dbo.load_orders",
+                           "job_inst_id": 3, "job_inst_task_id": 9}, str(tmp_path / "t"))
+    exp = spark.read.parquet(f"{sf}/orders.parquet").filter("o_orderstatus = 'F'").count()
+    assert n == exp and df.filter("job_inst_id = 3").count() == exp
+    one, _ = ingest(spark, {"conn_type": "db", "sql_type": "proc", "sql_text": "dbo.count_orders"})
+    assert one.first().n == spark.read.parquet(f"{sf}/orders.parquet").count()
