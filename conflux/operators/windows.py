@@ -18,7 +18,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 _B = "_bucket"
 
@@ -65,16 +65,38 @@ def _number_bucketed(df: DataFrame, keys: Sequence[str], order: Sequence[Column
              .drop("_start", *bnames))
 
 
+def _number_ranged(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str],
+                   out: str) -> DataFrame:
+    """Exact numbering of (hot) keys by range partitioning on
+    ``keys + order``: a key's rows land in consecutive range partitions in
+    order, so its number is the rows in its earlier partitions (a running
+    sum over a count table of partitions x keys) plus the rank inside its
+    own partition. With a total order, ties cannot pile up in one
+    partition, so every task holds about ``rows / partitions``."""
+    r = df.repartitionByRange(*[F.col(k) for k in keys], *[F.col(o) if isinstance(o, str) else o
+                                                             for o in order]) \
+          .withColumn("_pid", F.spark_partition_id())
+    counts = r.groupBy(*keys, "_pid").agg(F.count(F.lit(1)).alias("_n"))
+    w = (Window.partitionBy(*keys).orderBy("_pid")
+         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    starts = counts.withColumn("_start", F.sum("_n").over(w) - F.col("_n")).select(*keys, "_pid", "_start")
+    w2 = Window.partitionBy(*keys, "_pid").orderBy(*order)
+    return (_join_on(r, starts, [*keys, "_pid"], "inner")
+            .withColumn(out, (F.col("_start") + F.row_number().over(w2)).cast("bigint"))
+            .drop("_start", "_pid"))
+
+
 def number_rows(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str],
-                buckets: Sequence[Column], out: str = "rn",
+                buckets: Sequence[Column] | None = None, out: str = "rn",
                 hot_key_rows: int = HOT_KEY_ROWS) -> DataFrame:
     """Exact ``row_number() over (partition by keys order by order)``.
 
     Per-key counts (a partial aggregate) find the hot keys -- at most
     ``total_rows / hot_key_rows`` of them, so that list has a proven size
-    bound and is broadcast. Ordinary keys take the plain window; hot keys
-    are numbered through ``buckets``, which must be non-decreasing along
-    ``order`` (e.g. the leading order column, or ``offset div width``)."""
+    bound and is broadcast. Ordinary keys take the plain window. Hot keys
+    are numbered through ``buckets`` when given (they must be
+    non-decreasing along ``order``, e.g. ``offset div width``), else by
+    range partitioning on the order (:func:`_number_ranged`)."""
     hk = [f"_hot_{i}" for i in range(len(keys))]
     hot = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_kn"))
              .filter(F.col("_kn") > hot_key_rows)
@@ -87,7 +109,9 @@ def number_rows(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str
     w = Window.partitionBy(*keys).orderBy(*order)
     plain = (df.join(hot, cond, "left_anti")
                .withColumn(out, F.row_number().over(w).cast("bigint")))
-    heavy = _number_bucketed(df.join(hot, cond, "left_semi"), keys, order, buckets, out)
+    hot_rows = df.join(hot, cond, "left_semi")
+    heavy = (_number_bucketed(hot_rows, keys, order, buckets, out) if buckets
+             else _number_ranged(hot_rows, keys, order, out))
     return plain.unionByName(heavy)
 
 
@@ -116,25 +140,13 @@ def cap_rows(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str],
     return whole.unionByName(part).drop(*bnames)
 
 
-def _monotone_bucket(df: DataFrame, name: str, width: int) -> Column:
-    """A bucket of one order column that never decreases along it."""
-    t = df.schema[name].dataType
-    if isinstance(t, (T.IntegralType, T.FractionalType, T.DecimalType)):
-        return F.floor(F.col(name) / width)
-    return F.col(name)          # any ordered type is its own (fine) bucket
-
-
 def number_tasks(df: DataFrame, keys: Sequence[str], order: Sequence[str], step: int = 20,
-                 hot_key_rows: int = HOT_KEY_ROWS, bucket_width: int = 1024) -> DataFrame:
+                 hot_key_rows: int = HOT_KEY_ROWS) -> DataFrame:
     """``task_thread_num = i`` and ``sequence_num = i * step`` within
     each key, ordered by ``order`` (list every column needed for a total
-    order). Hot keys are bucketed by ``(order[0], order[1] div width)`` --
-    lexicographically non-decreasing along the order, and fine enough to
-    split a hot key even when the leading column has few values."""
-    buckets = [F.col(order[0])]
-    if len(order) > 1:
-        buckets.append(_monotone_bucket(df, order[1], bucket_width))
-    numbered = number_rows(df, keys, [F.col(c) for c in order], buckets, out="task_thread_num",
+    order). A hot key is numbered by range partitioning on the order, so
+    it is split however few values its leading order column has."""
+    numbered = number_rows(df, keys, [F.col(c) for c in order], None, out="task_thread_num",
                            hot_key_rows=hot_key_rows)
     return numbered.withColumn("sequence_num", F.col("task_thread_num") * F.lit(step))
 

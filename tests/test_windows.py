@@ -19,11 +19,11 @@ def _reference(df, n=None):
 
 def test_number_rows_hot_path_equals_window(spark):
     df = _skewed(spark)
+    exp = sorted(map(tuple, _reference(df).select("k", "id", "rn").collect()))
     for hot in (2, 10**9):      # everything hot / nothing hot
-        got = number_rows(df, ["k"], ["o", "id"], [F.floor(F.col("o") / 100)], "rn", hot_key_rows=hot)
-        exp = _reference(df)
-        assert sorted(map(tuple, got.select("k", "id", "rn").collect())) == \
-            sorted(map(tuple, exp.select("k", "id", "rn").collect()))
+        for buckets in ([F.floor(F.col("o") / 100)], None):     # bucketed / ranged hot path
+            got = number_rows(df, ["k"], ["o", "id"], buckets, "rn", hot_key_rows=hot)
+            assert sorted(map(tuple, got.select("k", "id", "rn").collect())) == exp
 
 
 def test_cap_rows_equals_window_limit(spark):
@@ -52,7 +52,7 @@ def test_number_tasks_hot_key_with_few_leading_values(spark):
     # one key, leading order column with 3 values: the second column splits it
     df = spark.range(5000).select(F.lit(1).alias("k"), (F.col("id") % 3).alias("step_seq"),
                                   (F.col("id") * 7919 % 5000).alias("task_id"))
-    got = number_tasks(df, ["k"], ["step_seq", "task_id"], hot_key_rows=10, bucket_width=100)
+    got = number_tasks(df, ["k"], ["step_seq", "task_id"], hot_key_rows=10)
     w = Window.partitionBy("k").orderBy("step_seq", "task_id")
     exp = df.withColumn("task_thread_num", F.row_number().over(w))
     assert sorted(map(tuple, got.select("task_id", "task_thread_num").collect())) == \
@@ -65,7 +65,8 @@ def test_null_keys_and_buckets_are_kept(spark):
     df = spark.createDataFrame(rows, "k string, o int, id int")
     w = Window.partitionBy("k").orderBy("o", "id")
     exp = sorted(map(tuple, df.withColumn("rn", F.row_number().over(w)).select("id", "rn").collect()))
-    got = number_rows(df, ["k"], ["o", "id"], [F.col("o")], "rn", hot_key_rows=0)
-    assert sorted(map(tuple, got.select("id", "rn").collect())) == exp
+    for buckets in ([F.col("o")], None):
+        got = number_rows(df, ["k"], ["o", "id"], buckets, "rn", hot_key_rows=0)
+        assert sorted(map(tuple, got.select("id", "rn").collect())) == exp
     capped = cap_rows(df, ["k"], ["o", "id"], [F.col("o")], 2)
     assert sorted(r.id for r in capped.collect()) == [1, 2, 3, 5]
