@@ -2,16 +2,19 @@
 
 Spark's ``row_number().over(partitionBy(k))`` puts every row of a key into
 one task; if one key holds a third of all rows that task holds a third of
-the data. The helpers below number rows exactly without that: rows are
-cut into *buckets* that follow the order (e.g. ``offset div 65536``),
-per-bucket counts are aggregated (map-side partial aggregation), a running
-sum over that small count table gives each bucket's starting number, and
-the final ``row_number`` runs per ``(key, bucket)``. A hot key is spread
-over as many tasks as it has buckets.
-
-For a cap (first ``n`` rows per key) only the single boundary bucket of a
-key is numbered at all; buckets wholly inside the cap pass through a
-semi-join and buckets wholly past it are dropped.
+the data. The helpers here number rows exactly without that:
+
+* numbering (:func:`number_rows`): a partial aggregate finds the hot keys;
+  other keys take the plain window; a hot key is range-partitioned on its
+  order, and a row's number is the rows of its key in earlier range
+  partitions (a running sum over a small count table) plus its rank inside
+  its own partition. A caller that has order-following *buckets* (e.g.
+  ``offset div 65536``) can use those instead of the range partitioning.
+* caps (:func:`cap_rows`, first ``n`` rows per key): rows are cut into
+  order-following buckets; per-bucket counts (partial aggregation) and a
+  running sum give each bucket's starting number; buckets wholly inside
+  the cap pass through a semi-join, buckets wholly past it are dropped, and
+  only the single boundary bucket of a key is numbered at all.
 """
 
 from __future__ import annotations
@@ -49,7 +52,7 @@ def _bucket_starts(df: DataFrame, keys: Sequence[str], nb: int) -> DataFrame:
     return counts.withColumn("_start", F.sum("_n").over(w) - F.col("_n"))
 
 
-# A key with more rows than this is numbered through the bucketed path.
+# A key with more rows than this is numbered through the range/bucket path.
 HOT_KEY_ROWS = 1_000_000
 
 
