@@ -174,6 +174,26 @@ def task_catalog_for(md: Metadata, job_inst_id: int, etl_step: str, job_inst_tas
     return number_tasks(out, ["job_inst_id", "etl_step"], ["step_seq", "job_inst_task_id"], step)
 
 
+def tasks_from_catalog(catalog: DataFrame, target_root: str) -> list[dict]:
+    """Task rows of a catalog (:func:`task_catalog_for`) as dicts ready for
+    :func:`run_step`; each target path is ``<target_root>/<schema>/<table>``
+    from the target's qualified name (I1). Only configuration rows -- a
+    run step's tasks -- are collected."""
+    from ..functions.text import split_table_name
+
+    named = catalog.withColumn("_tgt", split_table_name(F.col("tgt_fully_qualified_tbl_name")))
+    root = target_root.rstrip("/")
+    out = []
+    for r in named.orderBy("task_thread_num").collect():
+        d = r.asDict()
+        tgt = d.pop("_tgt")
+        d["target_path"] = f"{root}/{tgt['schema_name']}/{tgt['table_name']}"
+        if d.get("file_path") is None and d.get("conn_type") == "parquet":
+            d["file_path"] = d.get("conn_str")
+        out.append(d)
+    return out
+
+
 def run_step(spark: SparkSession, tasks: list[dict], job_inst_id: int, log_path: str,
              run_ts: datetime | None = None) -> DataFrame:
     """Run the task rows of one ETL step in order (``step_seq``) and append

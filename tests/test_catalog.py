@@ -164,3 +164,37 @@ def test_proc_task_runs_registered_transform(spark, sf, tmp_path):
     assert n == exp and df.filter("job_inst_id = 3").count() == exp
     one, _ = ingest(spark, {"conn_type": "db", "sql_type": "proc", "sql_text": "dbo.count_orders"})
     assert one.first().n == spark.read.parquet(f"{sf}/orders.parquet").count()
+
+
+def test_run_step_from_catalog_rows(spark, sf, tmp_path):
+    from conflux.plans.ingest import Metadata, run_step, task_catalog_for, tasks_from_catalog
+
+    df = spark.createDataFrame
+    md = Metadata(
+        job_inst_task=df([(1, 9, 100, "not started")], "job_inst_task_id int, job_inst_id int, job_task_id int, "
+                                                       "task_status string"),
+        job_task=df([(100, 1, "orders to raw", "E", 1, "parquet", None, 2, 1, None, None, None)],
+                    "job_task_id int, job_id int, job_task_name string, etl_step string, step_seq int, "
+                    "conn_type string, src_tbl_id int, tgt_tbl_id int, conn_str_id int, conn_api_id int, "
+                    "conn_kafka_id int, sql_script_id int"),
+        job_inst=df([(9, 1, "E", True, False)], "job_inst_id int, job_id int, etl_steps string, "
+                                                "is_full_load boolean, del_temp_data boolean"),
+        job=df([(1, "etl")], "job_id int, job_type string"),
+        tbl=df([(2, "raw.orders", None, None, None)], "tbl_id int, fully_qualified_tbl_name string, "
+                                                      "incr_date timestamp_ntz, incr_column string, data_size string"),
+        conn_str=df([(1, "landing", None, None, None, f"{sf}/orders.parquet")],
+                    "conn_str_id int, conn_str_name string, conn_str string, username string, pass string, "
+                    "file_path string"),
+        conn_api=df([], "conn_api_id int, parent_conn_api_id int, data_source_id int, conn_api_name string, "
+                        "api_url string, username string, pass string, need_token boolean, payload_json string, "
+                        "page_param_name string, page_size int, cursor_param_name string, cursor_path string, "
+                        "max_pages int, output_file_path string, chunk_size int"),
+        conn_kafka=df([], "conn_kafka_id int, topic string, topic_pattern string, bootstrap_servers string, "
+                          "group_id string, is_consumer boolean, batch_record_size int, max_message_num int"),
+        sql_script=df([], "sql_script_id int, sql_text string, is_stored_proc boolean"),
+        data_source=df([], "data_source_id int, data_source_name string"))
+    tasks = tasks_from_catalog(task_catalog_for(md, 9, "E"), str(tmp_path / "wh"))
+    assert [t["target_path"] for t in tasks] == [str(tmp_path / "wh" / "raw" / "orders")]
+    st = run_step(spark, tasks, 9, str(tmp_path / "log"), dt.datetime(2024, 1, 1)).first()
+    assert (st.last_status, st.any_failed) == ("succeeded", False)
+    assert spark.read.parquet(tasks[0]["target_path"]).count() == spark.read.parquet(f"{sf}/orders.parquet").count()
