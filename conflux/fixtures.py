@@ -106,7 +106,9 @@ def write_work_pages(spark, documents: DataFrame, page_size: int = 100) -> str:
 def envelopes(region: DataFrame, nation: DataFrame) -> DataFrame:
     """One response envelope per region (``region_id``, ``body``): ``data``
     lists the region's nations, ``support`` names the region. Region 3 has
-    an empty ``data``; region 4 has no ``support``."""
+    an empty ``data``; region 4 has no ``support``. Each ``collect_list``
+    group is one region's nations: bounded by the fixed-size nation
+    dimension (25 rows), like one API response page."""
     grouped = (nation.groupBy("n_regionkey")
                .agg(F.collect_list(F.struct(F.col("n_nationkey").alias("id"),
                                             F.col("n_name").alias("name"))).alias("data"),
