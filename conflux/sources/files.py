@@ -34,7 +34,7 @@ def read_csv_positional(spark: SparkSession, path: str, columns: Sequence[str],
             .option("mode", "PERMISSIVE").csv(path))
 
 
-def read_csv_by_header(spark: SparkSession, path: str, fields: Sequence[str],
+def read_csv_by_header(spark: SparkSession, path: str | list[str], fields: Sequence[str],
                        sep: str = ",", encoding: str = TEXT_LAYER_ENCODING) -> DataFrame:
     """A4: large-file load. Columns are matched **by header name**; the
     target field list then selects and orders them, and a field absent from
@@ -92,3 +92,34 @@ def read_json_records(spark: SparkSession, path: str, schema: T.StructType | str
 def empty_like(df: DataFrame) -> DataFrame:
     """Zero rows with the schema of ``df`` (used to create a target)."""
     return df.limit(0)
+
+
+def _first_line(spark: SparkSession, path: str, encoding: str) -> str:
+    from ..sinks.tables import _fs
+    fs, p, jvm = _fs(spark, path)
+    reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(fs.open(p), encoding))
+    try:
+        return reader.readLine() or ""
+    finally:
+        reader.close()
+
+
+def read_csv_files_by_header(spark: SparkSession, path: str, fields: Sequence[str],
+                             sep: str = ",", encoding: str = TEXT_LAYER_ENCODING) -> DataFrame:
+    """A4 for a landing folder whose files do not share one header (each
+    file read by its own header, as a per-file dict reader does). Files are
+    grouped by their header line -- one short read per file on the driver,
+    names only -- and each group is read by :func:`read_csv_by_header`;
+    the groups are unioned by name."""
+    from functools import reduce
+
+    from ..sinks.tables import list_files
+
+    groups: dict[str, list[str]] = {}
+    for f in list_files(spark, path):
+        groups.setdefault(_first_line(spark, f, encoding), []).append(f)
+    parts = [read_csv_by_header(spark, files, fields, sep=sep, encoding=encoding)
+             for _, files in sorted(groups.items())]
+    if not parts:
+        return spark.createDataFrame([], text_schema(fields))
+    return reduce(DataFrame.unionByName, parts)

@@ -60,3 +60,14 @@ def test_mixed_header_orders_fail_instead_of_misaligning(spark, tmp_path):
     (same / "a.csv").write_text("id,name\n1,x\n")
     (same / "b.csv").write_text("id,name\n2,y\n")
     assert read_csv_by_header(spark, str(same), ["id", "name"]).count() == 2
+
+
+def test_files_read_by_their_own_headers(spark, tmp_path):
+    from conflux.sources.files import read_csv_files_by_header
+    p = tmp_path / "mixed2"
+    p.mkdir()
+    (p / "a.csv").write_text("id,name\n1,x\n")
+    (p / "b.csv").write_text("name,id,extra\ny,2,z\n")
+    (p / "c.csv").write_text("name\nw\n")
+    rows = {tuple(r) for r in read_csv_files_by_header(spark, str(p), ["id", "name"]).collect()}
+    assert rows == {("1", "x"), ("2", "y"), (None, "w")}
