@@ -152,6 +152,38 @@ def flat_file_load(spark, sf):
     return spark.read.parquet(target)
 
 
+def _customer_with_bad_balances(spark, sf):
+    c = _t(spark, sf, "customer")
+    return c.select("c_custkey", "c_name", "c_nationkey",
+                    F.when(F.col("c_custkey") % 10 == 0, F.lit("n/a")).otherwise(F.col("c_acctbal").cast("string"))
+                     .alias("c_acctbal"), "c_mktsegment")
+
+
+@check("flat_file_load_rejects", """
+SELECT c_custkey, c_name, CAST(c_nationkey AS INTEGER) AS c_nationkey, c_acctbal, c_mktsegment,
+       CAST(42 AS INTEGER) AS job_inst_id, TIMESTAMP '2024-01-01 00:00:00' AS date_created
+FROM customer WHERE c_custkey % 10 <> 0""")
+def flat_file_load_rejects(spark, sf):
+    """C5 reject mode in the flagship: rows whose balance is not a number
+    are set aside in one routed write; the target gets the rest."""
+    csv = FS.write_text_csv(_customer_with_bad_balances(spark, sf), new_path(spark, "customer-bad-csv"))
+    target = new_path(spark, "dbo-customer-ok")
+    load_flat_file(spark, csv, CUSTOMER, target, RUN_ID, RUN_TS, Constraints(primary_key=["c_custkey"]),
+                   reject_path=new_path(spark, "customer-rejects"))
+    return spark.read.parquet(target)
+
+
+@check("flat_file_rejects", """
+SELECT c_custkey, 'bad double: c_acctbal' AS reject_reason FROM customer WHERE c_custkey % 10 = 0""")
+def flat_file_rejects(spark, sf):
+    """The rejected rows of the same load, with their reason."""
+    csv = FS.write_text_csv(_customer_with_bad_balances(spark, sf), new_path(spark, "customer-bad-csv"))
+    rejects = new_path(spark, "customer-rejects")
+    load_flat_file(spark, csv, CUSTOMER, new_path(spark, "dbo-customer-ok"), RUN_ID, RUN_TS,
+                   reject_path=rejects)
+    return spark.read.parquet(rejects).select("c_custkey", F.col("route").alias("reject_reason"))
+
+
 # ---------------------------------------------------------------- 2.1 sources
 
 

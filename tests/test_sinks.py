@@ -126,3 +126,24 @@ def test_append_is_idempotent_per_run(spark, tmp_path):
     append_load(b, p, run_column="job_inst_id")          # the same run again
     counts = {r.job_inst_id: r["count"] for r in spark.read.parquet(p).groupBy("job_inst_id").count().collect()}
     assert counts == {1: 5, 2: 3}
+
+
+def test_flagship_reject_mode_sets_bad_rows_aside(spark, tmp_path):
+    import datetime as dt
+
+    from pyspark.sql import types as T
+
+    from conflux.plans.flatfile import load_flat_file
+
+    schema = T.StructType([T.StructField("id", T.IntegerType()), T.StructField("amt", T.DoubleType())])
+    src = tmp_path / "in"
+    src.mkdir()
+    (src / "a.csv").write_text("id,amt\n1,1.5\n2,n/a\nx,3\n4,\n")
+    res = load_flat_file(spark, str(src), schema, str(tmp_path / "t"), 7, dt.datetime(2024, 1, 1),
+                         reject_path=str(tmp_path / "rej"))
+    assert (res.rows, res.rejected) == (2, 2)
+    t = spark.read.parquet(str(tmp_path / "t"))
+    assert t.columns == ["id", "amt", "job_inst_id", "date_created"]
+    assert sorted((r.id, r.amt) for r in t.collect()) == [(1, 1.5), (4, None)]
+    rej = sorted(r.route for r in spark.read.parquet(str(tmp_path / "rej")).collect())
+    assert rej == ["bad double: amt", "bad int: id"]
