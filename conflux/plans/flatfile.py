@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, ty
 from ..operators.conform import REJECT_COLUMN, Constraints, conform, enforce
 from ..operators.project import add_lineage
 from ..session import new_path
-from ..sinks.tables import archive_source_files, list_files, load_with_rowcount, replace_with
+from ..sinks.tables import archive_source_files, delete_path, list_files, load_with_rowcount, replace_with
 from ..sources.files import read_csv_by_header
 
 
@@ -104,6 +104,8 @@ def load_flat_file(spark: SparkSession, csv_path: str, target_schema: T.StructTy
         if reject_path is not None and rejected:
             _move_rejects(spark, stage, reject_path)
         replace_with(spark, good, target_path)
+        if reject_path is not None:
+            delete_path(spark, stage)      # only the stage's bookkeeping files are left
     except Exception:
         if inputs:
             archive_source_files(spark, inputs, failed=True)
