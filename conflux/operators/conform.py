@@ -38,6 +38,9 @@ def conform(df: DataFrame, target: T.StructType, mode: str = "strict") -> DataFr
             cols.append(F.lit(None).cast(f.dataType).alias(f.name))
             continue
         raw = F.col(f"`{src}`")
+        if df.schema[src].dataType == f.dataType and not isinstance(f.dataType, T.StringType):
+            cols.append(raw.alias(f.name))       # already the target type: nothing to convert
+            continue
         if isinstance(df.schema[src].dataType, T.StringType):
             raw = _blank_to_null(raw, f.dataType)
         typed = raw.try_cast(f.dataType)
