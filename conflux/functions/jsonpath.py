@@ -35,10 +35,29 @@ def to_json_record(*cols: Column | str) -> Column:
     return F.to_json(F.struct(*[_c(c) for c in cols]))
 
 
+def dedup_last(m: Column) -> Column:
+    """A parsed object whose text repeated a key keeps the key's **last**
+    value, as loading it into a dict does (Spark's parser keeps every
+    occurrence). Objects without a repeat -- nearly all -- pass as they
+    are; reference ``m`` through a column so the parse is not repeated."""
+    keys = F.map_keys(m)
+    entries = F.map_entries(m)
+    last_only = F.filter(entries, lambda e, i: ~F.exists(F.slice(entries, i + 2, F.size(entries)),
+                                                        lambda x: x["key"] == e["key"]))
+    return F.when(F.size(keys) == F.size(F.array_distinct(keys)), m).otherwise(F.map_from_entries(last_only))
+
+
+def parse_json_object(json_text: Column | str) -> Column:
+    """JSON text -> ``map<string, variant>`` as Spark parses it (repeated
+    keys kept); null for anything that is not a single JSON object."""
+    return F.from_json(_c(json_text), "map<string,variant>")
+
+
 def parse_object(json_text: Column | str) -> Column:
     """JSON text -> ``map<string, variant>``; null for anything that is not a
-    single JSON object (malformed text, arrays, scalars, empty text)."""
-    return F.from_json(_c(json_text), "map<string,variant>")
+    single JSON object (malformed text, arrays, scalars, empty text); a
+    repeated key keeps its last value (:func:`dedup_last`)."""
+    return dedup_last(parse_json_object(json_text))
 
 
 def has_empty_value(obj: Column) -> Column:

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.jsonpath import has_empty_value, parse_object
+from ..functions.jsonpath import dedup_last, has_empty_value, parse_json_object, parse_object
 
 # The two reject reasons.
 VALIDATION_FAILED = "Validation failed: null or empty fields"
@@ -27,10 +27,11 @@ def _enriched(df: DataFrame) -> list[str]:
     return [k for k in ENRICH_KEYS if k in df.columns]
 
 
-def _record_map(df: DataFrame, value_col: str) -> Column:
+def _record_map(df: DataFrame, value_col: str, parsed: Column | None = None) -> Column:
     """The message as ``map<string, variant>`` with enrichment applied:
-    enrichment keys removed from the parsed value (they are overwritten)."""
-    obj = parse_object(F.col(value_col))
+    enrichment keys removed from the parsed value (they are overwritten).
+    ``parsed`` is an already parsed column (see :func:`route`)."""
+    obj = dedup_last(parsed) if parsed is not None else parse_object(F.col(value_col))
     keys = _enriched(df)
     if keys:
         obj = F.map_filter(obj, lambda k, v: ~k.isin(*keys))
@@ -89,7 +90,11 @@ def route(msgs: DataFrame, fields: dict[str, str], value_col: str = "value") ->
     on valid rows). Parsing JSON is the dominant cost of ingestion, so the
     parsed object is a separate projection that the expressions share."""
     obj_col = "_obj"
-    parsed = msgs.withColumn(obj_col, _record_map(msgs, value_col))
+    # parse in one projection, then refine the parsed column in the next:
+    # the (expensive) parse is computed once per message
+    parsed = (msgs.withColumn("_parsed", parse_json_object(F.col(value_col)))
+                  .withColumn(obj_col, _record_map(msgs, value_col, F.col("_parsed")))
+                  .drop("_parsed"))
     obj = F.col(obj_col)
     with_r = parsed.withColumn(REASON, F.when(obj.isNull(), F.lit(PROCESSING_ERROR))
                                         .when(has_empty_value(obj), F.lit(VALIDATION_FAILED)))

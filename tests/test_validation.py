@@ -29,6 +29,8 @@ CASES = [
     ('{"a":false,"b":" ","c":{}}', True),     # false, blank, {} are values
     ('{"a":"[]"}', True),                     # the string "[]" is a value
     ('{"a":[null]}', True),
+    ('{"a":"","a":"x"}', True),               # a repeated key: the last value counts
+    ('{"a":"x","a":""}', False),
     ("{bad", None),
     ("[1]", None),
     ("3", None),
@@ -69,8 +71,11 @@ def test_split_and_dlq(spark):
             assert reasons[i] == PROCESSING_ERROR
     d = {r.offset: json.loads(r.value) for r in dlq_records(bad).collect()}
     assert d[0] == {"bad_record": {"name": None, "amount": 1}, "error_reason": VALIDATION_FAILED}
-    assert d[8] == {"bad_record": {"original_message": "{bad", "error_reason": "value is not a JSON object"},
-                    "error_reason": PROCESSING_ERROR}
+    i_bad = [t for t, _ in CASES].index("{bad")
+    assert d[i_bad] == {"bad_record": {"original_message": "{bad", "error_reason": "value is not a JSON object"},
+                        "error_reason": PROCESSING_ERROR}
+    i_dup = [t for t, _ in CASES].index('{"a":"x","a":""}')
+    assert d[i_dup]["bad_record"] == {"a": ""}          # the repeated key's last value
 
 
 def test_enrichment_overwrites_keys(spark):
