@@ -99,3 +99,11 @@ def test_land_routed_splits_in_one_write(spark, tmp_path):
     assert sorted(r.offset for r in dead.collect()) == [i for i, (_, e) in enumerate(CASES) if not e]
     z = [r for r in good.collect() if r.offset == 4][0]
     assert (z.name, z.amount) == ("z", 0)
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from(["name", "amount", "k"]), json_values), max_size=5))
+def test_is_valid_property_with_repeated_keys(spark, pairs):
+    text = "{" + ",".join(f"{json.dumps(k)}:{json.dumps(v)}" for k, v in pairs) + "}"
+    got = spark.createDataFrame([(text,)], "value string").select(is_valid_record("value")).first()[0]
+    assert got == py_is_valid(text)
