@@ -44,10 +44,11 @@ def with_reason(msgs: DataFrame, value_col: str = "value") -> DataFrame:
     stream), else ``Validation failed`` when a present value is null/empty.
     Enrichment values (C6) are never empty and overwrite same-named keys,
     so the check runs on the value without those keys."""
-    obj = _record_map(msgs, value_col)
+    parsed = msgs.withColumn("_parsed", parse_json_object(F.col(value_col)))
+    obj = _record_map(msgs, value_col, F.col("_parsed"))
     reason = (F.when(obj.isNull(), F.lit(PROCESSING_ERROR))
                .when(has_empty_value(obj), F.lit(VALIDATION_FAILED)))
-    return msgs.withColumn(REASON, reason)
+    return parsed.withColumn(REASON, reason).drop("_parsed")
 
 
 def split_valid(msgs: DataFrame, value_col: str = "value") -> tuple[DataFrame, DataFrame]:
