@@ -49,10 +49,11 @@ def write_message_files(msgs: DataFrame, path: str, n_files: int, ordered_times:
     if ordered_times:
         import time
         from ..sinks.tables import _fs, list_files
-        files = sorted(f for f in list_files(spark_of(msgs), path) if "/part-" in f)
+        spark = msgs.sparkSession
+        files = sorted(f for f in list_files(spark, path) if "/part-" in f)
         base = int(time.time() * 1000) - 1000 * (len(files) + 1)
         for i, f in enumerate(files):
-            fs, p, _ = _fs(spark_of(msgs), f)
+            fs, p, _ = _fs(spark, f)
             try:
                 fs.setTimes(p, base + 1000 * i, -1)
             except Exception:   # object stores keep their own times: arrival order not forced
@@ -60,9 +61,6 @@ def write_message_files(msgs: DataFrame, path: str, n_files: int, ordered_times:
     return path
 
 
-def spark_of(df: DataFrame) -> SparkSession:
-    return df.sparkSession
-
 
 def message_file_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None,
                         archive_dir: str | None = None) -> DataFrame:
