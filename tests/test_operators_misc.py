@@ -60,3 +60,10 @@ def test_envelope_object_data_and_absent_sides(spark):
     schema = "data struct<id:int,name:string>, support struct<url:string,text:string>"
     rows = [tuple(r) for r in flatten_envelope(docs, "body", schema).collect()]
     assert rows == [(2, "j", "u", "t")]
+
+
+def test_parse_envelope(spark):
+    from conflux.sources.responses import parse_envelope
+    df = spark.createDataFrame([('{"page":2,"per_page":6,"data":[{"id":7}]}',)], "body string")
+    doc = parse_envelope(df, "body", "page int, per_page int, data array<struct<id:int>>").first().doc
+    assert (doc.page, doc.per_page, doc.data[0].id) == (2, 6, 7)
