@@ -21,11 +21,17 @@ from ..session import new_path
 
 def truncate_and_load(df: DataFrame, path: str, fmt: str = "parquet",
                       partition_by: Sequence[str] = ()) -> None:
-    """B1: full reload -- the target holds exactly this load afterwards."""
-    w = df.write.mode("overwrite").format(fmt)
+    """B1: full reload -- the target holds exactly this load afterwards.
+    The load is written to a fresh stage first and promoted by a folder
+    rename, so a failed job leaves the previous target in place (a direct
+    ``overwrite`` deletes the target before writing)."""
+    spark = df.sparkSession
+    stage = new_path(spark, "reload-stage")
+    w = df.write.mode("errorifexists").format(fmt)
     if partition_by:
         w = w.partitionBy(*partition_by)
-    w.save(path)
+    w.save(stage)
+    replace_with(spark, stage, path)
 
 
 def truncate_and_load_jdbc(df: DataFrame, url: str, table: str, properties: dict | None = None,

@@ -147,3 +147,16 @@ def test_flagship_reject_mode_sets_bad_rows_aside(spark, tmp_path):
     assert sorted((r.id, r.amt) for r in t.collect()) == [(1, 1.5), (4, None)]
     rej = sorted(r.route for r in spark.read.parquet(str(tmp_path / "rej")).collect())
     assert rej == ["bad double: amt", "bad int: id"]
+
+
+def test_failed_reload_keeps_the_previous_target(spark, tmp_path):
+    import pytest
+    p = str(tmp_path / "t")
+    truncate_and_load(spark.range(3), p)
+    bad = spark.range(5).select(F.when(F.col("id") == 4, F.raise_error(F.lit("boom"))).otherwise(F.col("id"))
+                                .alias("id"))
+    with pytest.raises(Exception):
+        truncate_and_load(bad, p)
+    assert spark.read.parquet(p).count() == 3
+    truncate_and_load(spark.range(7), p)
+    assert spark.read.parquet(p).count() == 7
