@@ -18,8 +18,7 @@ from ..operators.conform import conform, enforce
 from ..operators.joins import Dim, task_catalog
 from ..operators.project import add_lineage, project_fields
 from ..operators.windows import number_tasks
-from ..session import new_path
-from ..sinks.tables import load_with_rowcount, replace_with
+from ..sinks.tables import load_with_rowcount, reload_with_rowcount
 from ..sources.relational import extract
 
 
@@ -43,11 +42,7 @@ def ingest(spark: SparkSession, task: dict, target_path: str | None = None) -> t
     if task.get("job_inst_id") is not None:
         df = add_lineage(df, task["job_inst_id"], task.get("run_ts") or datetime.now())
     if task.get("is_full_load", True):
-        # full reload through a stage promoted by rename: a failed load
-        # leaves the previous target in place
-        stage = new_path(spark, "ingest-stage")
-        n = load_with_rowcount(df, stage, mode="errorifexists")
-        replace_with(spark, stage, target_path)
+        n = reload_with_rowcount(df, target_path)     # staged: a failed load keeps the old target
     else:
         n = load_with_rowcount(df, target_path, mode="append")
     return spark.read.parquet(target_path), n

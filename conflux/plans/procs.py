@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from ..operators.conform import Constraints, conform, enforce
 from ..operators.joins import flatten_envelope
 from ..operators.project import add_lineage, run_scope
-from ..sinks.tables import append_run_log, load_with_rowcount
+from ..sinks.tables import append_run_log, reload_with_rowcount
 
 Proc = str | Callable[..., DataFrame]
 
@@ -85,12 +85,12 @@ def load_envelope(spark: SparkSession, docs: DataFrame, body: str, job_inst_id:
     flat = flatten_envelope(docs, body, envelope, scalar_fields=("page", "total"))
     raw = add_lineage(flat.select([F.col(c).cast("string").alias(c) for c in flat.columns]),
                       job_inst_id, load_ts)
-    n_raw = load_with_rowcount(raw, raw_path, mode="overwrite")
+    n_raw = reload_with_rowcount(raw, raw_path)
     scoped = run_scope(spark.read.parquet(raw_path), job_inst_id)
     typed = conform(scoped, target, mode="strict")
     if constraints is not None:
         enforce(typed, constraints)
-    n_dbo = load_with_rowcount(add_lineage(typed, job_inst_id, load_ts), dbo_path, mode="overwrite")
+    n_dbo = reload_with_rowcount(add_lineage(typed, job_inst_id, load_ts), dbo_path)
     log = spark.createDataFrame(
         [(job_inst_id, 1, load_ts, "extract envelope", "running", f"raw inserted rows || {n_raw:,}", "raw", False),
          (job_inst_id, 2, load_ts, "load envelope", "running", f"dbo inserted rows || {n_dbo:,}", "dbo", False)],

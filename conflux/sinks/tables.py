@@ -73,6 +73,16 @@ def load_with_rowcount(df: DataFrame, path: str, mode: str = "overwrite", fmt: s
     return int(obs.get["rows"])
 
 
+def reload_with_rowcount(df: DataFrame, path: str) -> int:
+    """B1 + B4: full reload counted while writing, through a stage promoted
+    by rename (a failed load keeps the previous target)."""
+    spark = df.sparkSession
+    stage = new_path(spark, "reload-stage")
+    n = load_with_rowcount(df, stage, mode="errorifexists")
+    replace_with(spark, stage, path)
+    return n
+
+
 def staged_insert(spark: SparkSession, df: DataFrame, target: str, run_id: int,
                   constraints: Constraints | None = None, drop_stage: bool = False,
                   stage_path: str | None = None) -> int:
@@ -234,4 +244,4 @@ def append_run_log(entries: DataFrame, log_path: str) -> None:
 
 __all__ = ["truncate_and_load", "truncate_and_load_jdbc", "append_load", "load_with_rowcount",
            "staged_insert", "chunked_insert", "chunked_insert_jdbc", "archive_json",
-           "archive_source_files", "list_files", "publish", "append_run_log", "delete_path", "path_exists", "replace_with"]
+           "archive_source_files", "list_files", "publish", "reload_with_rowcount", "append_run_log", "delete_path", "path_exists", "replace_with"]
