@@ -63,15 +63,16 @@ def write_message_files(msgs: DataFrame, path: str, n_files: int, ordered_times:
 
 
 def message_file_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None,
-                        archive_dir: str | None = None) -> DataFrame:
-    """JSON-lines message files as a stream. With ``archive_dir``
-    consumed files are moved there (B7's streaming form)."""
-    r = spark.readStream.schema(MESSAGE_SCHEMA)
+                        archive_dir: str | None = None, fmt: str = "json") -> DataFrame:
+    """Kafka-shaped message files as a stream -- JSON lines by
+    default, or ``fmt="parquet"`` (no envelope parsing). With
+    ``archive_dir`` consumed files are moved there (B7's streaming form)."""
+    r = spark.readStream.schema(MESSAGE_SCHEMA).format(fmt)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
     if archive_dir:
         r = r.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
-    return r.json(path)
+    return r.load(path)
 
 
 @dataclass

@@ -71,3 +71,12 @@ def test_replayed_batch_is_idempotent(spark, sf, tmp_path):
     total = spark.read.parquet(t.table).count() + spark.read.parquet(t.dlq).count()
     assert total == msgs.count()
     assert spark.read.parquet(t.state).groupBy().sum("taken").first()[0] == msgs.count()
+
+
+def test_parquet_message_files(spark, sf, tmp_path):
+    msgs = fx.messages(spark.read.parquet(f"{sf}/events.parquet"))
+    root = str(tmp_path / "pq")
+    msgs.write.parquet(root)
+    t = IngestTargets(table=str(tmp_path / "tbl"), dlq=str(tmp_path / "dlq"))
+    consume_available(message_file_stream(spark, root, fmt="parquet"), t, str(tmp_path / "ck"))
+    assert spark.read.parquet(t.table).count() + spark.read.parquet(t.dlq).count() == msgs.count()
