@@ -137,15 +137,15 @@ def consume_available(stream: DataFrame, targets: IngestTargets, checkpoint: str
 
 
 def consume(spark: SparkSession, source_path: str, targets: IngestTargets, replay: bool = False,
-            checkpoint: str | None = None) -> None:
+            checkpoint: str | None = None, fmt: str = "json") -> None:
     """``replay=True`` reads every message again on each run (a fresh
     consumer group that never commits) and appends; the default keeps a
     checkpoint, so each offset is loaded once across runs."""
     if replay:
-        batch = spark.read.schema(MESSAGE_SCHEMA).json(source_path)
+        batch = spark.read.schema(MESSAGE_SCHEMA).format(fmt).load(source_path)
         run_id = int(datetime.now().timestamp() * 1e6)
         ingest_batch(batch, run_id, targets)
     else:
         if not checkpoint:
             raise ValueError("a checkpoint location is required without replay")
-        consume_available(message_file_stream(spark, source_path), targets, checkpoint)
+        consume_available(message_file_stream(spark, source_path, fmt=fmt), targets, checkpoint)
