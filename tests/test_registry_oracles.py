@@ -4,6 +4,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from tests.test_plans import forbidden_in
 from tools.oracle_check import TABLES, digest
 
 NAMES = sorted(E.queries())
@@ -24,6 +25,7 @@ def test_every_query_has_an_oracle():
 @pytest.mark.parametrize("name", NAMES)
 def test_query_matches_oracle(spark, sf, con, name):
     df = E.queries()[name](spark, sf)
+    assert not forbidden_in(df), f"{name}: {forbidden_in(df)}"
     rows = [tuple(r) for r in df.collect()]
     cur = con.execute(E.oracle_sql()[name])
     ocols = [d[0] for d in cur.description]
