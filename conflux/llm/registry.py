@@ -8,7 +8,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import link_trust, token_count
+from . import containment, fpe_pii, lang_mix, link_trust, token_count
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -31,6 +31,23 @@ def op3_link_trust(spark: SparkSession, sf_dir: str) -> DataFrame:
     return link_trust.judge_urls(read(spark, sf_dir, "pages"), URL_RULES)
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_token_counts, op3_link_trust)}
+#: For checks only: whoever runs this on real data passes a secret of their own.
+PII_KEY = b"not a secret: key of the registered checks"
+
+
+def op6_feistel_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fpe_pii.pseudonyms(read(spark, sf_dir, "documents"), PII_KEY)
+
+
+def op7_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lang_mix.held_out_identification(read(spark, sf_dir, "documents"))
+
+
+def op8_contained_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return containment.find_items(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_token_counts, op3_link_trust, op6_feistel_pii, op7_language_mixture,
+                                                  op8_contained_items)}
 
 ORACLES: dict[str, str] = {"op3_link_trust": link_trust.oracle(URL_RULES)}
