@@ -12,12 +12,13 @@ Formats and their validation:
 - e-mail addresses: letters and digits change within their kind, all but the
   top-level domain; upper case stays upper;
 - payment cards: 13 to 19 digits, Luhn; first digit kept, check digit renewed;
-- telephone numbers, North American: valid area and exchange;
+- telephone numbers, North American: valid area and exchange, or written
+  with ``+`` or the area in brackets;
 - social security numbers: valid area, group and serial;
 - IBANs: mod 97; country kept, check digits renewed;
 - IPv4 addresses: four numbers up to 255;
 - dates from 1900 to 2099, year-first, day-first or month-first: real days;
-- access keys and ``password=`` values: letters and digits within their kind.
+- access keys and values behind ``password=``, ``token =`` and the like: letters and digits within their kind.
 
 What isn't valid stays as it is.
 
@@ -45,12 +46,12 @@ FIRST_DAY, LAST_DAY = dt.date(1900, 1, 1).toordinal(), dt.date(2099, 12, 31).too
 SHAPES = {
     "email": r"(?<![\w.+%-])[A-Za-z0-9][A-Za-z0-9._%+-]*@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,}(?![A-Za-z0-9])",
     "key": r"\bAKIA[A-Z0-9]{16}\b",
-    "password": r"(?i:\b(?:password|passwd|secret|token|api_?key)[=:])[A-Za-z0-9_\-+/]{6,}",
+    "password": r"(?i:\b(?:password|passwd|secret|token|api_?key)\s?[=:]\s?)[\"']?[A-Za-z0-9_\-+/]{6,}",
     "iban": r"\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?\b",
     "ip": r"(?<![\w.])(?:\d{1,3}\.){3}\d{1,3}(?!\w|\.\d)",
     "date": r"(?<![\w./-])(?:\d{4}([-/.])\d{1,2}\1\d{1,2}|\d{1,2}([-/.])\d{1,2}\2\d{4})(?!\w|[./-]\d)",
     "ssn": r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])",
-    "phone": r"(?<![\w+])(?:\+?1[ .-]?)?(?:\(\d{3}\) ?|\d{3}[ .-])\d{3}[ .-]\d{4}(?![\w-])",
+    "phone": r"(?<![\w+])(?:\+?1[\s.-]?)?(?:\(\d{3}\)\s?|\d{3}[ .-])\d{3}[ .-]\d{4}(?![\w-])",
     "card": r"(?<![\w-])(?:\d{13,19}|\d{4}([ -])\d{4}\3\d{4}\3\d{1,7}|3\d{3}([ -])\d{6}\4\d{5})(?![\w-])",
 }
 KINDS = list(SHAPES)
@@ -136,7 +137,7 @@ def _key(f, s, back):
 
 
 def _password(f, s, back):
-    at = re.search("[=:]", s).end()
+    at = re.search(r"[=:]\s?[\"']?", s).end()
     return s[:at] + _chars(f, s[at:], b"password", back)
 
 
@@ -152,13 +153,14 @@ def _card(f, s, back):
 def _phone(f, s, back):
     d = re.sub(r"\D", "", s)
     d, front = d[-10:], d[:-10]
-    if d[0] in "01" or d[3] in "01":
+    valid = lambda n: n[0] not in "01" and n[3] not in "01"
+    if not valid(d) and not s.startswith(("+", "(")):
         return None
     x = int(d)
-    while True:       # walk on to the next number with a valid area and exchange
+    while True:       # walk on to the next number of the same validity
         x = f.permute(x, 10 ** 10, b"phone", back)
         new = str(x).zfill(10)
-        if new[0] not in "01" and new[3] not in "01":
+        if valid(new) == valid(d):
             return _refill(s, front + new)
 
 

@@ -8,7 +8,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import containment, fpe_pii, lang_mix, link_trust, token_count
+from . import containment, fpe_pii, lang_mix, link_trust, piece_offsets, token_count
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -47,7 +47,12 @@ def op8_contained_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     return containment.find_items(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
 
+def op10_piece_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return piece_offsets.encode_digests(read(spark, sf_dir, "documents"),
+                                        public_tokenizers.path("piece_bpe_32k.model"))
+
+
 QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_token_counts, op3_link_trust, op6_feistel_pii, op7_language_mixture,
-                                                  op8_contained_items)}
+                                                  op8_contained_items, op10_piece_offsets)}
 
 ORACLES: dict[str, str] = {"op3_link_trust": link_trust.oracle(URL_RULES)}
