@@ -6,9 +6,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import containment, fpe_pii, lang_mix, link_trust, piece_offsets, token_count
+from . import collision_ann, containment, fpe_pii, lang_mix, link_trust, near_dedup, piece_offsets, token_count, token_store
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -27,10 +27,22 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
                                     public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op2_prob_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(read(spark, sf_dir, "documents"))
+
+
 def op3_link_trust(spark: SparkSession, sf_dir: str) -> DataFrame:
     return link_trust.judge_urls(read(spark, sf_dir, "pages"), URL_RULES)
 
 
+def op4_collision_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collision_ann.nearest(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, 20)
+
+
+def op5_rans_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_store.store_digests(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 #: For checks only: whoever runs this on real data passes a secret of their own.
 PII_KEY = b"not a secret: key of the registered checks"
 
@@ -52,7 +64,8 @@ def op10_piece_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
                                         public_tokenizers.path("piece_bpe_32k.model"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_token_counts, op3_link_trust, op6_feistel_pii, op7_language_mixture,
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_token_counts, op2_prob_minhash, op3_link_trust, op4_collision_neighbours,
+                                                  op5_rans_store, op6_feistel_pii, op7_language_mixture,
                                                   op8_contained_items, op10_piece_offsets)}
 
 ORACLES: dict[str, str] = {"op3_link_trust": link_trust.oracle(URL_RULES)}
