@@ -3,7 +3,7 @@
 Largest inner product becomes least distance by one more component: a
 candidate x is (x, sqrt(M^2 - |x|^2)) / M with M the greatest length, a query
 is (q, 0) / |q|. Candidates are dealt into blocks of bounded size; each block
-sorts its vectors along ``projections`` (64) random directions, one array for
+sorts its vectors along ``projections`` (48) random directions, one array for
 each. Around a query's own projection a window is opened in every array; a
 vector collides as often as it lies in one.
 
@@ -11,8 +11,9 @@ The window starts narrow (``first`` of the array's length); the vectors that
 collide most often are verified, and their k-th best gives a radius R within
 which the block's k nearest must lie. Virtual rehashing widens all windows to
 R x ``width``: a vector at distance R or less then lies in a window with
-probability 0.68 or more, so that it collides ``threshold`` (38) times or more
-with probability over 0.93, nearer ones more surely. All vectors that do are
+probability 0.68 or more, so that it collides ``threshold`` (29) times or more
+with probability near 0.9, nearer ones more surely; as R belongs to the k-th
+best of a single block, those that are among the k best of all are nearer. All vectors that do are
 verified by their inner product in double precision. The best k of each block
 are merged for each query.
 
@@ -80,50 +81,71 @@ class BlockIndex:
         n = len(self.ids)
         length = np.linalg.norm(queries, axis=1)
         along = (queries / length[:, None]) @ self.directions[:-1]
-        half = max(1, int(first * n / 2))
-        middle = np.stack([np.searchsorted(s, a) for s, a in zip(self.sorted, along.T, strict=True)], 1)
+        if n <= 4 * k:
+            found = [np.arange(n)] * len(queries)
+        else:
+            probes = self._probes(along, 8 * k, max(1, int(first * n / 2)))
+            radius = np.array([self._radius(p, own, q, x, k)
+                               for p, own, q, x in zip(probes, qid, queries, length, strict=True)])
+            lo, hi = self._windows(along, radius * width)
+            found = []
+            for p, a, b in zip(probes, lo, hi, strict=True):
+                count = self.collisions(a, b)
+                count[p] = threshold                # verified already, part of the result
+                found.append(np.flatnonzero(count >= threshold))
         out = []
-        for i, q in enumerate(queries):
-            own = qid[i]
-            if n <= 4 * k:
-                found = np.arange(n)
-            else:
-                count = self.collisions(np.maximum(0, middle[i] - half), middle[i] + half)
-                probe = np.argpartition(-count, 4 * k - 1)[:4 * k]
-                product = self.vectors[probe] @ q
-                product[self.ids[probe] == own] = -np.inf
-                ids = self.ids[probe]
-                best = np.sort(self._distinct(ids, product))[::-1]
-                if len(best) < k:
-                    found = np.arange(n)
-                else:
-                    radius = np.sqrt(max(0.0, 2 - 2 * best[k - 1] / (length[i] * self.longest))) + 1e-9
-                    w = radius * width
-                    lo = [np.searchsorted(s, a - w, "left") for s, a in zip(self.sorted, along[i], strict=True)]
-                    hi = [np.searchsorted(s, a + w, "right") for s, a in zip(self.sorted, along[i], strict=True)]
-                    count = self.collisions(lo, hi)
-                    count[probe] = threshold            # verified already, part of the result
-                    found = np.flatnonzero(count >= threshold)
-            found = found[self.ids[found] != own]
-            score = self.vectors[found] @ q
-            order = np.lexsort((self.ids[found], -score))
-            ids = self.ids[found][order]
+        for i, (f, own, q) in enumerate(zip(found, qid, queries, strict=True)):
+            ids, score = self.ids[f], self.vectors[f] @ q
+            keep = ids != own
+            if len(f) > 4 * k:       # only what can be among the k best ids: an id may come several times
+                keep &= score >= self._kth(ids[keep], score[keep], k)
+            ids, score = ids[keep], score[keep]
+            order = np.lexsort((ids, -score))
+            ids, score = ids[order], score[order]
             _, at = np.unique(ids, return_index=True)
             at = np.sort(at)[:k]
-            out.append((np.full(len(at), i), ids[at], score[order][at]))
+            out.append((np.full(len(at), i), ids[at], score[at]))
         return [np.concatenate(x) for x in zip(*out, strict=True)]
 
+    def _windows(self, along: np.ndarray, half: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """First and end place of each query's window in each sorted array."""
+        both = [(np.searchsorted(s, a - half, "left"), np.searchsorted(s, a + half, "right"))
+                for s, a in zip(self.sorted, along.T, strict=True)]
+        return np.stack([x for x, _ in both], 1), np.stack([y for _, y in both], 1)
+
+    def _probes(self, along: np.ndarray, most: int, half: int) -> list[np.ndarray]:
+        """The vectors that collide most often in each query's first windows."""
+        middle, n = self._windows(along, np.zeros(len(along)))[0], len(self.ids)
+        return [np.argpartition(-self.collisions(np.maximum(0, m - half), m + half), min(most, n - 1))[:most]
+                for m in middle]
+
+    def _radius(self, probe: np.ndarray, own: int, q: np.ndarray, length: float, k: int) -> float:
+        """A distance within which there are k other ids."""
+        ids, score = self.ids[probe], self.vectors[probe] @ q
+        kth = self._kth(ids[ids != own], score[ids != own], k)
+        return np.sqrt(max(0.0, 2 - 2 * kth / (length * self.longest))) + 1e-9 if kth > -np.inf else 2.0 + 1e-6
+
+    @classmethod
+    def _kth(cls, ids: np.ndarray, score: np.ndarray, k: int) -> float:
+        """The k-th best score when each id counts once; -inf if there are fewer."""
+        if len(ids) > 8 * k:         # a bound will do: the best 4 k rows have k ids, or all are looked at
+            top = np.argpartition(-score, 4 * k)[:4 * k]
+            best = cls._distinct(ids[top], score[top])
+            if len(best) >= k:
+                return np.partition(best, len(best) - k)[len(best) - k]
+        best = cls._distinct(ids, score)
+        return np.partition(best, len(best) - k)[len(best) - k] if len(best) >= k else -np.inf
+
     @staticmethod
-    def _distinct(ids, product):
-        """The best product of each id, without those left out."""
-        order = np.lexsort((-product, ids))
-        ids, product = ids[order], product[order]
-        product = product[np.concatenate([[True], ids[1:] != ids[:-1]])]
-        return product[product > -np.inf]
+    def _distinct(ids: np.ndarray, score: np.ndarray) -> np.ndarray:
+        """The best score of each id."""
+        order = np.lexsort((-score, ids))
+        ids, score = ids[order], score[order]
+        return score[np.concatenate([[True], ids[1:] != ids[:-1]])] if len(ids) else score
 
 
 def nearest(vectors: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec_id", vec_col: str = "embedding",
-            projections: int = 64, threshold: int = 38, width: float = 1.0, first: float = 0.02,
+            projections: int = 48, threshold: int = 29, width: float = 1.0, first: float = 0.02,
             block_rows: int = 8192, query_rows: int = 2048, seed: int = 7) -> DataFrame:
     """query_id, rank, vec_id, score: for each row where ``is_query`` (a
     condition on ``vec_id``) its k nearest other rows."""
