@@ -276,7 +276,7 @@ def fit(words: DataFrame, pieces: Pieces, rounds: int) -> np.ndarray:
 
 
 def score_texts(docs: DataFrame, model_path: str, fold: int = 2, folds: int = 7, id_col: str = "doc_id",
-                text_col: str = "text", rounds: int = 3, block_bytes: int = 24 << 20) -> DataFrame:
+                text_col: str = "text", rounds: int = 2, block_bytes: int = 24 << 20) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score
     for each row of ``docs``."""
     spark: SparkSession = ready(docs.sparkSession)
