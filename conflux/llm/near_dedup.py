@@ -15,12 +15,18 @@ of the shingle sets. Classes are the connected components of the links.
 How hot groups stay cheap, and no link is lost:
 
 - texts equal but for case are one node; copies are only counted;
-- all members of a band's bucket are compared with its least member first,
-  and classes are formed of what is linked;
-- what is left in a bucket in another class than its hub is then compared
-  with all members of other classes there. So each candidate pair is either
-  within a class already or verified, while a group of thousands of
-  near-copies costs one comparison each.
+- all members of a band's bucket are compared with one hub, drawn anew for
+  each bucket, so that a text meets as many hubs as it has bands; classes are
+  formed of what is linked, and members of other classes than the hub's meet
+  a second hub (``turns``);
+- texts in buckets that still hold several classes, which are mostly far less
+  similar than a link, get a second signature of more and longer bands; in
+  its buckets, members of other classes than the hub's are compared with the
+  hub, then with all members of other classes whose registers agree about as
+  often as a link's (one bit of each is compared; a link fails this with
+  probability under 1e-4). So each candidate pair is either within a class
+  already or verified, while a group of thousands of near-copies costs a few
+  comparisons each.
 
 Defined results: a text (null: empty) without words is alone in its class. A
 text of one to four words has one shingle, all its words. The class id is the
@@ -38,8 +44,10 @@ from .common import as_string_array, ready, slices, staged
 from .graph import components
 from .words import counted, mix, shingles
 
-BANDS, ROWS = 25, 5
+#: (bands, registers in each): a link shares one with probability over 0.9998.
+COARSE, FINE = (25, 5), (80, 10)
 SIMILARITY = 0.8
+SIGNED = "doc_id long, node binary, bands array<long>, bits array<long>"
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -72,8 +80,9 @@ def weights(occurrences: np.ndarray) -> np.ndarray:
     return 1 + np.log(occurrences)
 
 
-def band_keys(texts: pa.Array, bands: int, rows: int) -> list[np.ndarray | None]:
-    """A 64-bit key for each band of each text; None without shingles."""
+def band_keys(texts: pa.Array, bands: int, rows: int) -> tuple[list, list]:
+    """A 64-bit key for each band of each text, and one bit of each register
+    packed in 64-bit numbers; None without shingles."""
     doc, value, n = counted(*shingles(texts))
     sig = prob_minhash(doc, value, weights(n), len(texts), bands * rows)
     keys = np.zeros((len(texts), bands), np.uint64)
@@ -83,7 +92,10 @@ def band_keys(texts: pa.Array, bands: int, rows: int) -> list[np.ndarray | None]
         keys = mix(keys + np.arange(bands, dtype=np.uint64)).view(np.int64)
     has = np.zeros(len(texts), bool)
     has[doc] = True
-    return [k if h else None for k, h in zip(keys, has, strict=True)]
+    bits = np.zeros((len(texts), -(-bands * rows // 64) * 64), np.uint8)
+    bits[:, :bands * rows] = mix(sig) & np.uint64(1)
+    packed = np.packbits(bits, axis=1).view(np.int64)
+    return [[x if h else None for x, h in zip(of, has, strict=True)] for of in (keys, packed)]
 
 
 def similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
@@ -128,56 +140,89 @@ def verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
     return joined.select("a", "b", "text_a", "text_b").mapInArrow(run, "a binary, b binary")
 
 
+def most_differing(registers: int, threshold: float) -> int:
+    """How many of the registers' bits may differ at a similarity: the mean
+    and four standard deviations. Bits of different shingles agree by half."""
+    p = (1 - threshold) / 2
+    return int(registers * p + 4 * (registers * p * (1 - p)) ** 0.5)
+
+
+def _split(members: DataFrame, of: DataFrame | None, turn: int) -> DataFrame:
+    """The members (bucket, node) of buckets that hold several classes, with
+    their class so far as label and a hub drawn anew by ``turn``."""
+    if of is None:
+        labelled = members.withColumn("label", F.col("node"))
+    else:
+        labelled = members.join(of, "node", "left").withColumn("label", F.coalesce("root", "node")).drop("root")
+    drawn = F.struct(F.xxhash64("node", "bucket", F.lit(turn)).alias("h"), "node", "label")
+    split = (labelled.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high"),
+                                            F.min(drawn).alias("hub"))
+             .where("low <> high").select("bucket", F.col("hub.node").alias("hub"), F.col("hub.label").alias("hub_label")))
+    return labelled.join(split, "bucket")
+
+
 def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = SIMILARITY,
-            bands: int = BANDS, rows: int = ROWS) -> DataFrame:
+            coarse: tuple[int, int] = COARSE, fine: tuple[int, int] = FINE, turns: int = 2) -> DataFrame:
     """(doc_id, node, some, class_id) for each row; node is the digest of the
     lower-cased text, some is whether it has words."""
-    ready(docs.sparkSession)
+    spark = ready(docs.sparkSession)
     # no text leaves this frame but for those that have candidates
     own = docs.select(docs[id_col].cast("long").alias("doc_id"),
                       F.lower(F.coalesce(docs[text_col].cast("string"), F.lit(""))).alias("text"))
     own = own.select("doc_id", F.unhex(F.md5(F.col("text").cast("binary"))).alias("node"), "text")
 
-    def sign(batches):
-        for b in slices(batches):
-            keys = band_keys(as_string_array(b.column("text")), bands, rows)
-            yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id"), b.column("node"), pa.array(keys, pa.list_(pa.int64()))],
-                names=["doc_id", "node", "bands"])
-
-    rows_ = staged(own.mapInArrow(sign, "doc_id long, node binary, bands array<long>"), "signatures")
+    def signer(bands, rows):
+        def sign(batches):
+            for b in slices(batches):
+                keys, bits = band_keys(as_string_array(b.column("text")), bands, rows)
+                yield pa.RecordBatch.from_arrays(
+                    [b.column("doc_id"), b.column("node"), pa.array(keys, pa.list_(pa.int64())),
+                     pa.array(bits, pa.list_(pa.int64()))],
+                    names=["doc_id", "node", "bands", "bits"])
+        return sign
+
+    rows_ = staged(own.mapInArrow(signer(*coarse), SIGNED).drop("bits"), "signatures")
     nodes = staged(rows_.where("bands IS NOT NULL").groupBy("node")
                    .agg(F.min("doc_id").alias("least"), F.first("bands").alias("bands")), "nodes")
     buckets = nodes.select("node", F.explode("bands").alias("bucket"))
-    hubs = (buckets.groupBy("bucket").agg(F.min("node").alias("hub"), F.max("node").alias("last"))
-            .where("hub <> last").select("bucket", "hub"))
-    members = staged(buckets.join(hubs, "bucket").select("bucket", "hub", "node"), "members")
+    shared = (buckets.groupBy("bucket").agg(F.min("node").alias("low"), F.max("node").alias("high"))
+              .where("low <> high").select("bucket"))
+    members = staged(buckets.join(shared, "bucket").select("bucket", "node"), "members")
 
-    first = members.where("node <> hub").select(F.col("node").alias("a"), F.col("hub").alias("b")).distinct()
-    first = staged(first, "pairs")
     # one row for each text that has candidates, its first copy's
     wanted = (members.select("node").distinct().join(nodes.select("node", "least"), "node"))
     texts = (own.join(wanted.withColumnRenamed("node", "n"),
                       (F.col("node") == F.col("n")) & F.col("doc_id").eqNullSafe(F.col("least")), "left_semi")
              .select("node", "text").dropDuplicates(["node"]))
     texts = staged(texts, "texts")
-    links = staged(verified(first, texts, threshold), "links")
-    of = staged(components(links), "classes")
-
-    # pairs across classes within a bucket that aren't compared yet
-    label = F.coalesce("root", "node").alias("label")
-    labelled = members.join(of, "node", "left").select("bucket", "hub", "node", label)
-    hub_label = of.select(F.col("node").alias("hub"), F.col("root").alias("hub_root"))
-    apart = (labelled.join(hub_label, "hub", "left")
-             .withColumn("out", F.col("label") != F.coalesce("hub_root", "hub")))
-    outside = apart.where("out").select("bucket", F.col("node").alias("a"), F.col("label").alias("label_a"))
-    again = outside.join(apart.where("node <> hub")
-                         .select("bucket", F.col("node").alias("b"), F.col("label").alias("label_b"), "out"), "bucket")
-    again = (again.where("label_a <> label_b AND (NOT out OR a < b)").select("a", "b").distinct())
-    more = staged(verified(again, texts, threshold), "links")
-    if not more.isEmpty():
-        links = links.unionByName(more)
-        of = staged(components(links), "classes")
+
+    links = of = None
+    for step in range(turns + 2):
+        if step == turns:      # what is still apart gets finer bands
+            apart = _split(members, of, step).select("node").distinct()
+            keys = (texts.join(apart, "node", "left_semi").select(F.lit(0).cast("long").alias("doc_id"), "node", "text")
+                    .mapInArrow(signer(*fine), SIGNED))
+            members = staged(keys.select("node", "bits", F.explode("bands").alias("bucket")), "members")
+        left = _split(members, of, step)
+        if step <= turns:
+            pairs = left.where("label <> hub_label").select(F.greatest("node", "hub").alias("a"),
+                                                            F.least("node", "hub").alias("b"))
+        else:
+            side = lambda n: left.select(F.col("bucket"), F.col("node").alias(n), F.col("label").alias(f"label_{n}"),
+                                         F.col("bits").alias(f"bits_{n}"),
+                                         (F.col("label") != F.col("hub_label")).alias(f"out_{n}"))
+            x, y = side("x").where("out_x"), side("y")
+            differ = sum((F.bit_count(x.bits_x[i].bitwiseXOR(y.bits_y[i])) for i in range(-(-fine[0] * fine[1] // 64))),
+                         F.lit(0))
+            pairs = (x.join(y, (x.bucket == y.bucket) & (x.label_x != y.label_y) & (~y.out_y | (x.x < y.y))
+                            & (differ <= most_differing(fine[0] * fine[1], threshold)))
+                     .select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b")))
+        found = staged(verified(staged(pairs.distinct(), "pairs"), texts, threshold), "links")
+        if not found.isEmpty():
+            links = found if links is None else links.unionByName(found)
+            of = staged(components(links), "classes")
+    if of is None:
+        of = spark.createDataFrame([], "node binary, root binary")
 
     by_node = (nodes.select("node", "least").join(of, "node", "left")
                .select("node", "least", F.coalesce("root", "node").alias("root")))
