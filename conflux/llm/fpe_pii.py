@@ -49,10 +49,10 @@ SHAPES = {
     "password": r"(?i:\b(?:password|passwd|secret|token|api_?key)\s?[=:]\s?)[\"']?[A-Za-z0-9_\-+/]{6,}",
     "iban": r"\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?\b",
     "ip": r"(?<![\w.])(?:\d{1,3}\.){3}\d{1,3}(?!\w|\.\d)",
-    "date": r"(?<![\w./-])(?:\d{4}([-/.])\d{1,2}\1\d{1,2}|\d{1,2}([-/.])\d{1,2}\2\d{4})(?!\w|[./-]\d)",
+    "date": r"(?<![\w./-])(?:\d{4}(?P<a>[-/.])\d{1,2}(?P=a)\d{1,2}|\d{1,2}(?P<b>[-/.])\d{1,2}(?P=b)\d{4})(?!\w|[./-]\d)",
     "ssn": r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])",
     "phone": r"(?<![\w+])(?:\+?1[\s.-]?)?(?:\(\d{3}\)\s?|\d{3}[ .-])\d{3}[ .-]\d{4}(?![\w-])",
-    "card": r"(?<![\w-])(?:\d{13,19}|\d{4}([ -])\d{4}\3\d{4}\3\d{1,7}|3\d{3}([ -])\d{6}\4\d{5})(?![\w-])",
+    "card": r"(?<![\w-])(?:\d{13,19}|\d{4}(?P<c>[ -])\d{4}(?P=c)\d{4}(?P=c)\d{1,7}|3\d{3}(?P<d>[ -])\d{6}(?P=d)\d{5})(?![\w-])",
 }
 KINDS = list(SHAPES)
 _ANY = re.compile("|".join(f"(?P<{k}>{v})" for k, v in SHAPES.items()))

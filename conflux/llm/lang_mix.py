@@ -151,7 +151,7 @@ def learn(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", p
         for name, c in sums.items():
             at = np.flatnonzero(c)
             yield pa.RecordBatch.from_arrays(
-                [pa.array([name] * len(at)), pa.array(at.astype(np.int32)), pa.array(c[at])],
+                [pa.array([name] * len(at), pa.string()), pa.array(at.astype(np.int32)), pa.array(c[at])],
                 names=["lang", "bucket", "n"])
 
     rows = (labelled.select(labelled[text_col].cast("string").alias("text"), labelled[lang_col].cast("string").alias("lang"))

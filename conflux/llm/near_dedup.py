@@ -45,7 +45,7 @@ from .graph import components
 from .words import counted, mix, shingles
 
 #: (bands, registers in each): a link shares one with probability over 0.9998.
-COARSE, FINE = (25, 5), (80, 10)
+COARSE, FINE = (25, 5), (128, 12)
 SIMILARITY = 0.8
 SIGNED = "doc_id long, node binary, bands array<long>, bits array<long>"
 _STEP = np.uint64(0x9E3779B97F4A7C15)
