@@ -80,8 +80,10 @@ def concat_nullable(*cols: Column | str) -> Column:
 
 
 def str_padded(num: Column | str, width: int = 10) -> Column:
-    """Number rendered right-aligned in ``width`` characters."""
-    return F.lpad(_c(num).cast("string"), width, " ")
+    """T-SQL ``STR``: the number rounded to a whole one, right-aligned in
+    ``width`` characters; asterisks where it does not fit."""
+    text = F.round(_c(num).cast("decimal(38,6)"), 0).cast("decimal(32,0)").cast("string")
+    return F.when(F.length(text) > width, F.repeat(F.lit("*"), width)).otherwise(F.lpad(text, width, " "))
 
 
 def thousands(num: Column | str) -> Column:

@@ -8,6 +8,8 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from ..session import new_path
+
 REJECT_COLUMN = "reject_reason"
 
 
@@ -82,10 +84,11 @@ def violations(df: DataFrame, spec: Constraints) -> DataFrame:
     ``(rule, column_name, key_text, n_rows)``. Every check is an aggregate
     with a map-side partial step; nothing is collected."""
     parts: list[DataFrame] = []
-    if spec.not_null:
-        agg = df.agg(*[F.count(F.when(F.col(c).isNull(), 1)).alias(c) for c in spec.not_null])
-        stack = ", ".join(f"'{c}', `{c}`" for c in spec.not_null)
-        parts.append(agg.selectExpr(f"stack({len(spec.not_null)}, {stack}) AS (column_name, n_rows)")
+    not_null = list(dict.fromkeys([*spec.not_null, *spec.primary_key]))   # a key column holds no null either
+    if not_null:
+        agg = df.agg(*[F.count(F.when(F.col(c).isNull(), 1)).alias(c) for c in not_null])
+        stack = ", ".join(f"'{c}', `{c}`" for c in not_null)
+        parts.append(agg.selectExpr(f"stack({len(not_null)}, {stack}) AS (column_name, n_rows)")
                      .filter("n_rows > 0")
                      .select(F.lit("not_null").alias("rule"), "column_name",
                              F.lit(None).cast("string").alias("key_text"),
@@ -113,10 +116,14 @@ class ConstraintViolation(Exception):
 
 
 def enforce(df: DataFrame, spec: Constraints) -> DataFrame:
-    """Fail the load when any constraint is violated (one small action that
-    stops at the first violation)."""
-    first = violations(df, spec).limit(5).collect()
+    """Fail the load when any constraint is violated. All violations are
+    written to the staging folder, which the error names; its text shows the
+    first few only."""
+    path = new_path(df.sparkSession, "violations")
+    violations(df, spec).write.parquet(path)
+    found = df.sparkSession.read.schema(VIOLATION_SCHEMA).parquet(path)
+    first = found.limit(5).collect()
     if first:
         raise ConstraintViolation("; ".join(
-            f"{r.rule} {r.column_name} {r.key_text or ''} x{r.n_rows}" for r in first))
+            f"{r.rule} {r.column_name} {r.key_text or ''} x{r.n_rows}" for r in first) + f"; all of them: {path}")
     return df

@@ -23,6 +23,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from ..session import new_path
+
 _B = "_bucket"
 
 
@@ -75,10 +77,18 @@ def _number_ranged(df: DataFrame, keys: Sequence[str], order: Sequence[Column |
     order, so its number is the rows in its earlier partitions (a running
     sum over a count table of partitions x keys) plus the rank inside its
     own partition. With a total order, ties cannot pile up in one
-    partition, so every task holds about ``rows / partitions``."""
-    r = df.repartitionByRange(*[F.col(k) for k in keys], *[F.col(o) if isinstance(o, str) else o
-                                                             for o in order]) \
-          .withColumn("_pid", F.spark_partition_id())
+    partition, so every task holds about ``rows / partitions``.
+
+    The rows are written with their partition number to the staging folder,
+    and both the counts and the ranks read that: a partitioning computed
+    twice samples other bounds for other columns, and a retried task could
+    move rows too."""
+    spark = df.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    by = [F.col(k) for k in keys] + [F.col(o) if isinstance(o, str) else o for o in order]
+    stage = new_path(spark, "hot-keys")
+    df.repartitionByRange(parts, *by).withColumn("_pid", F.spark_partition_id()).write.parquet(stage)
+    r = spark.read.parquet(stage)
     counts = r.groupBy(*keys, "_pid").agg(F.count(F.lit(1)).alias("_n"))
     w = (Window.partitionBy(*keys).orderBy("_pid")
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
@@ -94,22 +104,26 @@ def number_rows(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str
                 hot_key_rows: int = HOT_KEY_ROWS) -> DataFrame:
     """Exact ``row_number() over (partition by keys order by order)``.
 
-    Per-key counts (a partial aggregate) find the hot keys -- at most
-    ``total_rows / hot_key_rows`` of them, so that list has a proven size
-    bound and is broadcast. Ordinary keys take the plain window. Hot keys
-    are numbered through ``buckets`` when given (they must be
-    non-decreasing along ``order``, e.g. ``offset div width``), else by
-    range partitioning on the order (:func:`_number_ranged`)."""
+    Per-key counts (a partial aggregate) find the hot keys; their list is
+    written once to the staging folder. Without any, the plain window is the
+    whole plan. Else ordinary keys take the plain window and hot keys are
+    numbered through ``buckets`` when given (they must be non-decreasing
+    along ``order``, e.g. ``offset div width``), else by range partitioning
+    on the order (:func:`_number_ranged`). How the list is joined is left to
+    AQE: it grows with the data."""
+    spark = df.sparkSession
     hk = [f"_hot_{i}" for i in range(len(keys))]
-    hot = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_kn"))
-             .filter(F.col("_kn") > hot_key_rows)
-             .select(*[F.col(k).alias(h) for k, h in zip(keys, hk)]))
+    stage = new_path(spark, "hot-list")
+    (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_kn")).filter(F.col("_kn") > hot_key_rows)
+     .select(*[F.col(k).alias(h) for k, h in zip(keys, hk)]).write.parquet(stage))
+    hot = spark.read.parquet(stage)
+    w = Window.partitionBy(*keys).orderBy(*order)
+    if hot.isEmpty():
+        return df.withColumn(out, F.row_number().over(w).cast("bigint"))
     cond = None
     for k, h in zip(keys, hk):
         c = F.col(k).eqNullSafe(F.col(h))
         cond = c if cond is None else cond & c
-    hot = F.broadcast(hot)
-    w = Window.partitionBy(*keys).orderBy(*order)
     plain = (df.join(hot, cond, "left_anti")
                .withColumn(out, F.row_number().over(w).cast("bigint")))
     hot_rows = df.join(hot, cond, "left_semi")

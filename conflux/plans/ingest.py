@@ -114,7 +114,7 @@ def task_catalog_for(md: Metadata, job_inst_id: int, etl_step: str, job_inst_tas
     jt = md.job_task.select("job_task_id", "job_id", "job_task_name", "etl_step", "step_seq", "conn_type",
                             "src_tbl_id", "tgt_tbl_id", "conn_str_id", "conn_api_id", "conn_kafka_id",
                             "sql_script_id")
-    ji = _pick(md.job_inst, "job_inst_id", "ji_id", {"ji_job_id": "job_id", "etl_steps": "etl_steps",
+    ji = _pick(md.job_inst.filter(F.col("job_inst_id") == job_inst_id), "job_inst_id", "ji_id", {"ji_job_id": "job_id", "etl_steps": "etl_steps",
                                                       "is_full_load": "is_full_load",
                                                       "del_temp_data": "del_temp_data"})
     j = _pick(md.job, "job_id", "j_id", {"job_type": "job_type"})
@@ -219,7 +219,7 @@ def run_step(spark: SparkSession, tasks: list[dict], job_inst_id: int, log_path:
             entries.append((job_inst_id, seq + 1, datetime.now(), name, "succeeded",
                             f"inserted rows || {n:,}", "run_step", False))
         except Exception as e:  # logged, like the reference's per-task error handling
-            entries.append((job_inst_id, seq + 1, datetime.now(), name, "failed", str(e)[:1000],
+            entries.append((job_inst_id, seq + 1, datetime.now(), name, "failed", str(e),
                             "run_step", True))
     log = spark.createDataFrame(entries, "job_inst_id int, logging_seq bigint, log_ts timestamp_ntz, "
                                          "task_name string, task_status string, error_msg string, "

@@ -741,6 +741,17 @@ def number_tasks(spark, sf):
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "task_thread_num", "sequence_num")
 
 
+@check("number_tasks_hot", """
+SELECT event_type, event_id, ts, props,
+       CAST(row_number() OVER (PARTITION BY event_type ORDER BY ts, event_id) AS BIGINT) AS task_thread_num,
+       CAST(20 * row_number() OVER (PARTITION BY event_type ORDER BY ts, event_id) AS BIGINT) AS sequence_num
+FROM events""")
+def number_tasks_hot(spark, sf):
+    """F1 on a few hot keys, with columns outside the order."""
+    e = _t(spark, sf, "events").select("event_type", "event_id", "ts", "props")
+    return WN.number_tasks(e, ["event_type"], ["ts", "event_id"], step=20, hot_key_rows=100)
+
+
 CAP_SQL = "WITH " + M_SQL + """
 SELECT topic, "partition", "offset", value FROM (
   SELECT *, row_number() OVER (PARTITION BY topic ORDER BY "partition", "offset") AS rn FROM m) WHERE rn <= 500"""
@@ -874,6 +885,24 @@ def concat_padded(spark, sf):
                     X.str_padded("c_custkey").alias("padded"))
 
 
+@check("str_wide", """
+SELECT c_custkey, CASE WHEN length(CAST(CAST(v AS HUGEINT) AS VARCHAR)) > 10 THEN '**********'
+                       ELSE lpad(CAST(CAST(v AS HUGEINT) AS VARCHAR), 10, ' ') END AS padded
+FROM (SELECT c_custkey, CAST(round(CAST(c_acctbal * c_custkey * 997 AS DECIMAL(38, 6)), 0) AS DECIMAL(32, 0)) AS v FROM customer)""")
+def str_wide(spark, sf):
+    """STR rounds, and shows asterisks where a number is too long."""
+    c = _t(spark, sf, "customer")
+    return c.select("c_custkey", X.str_padded(F.col("c_acctbal") * F.col("c_custkey") * 997).alias("padded"))
+
+
+@check("csv_real_text", "SELECT CAST(doc_id AS VARCHAR) AS doc_id, text, lang FROM documents")
+def csv_real_text(spark, sf):
+    """A3 on whole document texts: quotes, newlines, four languages."""
+    d = _t(spark, sf, "documents").select(F.col("doc_id").cast("string"), "text", "lang")
+    path = FS.write_text_csv(d, new_path(spark, "csv-text"), encoding="UTF-8")
+    return FS.read_csv_positional(spark, path, ["doc_id", "text", "lang"], multi_line=True)
+
+
 @check("thousands", """
 SELECT r.r_name, CAST(count(*) AS BIGINT) AS n_customers, format('{:,}', count(*) * 1000) AS n_fmt
 FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey JOIN region r ON n.n_regionkey = r.r_regionkey

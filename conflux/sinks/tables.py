@@ -9,6 +9,7 @@ path first.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from datetime import datetime
 
@@ -156,16 +157,30 @@ def delete_path(spark: SparkSession, path: str) -> None:
 
 
 def replace_with(spark: SparkSession, stage: str, target: str) -> None:
-    """B1 by promotion: make a fully written and checked stage the target
-    (drop the old target, rename the stage folder -- a metadata operation
-    on HDFS-like file systems, no second pass over the data)."""
-    fs, src, jvm = _fs(spark, stage)
-    dst = jvm.org.apache.hadoop.fs.Path(target)
-    if fs.exists(dst):
-        fs.delete(dst, True)
+    """B1 by promotion: make a fully written and checked stage the target.
+    The old target is renamed aside, the stage renamed in, and only then the
+    old one deleted; if the rename fails the old target comes back. A stage on
+    another file system is first copied next to the target."""
+    src_fs, src, jvm = _fs(spark, stage)
+    fs, dst, _ = _fs(spark, target)
+    if not src_fs.exists(src):
+        raise OSError(f"no stage {stage} to promote to {target}")
     fs.mkdirs(dst.getParent())
+    beside = lambda tag: jvm.org.apache.hadoop.fs.Path(dst.getParent(), f"_{tag}-{uuid.uuid4().hex[:8]}-{dst.getName()}")
+    if src_fs.getUri().toString() != fs.getUri().toString():
+        near = beside("stage")
+        jvm.org.apache.hadoop.fs.FileUtil.copy(src_fs, src, fs, near, False,
+                                               spark.sparkContext._jsc.hadoopConfiguration())
+        src = near
+    old = beside("old") if fs.exists(dst) else None
+    if old is not None and not fs.rename(dst, old):
+        raise OSError(f"could not set {target} aside")
     if not fs.rename(src, dst):
+        if old is not None:
+            fs.rename(old, dst)
         raise OSError(f"could not promote {stage} to {target}")
+    if old is not None:
+        fs.delete(old, True)
 
 
 def list_files(spark: SparkSession, path: str) -> list[str]:

@@ -24,27 +24,31 @@ def text_schema(columns: Sequence[str]) -> T.StructType:
 
 
 def read_csv_positional(spark: SparkSession, path: str, columns: Sequence[str],
-                        sep: str = ",", encoding: str = "UTF-8") -> DataFrame:
+                        sep: str = ",", encoding: str = "UTF-8", multi_line: bool = False) -> DataFrame:
     """A3: small-file bulk load. Header line skipped, columns taken by
     position into an all-text schema (extra trailing fields are dropped,
-    missing trailing fields are null)."""
-    return (spark.read.schema(text_schema(columns))
+    missing trailing fields are null). A quote within quotes is doubled;
+    ``multi_line`` reads quoted newlines too (a file is then one task)."""
+    return (spark.read.schema(text_schema(columns)).option("quote", '"').option("escape", '"')
+            .option("multiLine", multi_line)
             .option("header", True).option("enforceSchema", True)
             .option("sep", sep).option("encoding", encoding)
             .option("mode", "PERMISSIVE").csv(path))
 
 
 def read_csv_by_header(spark: SparkSession, path: str | list[str], fields: Sequence[str],
-                       sep: str = ",", encoding: str = TEXT_LAYER_ENCODING) -> DataFrame:
+                       sep: str = ",", encoding: str = TEXT_LAYER_ENCODING, multi_line: bool = False) -> DataFrame:
     """A4: large-file load. Columns are matched **by header name**; the
     target field list then selects and orders them, and a field absent from
     the header becomes null (C1). Empty text reads as null. Quoted
-    delimiters are honoured."""
+    delimiters and doubled quotes are honoured, with ``multi_line`` quoted
+    newlines too (a file is then one task)."""
     # The column names come from the first file's header; enforceSchema
     # off makes Spark check every other file's header against them, so a
     # folder mixing header orders fails instead of being read by position.
     raw = (spark.read.option("header", True).option("inferSchema", False).option("enforceSchema", False)
            .option("sep", sep).option("encoding", encoding)
+           .option("quote", '"').option("escape", '"').option("multiLine", multi_line)
            .option("mode", "PERMISSIVE").csv(path))
     return project_fields(raw, fields)
 
@@ -53,7 +57,7 @@ def write_text_csv(df: DataFrame, path: str, sep: str = ",",
                    encoding: str = TEXT_LAYER_ENCODING) -> str:
     """Land a frame in the text layer: every column cast to text, header on."""
     (df.select([F.col(c).cast("string").alias(c) for c in df.columns])
-     .write.mode("errorifexists").option("header", True).option("sep", sep)
+     .write.mode("errorifexists").option("header", True).option("sep", sep).option("escape", '"')
      .option("encoding", encoding).csv(path))
     return path
 
@@ -105,7 +109,7 @@ def _first_line(spark: SparkSession, path: str, encoding: str) -> str:
 
 
 def read_csv_files_by_header(spark: SparkSession, path: str, fields: Sequence[str],
-                             sep: str = ",", encoding: str = TEXT_LAYER_ENCODING) -> DataFrame:
+                             sep: str = ",", encoding: str = TEXT_LAYER_ENCODING, multi_line: bool = False) -> DataFrame:
     """A4 for a landing folder whose files do not share one header (each
     file read by its own header, as a per-file dict reader does). Files are
     grouped by their header line -- one short read per file on the driver,

@@ -25,11 +25,11 @@ MESSAGE_SCHEMA = T.StructType([
 
 def kafka_source(spark: SparkSession, bootstrap_servers: str, pattern: str,
                  streaming: bool = True, max_offsets_per_trigger: int | None = None) -> DataFrame:
-    """A10: subscribe by topic regex from the earliest offsets; value as
-    text. Needs the spark-sql-kafka connector on the classpath."""
+    """A10: subscribe by topic regex, anchored at the start only as in
+    :func:`subscribe`, from the earliest offsets; value as text. Needs the spark-sql-kafka connector on the classpath."""
     r = spark.readStream if streaming else spark.read
     r = (r.format("kafka").option("kafka.bootstrap.servers", bootstrap_servers)
-          .option("subscribePattern", pattern).option("startingOffsets", "earliest"))
+          .option("subscribePattern", f"(?:{pattern}).*").option("startingOffsets", "earliest"))
     if streaming and max_offsets_per_trigger:
         r = r.option("maxOffsetsPerTrigger", max_offsets_per_trigger)
     return r.load().select(
