@@ -16,9 +16,9 @@ How hot groups stay cheap, and no link is lost:
 
 - texts equal but for case are one node; copies are only counted;
 - all members of a band's bucket are compared with one hub, drawn anew for
-  each bucket, so that a text meets as many hubs as it has bands; classes are
-  formed of what is linked, and members of other classes than the hub's meet
-  a second hub (``turns``);
+  each bucket, so that a text meets as many hubs as it has bands, and
+  classes are formed of what is linked (``turns`` times, with new hubs for
+  members of other classes than the last one's);
 - texts in buckets that still hold several classes, which are mostly far less
   similar than a link, get a second signature of more and longer bands; in
   its buckets, members of other classes than the hub's are compared with the
@@ -162,7 +162,7 @@ def _split(members: DataFrame, of: DataFrame | None, turn: int) -> DataFrame:
 
 
 def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = SIMILARITY,
-            coarse: tuple[int, int] = COARSE, fine: tuple[int, int] = FINE, turns: int = 2) -> DataFrame:
+            coarse: tuple[int, int] = COARSE, fine: tuple[int, int] = FINE, turns: int = 1) -> DataFrame:
     """(doc_id, node, some, class_id) for each row; node is the digest of the
     lower-cased text, some is whether it has words."""
     spark = ready(docs.sparkSession)
