@@ -82,12 +82,15 @@ def with_scalar(df: DataFrame, scalar: DataFrame, name: str) -> DataFrame:
 def flatten_envelope(df: DataFrame, body_col: str, schema: T.StructType | str,
                      data_field: str = "data", side_fields: Sequence[str] = ("support",),
                      scalar_fields: Sequence[str] = (), keep: Sequence[str] = (),
-                     prefix_side: bool = True) -> DataFrame:
+                     prefix_side: bool = True, mode: str = "FAILFAST") -> DataFrame:
     """``OPENJSON(data) CROSS APPLY OPENJSON(support)``. ``data`` (an
     object or an array of objects) is expanded, each side object is joined
     to every data row; an absent or empty side yields no rows. Scalar
-    envelope fields (``page``, ``total``...) repeat on every row."""
-    doc = F.from_json(F.col(body_col), schema)
+    envelope fields (``page``, ``total``...) repeat on every row. Malformed
+    text or a value not of its type is an error; to keep such documents
+    apart, take them through :func:`conflux.sources.responses.split_documents`
+    first."""
+    doc = F.from_json(F.col(body_col), schema, {"mode": mode})
     out = df.select(*keep, doc.alias("_doc"))
     dtype = out.schema["_doc"].dataType[data_field].dataType
     data = F.col(f"_doc.{data_field}")

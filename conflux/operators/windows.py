@@ -133,10 +133,12 @@ def number_rows(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str
 
 
 def cap_rows(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str],
-             buckets: Sequence[Column], n: int, prior: DataFrame | None = None) -> DataFrame:
+             buckets: Sequence[Column], n: int, prior: DataFrame | None = None,
+             flag: str | None = None) -> DataFrame:
     """First ``n`` rows per key in ``order`` (ties broken by ``order``).
     ``prior`` (``keys + _prior``) carries rows already taken per key, e.g.
-    by earlier micro-batches of a stream."""
+    by earlier micro-batches of a stream. With ``flag`` all rows come back,
+    and that column says which are among the first ``n``."""
     nb = len(buckets)
     bnames = [f"{_B}{i}" for i in range(nb)]
     b = df.select("*", *_bucket_cols(buckets))
@@ -150,11 +152,15 @@ def cap_rows(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str],
                  .select(*keys, *bnames, "_start")
     whole = _join_on(b, inside, [*keys, *bnames], "left_semi")
     w = Window.partitionBy(*keys, *bnames).orderBy(*order)
-    part = (_join_on(b, edge, [*keys, *bnames], "inner")
-             .withColumn("_rn", F.row_number().over(w))
-             .filter(F.col("_start") + F.col("_rn") <= n)
-             .drop("_start", "_rn"))
-    return whole.unionByName(part).drop(*bnames)
+    part = _join_on(b, edge, [*keys, *bnames], "inner").withColumn("_rn", F.row_number().over(w))
+    fits = F.col("_start") + F.col("_rn") <= n
+    if flag is None:
+        return whole.unionByName(part.filter(fits).drop("_start", "_rn")).drop(*bnames)
+    past = starts.filter((F.col("_start") >= n) & (F.col("_start") + F.col("_n") > n)).select(*keys, *bnames)
+    return (whole.withColumn(flag, F.lit(True))
+            .unionByName(part.withColumn(flag, fits).drop("_start", "_rn"))
+            .unionByName(_join_on(b, past, [*keys, *bnames], "left_semi").withColumn(flag, F.lit(False)))
+            .drop(*bnames))
 
 
 def number_tasks(df: DataFrame, keys: Sequence[str], order: Sequence[str], step: int = 20,

@@ -232,6 +232,35 @@ def delimited_stage(spark, sf):
     return FS.read_delimited_stage(spark, stage, part.schema)
 
 
+@check("delimited_real_text", r"""
+SELECT doc_id, text, NOT regexp_matches(text, '[^\x00-\x7f\xa0-\xff€‚ƒ„…†‡ˆ‰Š‹ŒŽ‘’“”•–—˜™š›œžŸ]') AS was_staged
+FROM documents""")
+def delimited_real_text(spark, sf):
+    """A5 on real texts: line breaks, quotes and delimiters survive the stage;
+    rows that its encoding can't hold are kept apart, whole."""
+    docs = _t(spark, sf, "documents").select("doc_id", "text")
+    fit, rest = FS.split_stageable(docs, multi_line=True)
+    stage = FS.stage_delimited(fit, new_path(spark, "text-stage"), multi_line=True)
+    back = FS.read_delimited_stage(spark, stage, docs.schema, multi_line=True)
+    return back.withColumn("was_staged", F.lit(True)).unionByName(rest.withColumn("was_staged", F.lit(False)))
+
+
+@check("json_rejects", """
+SELECT doc_id, CASE WHEN doc_id % 7 <> 3 THEN text END AS text, doc_id % 7 = 3 AS was_rejected FROM documents""")
+def json_rejects(spark, sf):
+    """A7's reject mode: lines cut short are kept apart, whole, and the
+    records of all other lines are read."""
+    docs = _t(spark, sf, "documents")
+    line = F.to_json(F.struct("doc_id", "text"))
+    path = new_path(spark, "cut-lines")
+    (docs.select(F.when(F.col("doc_id") % 7 == 3, F.expr("concat('{\"doc_id\":', doc_id, ',\"text')")).otherwise(line)
+                 .alias("value")).write.text(path))
+    good, bad = FS.read_json_or_reject(spark, path, "doc_id bigint, text string")
+    cut = bad.select(F.regexp_extract("bad_text", r"^\{\"doc_id\":(\d+)", 1).cast("bigint").alias("doc_id"),
+                     F.lit(None).cast("string").alias("text"), F.lit(True).alias("was_rejected"))
+    return good.withColumn("was_rejected", F.lit(False)).unionByName(cut)
+
+
 @check("parquet_shape", """
 SELECT CAST(count(*) AS BIGINT) AS n_rows,
        CAST((SELECT count(*) FROM information_schema.columns WHERE table_name = 'lineitem') AS BIGINT) AS n_cols
@@ -636,18 +665,22 @@ def task_catalog(spark, sf):
 
 
 @check("table_roles", """
-SELECT c.c_custkey, s.s_suppkey, cn.n_name AS cust_n_name, sn.n_name AS supp_n_name
-FROM customer c JOIN supplier s ON c.c_custkey = s.s_suppkey
+SELECT l.l_orderkey, l.l_linenumber, cn.n_name AS cust_n_name, sn.n_name AS supp_n_name
+FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey JOIN customer c ON o.o_custkey = c.c_custkey
+JOIN supplier s ON l.l_suppkey = s.s_suppkey
 LEFT JOIN nation cn ON c.c_nationkey = cn.n_nationkey
 LEFT JOIN nation sn ON s.s_nationkey = sn.n_nationkey""")
 def table_roles(spark, sf):
-    """D3: nation joined as the customer's and as the supplier's nation."""
-    c, s = _t(spark, sf, "customer"), _t(spark, sf, "supplier")
-    pairs = c.join(s, c.c_custkey == s.s_suppkey, "inner").select("c_custkey", "s_suppkey", "c_nationkey",
-                                                                   "s_nationkey")
-    out = JN.with_table_roles(pairs, _t(spark, sf, "nation"), "n_nationkey",
+    """D3: nation joined as the customer's and as the supplier's nation of
+    each line item."""
+    sold = (_t(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", F.col("l_suppkey").alias("s_suppkey"))
+            .join(_t(spark, sf, "orders").select(F.col("o_orderkey").alias("l_orderkey"),
+                                                 F.col("o_custkey").alias("c_custkey")), "l_orderkey")
+            .join(_t(spark, sf, "customer").select("c_custkey", "c_nationkey"), "c_custkey")
+            .join(_t(spark, sf, "supplier").select("s_suppkey", "s_nationkey"), "s_suppkey"))
+    out = JN.with_table_roles(sold, _t(spark, sf, "nation"), "n_nationkey",
                               {"cust": "c_nationkey", "supp": "s_nationkey"}, ["n_name"], bounded=True)
-    return out.select("c_custkey", "s_suppkey", "cust_n_name", "supp_n_name")
+    return out.select("l_orderkey", "l_linenumber", "cust_n_name", "supp_n_name")
 
 
 @check("active_tasks", """
@@ -1086,6 +1119,44 @@ def cap_per_topic_multibatch(spark, sf):
     return a.unionByName(b)
 
 
+@check("cap_per_run", "WITH " + M_SQL + """,
+p AS (SELECT (SELECT count(*) FROM events) // 12 AS cap, (SELECT max("offset") FROM m) // 2 AS half),
+n AS (SELECT topic, count(*) AS n_all, count(*) FILTER (WHERE "offset" < (SELECT half FROM p)) AS n_first
+      FROM m GROUP BY topic),
+l AS (SELECT topic, n_all, least(n_first, cap) + least(n_all - least(n_first, cap), cap) AS loaded, cap FROM n, p)
+SELECT 'checkpoint' AS mode, topic, CAST(loaded AS BIGINT) AS n_loaded, CAST(n_all - loaded AS BIGINT) AS n_pending FROM l
+UNION ALL SELECT 'replay', topic, CAST(2 * least(n_all, cap) AS BIGINT), CAST(0 AS BIGINT) FROM l""")
+def cap_per_run(spark, sf):
+    """S2 + S4: two capped checkpointed runs with files landing between them,
+    and two capped replays. Each run takes up to the cap of each topic; what
+    a checkpointed run leaves is pending."""
+    msgs, events = _messages(spark, sf), _t(spark, sf, "events")
+    cap, half = events.count() // 12, msgs.agg(F.max("offset")).first()[0] // 2
+    src, ck = new_path(spark, "msg-files"), new_path(spark, "ckpt")
+
+    def targets():
+        return SC.IngestTargets(table=new_path(spark, "msg-table"), dlq=new_path(spark, "msg-dlq"),
+                                state=new_path(spark, "msg-state"), created=RUN_TS, max_messages=cap)
+
+    def loaded(t):
+        both = spark.read.parquet(t.table).select("topic").unionByName(
+            spark.read.parquet(t.dlq).select(F.col("source_topic").alias("topic")))
+        return both.groupBy("topic").agg(F.count(F.lit(1)).alias("n_loaded"))
+
+    a, b = targets(), targets()
+    for part in (msgs.filter(F.col("offset") < half), msgs.filter(F.col("offset") >= half)):
+        part.write.mode("append").json(src)
+        SC.consume(spark, src, a, checkpoint=ck)
+    for _ in range(2):
+        SC.consume(spark, src, b, replay=True)
+    left = SC.pending_messages(spark, a, ck).groupBy("topic").agg(F.count(F.lit(1)).alias("n_pending"))
+    kept = loaded(a).join(left, "topic", "full_outer").select(
+        F.lit("checkpoint").alias("mode"), "topic", F.coalesce("n_loaded", F.lit(0)).cast("bigint").alias("n_loaded"),
+        F.coalesce("n_pending", F.lit(0)).cast("bigint").alias("n_pending"))
+    return kept.unionByName(loaded(b).select(F.lit("replay").alias("mode"), "topic", "n_loaded",
+                                             F.lit(0).cast("bigint").alias("n_pending")))
+
+
 @check("micro_batch_options", "SELECT CAST(4 AS BIGINT) AS n_batches, CAST(count(*) AS BIGINT) AS n_rows FROM events")
 def micro_batch_options(spark, sf):
     """maxFilesPerTrigger=1 over 4 message files -> 4 batches, all rows."""

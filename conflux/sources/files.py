@@ -9,9 +9,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from ..operators.project import project_fields
+from ..session import new_path
 
 TEXT_LAYER_ENCODING = "ISO-8859-1"   # large-file path reads Latin-1
 STAGE_DELIMITER = "|"                # delimited staging format
@@ -58,20 +59,46 @@ def write_text_csv(df: DataFrame, path: str, sep: str = ",",
     """Land a frame in the text layer: every column cast to text, header on."""
     (df.select([F.col(c).cast("string").alias(c) for c in df.columns])
      .write.mode("errorifexists").option("header", True).option("sep", sep).option("escape", '"')
+     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
      .option("encoding", encoding).csv(path))
     return path
 
 
-def stage_delimited(df: DataFrame, path: str) -> str:
+# The characters of windows-1252 outside ASCII and Latin-1.
+_CP1252_EXTRA = "€‚ƒ„…†‡ˆ‰Š‹ŒŽ‘’“”•–—˜™š›œžŸ"
+
+
+def _not_stageable(name: str, multi_line: bool) -> Column:
+    text = F.col(f"`{name}`").cast("string")
+    bad = text.rlike(rf"[^\x00-\x7f\xa0-\xff{_CP1252_EXTRA}]")
+    return F.coalesce(bad if multi_line else bad | text.rlike(r"[\r\n]"), F.lit(False))
+
+
+def split_stageable(df: DataFrame, multi_line: bool = False) -> tuple[DataFrame, DataFrame]:
+    """A5's reject mode: the rows that the staging encoding and format can
+    hold, and the others."""
+    bad = F.lit(False)
+    for c in df.columns:
+        bad = bad | _not_stageable(c, multi_line)
+    return df.filter(~bad), df.filter(bad)
+
+
+def stage_delimited(df: DataFrame, path: str, multi_line: bool = False) -> str:
     """A5: write a large extract as ``|``-separated windows-1252 text with a
-    header (needs ``spark.sql.legacy.javaCharsets=true``)."""
-    return write_text_csv(df, path, sep=STAGE_DELIMITER, encoding=STAGE_ENCODING)
+    header (needs ``spark.sql.legacy.javaCharsets=true``). A character that
+    the encoding lacks is an error, as is a line break unless the stage will
+    be read with ``multi_line``; :func:`split_stageable` keeps such rows
+    apart."""
+    checked = [F.when(_not_stageable(c, multi_line), F.raise_error(F.lit(f"value of {c} can't be staged")))
+               .otherwise(F.col(f"`{c}`").cast("string")).alias(c) for c in df.columns]
+    return write_text_csv(df.select(checked), path, sep=STAGE_DELIMITER, encoding=STAGE_ENCODING)
 
 
-def read_delimited_stage(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+def read_delimited_stage(spark: SparkSession, path: str, schema: T.StructType,
+                         multi_line: bool = False) -> DataFrame:
     """A5: bulk load of a staged delimited file into a typed schema."""
     text = read_csv_by_header(spark, path, schema.fieldNames(), sep=STAGE_DELIMITER,
-                              encoding=STAGE_ENCODING)
+                              encoding=STAGE_ENCODING, multi_line=multi_line)
     return text.select([F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
@@ -85,12 +112,27 @@ def parquet_shape(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_json_records(spark: SparkSession, path: str, schema: T.StructType | str,
-                      multi_line: bool = False) -> DataFrame:
+                      multi_line: bool = False, mode: str = "FAILFAST") -> DataFrame:
     """Records from JSON files. A line (or, with ``multi_line``, a
     whole file) holding a top-level array yields one row per element. Keep
     one array per line so that files stay splittable; ``multi_line`` is for
-    pretty-printed single documents."""
-    return spark.read.schema(schema).option("multiLine", multi_line).json(path)
+    pretty-printed single documents. Malformed text is an error, see
+    :func:`read_json_or_reject`."""
+    return spark.read.schema(schema).option("multiLine", multi_line).option("mode", mode).json(path)
+
+
+def read_json_or_reject(spark: SparkSession, path: str, schema: T.StructType | str,
+                        multi_line: bool = False) -> tuple[DataFrame, DataFrame]:
+    """A7 with rejects: the records, and one row ``bad_text`` for each line
+    (or file) that doesn't parse. The files are parsed once, into a stage
+    that both frames read."""
+    fields = (T.StructType.fromDDL(schema) if isinstance(schema, str) else schema).fields
+    stage = new_path(spark, "json-records")
+    (spark.read.schema(T.StructType([*fields, T.StructField("bad_text", T.StringType())]))
+     .option("multiLine", multi_line).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "bad_text")
+     .json(path).write.parquet(stage))
+    both = spark.read.parquet(stage)
+    return both.filter("bad_text IS NULL").drop("bad_text"), both.filter("bad_text IS NOT NULL").select("bad_text")
 
 
 def empty_like(df: DataFrame) -> DataFrame:

@@ -8,28 +8,71 @@ everything after the fetch is a Spark plan: parse, follow the cursor chain
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..operators.windows import page_chain
 
 DEFAULT_MAX_PAGES = 2
 
 
+_BAD = "_bad_text"
+
+
+def _schema(schema: T.StructType | str) -> T.StructType:
+    return T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+
+
+def _parsed(body: str, schema: T.StructType) -> Column:
+    """The document, with its whole text in ``_BAD`` where it doesn't parse."""
+    return F.from_json(F.col(body), T.StructType([*schema.fields, T.StructField(_BAD, T.StringType())]),
+                       {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _BAD})
+
+
+def is_malformed(body: str, schema: T.StructType | str = "meta string") -> Column:
+    """Whether a text isn't a JSON document of the schema (null and empty
+    text aren't either)."""
+    doc = _parsed(body, _schema(schema))
+    return doc.isNull() | doc[_BAD].isNotNull()
+
+
+def split_documents(df: DataFrame, body: str, schema: T.StructType | str) -> tuple[DataFrame, DataFrame]:
+    """Reject mode of A8, A9, D7 and U3: the rows whose document parses
+    against the schema, and the others. Both read the input; no row is in
+    neither."""
+    bad = is_malformed(body, schema)
+    return df.filter(~bad), df.filter(bad)
+
+
 def landed_pages(pages: DataFrame, result_schema: T.StructType | str,
                  max_pages: int = DEFAULT_MAX_PAGES, body: str = "body",
-                 request: str = "request_id", page_num: str = "page_num") -> DataFrame:
+                 request: str = "request_id", page_num: str = "page_num", skip_malformed: bool = False) -> DataFrame:
     """Records of each request's pages, following the cursor chain:
     pages up to and including the first with a null/empty
-    ``meta.next_cursor``, at most ``max_pages``. One row per result."""
-    cursor = F.get_json_object(F.col(body), "$.meta.next_cursor")
+    ``meta.next_cursor``, at most ``max_pages``. One row per result.
+
+    A malformed page within a chain is an error, as it is for a client that
+    follows the cursors. With ``skip_malformed`` it gives no records and the
+    chain goes on after it; :func:`split_documents` of the pages (schema
+    ``meta string, results string``) gives the rejects."""
+    if skip_malformed:
+        cursor = F.when(is_malformed(body), F.lit("unknown")) \
+            .otherwise(F.get_json_object(F.col(body), "$.meta.next_cursor"))
+    else:
+        cursor = F.get_json_object(F.col(body), "$.meta.next_cursor")
     parsed = pages.select(request, page_num, cursor.alias("next_cursor"), body)
     kept = page_chain(parsed, request, page_num, F.col("next_cursor"), max_pages)
     arr = (f"array<struct<{result_schema}>>" if isinstance(result_schema, str)
            else T.ArrayType(result_schema))
-    results = F.from_json(F.get_json_object(F.col(body), "$.results"), arr)
+    text = F.get_json_object(F.col(body), "$.results")
+    if not skip_malformed:
+        where = F.concat(F.lit("malformed page "), F.col(page_num).cast("string"), F.lit(" of request "),
+                         F.col(request).cast("string"))
+        text = F.when(is_malformed(body), F.raise_error(where)).otherwise(text)
+    results = F.from_json(text, arr)
     return kept.select(request, page_num, F.inline(results))  # null -> no rows
 
 
-def parse_envelope(df: DataFrame, body: str, schema: T.StructType | str) -> DataFrame:
-    """One response document parsed against an explicit schema."""
-    return df.withColumn("doc", F.from_json(F.col(body), schema))
+def parse_envelope(df: DataFrame, body: str, schema: T.StructType | str, mode: str = "FAILFAST") -> DataFrame:
+    """One response document parsed against an explicit schema. Malformed
+    text is an error; :func:`split_documents` keeps it apart."""
+    return df.withColumn("doc", F.from_json(F.col(body), schema, {"mode": mode}))

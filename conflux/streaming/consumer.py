@@ -17,7 +17,8 @@ micro-batch grows with the backlog.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+import time
+from dataclasses import dataclass, replace
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -25,10 +26,13 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..operators.project import enrich_message
 from ..operators.validate import DLQ_VALUE, REASON, route
 from ..operators.windows import cap_rows
+from ..session import new_path
 from ..sinks.tables import path_exists
 from ..sources.messages import MESSAGE_SCHEMA
 
 CAP_BUCKET = 1 << 16
+MAX_FILES = 1000        # files of one micro-batch, unless the caller sets another bound
+_TAKEN = "_taken"
 
 # Typed fields of a message record in the target table.
 RECORD_FIELDS = {"name": "string", "address": "string", "transaction_id": "string", "amount": "bigint"}
@@ -79,50 +83,112 @@ def message_file_stream(spark: SparkSession, path: str, max_files_per_trigger: i
 class IngestTargets:
     table: str                     # valid rows, partitioned by batch_id
     dlq: str                       # dead letters, partitioned by batch_id
-    state: str | None = None       # per-topic taken counts (S4)
+    state: str | None = None       # per-topic taken counts and what is left pending (S4)
     group_id: str = "etl-group"
     created: datetime | None = None
-    max_messages: int | None = None   # per topic, across all batches
+    max_messages: int | None = None   # per topic and run
+    run_id: int = 0                   # whose counts the cap goes by; consume_available sets a new one
 
+    @property
+    def pending(self) -> str:
+        return f"{self.state}_pending"
 
-def _prior_counts(spark: SparkSession, state: str, batch_id: int) -> DataFrame | None:
-    if not path_exists(spark, state):
+    @property
+    def drains(self) -> str:
+        return f"{self.state}_drains"
+
+
+def _prior_counts(spark: SparkSession, t: IngestTargets, batch_id: int) -> DataFrame | None:
+    if not path_exists(spark, t.state):
         return None
-    st = spark.read.parquet(state)
-    return (st.filter(F.col("batch_id") < batch_id).groupBy("topic")
+    st = spark.read.parquet(t.state)
+    return (st.filter((F.col("run_id") == t.run_id) & (F.col("batch_id") < batch_id)).groupBy("topic")
               .agg(F.sum("taken").alias("_prior")))
 
 
+def _staged(df: DataFrame, tag: str) -> DataFrame:
+    path = new_path(df.sparkSession, tag)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def ingest_batch(batch: DataFrame, batch_id: int, t: IngestTargets) -> None:
-    """S3: one micro-batch, validated, capped and routed in one pass."""
+    """S3: one micro-batch, capped, validated and routed. The messages past
+    the cap go as they are to ``t.pending``; the parsed ones to a written
+    stage, from which table and dead letters are filled."""
     spark = batch.sparkSession
-    msgs = enrich_message(batch, t.group_id, t.created)
     if t.max_messages is not None:
-        prior = _prior_counts(spark, t.state, batch_id) if t.state else None
-        msgs = cap_rows(msgs, ["topic"], [F.col("partition"), F.col("offset")],
-                        [F.col("partition"), F.floor(F.col("offset") / CAP_BUCKET)],
-                        t.max_messages, prior=prior)
-    routed = route(msgs, RECORD_FIELDS).persist()
-    try:
-        (routed.filter(F.col(REASON).isNull())
-               .select("topic", "partition", "offset", "timestamp", *RECORD_FIELDS,
-                       "group_id", "date_created", "kafka_topic")
-               .write.mode("overwrite").parquet(f"{t.table}/batch_id={batch_id}"))
-        (routed.filter(F.col(REASON).isNotNull())
-               .select(F.col("topic").alias("source_topic"), "partition", "offset", REASON,
-                       F.col(DLQ_VALUE).alias("value"))
-               .write.mode("overwrite").parquet(f"{t.dlq}/batch_id={batch_id}"))
-        if t.max_messages is not None and t.state:
-            (routed.groupBy("topic").agg(F.count(F.lit(1)).cast("bigint").alias("taken"))
-                   .write.mode("overwrite").parquet(f"{t.state}/batch_id={batch_id}"))
-    finally:
-        routed.unpersist()
+        prior = _prior_counts(spark, t, batch_id) if t.state else None
+        marked = _staged(cap_rows(batch, ["topic"], [F.col("partition"), F.col("offset")],
+                                  [F.col("partition"), F.floor(F.col("offset") / CAP_BUCKET)],
+                                  t.max_messages, prior=prior, flag=_TAKEN), "micro-batch")
+        batch = marked.filter(_TAKEN).drop(_TAKEN)
+        if t.state:
+            (marked.filter(~F.col(_TAKEN)).drop(_TAKEN)
+             .write.mode("overwrite").parquet(f"{t.pending}/batch_id={batch_id}"))
+            (batch.groupBy("topic").agg(F.count(F.lit(1)).cast("bigint").alias("taken"))
+             .withColumn("run_id", F.lit(t.run_id).cast("bigint"))
+             .write.mode("overwrite").parquet(f"{t.state}/batch_id={batch_id}"))
+    routed = _staged(route(enrich_message(batch, t.group_id, t.created), RECORD_FIELDS), "routed")
+    (routed.filter(F.col(REASON).isNull())
+           .select("topic", "partition", "offset", "timestamp", *RECORD_FIELDS,
+                   "group_id", "date_created", "kafka_topic")
+           .write.mode("overwrite").parquet(f"{t.table}/batch_id={batch_id}"))
+    (routed.filter(F.col(REASON).isNotNull())
+           .select(F.col("topic").alias("source_topic"), "partition", "offset", REASON,
+                   F.col(DLQ_VALUE).alias("value"))
+           .write.mode("overwrite").parquet(f"{t.dlq}/batch_id={batch_id}"))
+
+
+def _pending_batches(spark: SparkSession, t: IngestTargets, checkpoint: str) -> tuple[list[int], int]:
+    """The batches whose pending messages no drain has taken over, and the
+    number of drains so far. A batch counts once its stream has committed
+    it: one that hasn't will be run again."""
+    if not (t.state and path_exists(spark, t.pending)):
+        return [], 0
+    drains = spark.read.parquet(t.drains).collect() if path_exists(spark, t.drains) else []   # a row for each run
+    over = {b for d in drains for b in d["covers"]}
+    done = {d["drain"] for d in drains}
+    found = [r["batch_id"] for r in spark.read.parquet(t.pending).select("batch_id").distinct().collect()]
+    return sorted(b for b in found if b not in over
+                  and (b in done if b < 0 else path_exists(spark, f"{checkpoint}/commits/{b}"))), len(drains)
+
+
+def drain_pending(spark: SparkSession, t: IngestTargets, checkpoint: str) -> None:
+    """Load what earlier runs left past the cap, up to this run's cap, as
+    batch -1, -2, ...; what is still past it stays pending under that batch.
+    The drain counts once its row in ``t.drains`` is written; a drain cut
+    off before is done again into the same folders."""
+    live, drained = _pending_batches(spark, t, checkpoint)
+    if not live:
+        return
+    number = -(drained + 1)
+    left = spark.read.parquet(t.pending).filter(F.col("batch_id").isin(live)).drop("batch_id")
+    ingest_batch(left, number, t)
+    (spark.createDataFrame([(live,)], "covers array<bigint>").coalesce(1)
+     .write.mode("overwrite").parquet(f"{t.drains}/drain={number}"))
+
+
+def pending_messages(spark: SparkSession, t: IngestTargets, checkpoint: str) -> DataFrame:
+    """The messages that no run has loaded yet because of the cap."""
+    live, _ = _pending_batches(spark, t, checkpoint)
+    if not live:
+        return spark.createDataFrame([], MESSAGE_SCHEMA)
+    return spark.read.parquet(t.pending).filter(F.col("batch_id").isin(live)).drop("batch_id")
 
 
 def consume_available(stream: DataFrame, targets: IngestTargets, checkpoint: str) -> int:
     """Consume what is available now, then stop (the bounded run of a
-    consumer that stops when idle). Returns the number of micro-batches."""
+    consumer that stops when idle). Returns the number of micro-batches.
+
+    S4: a run takes up to ``max_messages`` of each topic. What it leaves
+    stays pending and comes first in the next run, so nothing is lost though
+    the stream commits its offsets; that needs ``targets.state``."""
+    if targets.max_messages is not None and not targets.state:
+        raise ValueError("a capped run needs a state path for what it leaves")
     batches: list[int] = []
+    targets = replace(targets, run_id=time.time_ns())
+    drain_pending(stream.sparkSession, targets, checkpoint)
 
     def run(df: DataFrame, batch_id: int) -> None:
         ingest_batch(df, batch_id, targets)
@@ -137,15 +203,15 @@ def consume_available(stream: DataFrame, targets: IngestTargets, checkpoint: str
 
 
 def consume(spark: SparkSession, source_path: str, targets: IngestTargets, replay: bool = False,
-            checkpoint: str | None = None, fmt: str = "json") -> None:
+            checkpoint: str | None = None, fmt: str = "json", max_files_per_trigger: int = MAX_FILES) -> None:
     """``replay=True`` reads every message again on each run (a fresh
-    consumer group that never commits) and appends; the default keeps a
-    checkpoint, so each offset is loaded once across runs."""
+    consumer group that never commits) and appends, each run up to its own
+    cap; the default keeps a checkpoint, so each offset is loaded once across
+    runs, in micro-batches of at most ``max_files_per_trigger`` files."""
     if replay:
         batch = spark.read.schema(MESSAGE_SCHEMA).format(fmt).load(source_path)
-        run_id = int(datetime.now().timestamp() * 1e6)
-        ingest_batch(batch, run_id, targets)
+        ingest_batch(batch, time.time_ns(), replace(targets, state=None))
     else:
         if not checkpoint:
             raise ValueError("a checkpoint location is required without replay")
-        consume_available(message_file_stream(spark, source_path, fmt=fmt), targets, checkpoint)
+        consume_available(message_file_stream(spark, source_path, max_files_per_trigger, fmt=fmt), targets, checkpoint)
