@@ -123,6 +123,22 @@ def envelopes(region: DataFrame, nation: DataFrame) -> DataFrame:
     return j.select(rk.alias("region_id"), body.alias("body"))
 
 
+def resource_envelopes(part: DataFrame) -> DataFrame:
+    """One resource page for each run of ten part keys (``page_num``,
+    ``body``). Every seventh page has no ``support``. A ``collect_list``
+    group holds ten parts at most, like one API response page."""
+    key, page = F.col("p_partkey"), F.expr("p_partkey div 10")
+    item = F.struct(key.alias("id"), F.col("p_name").alias("name"), (F.lit(2000) + key % 25).alias("year"),
+                    F.col("p_brand").alias("color"), F.col("p_type").alias("pantone_value"))
+    pages = (part.groupBy(page.cast("int").alias("page_num"))
+             .agg(F.collect_list(item).alias("data"), F.count(F.lit(1)).alias("total")))
+    support = F.when(F.col("page_num") % 7 != 0, F.struct(F.lit("https://support").alias("url"),
+                                                          F.concat(F.lit("page "), F.col("page_num")).alias("text")))
+    return pages.select("page_num", F.to_json(F.struct(
+        F.col("page_num").alias("page"), F.lit(10).alias("per_page"), "total", F.lit(1).alias("total_pages"),
+        "data", support.alias("support"))).alias("body"))
+
+
 def run_log(events: DataFrame) -> DataFrame:
     """Append-only run log from ``events``: run = ``user_id``; ``view`` is a
     ``running`` entry, ``purchase`` ``succeeded``, ``error`` ``failed``;

@@ -9,7 +9,7 @@ never become SQL text, and a table parameter goes through
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
@@ -75,14 +75,38 @@ DBO_TARGET = T.StructType([
 ])
 
 
+def _text(*names: str) -> list[T.StructField]:
+    return [T.StructField(n, T.StringType()) for n in names]
+
+
+def _ints(*names: str) -> list[T.StructField]:
+    return [T.StructField(n, T.IntegerType()) for n in names]
+
+
+#: The resource shape: a page of coloured resources with its paging numbers.
+RESOURCE_PAGING = ("page", "per_page", "total", "total_pages")
+RESOURCE_ENVELOPE = T.StructType([
+    *_ints(*RESOURCE_PAGING),
+    T.StructField("data", T.ArrayType(T.StructType(
+        [*_ints("id"), *_text("name"), *_ints("year"), *_text("color", "pantone_value")]))),
+    T.StructField("support", T.StructType(_text("url", "text"))),
+])
+RESOURCE_TARGET = T.StructType([
+    T.StructField("id", T.IntegerType(), False), *_text("name"), *_ints("year"), *_text("color", "pantone_value"),
+    *_ints(*RESOURCE_PAGING), *_text("support_url", "support_text"),
+])
+
+
 def load_envelope(spark: SparkSession, docs: DataFrame, body: str, job_inst_id: int,
                   raw_path: str, dbo_path: str, log_path: str, load_ts: datetime,
                   envelope: T.StructType = USER_ENVELOPE, target: T.StructType = DBO_TARGET,
-                  constraints: Constraints | None = None) -> DataFrame:
+                  constraints: Constraints | None = None,
+                  scalar_fields: Sequence[str] = ("page", "total")) -> DataFrame:
     """JSON -> raw (all text, full reload) -> this run's rows -> typed
     dbo (full reload), with the row counts of both steps appended to the
-    run log. Returns the dbo table."""
-    flat = flatten_envelope(docs, body, envelope, scalar_fields=("page", "total"))
+    run log. Returns the dbo table. The shape is that of users unless
+    ``envelope``, ``target`` and ``scalar_fields`` name another one."""
+    flat = flatten_envelope(docs, body, envelope, scalar_fields=scalar_fields)
     raw = add_lineage(flat.select([F.col(c).cast("string").alias(c) for c in flat.columns]),
                       job_inst_id, load_ts)
     n_raw = reload_with_rowcount(raw, raw_path)
@@ -98,3 +122,10 @@ def load_envelope(spark: SparkSession, docs: DataFrame, body: str, job_inst_id:
         "error_msg string, context string, is_error boolean")
     append_run_log(log, log_path)
     return spark.read.parquet(dbo_path)
+
+
+def load_resources(spark: SparkSession, docs: DataFrame, body: str, job_inst_id: int, raw_path: str, dbo_path: str,
+                   log_path: str, load_ts: datetime, constraints: Constraints | None = None) -> DataFrame:
+    """U3 for the resource shape."""
+    return load_envelope(spark, docs, body, job_inst_id, raw_path, dbo_path, log_path, load_ts, RESOURCE_ENVELOPE,
+                         RESOURCE_TARGET, constraints, RESOURCE_PAGING)

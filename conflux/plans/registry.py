@@ -426,9 +426,11 @@ SELECT topic, CAST(count(*) AS BIGINT) AS n_messages,
        CAST(count(*) FILTER (WHERE name IS NOT NULL) AS BIGINT) AS n_named
 FROM m WHERE error_reason IS NULL GROUP BY topic""")
 def publish_fanout(spark, sf):
-    """Valid records re-serialised to their topics."""
+    """Valid records re-serialised to their topics, landed and read back."""
     good, _ = land_routed(_messages(spark, sf), SC.RECORD_FIELDS, new_path(spark, "routed"))
-    out = SK.publish(good)
+    landed = new_path(spark, "published")
+    SK.publish(good, landing=landed)
+    out = spark.read.schema("topic string, value string").json(landed)
     return out.groupBy("topic").agg(
         F.count(F.lit(1)).cast("bigint").alias("n_messages"),
         F.count(F.get_json_object("value", "$.name")).cast("bigint").alias("n_named"))
@@ -1265,3 +1267,18 @@ def load_envelope(spark, sf):
     docs = fx.envelopes(_t(spark, sf, "region"), _t(spark, sf, "nation"))
     return procs.load_envelope(spark, docs, "body", RUN_ID, new_path(spark, "raw-env"), new_path(spark, "dbo-env"),
                                new_path(spark, "log-env"), RUN_TS)
+
+
+@check("load_envelope_resource", """
+SELECT CAST(p_partkey AS INTEGER) AS id, p_name AS name, CAST(2000 + p_partkey % 25 AS INTEGER) AS year,
+       p_brand AS color, p_type AS pantone_value, CAST(p_partkey // 10 AS INTEGER) AS page,
+       CAST(10 AS INTEGER) AS per_page, CAST(count(*) OVER (PARTITION BY p_partkey // 10) AS INTEGER) AS total,
+       CAST(1 AS INTEGER) AS total_pages, 'https://support' AS support_url,
+       'page ' || CAST(p_partkey // 10 AS VARCHAR) AS support_text,
+       CAST(42 AS INTEGER) AS job_inst_id, TIMESTAMP '2024-01-01 00:00:00' AS date_created
+FROM part WHERE (p_partkey // 10) % 7 <> 0""")
+def load_envelope_resource(spark, sf):
+    """The three-way resource load, raw and dbo."""
+    docs = fx.resource_envelopes(_t(spark, sf, "part"))
+    return procs.load_resources(spark, docs, "body", RUN_ID, new_path(spark, "raw-res"), new_path(spark, "dbo-res"),
+                                new_path(spark, "log-res"), RUN_TS)

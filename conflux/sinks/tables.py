@@ -223,16 +223,19 @@ def archive_source_files(spark: SparkSession, files: Sequence[str], failed: bool
 
 
 def publish(msgs: DataFrame, bootstrap_servers: str | None = None, topic_col: str = "topic",
-            value_cols: Sequence[str] = ("name", "address", "transaction_id", "amount")) -> DataFrame:
+            value_cols: Sequence[str] = ("name", "address", "transaction_id", "amount"),
+            landing: str | None = None) -> DataFrame:
     """Each record as JSON text to its topic (fan-out by the ``topic``
     column). Returns the Kafka-shaped frame; with ``bootstrap_servers`` it
     is also written through the Kafka connector with ``acks=all`` and 3
-    retries."""
+    retries, with ``landing`` appended there as JSON lines."""
     out = msgs.select(F.col(topic_col).alias("topic"),
                       F.to_json(F.struct(*[F.col(c) for c in value_cols])).alias("value"))
     if bootstrap_servers:
         (out.write.format("kafka").option("kafka.bootstrap.servers", bootstrap_servers)
             .option("kafka.acks", "all").option("kafka.retries", 3).save())
+    if landing:
+        out.write.mode("append").json(landing)
     return out
 
 
