@@ -12,15 +12,22 @@ from __future__ import annotations
 from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
 
 from ..operators.conform import conform, enforce
 from ..operators.joins import Dim, task_catalog
 from ..operators.project import add_lineage, project_fields
 from ..operators.windows import number_tasks
-from ..sinks.tables import load_with_rowcount, reload_with_rowcount
+from ..session import new_path
+from ..sinks.tables import (append_load, archive_source_files, list_files, load_with_rowcount, path_exists, publish,
+                            replace_with)
+from ..sources.messages import generate_messages
 from ..sources.relational import extract
 
+#: Messages of a micro-batch of a consumer task that names no bound.
+MAX_OFFSETS = 1_000_000
+PRODUCED = "name string, address string, transaction_id string, amount bigint"
+
 
 def shape(df: DataFrame, task: dict) -> DataFrame:
     """Field list (C1) and target types (C5) of a task."""
@@ -33,19 +40,100 @@ def shape(df: DataFrame, task: dict) -> DataFrame:
 
 def ingest(spark: SparkSession, task: dict, target_path: str | None = None) -> tuple[DataFrame, int | None]:
     """Task row -> source kind -> reader -> shape -> checks -> target.
-    Without ``target_path`` only the shaped frame is returned."""
-    df = shape(extract(spark, task), task)
-    if task.get("constraints") is not None:
-        enforce(df, task["constraints"])
+    Without ``target_path`` only the shaped frame is returned.
+
+    The source is read once, into a stage; the constraints are checked there
+    and the stage is what gets loaded, so a failed load keeps the target. An
+    incremental load of a run (``job_inst_id``) replaces what that run has
+    loaded before, so doing it again doesn't double its rows; targets of runs
+    are partitioned by it for that. With ``archive_files`` the input files move to ``processed/`` or, on failure,
+    ``error/`` (B7)."""
     if target_path is None:
+        df = shape(extract(spark, task), task)
+        if task.get("constraints") is not None:
+            enforce(df, task["constraints"])
         return df, None
-    if task.get("job_inst_id") is not None:
-        df = add_lineage(df, task["job_inst_id"], task.get("run_ts") or datetime.now())
+    files = list_files(spark, task["file_path"]) if task.get("archive_files") else []
+    try:
+        n = _load(spark, task, target_path)
+    except Exception:
+        if files:
+            archive_source_files(spark, files, True, task.get("run_ts"))
+        raise
+    if files:
+        archive_source_files(spark, files, False, task.get("run_ts"))
+    return spark.read.parquet(target_path), n
+
+
+def _load(spark: SparkSession, task: dict, target_path: str) -> int:
+    df, run = shape(extract(spark, task), task), task.get("job_inst_id")
+    if run is not None:
+        df = add_lineage(df, run, task.get("run_ts") or datetime.now())
+    stage = new_path(spark, "task-stage")
+    n = load_with_rowcount(df, stage, mode="errorifexists", partition_by=["job_inst_id"] if run is not None else [])
+    staged = spark.read.schema(df.schema).parquet(stage)
+    if task.get("constraints") is not None:
+        enforce(staged, task["constraints"])
     if task.get("is_full_load", True):
-        n = reload_with_rowcount(df, target_path)     # staged: a failed load keeps the old target
+        replace_with(spark, stage, target_path)
+    elif run is not None:
+        append_load(staged, target_path, run_column="job_inst_id")
     else:
-        n = load_with_rowcount(df, target_path, mode="append")
-    return spark.read.parquet(target_path), n
+        append_load(staged, target_path)
+    return n
+
+
+def consume_task(spark: SparkSession, task: dict) -> int:
+    """A Kafka consumer task: the topics that fit its pattern go through
+    validation, dead letters, the per-topic cap and bounded micro-batches
+    (S1-S4) into ``target_path``, with dead letters, state and checkpoint
+    beside it. Messages come from the broker, or from files landed at
+    ``file_path``. Returns the rows loaded in this run."""
+    from ..sources.messages import kafka_source, subscribe
+    from ..sources.relational import topic_pattern
+    from ..streaming import consumer as SC
+
+    table = task["target_path"].rstrip("/")
+    targets = SC.IngestTargets(table=table, dlq=f"{table}_dlq", state=f"{table}_state",
+                               group_id=task.get("kafka_group_id") or "etl-group",
+                               created=task.get("run_ts") or datetime.now(), max_messages=task.get("max_message_num"))
+    pattern = topic_pattern(task.get("kafka_topic_pattern")) or task["kafka_topic"]
+    if task.get("file_path"):
+        stream = subscribe(SC.message_file_stream(spark, task["file_path"], SC.MAX_FILES), pattern)
+    else:
+        stream = kafka_source(spark, task["kafka_bootstrap_servers"], pattern,
+                              max_offsets_per_trigger=task.get("max_offsets_per_trigger") or MAX_OFFSETS)
+    rows = lambda: spark.read.parquet(table).count() if path_exists(spark, table) else 0
+    before = rows()
+    SC.consume_available(stream, targets, f"{table}_checkpoint")
+    return rows() - before
+
+
+def produce_task(spark: SparkSession, task: dict) -> int:
+    """A Kafka producer task (``job_type`` other than ETL): generated records
+    (A11), one for each id of ``ids`` or ``kafka_batch_record_size`` of them,
+    published (B10) to the broker, or landed at ``target_path`` where no broker
+    is given. Returns the messages published."""
+    ids = task.get("ids")
+    if ids is None:
+        ids = spark.range(int(task["kafka_batch_record_size"])).toDF("id")
+    made = generate_messages(ids, ids.columns[0]).select("topic", "value")
+    made = made.select("topic", F.from_json("value", PRODUCED).alias("r")).select("topic", "r.*")
+    broker = task.get("kafka_bootstrap_servers")
+    obs = Observation("published")
+    publish(made.observe(obs, F.count(F.lit(1)).alias("rows")), broker,
+            landing=None if broker else task["target_path"])
+    return int(obs.get["rows"])
+
+
+def run_task(spark: SparkSession, task: dict) -> int:
+    """One task of any kind; the number of rows loaded or published."""
+    if (task.get("conn_type") or "").strip().lower() == "kafka":
+        if task.get("job_type") == "non-etl":
+            return produce_task(spark, task)
+        if task.get("is_kafka_consumer"):
+            return consume_task(spark, task)
+    return ingest(spark, task, task["target_path"])[1]
 
 
 def job_tasks(job_inst_task: DataFrame, job_task: DataFrame, tbl: DataFrame, conn: DataFrame,
@@ -176,11 +264,19 @@ def task_catalog_for(md: Metadata, job_inst_id: int, etl_step: str, job_inst_tas
     return number_tasks(out, ["job_inst_id", "etl_step"], ["step_seq", "job_inst_task_id"], step)
 
 
-def tasks_from_catalog(catalog: DataFrame, target_root: str) -> list[dict]:
+def tasks_from_catalog(catalog: DataFrame, target_root: str, targets: dict[str, T.StructType] | None = None,
+                       connections: dict[str, dict] | None = None) -> list[dict]:
     """Task rows of a catalog (:func:`task_catalog_for`) as dicts ready for
     :func:`run_step`; each target path is ``<target_root>/<schema>/<table>``
     from the target's qualified name (I1). Only configuration rows -- a
-    run step's tasks -- are collected."""
+    run step's tasks -- are collected.
+
+    ``targets`` gives the schema of each target table (by ``schema.table``):
+    what file, JSON and API tasks read and what they are conformed to. Its
+    file tasks archive their input. ``connections`` adds settings that
+    metadata doesn't hold to the tasks of a connection (by
+    ``conn_str_name``): partition column and bounds, driver. The user and
+    password of a database row become reader options."""
     from ..functions.text import split_table_name
 
     named = catalog.withColumn("_tgt", split_table_name(F.col("tgt_fully_qualified_tbl_name")))
@@ -192,6 +288,13 @@ def tasks_from_catalog(catalog: DataFrame, target_root: str) -> list[dict]:
         d["target_path"] = f"{root}/{tgt['schema_name']}/{tgt['table_name']}"
         if d.get("file_path") is None and d.get("conn_type") == "parquet":
             d["file_path"] = d.get("conn_str")
+        schema = (targets or {}).get(f"{tgt['schema_name']}.{tgt['table_name']}")
+        if schema is not None:
+            d |= {"fields": schema.fieldNames(), "schema": schema, "result_schema": schema, "target_schema": schema,
+                  "archive_files": d.get("conn_type") == "file"}
+        d |= (connections or {}).get(d.get("conn_str_name"), {})
+        if d.get("conn_type") == "db" and d.get("username"):
+            d["jdbc_properties"] = {"user": d["username"], "password": d["pass"], **d.get("jdbc_properties", {})}
         out.append(d)
     return out
 
@@ -215,7 +318,7 @@ def run_step(spark: SparkSession, tasks: list[dict], job_inst_id: int, log_path:
         name = task.get("job_task_name", f"task {i}")
         entries.append((job_inst_id, seq, run_ts, name, "running", None, "run_step", False))
         try:
-            _, n = ingest(spark, {**task, "job_inst_id": job_inst_id, "run_ts": run_ts}, task["target_path"])
+            n = run_task(spark, {**task, "job_inst_id": job_inst_id, "run_ts": run_ts})
             entries.append((job_inst_id, seq + 1, datetime.now(), name, "succeeded",
                             f"inserted rows || {n:,}", "run_step", False))
         except Exception as e:  # logged, like the reference's per-task error handling

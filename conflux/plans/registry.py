@@ -35,7 +35,7 @@ from ..streaming import consumer as SC
 from . import procs
 from .entities import project_entity
 from .flatfile import load_flat_file
-from .ingest import ingest, run_step
+from .ingest import Metadata, ingest, run_step, task_catalog_for, tasks_from_catalog
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -1282,3 +1282,114 @@ def load_envelope_resource(spark, sf):
     docs = fx.resource_envelopes(_t(spark, sf, "part"))
     return procs.load_resources(spark, docs, "body", RUN_ID, new_path(spark, "raw-res"), new_path(spark, "dbo-res"),
                                 new_path(spark, "log-res"), RUN_TS)
+
+
+def _catalog_step(spark, conn_type: str, target: str, schema: T.StructType | None = None, path: str | None = None,
+                  job_type: str = "etl", kafka: tuple | None = None, max_pages: int | None = None,
+                  more: dict | None = None) -> tuple[dict, DataFrame]:
+    """A run step of one task that starts from rows of the metadata tables:
+    the task and the step's status."""
+    prepare(spark)
+    df = spark.createDataFrame
+    md = Metadata(
+        job_inst_task=df([(1, RUN_ID, 100, "not started")],
+                         "job_inst_task_id int, job_inst_id int, job_task_id int, task_status string"),
+        job_task=df([(100, 1, f"{conn_type} task", "E", 1, conn_type, None, 2, 1, 1, 1, None)],
+                    "job_task_id int, job_id int, job_task_name string, etl_step string, step_seq int, conn_type string, "
+                    "src_tbl_id int, tgt_tbl_id int, conn_str_id int, conn_api_id int, conn_kafka_id int, "
+                    "sql_script_id int"),
+        job_inst=df([(RUN_ID, 1, "E", True, False)],
+                    "job_inst_id int, job_id int, etl_steps string, is_full_load boolean, del_temp_data boolean"),
+        job=df([(1, job_type)], "job_id int, job_type string"),
+        tbl=df([(2, target, None, None, None)], "tbl_id int, fully_qualified_tbl_name string, incr_date timestamp_ntz, "
+                                                "incr_column string, data_size string"),
+        conn_str=df([(1, "landing", None, None, None, path)], "conn_str_id int, conn_str_name string, conn_str string, "
+                                                              "username string, pass string, file_path string"),
+        conn_api=df([(1, None, 1, "api", None, None, None, False, None, None, None, None, None, max_pages, path, None)],
+                    "conn_api_id int, parent_conn_api_id int, data_source_id int, conn_api_name string, api_url string, "
+                    "username string, pass string, need_token boolean, payload_json string, page_param_name string, "
+                    "page_size int, cursor_param_name string, cursor_path string, max_pages int, "
+                    "output_file_path string, chunk_size int"),
+        conn_kafka=df([(1, *(kafka or (None,) * 6), None)],
+                      "conn_kafka_id int, topic string, topic_pattern string, group_id string, is_consumer boolean, "
+                      "batch_record_size int, max_message_num int, bootstrap_servers string"),
+        sql_script=df([], "sql_script_id int, sql_text string, is_stored_proc boolean"),
+        data_source=df([(1, "landing")], "data_source_id int, data_source_name string"))
+    catalog = task_catalog_for(md, RUN_ID, "E", run_ts=RUN_TS)
+    task = tasks_from_catalog(catalog, new_path(spark, "warehouse"), {target: schema} if schema else None)[0]
+    task |= more or {}
+    status = run_step(spark, [task], RUN_ID, new_path(spark, "step-log"), RUN_TS)
+    return task, status
+
+
+def _with_status(out: DataFrame, status: DataFrame) -> DataFrame:
+    return out.withColumn("last_status", status.select("last_status").scalar())
+
+
+@check("step_file_task", """
+SELECT s_suppkey, s_name, CAST(s_nationkey AS INTEGER) AS s_nationkey, s_acctbal, CAST(NULL AS VARCHAR) AS s_phone,
+       CAST(42 AS INTEGER) AS job_inst_id, TIMESTAMP '2024-01-01 00:00:00' AS date_created,
+       'succeeded' AS last_status, true AS all_archived
+FROM supplier""")
+def step_file_task(spark, sf):
+    """U2 + B7: a file task from the catalog; its input files are archived."""
+    csv = FS.write_text_csv(_t(spark, sf, "supplier"), new_path(spark, "supplier-step"))
+    before = len(SK.list_files(spark, csv))
+    task, status = _catalog_step(spark, "file", "raw.supplier", SUPPLIER, csv)
+    archived = len(SK.list_files(spark, f"{csv}/processed")) if SK.path_exists(spark, f"{csv}/processed") else 0
+    return (_with_status(spark.read.parquet(task["target_path"]), status)
+            .withColumn("all_archived", F.lit(archived == before == len(SK.list_files(spark, csv)))))
+
+
+@check("step_json_task", "SELECT *, CAST(42 AS INTEGER) AS job_inst_id, 'succeeded' AS last_status FROM ("
+       + WORKS_SQL + ")")
+def step_json_task(spark, sf):
+    """A JSON task from the catalog."""
+    path = fx.write_work_pages(spark, _t(spark, sf, "documents"))
+    task, status = _catalog_step(spark, "json", "raw.works", T.StructType(WORK.fields[:4]), path)
+    return _with_status(spark.read.parquet(task["target_path"]).drop("date_created"), status)
+
+
+@check("step_api_task", "WITH " + G_SQL + """
+SELECT g.page_id AS id, g.url AS title, CAST(42 AS INTEGER) AS job_inst_id, 'succeeded' AS last_status
+FROM g LEFT JOIN g_end USING (request_id)
+WHERE g.page_num <= 8 AND (g_end.end_page IS NULL OR g.page_num <= g_end.end_page)""")
+def step_api_task(spark, sf):
+    """An API task from the catalog over landed pages."""
+    landed = new_path(spark, "landed-pages")
+    fx.response_pages(_t(spark, sf, "pages")).write.json(landed)
+    schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("title", T.StringType())])
+    task, status = _catalog_step(spark, "api", "raw.pages", schema, landed, max_pages=8)
+    return _with_status(spark.read.parquet(task["target_path"]).drop("date_created"), status)
+
+
+@check("step_consumer_task", "WITH " + M_SQL + """
+SELECT topic, "partition", "offset", error_reason, 'succeeded' AS last_status FROM m
+WHERE topic IN ('test-topic1', 'test-topic2')""")
+def step_consumer_task(spark, sf):
+    """U2 + S1-S4: a consumer task from the catalog: valid rows and dead
+    letters of the topics that fit its pattern."""
+    src = SC.write_message_files(_messages(spark, sf), new_path(spark, "msg-step"), 4)
+    task, status = _catalog_step(spark, "kafka", "raw.messages", path=src,
+                                 kafka=("test-topic1", '{"pattern": "test-topic[12]"}', "step-group", True, 100, None))
+    good = spark.read.parquet(task["target_path"]).select("topic", "partition", "offset",
+                                                          F.lit(None).cast("string").alias(REASON))
+    bad = spark.read.parquet(f"{task['target_path']}_dlq").select(F.col("source_topic").alias("topic"), "partition",
+                                                                  "offset", REASON)
+    return _with_status(good.unionByName(bad), status)
+
+
+@check("step_producer_task", """
+SELECT t.topic, CAST(count(*) AS BIGINT) AS n_messages, CAST(count(*) AS BIGINT) AS n_distinct_ids,
+       'succeeded' AS last_status
+FROM events, (SELECT 'topic1' AS topic UNION ALL SELECT 'topic2' UNION ALL SELECT 'topic3') t
+GROUP BY t.topic""")
+def step_producer_task(spark, sf):
+    """U2 + A11 + B10: a producer task from the catalog, landed and read back."""
+    task, status = _catalog_step(spark, "kafka", "out.messages", job_type="non-etl",
+                                 kafka=("topic1", None, None, False, 100, None),
+                                 more={"ids": _t(spark, sf, "events").select("event_id")})
+    sent = spark.read.schema("topic string, value string").json(task["target_path"])
+    return _with_status(sent.groupBy("topic").agg(
+        F.count(F.lit(1)).cast("bigint").alias("n_messages"),
+        F.count_distinct(F.get_json_object("value", "$.transaction_id")).cast("bigint").alias("n_distinct_ids")), status)

@@ -64,7 +64,7 @@ def incremental(df: DataFrame, incr_column: str | None, incr_date: datetime | No
     return df.filter(F.col(incr_column) >= ts_literal(bound))
 
 
-def _topic_pattern(value: str | None) -> str | None:
+def topic_pattern(value: str | None) -> str | None:
     """The consumer pattern is stored as JSON ``{"pattern": ...}``."""
     import json
     if value is None:
@@ -112,7 +112,7 @@ def extract(spark: SparkSession, task: dict) -> DataFrame:
     elif kind == "kafka":
         from .messages import kafka_source
         df = kafka_source(spark, task.get("kafka_bootstrap_servers") or "kafka:9092",
-                          _topic_pattern(task.get("kafka_topic_pattern")) or task["kafka_topic"],
+                          topic_pattern(task.get("kafka_topic_pattern")) or task["kafka_topic"],
                           streaming=False)
     else:
         raise ValueError(f"unknown connection type {kind!r}")

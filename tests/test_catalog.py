@@ -2,6 +2,7 @@
 
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from conflux.operators.joins import active_tasks, with_parent
@@ -138,7 +139,7 @@ def test_full_task_catalog(spark):
 def test_ingest_api_task_from_landed_pages(spark, sf, tmp_path):
     from conflux import fixtures as fx
     from conflux.plans.ingest import ingest
-    from conflux.sources.relational import _topic_pattern
+    from conflux.sources.relational import topic_pattern
     landed = str(tmp_path / "landed")
     fx.response_pages(spark.read.parquet(f"{sf}/pages.parquet")).write.json(landed)
     df, _ = ingest(spark, {"conn_type": "api", "output_file_path": landed, "max_pages": 2,
@@ -148,8 +149,8 @@ def test_ingest_api_task_from_landed_pages(spark, sf, tmp_path):
     exp = pages.filter((F.col("page_id") % 10 == 0) |
                        ((F.col("page_id") % 10 == 1) & ((F.col("page_id") - 1) % 7 != 6))).count()
     assert df.count() == exp and df.columns == ["request_id", "page_num", "id", "title"]
-    assert _topic_pattern('{"pattern": "test-.*"}') == "test-.*"
-    assert _topic_pattern("{}") == "Key not found" and _topic_pattern(None) is None
+    assert topic_pattern('{"pattern": "test-.*"}') == "test-.*"
+    assert topic_pattern("{}") == "Key not found" and topic_pattern(None) is None
 
 
 def test_proc_task_runs_registered_transform(spark, sf, tmp_path):
@@ -198,3 +199,41 @@ def test_run_step_from_catalog_rows(spark, sf, tmp_path):
     st = run_step(spark, tasks, 9, str(tmp_path / "log"), dt.datetime(2024, 1, 1)).first()
     assert (st.last_status, st.any_failed) == ("succeeded", False)
     assert spark.read.parquet(tasks[0]["target_path"]).count() == spark.read.parquet(f"{sf}/orders.parquet").count()
+
+
+def test_incremental_run_twice_keeps_one_copy(spark, sf, tmp_path):
+    from conflux.plans.ingest import ingest
+    target, task = str(tmp_path / "t"), {"conn_type": "parquet", "file_path": f"{sf}/orders.parquet",
+                                         "run_ts": dt.datetime(2024, 1, 1)}
+    n = spark.read.parquet(f"{sf}/orders.parquet").count()
+    assert ingest(spark, {**task, "job_inst_id": 1, "is_full_load": True}, target)[1] == n
+    for run in (2, 2):                              # the second time replaces the first
+        assert ingest(spark, {**task, "job_inst_id": run, "is_full_load": False}, target)[1] == n
+    got = spark.read.parquet(target).groupBy("job_inst_id").count().collect()
+    assert {(r[0], r[1]) for r in got} == {(1, n), (2, n)}
+
+
+def test_failed_file_task_keeps_target_and_moves_input(spark, tmp_path):
+    from conflux.operators.conform import Constraints, ConstraintViolation
+    from conflux.plans.ingest import ingest
+    target = str(tmp_path / "t")
+    spark.range(3).write.parquet(target)
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.csv").write_text("id,name\n1,a\n1,b\n")
+    task = {"conn_type": "file", "file_path": str(tmp_path / "in"), "fields": ["id", "name"], "archive_files": True,
+            "job_inst_id": 1, "run_ts": dt.datetime(2024, 1, 1), "constraints": Constraints(primary_key=["id"])}
+    with pytest.raises(ConstraintViolation):
+        ingest(spark, task, target)
+    assert spark.read.parquet(target).count() == 3
+    assert [p.name for p in (tmp_path / "in" / "error").glob("*.csv")] == ["err_a_20240101_000000.csv"]
+
+
+def test_catalog_rows_carry_credentials_and_bounds(spark):
+    from conflux.plans.ingest import tasks_from_catalog
+    rows = spark.createDataFrame([("raw.orders", 1, "db", "src", "u", "p", None)],
+                                 "tgt_fully_qualified_tbl_name string, task_thread_num int, conn_type string, "
+                                 "conn_str_name string, username string, pass string, file_path string")
+    task = tasks_from_catalog(rows, "/wh", connections={"src": {"partition_column": "id", "lower_bound": 0,
+                                                                "upper_bound": 9, "num_partitions": 3}})[0]
+    assert task["jdbc_properties"] == {"user": "u", "password": "p"} and task["target_path"] == "/wh/raw/orders"
+    assert (task["partition_column"], task["upper_bound"], task["num_partitions"]) == ("id", 9, 3)
