@@ -169,6 +169,35 @@ def test_link_trust_equals_its_oracle(spark):
     assert sorted(str(tuple(r)) for r in registry.op3_link_trust(spark, SF).collect()) == want
 
 
+def test_trust_goes_on_until_it_has_converged(spark):
+    """A chain of 40 hosts to a blocked one and a sparse random graph, against the solved equations."""
+    rnd = random.Random(6)
+    links = {f"c{i}": [f"c{i - 1}" if i else "bad.org"] for i in range(40)}
+    links |= {f"r{i}": [f"r{j}" for j in rnd.sample(range(300), rnd.randint(0, 3)) if j != i] for i in range(300)}
+    links |= {"bad.org": [], "good.org": ["r1", "r2"]}
+    links["r7"].append("bad.org")
+    hosts = sorted(links)
+    at = {h: i for i, h in enumerate(hosts)}
+    w = np.zeros((len(hosts), len(hosts)))
+    for h, to in links.items():
+        for t in to:
+            w[at[h], at[t]] += 1
+
+    def shares(m, seed):
+        p = m / np.maximum(m.sum(1, keepdims=True), 1)
+        x = np.linalg.solve(np.eye(len(p)) - 0.85 * p.T, np.eye(len(p))[at[seed]])
+        return x / x.sum()
+
+    more = shares(w.T, "bad.org") - shares(w, "good.org")
+    want = {h for h in hosts if more[at[h]] > 1e-12} - {"good.org"}
+    close = {h for h in hosts if 0 < abs(more[at[h]] - 1e-12) < 9e-12} & {h for h in hosts if more[at[h]] != 0}
+    rows = [(i, f"http://{h}/", "".join(f'<a href="http://{t}/">' for t in links[h])) for i, h in enumerate(hosts)]
+    got = {r.host for r in link_trust.judge_urls(
+        spark.createDataFrame(rows, "page_id long, url string, html string"),
+        [("allow", "good.org/"), ("block", "bad.org/")]).collect() if r.verdict == "block"}
+    assert {f"c{i}" for i in range(40)} <= got and got - close == want - close and len(close) < 5
+
+
 # 4
 
 def test_neighbours_recall_and_scores(spark):
