@@ -10,7 +10,11 @@ every register's, so after the first points only few go on.
 Signatures are cut into bands; documents that share a band are candidates and
 are verified exactly: a link is a similarity of 0.8 or more, the larger of
 the probability Jaccard similarity of the weighted shingles and the plain one
-of the shingle sets. Classes are the connected components of the links.
+of the shingle sets. As either can be far below the other (a passage repeated
+a different number of times), a text that repeats a shingle has two
+signatures: of the weights, and of all weights 1, which agree with the plain
+similarity. Without repeats they are the same, so their bands share one
+key space. Classes are the connected components of the links.
 
 How hot groups stay cheap, and no link is lost:
 
@@ -22,9 +26,9 @@ How hot groups stay cheap, and no link is lost:
 - texts in buckets that still hold several classes, which are mostly far less
   similar than a link, get a second signature of more and longer bands; in
   its buckets, members of other classes than the hub's are compared with the
-  hub, then with all members of other classes whose registers agree about as
-  often as a link's (one bit of each is compared; a link fails this with
-  probability under 1e-4). So each candidate pair is either within a class
+  hub, then with all members of other classes whose registers, of either
+  signature, agree about as often as a link's (one bit of each is compared; a
+  link fails this with probability under 1e-4). So each candidate pair is either within a class
   already or verified, while a group of thousands of near-copies costs a few
   comparisons each.
 
@@ -44,7 +48,8 @@ from .common import as_string_array, ready, slices, staged
 from .graph import components
 from .words import counted, mix, shingles
 
-#: (bands, registers in each): a link shares one with probability over 0.9998.
+#: (bands, registers in each): a link shares one with probability over 0.9998,
+#: in the signature whose similarity makes it a link.
 COARSE, FINE = (25, 5), (128, 12)
 SIMILARITY = 0.8
 SIGNED = "doc_id long, node binary, bands array<long>, bits array<long>"
@@ -81,21 +86,29 @@ def weights(occurrences: np.ndarray) -> np.ndarray:
 
 
 def band_keys(texts: pa.Array, bands: int, rows: int) -> tuple[list, list]:
-    """A 64-bit key for each band of each text, and one bit of each register
-    packed in 64-bit numbers; None without shingles."""
+    """The distinct 64-bit keys of each text's bands, and one bit of each
+    register packed in 64-bit numbers, first the weighted signature's, then the
+    plain one's; None without shingles."""
     doc, value, n = counted(*shingles(texts))
-    sig = prob_minhash(doc, value, weights(n), len(texts), bands * rows)
-    keys = np.zeros((len(texts), bands), np.uint64)
-    with np.errstate(over="ignore"):
-        for r in range(rows):
-            keys = mix(keys * _STEP + sig[:, r::rows])
-        keys = mix(keys + np.arange(bands, dtype=np.uint64)).view(np.int64)
-    has = np.zeros(len(texts), bool)
-    has[doc] = True
-    bits = np.zeros((len(texts), -(-bands * rows // 64) * 64), np.uint8)
-    bits[:, :bands * rows] = mix(sig) & np.uint64(1)
-    packed = np.packbits(bits, axis=1).view(np.int64)
-    return [[x if h else None for x, h in zip(of, has, strict=True)] for of in (keys, packed)]
+    weighted = prob_minhash(doc, value, weights(n), len(texts), bands * rows)
+    plain, repeats = weighted.copy(), np.unique(doc[n > 1])
+    some = np.isin(doc, repeats)
+    plain[repeats] = prob_minhash(np.searchsorted(repeats, doc[some]), value[some], np.ones(some.sum()),
+                                  len(repeats), bands * rows)
+    keys, packed = [], []
+    for sig in (weighted, plain):
+        key = np.zeros((len(texts), bands), np.uint64)
+        with np.errstate(over="ignore"):
+            for r in range(rows):
+                key = mix(key * _STEP + sig[:, r::rows])
+            keys.append(mix(key + np.arange(bands, dtype=np.uint64)).view(np.int64))
+        bits = np.zeros((len(texts), -(-bands * rows // 64) * 64), np.uint8)
+        bits[:, :bands * rows] = mix(sig) & np.uint64(1)
+        packed.append(np.packbits(bits, axis=1).view(np.int64))
+    has, twice = (np.isin(np.arange(len(texts)), x) for x in (doc, repeats))
+    keys = [np.unique(np.concatenate([a, b])) if t else a if h else None
+            for a, b, t, h in zip(*keys, twice, has, strict=True)]
+    return keys, [x if h else None for x, h in zip(np.concatenate(packed, axis=1), has, strict=True)]
 
 
 def similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
@@ -212,10 +225,11 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", thr
                                          F.col("bits").alias(f"bits_{n}"),
                                          (F.col("label") != F.col("hub_label")).alias(f"out_{n}"))
             x, y = side("x").where("out_x"), side("y")
-            differ = sum((F.bit_count(x.bits_x[i].bitwiseXOR(y.bits_y[i])) for i in range(-(-fine[0] * fine[1] // 64))),
-                         F.lit(0))
+            longs, most = -(-fine[0] * fine[1] // 64), most_differing(fine[0] * fine[1], threshold)
+            differ = lambda first: sum((F.bit_count(x.bits_x[i].bitwiseXOR(y.bits_y[i]))
+                                        for i in range(first, first + longs)), F.lit(0))
             pairs = (x.join(y, (x.bucket == y.bucket) & (x.label_x != y.label_y) & (~y.out_y | (x.x < y.y))
-                            & (differ <= most_differing(fine[0] * fine[1], threshold)))
+                            & ((differ(0) <= most) | (differ(longs) <= most)))
                      .select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b")))
         found = staged(verified(staged(pairs.distinct(), "pairs"), texts, threshold), "links")
         if not found.isEmpty():

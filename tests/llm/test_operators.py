@@ -120,6 +120,41 @@ def test_exact_similarity():
         assert near_dedup.similarity(x, y) == pytest.approx(brute_similarity(shingle_weights(a), shingle_weights(b)))
 
 
+def unequal_repeats(k, times, own=96, ring=25):
+    """own + ring shingles, of which ring ``times`` times: plain similarity is 1, whatever ``times``."""
+    again = [f"r{k}x{i}" for i in range(ring)]
+    return " ".join([f"p{k}x{i}" for i in range(own)] + again * times + again[:4])
+
+
+def test_near_copies_with_a_passage_repeated_unequally(spark):
+    """Text 2k has the shingles of text 2k + 1, which repeats most of what all texts share: hot buckets hold
+    all of them, and the two are linked by their plain similarity only."""
+    shared = [f"c{i}" for i in range(400)]
+    rows = [(2 * k + j, " ".join([f"p{k}x{i}" for i in range(60)] + shared + (shared[100:] * 60 + shared[100:104]) * j
+                                 + (shared[100:104]) * (1 - j))) for k in range(40) for j in (0, 1)]
+    w = near_dedup._weighted(pa.array([t for _, t in rows], pa.large_string()))
+    links = [(j, i) for i in range(80) for j in range(i) if near_dedup.similarity(w[i], w[j]) >= 0.8]
+    assert [x for x in links if x[0] % 2 == 0] == [(2 * k, 2 * k + 1) for k in range(40)]
+    root = list(range(80))
+    for _ in root:
+        for j, i in links:
+            root[i] = root[j] = min(root[i], root[j])
+    got = {r.doc_id: r.class_id for r in near_dedup.near_duplicates(
+        spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == dict(enumerate(root))
+
+
+def test_bands_and_bits_hold_for_plain_links():
+    """Every text's plain signature meets that of the same shingles repeated otherwise, in keys and in bits."""
+    a, b = (pa.array([unequal_repeats(k, t) for k in range(40)], pa.large_string()) for t in (1, 20))
+    for bands, rows in (near_dedup.COARSE, near_dedup.FINE):
+        (ka, ba), (kb, bb) = near_dedup.band_keys(a, bands, rows), near_dedup.band_keys(b, bands, rows)
+        assert all(set(x.tolist()) & set(y.tolist()) for x, y in zip(ka, kb, strict=True))
+        half, most = len(ba[0]) // 2, near_dedup.most_differing(bands * rows, 0.8)
+        apart = [sum(int(v).bit_count() for v in (x[half:] ^ y[half:]).view(np.uint64)) for x, y in zip(ba, bb, strict=True)]
+        assert max(apart) <= most
+
+
 def test_signatures_estimate_probability_jaccard():
     w = {0: {i: 1.0 + i % 3 for i in range(300)}, 1: {i: 1.0 + i % 2 for i in range(60, 360)}}
     doc = np.repeat([0, 1], 300)
