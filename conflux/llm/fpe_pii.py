@@ -14,10 +14,14 @@ Formats and their validation:
 - payment cards: 13 to 19 digits, Luhn; first digit kept, check digit renewed;
 - telephone numbers, North American: valid area and exchange, or written
   with ``+`` or the area in brackets;
+- other telephone numbers with ``+`` and country code: 8 to 15 digits, also
+  in groups; the country code and a ``(0)`` stay (kind phone as well);
 - social security numbers: valid area, group and serial;
-- IBANs: mod 97; country kept, check digits renewed;
+- IBANs: mod 97; of the length of the country, so that a word behind it is
+  left, or else all that looks like one; country kept, check digits renewed;
 - IPv4 addresses: four numbers up to 255;
-- dates from 1900 to 2099, year-first, day-first or month-first: real days;
+- dates from 1900 to 2099, year-first, day-first or month-first: real days,
+  also before ``T`` and a time, which stays;
 - access keys and values behind ``password=``, ``token =`` and the like: letters and digits within their kind.
 
 What isn't valid stays as it is.
@@ -49,12 +53,22 @@ SHAPES = {
     "password": r"(?i:\b(?:password|passwd|secret|token|api_?key)\s?[=:]\s?)[\"']?[A-Za-z0-9_\-+/]{6,}",
     "iban": r"\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?\b",
     "ip": r"(?<![\w.])(?:\d{1,3}\.){3}\d{1,3}(?!\w|\.\d)",
-    "date": r"(?<![\w./-])(?:\d{4}(?P<a>[-/.])\d{1,2}(?P=a)\d{1,2}|\d{1,2}(?P<b>[-/.])\d{1,2}(?P=b)\d{4})(?!\w|[./-]\d)",
+    "date": r"(?<![\w./-])(?:\d{4}(?P<a>[-/.])\d{1,2}(?P=a)\d{1,2}|\d{1,2}(?P<b>[-/.])\d{1,2}(?P=b)\d{4})(?:(?=[Tt]\d\d)|(?!\w|[./-]\d))",
     "ssn": r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])",
     "phone": r"(?<![\w+])(?:\+?1[\s.-]?)?(?:\(\d{3}\)\s?|\d{3}[ .-])\d{3}[ .-]\d{4}(?![\w-])",
+    "e164": r"(?<![\w+])\+[1-9](?:[ ./-]?\(?\d\)?){7,15}(?!\w)",
     "card": r"(?<![\w-])(?:\d{13,19}|\d{4}(?P<c>[ -])\d{4}(?P=c)\d{4}(?P=c)\d{1,7}|3\d{3}(?P<d>[ -])\d{6}(?P=d)\d{5})(?![\w-])",
 }
 KINDS = list(SHAPES)
+#: Length of an IBAN by country, from the registry.
+IBAN_LENGTH = {c: n for n, of in {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK",
+    21: "CH CR HR LI LV", 22: "BG BH DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL",
+    24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM",
+    28: "AL AZ BY CY DO GT HN HU LB NI PL SV", 29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC",
+    33: "RU"}.items() for c in of.split()}
+#: Telephone country codes of one and two digits; all others have three.
+_DIALLED = re.compile(r"1|7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|\d{3}")
 _ANY = re.compile("|".join(f"(?P<{k}>{v})" for k, v in SHAPES.items()))
 
 
@@ -164,6 +178,23 @@ def _phone(f, s, back):
             return _refill(s, front + new)
 
 
+def _e164(f, s, back):
+    trunk = s.find("(0)")
+    d = re.sub(r"\D", "", s.replace("(0)", "", 1))
+    if not 8 <= len(d) <= 15:
+        return None
+    if len(d) == 11 and d[0] == "1" and trunk < 0:
+        return _phone(f, s, back)       # North American, as with separators
+    n = len(d) - len(code := _DIALLED.match(d)[0])
+    x, front = int(d[len(code):]), sum(c.isdigit() for c in s[:max(trunk, 0)])
+    while True:       # walk on to a number with the same first (0), or without one
+        x = f.permute(x, 10 ** n, b"e164|%d|%s" % (n, code.encode()), back)
+        new = code + str(x).zfill(n)
+        new = _refill(s, new if trunk < 0 else new[:front] + "0" + new[front:])
+        if new.find("(0)") == trunk:
+            return new
+
+
 def _ssn(f, s, back):
     a, g, n = map(int, s.split("-"))
     if not (0 < a < 900 and a != 666 and g and n):
@@ -179,14 +210,35 @@ def _mod97(s: str) -> int:
     return int("".join(str(int(c, 36)) for c in s)) % 97
 
 
+def _is_iban(flat: str) -> bool:
+    return 15 <= len(flat) <= 34 and _mod97(flat[4:] + flat[:4]) == 1
+
+
+def _own_length(s: str) -> str | None:
+    """The front of ``s`` that is a valid IBAN of its country's length."""
+    n, end = IBAN_LENGTH.get(s[:2], 0), 0
+    for end, c in enumerate(s, 1):
+        n -= c != " "
+        if n == 0:
+            break
+    if n or s[end:end + 1].isalnum() or not _is_iban(s[:end].replace(" ", "")):
+        return None
+    return s[:end]
+
+
 def _iban(f, s, back):
+    own = _own_length(s)
+    s = own or s
     flat = s.replace(" ", "")
-    if not 15 <= len(flat) <= 34 or _mod97(flat[4:] + flat[:4]) != 1:
+    if not _is_iban(flat):
         return None
-    body = _chars(f, flat[4:], b"iban|" + flat[:2].encode(), back)
-    check = 98 - _mod97(body + flat[:2] + "00")
-    it = iter(f"{flat[:2]}{check:02d}{body}")
-    return "".join(c if c == " " else next(it) for c in s)
+    while True:       # walk on, so that one of another length doesn't start with one of its country's
+        body = _chars(f, flat[4:], b"iban|" + flat[:2].encode(), back)
+        flat = f"{flat[:2]}{98 - _mod97(body + flat[:2] + '00'):02d}{body}"
+        it = iter(flat)
+        new = "".join(c if c == " " else next(it) for c in s)
+        if own or not _own_length(new):
+            return new
 
 
 def _ip(f, s, back):
@@ -222,22 +274,25 @@ def _date(f, s, back):
     return None
 
 
-_MAKE = {"email": _email, "key": _key, "password": _password, "card": _card, "phone": _phone, "ssn": _ssn,
+_MAKE = {"email": _email, "key": _key, "password": _password, "card": _card, "phone": _phone, "e164": _e164, "ssn": _ssn,
          "iban": _iban, "ip": _ip, "date": _date}
 
 
 def pseudonymise(f: Feistel, text: str, back: bool = False) -> tuple[str, list[str]]:
     """The text with its values replaced, and their kinds in order."""
     found: list[str] = []
-
-    def one(m: re.Match) -> str:
+    if not _first(text):
+        return text, found
+    out, at = [], 0
+    while m := _ANY.search(text, at):
         new = _MAKE[m.lastgroup](f, m[0], back)
-        if new is None:
-            return m[0]
-        found.append(m.lastgroup)
-        return new
-
-    return (_ANY.sub(one, text), found) if _first(text) else (text, found)
+        # an IBAN has the length it had; what it leaves of the match is looked through again
+        end = m.start() + len(new) if m.lastgroup == "iban" and new is not None else m.end()
+        out += [text[at:m.start()], text[m.start():end] if new is None else new]
+        if new is not None:
+            found.append("phone" if m.lastgroup == "e164" else m.lastgroup)
+        at = end
+    return "".join([*out, text[at:]]), found
 
 
 @functools.lru_cache(4)

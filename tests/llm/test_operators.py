@@ -344,6 +344,34 @@ def test_equal_values_stay_linked_however_written():
     assert a.lower() == b
 
 
+@pytest.mark.parametrize("value, kind, left", [
+    ("BE68 5390 0754 7034", "iban", " BIC"), ("BE68 5390 0754 7034", "iban", " THIS IS"),
+    ("BE68539007547034", "iban", " 4 items"), ("DE89 3704 0044 0532 0130 00", "iban", " ABCD"),
+    ("1984-03-17", "date", "T08:30:00Z"), ("1984-03-17", "date", "T0830"), ("1984-03-17", "date", "t08:30+01:00"),
+    ("+44 20 7946 0958", "phone", " or"), ("+33 1 42 68 53 00", "phone", "."), ("+49 30 901820", "phone", ", Berlin"),
+    ("+15552345678", "phone", ""), ("+44 (0)20 7946 0958", "phone", ""), ("+49-(30)-901820", "phone", ")"),
+    ("+353 (1) 677 1234", "phone", "")])
+def test_values_before_words_and_times_and_from_abroad(value, kind, left):
+    for k in range(40):
+        f = fpe_pii.Feistel(b"%d" % k)
+        text, kinds = fpe_pii.pseudonymise(f, f"see {value}{left}")
+        assert kinds == [kind] and text.startswith("see ") and text.endswith(left)
+        new = text[4:len(text) - len(left)]
+        assert new != value and [c.isdigit() for c in new] == [c.isdigit() for c in value]
+        assert fpe_pii.pseudonymise(f, text, back=True) == (f"see {value}{left}", kinds)
+        assert fpe_pii.pseudonymise(f, value) == (new, kinds)       # linked to the value alone
+
+
+def test_telephone_numbers_stay_linked_however_written():
+    f = fpe_pii.Feistel(b"k")
+    for a, b in (("+1 (555) 234-5678", "+15552345678"), ("+44 20 7946 0958", "+442079460958"),
+                 ("+44 (0)20 7946 0958", "+44 20.7946.0958")):
+        a, b = (fpe_pii.pseudonymise(f, x)[0].replace("(0)", "") for x in (a, b))
+        assert [c for c in a if c.isdigit()] == [c for c in b if c.isdigit()]
+    text, kinds = fpe_pii.pseudonymise(f, "BE68 5390 0754 7034 4111 1111 1111 1111")
+    assert kinds == ["iban", "card"]
+
+
 def test_feistel_permutes():
     f = fpe_pii.Feistel(b"k")
     for size in (1, 2, 7, 100, 1000):
