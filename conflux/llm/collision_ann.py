@@ -21,8 +21,8 @@ The queries are a stated share of the table; they go to the candidate blocks
 in packed blocks of their own, as rows of an equi-join on the block number.
 
 Defined results: vectors that are null, zero, hold null or non-finite
-components, or have fewer components than the table's longest, and rows
-without an id take no part. Candidates with the query's own id are left out.
+components, and rows without an id take no part. Vectors of different lengths
+among the others are an error. Candidates with the query's own id are left out.
 An id counts once in a result, with its best score. Ties go to the smaller id.
 Fewer than k candidates: all are verified.
 """
@@ -153,10 +153,11 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 20, id_col: str = "ve
     rows = _valid(vectors, id_col, vec_col)
     length = F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x))
     size = F.size("v")
-    dim = rows.agg(F.max(size)).first()[0]
+    least, dim = rows.agg(F.min(size), F.max(size)).first()
     if dim is None:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    rows = rows.where(size == dim)
+    if least != dim:
+        raise ValueError(f"vectors of different lengths, from {least} to {dim} components")
     n, n_queries, longest = rows.agg(F.count("*"), F.count(F.when(is_query, 1)), F.max(length)).first()
     blocks, query_blocks = -(-n // block_rows), max(1, -(-n_queries // query_rows))
     directions = np.random.default_rng(seed).standard_normal((dim + 1, projections))

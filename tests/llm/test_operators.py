@@ -267,6 +267,13 @@ def test_neighbours_of_awkward_vectors(spark):
     assert collision_ann.nearest(df.limit(0), F.col("vec_id") % 20 == 0, 20).count() == 0
 
 
+def test_vectors_of_mixed_lengths_are_an_error(spark):
+    df = spark.createDataFrame([(i, [1.0, 2.0]) for i in range(30)] + [(99, [1.0, 2.0, 3.0])],
+                               "vec_id long, embedding array<double>")
+    with pytest.raises(ValueError, match="from 2 to 3 components"):
+        collision_ann.nearest(df, F.col("vec_id") % 20 == 0, 20)
+
+
 # 5
 
 @pytest.mark.parametrize("sizes", [[], [1], [255, 256, 257], [rans.EVERY * rans.LANES * 2 + 5, 70_000, 3]])
