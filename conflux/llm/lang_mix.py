@@ -179,14 +179,16 @@ def identify(docs: DataFrame, model: Mixture, id_col: str = "doc_id", text_col:
 
 
 def with_language(docs: DataFrame, model: Mixture, text_col: str = "text") -> DataFrame:
-    """The rows of ``docs``, all columns kept, whose language is found."""
+    """The rows of ``docs``, all columns kept, that have a letter: a language is
+    found for each of these, and where none was learnt they stay as well."""
     ready(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
         for b in slices(batches, text_col, 2 << 20):
-            pred, _ = shared.value.predict(as_string_array(b.column(text_col)).to_pylist())
-            yield b.filter(pa.array([p != UNKNOWN for p in pred]))
+            texts, model = as_string_array(b.column(text_col)).to_pylist(), shared.value
+            keep = [p != UNKNOWN for p in model.predict(texts)[0]] if model.langs else trigrams(texts)[2].tolist()
+            yield b.filter(pa.array(keep, pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)
 

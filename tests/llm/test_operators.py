@@ -430,6 +430,11 @@ def test_language_of_awkward_rows(awkward, empty):
     assert {r.lang_pred for r in lang_mix.identify(awkward, lang_mix.learn(empty)).collect()} == {"und"}
 
 
+def test_documents_stay_where_no_language_was_learnt(awkward, empty):
+    kept = lang_mix.with_language(awkward, lang_mix.learn(empty))
+    assert kept.columns == awkward.columns and kept.count() == len(AWKWARD) - 4
+
+
 # 8
 
 def brute_pairs(docs, items, threshold=0.8):
