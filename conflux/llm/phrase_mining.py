@@ -14,8 +14,8 @@ each time, so there are at most ``longest`` passes. The sample changes the
 cost, never the result.
 
 Proposals are held as a bit table of fixed size (2**``filter_bits`` bits, one
-for a phrase's hash), the only thing broadcast. A phrase that shares a bit is
-counted without need, no more; counts are of the words themselves, never of
+for a phrase's hash; 2 MB by default), the only thing broadcast. A phrase that
+shares a bit is counted without need, no more; counts are of the words themselves, never of
 hashes. In a task, phrases of a slice are numbered exactly (a phrase of k
 words by the numbers of its two parts of k - 1) and summed before they
 leave it; a key with a third of all rows is one row from each task.
@@ -71,11 +71,24 @@ class Proposal:
     def __init__(self, bits: int, table: np.ndarray | None = None):
         self.bits = bits
         self.table = np.zeros(1 << max(0, bits - 6), np.uint64) if table is None else table
+        self.shared = None
 
     def has(self, hashes: np.ndarray) -> np.ndarray:
         at = hashes >> np.uint64(64 - self.bits)
         return (self.table[at >> np.uint64(6)] >> (at & np.uint64(63)) & np.uint64(1)).astype(bool)
 
+    def share(self, spark):
+        """The table as a broadcast."""
+        if self.shared is None:
+            self.shared = spark.sparkContext.broadcast((self.bits, self.table))
+        return self.shared
+
+    def release(self) -> None:
+        """Drop the broadcast: what was read through it is written."""
+        if self.shared is not None:
+            self.shared.destroy()
+            self.shared = None
+
     def with_hashes(self, hashes: DataFrame) -> Proposal:
         """Also the hashes of a frame (h); what comes to the driver is at most
         the table."""
@@ -192,11 +205,12 @@ def sections(batches, longest: int, most: int = SECTION):
 def _sampled(texts: DataFrame, longest: int, level: int, proposal: Proposal) -> DataFrame:
     """(h, n): the hashes of the sample's phrases of ``level`` words whose
     parts are proposed, with their counts."""
-    table = texts.sparkSession.sparkContext.broadcast(proposal)
+    table = proposal.share(texts.sparkSession)
 
     def count(batches):
+        proposed = Proposal(*table.value)
         for words, _ in sections(batches, longest):
-            for k, _, n, h in words.levels(level, table.value):
+            for k, _, n, h in words.levels(level, proposed):
                 if k == level:
                     yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(n)], names=["h", "n"])
 
@@ -206,10 +220,11 @@ def _sampled(texts: DataFrame, longest: int, level: int, proposal: Proposal) ->
 def _counted(texts: DataFrame, longest: int, proposal: Proposal, before: Proposal | None) -> DataFrame:
     """(lang, phrase, n) of all phrases counted under the proposal, but not
     before; the phrase '' stands for all words."""
-    tables = texts.sparkSession.sparkContext.broadcast((proposal, before))
+    now = proposal.share(texts.sparkSession)
+    then = None if before is None else before.share(texts.sparkSession)
 
     def count(batches):
-        new, old = tables.value
+        new, old = Proposal(*now.value), None if then is None else Proposal(*then.value)
         for words, names in sections(batches, longest):
             for k, place, n, _ in words.levels(longest, new, old):
                 if k == 1 and len(n):
@@ -228,9 +243,10 @@ def _counted(texts: DataFrame, longest: int, proposal: Proposal, before: Proposa
 
 def _missed(frequent: DataFrame, proposal: Proposal) -> DataFrame:
     """(h): the hashes of frequent phrases that aren't proposed."""
-    table = frequent.sparkSession.sparkContext.broadcast(proposal)
+    table = proposal.share(frequent.sparkSession)
 
     def test(batches):
+        proposed = Proposal(*table.value)
         for b in batches:
             words = pc.split_pattern(as_string_array(b.column("phrase")), " ")
             hashed = _hashes(words.flatten())
@@ -239,13 +255,13 @@ def _missed(frequent: DataFrame, proposal: Proposal) -> DataFrame:
             for k in np.unique(size):
                 of = np.flatnonzero(size == k)
                 h = gram_hash([hashed[start[of] + j] for j in range(k)], lang[of])
-                yield pa.RecordBatch.from_arrays([pa.array(h[~table.value.has(h)].view(np.int64))], names=["h"])
+                yield pa.RecordBatch.from_arrays([pa.array(h[~proposed.has(h)].view(np.int64))], names=["h"])
 
     return frequent.where("phrase <> ''").select("lang", "phrase").mapInArrow(test, "h long")
 
 
 def frequent_phrases(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", least: int = 100,
-                     longest: int = 5, sample_one_in: int = 4, filter_bits: int = 27) -> tuple[DataFrame, int]:
+                     longest: int = 5, sample_one_in: int = 4, filter_bits: int = 24) -> tuple[DataFrame, int]:
     """(lang, phrase, n) of every phrase of up to ``longest`` words that stands
     ``least`` times or more in the texts of a language, words joined by a
     space, with one phrase '' a language for the number of all words; and how
@@ -258,7 +274,8 @@ def frequent_phrases(docs: DataFrame, text_col: str = "text", lang_col: str = "l
     lowered = max(1, int(expected - 3.4 * expected**0.5))
     proposal = Proposal(filter_bits)
     for level in range(1, longest):      # a phrase of full length is part of no other
-        proposal = proposal.with_hashes(_sampled(sample, longest, level, proposal).where(F.col("n") >= lowered))
+        last, proposal = proposal, proposal.with_hashes(_sampled(sample, longest, level, proposal).where(F.col("n") >= lowered))
+        last.release()
     found, before, passes = None, None, 0
     while True:
         passes += 1
@@ -266,7 +283,10 @@ def frequent_phrases(docs: DataFrame, text_col: str = "text", lang_col: str = "l
                      "phrases")
         found = new if found is None else found.unionByName(new)
         missed = staged(_missed(new.where(F.size(F.split("phrase", " ")) < longest), proposal), "missed")
+        if before is not None:
+            before.release()
         if missed.isEmpty():
+            proposal.release()
             return found, passes
         before, proposal = proposal, proposal.with_hashes(missed)
 

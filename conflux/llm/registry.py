@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from . import (collision_ann, containment, fpe_pii, lang_mix, lattice_lm, link_trust, near_dedup,
-               phrase_mining, piece_offsets, token_count, token_store, walsh_codes)
+               phrase_mining, piece_offsets, set_join, token_count, token_store, walsh_codes)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -77,9 +77,13 @@ def op12_walsh_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return walsh_codes.encode(read(spark, sf_dir, "embeddings"))
 
 
+def op13_set_relations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return set_join.joined(read(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_token_counts, op2_prob_minhash, op3_link_trust, op4_collision_neighbours, op5_rans_store, op6_feistel_pii,
     op7_language_mixture, op8_contained_items, op9_subword_lattice, op10_piece_offsets,
-    op11_toivonen_phrases, op12_walsh_codes)}
+    op11_toivonen_phrases, op12_walsh_codes, op13_set_relations)}
 
 ORACLES: dict[str, str] = {"op3_link_trust": link_trust.oracle(URL_RULES)}

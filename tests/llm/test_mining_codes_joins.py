@@ -10,7 +10,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 
-from conflux.llm import phrase_mining, registry, walsh_codes
+from conflux.llm import phrase_mining, registry, set_join, walsh_codes
 from tests.llm.test_operators import AWKWARD, DOCS, SF
 
 
@@ -212,3 +212,107 @@ def test_vector_codes_of_awkward_rows(spark):
     for bad in ([(1, [0.1] * 4, 1), (2, [0.1] * 8, 1)], [(1, [0.1] * 6, 1)], [(1, [1e20] * 4, 1)]):
         with pytest.raises(Exception, match="components|too large"):
             walsh_codes.encode(spark.createDataFrame(bad, "vec_id long, embedding array<double>, label int")).count()
+
+
+# 13
+
+def brute_set(text, width=4):
+    w = re.findall(r"[^\x20\x09-\x0D]+", lowered(text))
+    return {tuple(w[i:i + width]) for i in range(max(1, len(w) - width + 1))} if w else set()
+
+
+def brute_components(rows, percent=85):
+    sets = [brute_set(t) for _, t in rows]
+    root = list(range(len(rows)))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+    by_shingle = defaultdict(list)
+    for i, s in enumerate(sets):
+        near = Counter(j for g in s for j in by_shingle[g])
+        for j, common in near.items():
+            if 100 * common >= percent * (len(s) + len(sets[j]) - common):
+                root[find(i)] = find(j)
+        for g in s:
+            by_shingle[g].append(i)
+    least = {}
+    for i, (d, _) in enumerate(rows):
+        r = find(i)
+        least[r] = d if r not in least or least[r] is None or (d is not None and d < least[r]) else least[r]
+    return sorted(((d, len(sets[i]), least[find(i)]) for i, (d, _) in enumerate(rows)), key=lambda r: (r[0] is None, *map(str, r)))
+
+
+def component_rows(frame):
+    return sorted((tuple(r) for r in frame.select("doc_id", "n_shingles", "component_id").collect()),
+                  key=lambda r: (r[0] is None, *map(str, r)))
+
+
+def near_copies(seed, groups=4, size=40, words=150, shared=60):
+    """Groups of near-copies with changes of 0 to 4 % of the words, a chain, and texts that share a long passage."""
+    rnd = random.Random(seed)
+    passage = [f"s{i}" for i in range(shared)]
+    rows = []
+    for g in range(groups):
+        base = [f"g{g}w{rnd.randint(0, 400)}" for _ in range(words)]
+        for k in range(size):
+            rate = rnd.choice([0, 0.005, 0.02, 0.04])
+            rows.append((len(rows), " ".join(f"x{rnd.random()}" if rnd.random() < rate else w for w in base)))
+        rows += [(len(rows) + k, " ".join([f"u{g}x{k}x{i}" for i in range(rnd.randint(3, 30))] + passage)) for k in range(size // 4)]
+    chain = [f"c{i}" for i in range(120)]
+    for k in range(30):
+        chain = [w if rnd.random() > 0.01 else f"n{k}x{i}" for i, w in enumerate(chain)]
+        rows.append((len(rows), " ".join(chain)))
+    rnd.shuffle(rows)
+    return rows
+
+
+@pytest.mark.parametrize("block", [256, 3])
+def test_set_join_equals_all_pairs(spark, monkeypatch, block):
+    monkeypatch.setattr(set_join, "BLOCK", block)
+    rows = near_copies(block)
+    got = component_rows(set_join.joined(spark.createDataFrame(rows, "doc_id long, text string")))
+    assert got == brute_components(rows)
+    assert 10 < len({c for *_, c in got}) < len(rows) - 20
+
+
+def test_set_join_of_documents_equals_all_pairs(spark):
+    rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
+    assert component_rows(registry.op13_set_relations(spark, SF)) == brute_components(rows)
+
+
+def test_differences_give_the_links_of_a_group(spark):
+    """Every link inside a leader's group, found without the sets."""
+    rnd = random.Random(9)
+    leader = set(range(200))
+    rows, sets = [], {}
+    for k in range(60):
+        s = (leader - set(rnd.sample(range(200), rnd.randint(0, 40)))) | {1000 + rnd.randint(0, 60) for _ in range(rnd.randint(0, 25))}
+        node = k.to_bytes(2, "big")
+        sets[node] = s
+        rows.append((b"L", node, len(s), sorted(s ^ leader), 200))
+    sets[b"L"] = leader
+    frame = spark.createDataFrame(rows, "leader binary, node binary, size int, other array<long>, leader_size int")
+    root = {n: n for n in sets}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+    for r in set_join._group_links(frame, 85).collect():
+        a, b = bytes(r.a), bytes(r.b)
+        assert 100 * len(sets[a] & sets[b]) >= 85 * len(sets[a] | sets[b])
+        root[find(a)] = find(b)
+    for a in sets:
+        for b in sets:
+            if 100 * len(sets[a] & sets[b]) >= 85 * len(sets[a] | sets[b]):
+                assert find(a) == find(b)
+
+
+def test_set_join_of_awkward_rows(spark, awkward, empty):
+    rows = [(r[0], r[1]) for r in AWKWARD]
+    assert component_rows(set_join.joined(awkward)) == brute_components(rows)
+    assert set_join.joined(empty).count() == 0
+    null_ids = [(None, "one two three four five six"), (None, "ONE two three four five six"), (None, None), (None, "solo")]
+    assert component_rows(set_join.joined(spark.createDataFrame(null_ids, "doc_id long, text string"))) == brute_components(null_ids)
