@@ -5,8 +5,10 @@ null + cast (C5) -> lineage (C4) -> typed stage, counted while writing
 (B4) -> target constraints on the stage (C14) -> stage promoted to target
 (B1)``.
 
-The text is parsed exactly once: parsing and casting are one narrow stage
-(no shuffle) that writes a columnar stage. Constraint checks then read only
+Quoted fields may hold line breaks, and the files stay splittable: a first
+scan counts quotes by byte range (:mod:`conflux.sources.quoted`). The text is
+parsed exactly once: parsing and casting are one narrow stage (no shuffle but
+of ranges with quoted line breaks) that writes a columnar stage. Constraint checks then read only
 the constrained columns of the stage (partial aggregation on the primary
 key), and a clean stage replaces the target by a folder rename. A bad value
 (strict cast) or a violated constraint leaves the target untouched.
@@ -23,7 +25,7 @@ from ..operators.conform import REJECT_COLUMN, Constraints, conform, enforce
 from ..operators.project import add_lineage
 from ..session import new_path
 from ..sinks.tables import archive_source_files, delete_path, list_files, load_with_rowcount, replace_with
-from ..sources.files import read_csv_by_header
+from ..sources.quoted import REASON, read_records, split, strict
 
 
 @dataclass
@@ -35,9 +37,14 @@ class LoadResult:
 
 def typed_from_text(spark: SparkSession, csv_path: str, target: T.StructType,
                     encoding: str = "ISO-8859-1", sep: str = ",", mode: str = "strict") -> DataFrame:
-    """Raw text rows (by header name) conformed to the target schema."""
-    raw = read_csv_by_header(spark, csv_path, target.fieldNames(), sep=sep, encoding=encoding)
-    return conform(raw, target, mode=mode)
+    """Raw text rows (by each file's header) conformed to the target schema.
+    A record with another number of fields than its header is an error; in
+    reject mode it is a reject."""
+    raw = read_records(spark, csv_path, target.fieldNames(), sep=sep, encoding=encoding)
+    if mode == "strict":
+        return conform(strict(raw), target, mode=mode)
+    typed = conform(raw, T.StructType([*target.fields, T.StructField(REASON, T.StringType())]), mode=mode)
+    return typed.withColumn(REJECT_COLUMN, F.coalesce(REASON, REJECT_COLUMN)).drop(REASON)
 
 
 def _stage_split(spark: SparkSession, typed: DataFrame, stage: str) -> tuple[int, int]:
@@ -79,7 +86,8 @@ def load_flat_file(spark: SparkSession, csv_path: str, target_schema: T.StructTy
       load (strict, like the reference's procedure).
     * With ``reject_path`` such rows are set aside instead: one write
       routes them to ``reject_path`` (with ``reject_reason``), and the
-      target gets the rest.
+      target gets the rest. Of records with a wrong number of fields or an
+      unclosed quote, ``<reject_path>/_records`` keeps the text.
 
     With ``archive_files`` the input files are moved to ``processed/``
     after a good load, or to ``error/`` (``err_`` prefix) when the load
@@ -103,6 +111,8 @@ def load_flat_file(spark: SparkSession, csv_path: str, target_schema: T.StructTy
             enforce(spark.read.parquet(good), constraints)
         if reject_path is not None and rejected:
             _move_rejects(spark, stage, reject_path)
+            malformed = split(read_records(spark, csv_path, target_schema.fieldNames(), sep=sep, encoding=encoding))[1]
+            malformed.write.mode("overwrite").parquet(f"{reject_path}/_records")
         replace_with(spark, good, target_path)
         if reject_path is not None:
             delete_path(spark, stage)      # only the stage's bookkeeping files are left

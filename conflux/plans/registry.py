@@ -29,6 +29,7 @@ from ..session import new_path, prepare
 from ..sinks import tables as SK
 from ..sources import files as FS
 from ..sources import messages as MS
+from ..sources import quoted as QT
 from ..sources import relational as RL
 from ..sources import responses as RS
 from ..streaming import consumer as SC
@@ -938,6 +939,55 @@ def csv_real_text(spark, sf):
     return FS.read_csv_positional(spark, path, ["doc_id", "text", "lang"], multi_line=True)
 
 
+@check("flat_file_real_text", """
+SELECT doc_id, nullif(text, '') AS text, nullif(lang, '') AS lang, CAST(n_chars AS BIGINT) AS n_chars,
+       CAST(42 AS INTEGER) AS job_inst_id, TIMESTAMP '2024-01-01 00:00:00' AS date_created FROM documents""")
+def flat_file_real_text(spark, sf):
+    """The flagship on whole document texts: quotes, quoted line breaks, four
+    languages; the files stay splittable."""
+    d = _t(spark, sf, "documents")
+    csv = FS.write_text_csv(d.select("doc_id", "text", "lang", "n_chars"), new_path(spark, "documents-csv"), encoding="UTF-8")
+    schema = T.StructType([T.StructField("doc_id", T.LongType(), False), T.StructField("text", T.StringType()),
+                           T.StructField("lang", T.StringType()), T.StructField("n_chars", T.LongType())])
+    target = new_path(spark, "dbo-documents")
+    load_flat_file(spark, csv, schema, target, RUN_ID, RUN_TS, Constraints(primary_key=["doc_id"]), encoding="UTF-8")
+    return spark.read.parquet(target)
+
+
+@check("csv_mixed_headers", """
+SELECT CAST(doc_id AS VARCHAR) AS doc_id, text, CASE WHEN doc_id % 3 = 1 THEN NULL ELSE lang END AS lang FROM documents""")
+def csv_mixed_headers(spark, sf):
+    """A4 over files with three headers: other orders, a missing and a further column."""
+    d = _t(spark, sf, "documents")
+    root = new_path(spark, "documents-mixed")
+    for k, cols in enumerate((["doc_id", "text", "lang"], ["text", "doc_id"], ["source", "lang", "text", "doc_id"])):
+        FS.write_text_csv(d.where(F.col("doc_id") % 3 == k).select(*cols), f"{root}/{k}", encoding="UTF-8")
+    return FS.read_csv_files_by_header(spark, [f"{root}/{k}" for k in range(3)], ["doc_id", "text", "lang"], encoding="UTF-8")
+
+
+@check("csv_field_counts", """
+SELECT CASE WHEN doc_id % 5 = 0 THEN 'too many fields' WHEN doc_id % 5 = 1 THEN 'too few fields' END AS reason,
+       CAST(count(*) AS BIGINT) AS n, CAST(sum(CASE WHEN doc_id % 5 < 2 THEN 0 ELSE length(text) END) AS BIGINT) AS n_text
+FROM documents GROUP BY 1""")
+def csv_field_counts(spark, sf):
+    """A4: records with a field too many or too few are kept apart, none is padded or cut."""
+    d = _t(spark, sf, "documents").select("doc_id", "text", "lang")
+    quoted = lambda c: F.concat(F.lit('"'), F.replace(F.coalesce(c, F.lit("")), F.lit('"'), F.lit('""')), F.lit('"'))
+    fields = [F.col("doc_id").cast("string"), quoted(F.col("text"))]
+    line = (F.when(F.col("doc_id") % 5 == 0, F.concat_ws(",", *fields, "lang", F.lit('"EX,TRA"')))
+            .when(F.col("doc_id") % 5 == 1, F.concat_ws(",", *fields)).otherwise(F.concat_ws(",", *fields, "lang")))
+    # files of one partition each, whose first line is the header
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    rows = d.select(F.pmod("doc_id", F.lit(n)).alias("file"), F.lit(1).alias("place"), line.alias("value")).unionByName(
+        spark.range(n).select(F.col("id").alias("file"), F.lit(0).alias("place"), F.lit("doc_id,text,lang").alias("value")))
+    path = new_path(spark, "documents-ragged")
+    (rows.repartition(n, "file").sortWithinPartitions("file", "place").select("file", "value")
+     .write.partitionBy("file").text(path))
+    rows = QT.read_records(spark, path, ["doc_id", "text", "lang"])
+    return rows.groupBy(F.col(QT.REASON).alias("reason")).agg(
+        F.count(F.lit(1)).cast("bigint").alias("n"), F.coalesce(F.sum(F.length("text")), F.lit(0)).cast("bigint").alias("n_text"))
+
+
 @check("thousands", """
 SELECT r.r_name, CAST(count(*) AS BIGINT) AS n_customers, format('{:,}', count(*) * 1000) AS n_fmt
 FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey JOIN region r ON n.n_regionkey = r.r_regionkey

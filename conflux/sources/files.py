@@ -140,32 +140,13 @@ def empty_like(df: DataFrame) -> DataFrame:
     return df.limit(0)
 
 
-def _first_line(spark: SparkSession, path: str, encoding: str) -> str:
-    from ..sinks.tables import _fs
-    fs, p, jvm = _fs(spark, path)
-    reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(fs.open(p), encoding))
-    try:
-        return reader.readLine() or ""
-    finally:
-        reader.close()
-
-
-def read_csv_files_by_header(spark: SparkSession, path: str, fields: Sequence[str],
-                             sep: str = ",", encoding: str = TEXT_LAYER_ENCODING, multi_line: bool = False) -> DataFrame:
-    """A4 for a landing folder whose files do not share one header (each
-    file read by its own header, as a per-file dict reader does). Files are
-    grouped by their header line -- one short read per file on the driver,
-    names only -- and each group is read by :func:`read_csv_by_header`;
-    the groups are unioned by name."""
-    from functools import reduce
-
-    from ..sinks.tables import list_files
-
-    groups: dict[str, list[str]] = {}
-    for f in list_files(spark, path):
-        groups.setdefault(_first_line(spark, f, encoding), []).append(f)
-    parts = [read_csv_by_header(spark, files, fields, sep=sep, encoding=encoding)
-             for _, files in sorted(groups.items())]
-    if not parts:
-        return spark.createDataFrame([], text_schema(fields))
-    return reduce(DataFrame.unionByName, parts)
+def read_csv_files_by_header(spark: SparkSession, path: str | list[str], fields: Sequence[str],
+                             sep: str = ",", encoding: str = TEXT_LAYER_ENCODING) -> DataFrame:
+    """A4 for a landing folder whose files do not share one header: each file
+    is read by its own, as a per-file dict reader does. The headers come from
+    the same scan that counts quotes (:mod:`conflux.sources.quoted`), so no
+    file is opened on the driver, and quoted line breaks don't make a file one
+    task. A record with another number of fields than its header is an error;
+    :func:`conflux.sources.quoted.split` keeps such records apart."""
+    from .quoted import read_records, strict
+    return strict(read_records(spark, path, fields, sep=sep, encoding=encoding))

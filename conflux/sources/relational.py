@@ -75,11 +75,13 @@ def topic_pattern(value: str | None) -> str | None:
 def extract(spark: SparkSession, task: dict) -> DataFrame:
     """Read the source of one task row by ``conn_type`` (U2 dispatcher):
     ``db`` (JDBC: a raw SQL text, else the source table), ``parquet``,
-    ``file`` (delimited text by header), ``json`` (records by schema),
+    ``file`` (delimited text by each file's header, quoted line
+    breaks included; another number of fields is an error), ``json`` (records by schema),
     ``api`` (landed response pages, A8) and ``kafka`` (pattern
     subscription, A10). Accepts the catalog's column names
     (``src_incr_column`` / ``src_incr_date``, ``sql_type``...)."""
-    from .files import read_csv_by_header, read_json_records
+    from .files import read_json_records
+    from .quoted import read_records, strict
 
     kind = (task.get("conn_type") or "").strip().lower()
     if kind == "db" and task.get("sql_type") == "proc":
@@ -100,8 +102,8 @@ def extract(spark: SparkSession, task: dict) -> DataFrame:
     elif kind == "parquet":
         df = spark.read.parquet(task["file_path"])
     elif kind == "file":
-        df = read_csv_by_header(spark, task["file_path"], task["fields"],
-                                encoding=task.get("encoding", "ISO-8859-1"))
+        df = strict(read_records(spark, task["file_path"], task["fields"], sep=task.get("sep", ","),
+                                 encoding=task.get("encoding", "ISO-8859-1")))
     elif kind == "json":
         df = read_json_records(spark, task["file_path"], task["schema"])
     elif kind == "api":
