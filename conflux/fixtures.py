@@ -67,6 +67,31 @@ def response_pages(pages: DataFrame) -> DataFrame:
                         body.alias("body"))
 
 
+def cursor_pages(pages: DataFrame) -> DataFrame:
+    """Landed responses with the cursor each was fetched with
+    (``request_id, cursor, body``), made of whole pages: up to eight pages a
+    request (``page_id div 8``), whose results are the page and one more element.
+
+    By ``page_id``: ``% 7 = 6`` ends its chain, ``% 29 = 11`` isn't landed,
+    ``% 17 = 2`` is landed twice, ``% 31 = 8`` leads back to the first cursor;
+    the second element is a string (``% 5 = 1``), has an id that isn't a
+    number (``% 5 = 2``), or is good."""
+    pid, place = F.col("page_id"), F.col("page_id") % 8
+    name = lambda x: F.concat(F.lit("c"), x.cast("string"))
+    cursor = F.when(place == 0, F.lit("*")).otherwise(name(pid))
+    nxt = F.when((pid % 7 == 6) | (place == 7), F.lit(None).cast("string")).when(pid % 31 == 8, F.lit("*")).otherwise(name(pid + 1))
+    first = F.to_json(F.struct(pid.alias("id"), F.col("url").alias("title"), F.col("html").alias("html")))
+    second = (F.when(pid % 5 == 1, F.lit('"oops"')).when(pid % 5 == 2, F.concat(F.lit('{"id":"x'), pid.cast("string"), F.lit('"}')))
+              .otherwise(F.concat(F.lit('{"id":'), (-pid).cast("string"), F.lit("}"))))
+    meta = F.to_json(F.struct(F.struct(nxt.alias("next_cursor")).alias("meta")), {"ignoreNullFields": "false"})
+    body = F.concat(F.expr("substring(meta, 1, length(meta) - 1)"), F.lit(',"results":['), "first", F.lit(","), "second", F.lit("]}"))
+    times = F.when(pid % 29 == 11, 0).when(pid % 17 == 2, 2).otherwise(1)
+    return (spread(pages).select(F.expr("page_id div 8").cast("bigint").alias("request_id"), cursor.alias("cursor"),
+                                 meta.alias("meta"), first.alias("first"), second.alias("second"),
+                                 F.explode(F.sequence(F.lit(0), times)).alias("again")).where("again > 0")
+            .select("request_id", "cursor", body.alias("body")))
+
+
 def work_records(documents: DataFrame) -> DataFrame:
     """One JSON work record per document (``doc_id``, ``record``).
 

@@ -295,6 +295,64 @@ def landed_pages(spark, sf):
     return RS.landed_pages(pages, "id bigint, title string", max_pages=8)
 
 
+# SQL form of the page fixture C (conflux.fixtures.cursor_pages), walked step by step
+C_SQL = """
+RECURSIVE c AS (
+  SELECT page_id, url, html, CAST(page_id // 8 AS BIGINT) AS request_id,
+         CASE WHEN page_id % 8 = 0 THEN '*' ELSE 'c' || page_id END AS cursor,
+         CASE WHEN page_id % 7 = 6 OR page_id % 8 = 7 THEN NULL WHEN page_id % 31 = 8 THEN '*'
+              ELSE 'c' || (page_id + 1) END AS next_cursor,
+         page_id % 17 = 2 AS twice
+  FROM pages WHERE page_id % 29 <> 11),
+walked AS (
+  SELECT *, CAST(1 AS INTEGER) AS page_num FROM c WHERE cursor = '*'
+  UNION ALL
+  SELECT c.*, CAST(w.page_num + 1 AS INTEGER) FROM walked w JOIN c ON c.request_id = w.request_id AND c.cursor = w.next_cursor
+  WHERE w.page_num < 6 AND c.cursor <> '*')
+"""
+
+
+@check("linked_pages", "WITH " + C_SQL + """
+SELECT request_id, page_num, CAST(page_id AS BIGINT) AS id, url AS title, html FROM walked
+UNION ALL SELECT request_id, page_num, CAST(-page_id AS BIGINT), NULL, NULL FROM walked WHERE page_id % 5 NOT IN (1, 2)""")
+def linked_pages(spark, sf):
+    """A8 (+F3) over whole pages: chains followed by cursor, past repeated,
+    missing and circular pages, bad elements left out."""
+    pages = fx.cursor_pages(_t(spark, sf, "pages"))
+    return RS.linked_pages(pages, "id bigint, title string, html string", max_pages=6, rejects=True)[0]
+
+
+@check("linked_page_elements", "WITH " + C_SQL + """
+SELECT request_id, page_num, CAST(1 AS INTEGER) AS place,
+       CASE WHEN page_id % 5 = 1 THEN 'not an object' ELSE 'bad bigint: id' END AS reason,
+       CASE WHEN page_id % 5 = 1 THEN '"oops"' ELSE '{"id":"x' || page_id || '"}' END AS element
+FROM walked WHERE page_id % 5 IN (1, 2)""")
+def linked_page_elements(spark, sf):
+    """The elements that the same load keeps apart."""
+    pages = fx.cursor_pages(_t(spark, sf, "pages"))
+    bad = RS.linked_pages(pages, "id bigint, title string, html string", max_pages=6, rejects=True)[1]
+    return bad.select("request_id", "page_num", F.col(RS.PLACE).alias("place"), F.col(RS.REASON).alias("reason"),
+                      F.col(RS.ELEMENT).alias("element"))
+
+
+@check("linked_page_problems", "WITH " + C_SQL + """
+, started AS (SELECT DISTINCT request_id FROM walked),
+problem AS (
+  SELECT request_id, 'repeated page' AS reason FROM c WHERE twice
+  UNION ALL SELECT w.request_id, 'missing page' FROM walked w WHERE next_cursor IS NOT NULL AND page_num < 6
+    AND NOT EXISTS (SELECT 1 FROM c WHERE c.request_id = w.request_id AND c.cursor = w.next_cursor)
+  UNION ALL SELECT request_id, 'cursor goes back' FROM walked WHERE next_cursor = '*'
+  UNION ALL SELECT DISTINCT request_id, 'no first page' FROM c WHERE request_id NOT IN (SELECT request_id FROM started)
+  UNION ALL SELECT request_id, 'not reached' FROM c WHERE request_id IN (SELECT request_id FROM started)
+    AND page_id NOT IN (SELECT page_id FROM walked))
+SELECT request_id, reason, CAST(count(*) AS BIGINT) AS n FROM problem GROUP BY 1, 2""")
+def linked_page_problems(spark, sf):
+    """What is wrong with the chains of the same load."""
+    pages = fx.cursor_pages(_t(spark, sf, "pages"))
+    problems = RS.linked_pages(pages, "id bigint, title string, html string", max_pages=6, rejects=True)[2]
+    return problems.groupBy(F.col("request").alias("request_id"), "reason").agg(F.sum("n").cast("bigint").alias("n"))
+
+
 ENVELOPE = T.StructType([
     T.StructField("page", T.IntegerType()), T.StructField("total", T.LongType()),
     T.StructField("data", T.ArrayType(T.StructType([T.StructField("id", T.IntegerType()),
