@@ -10,9 +10,10 @@ shingle among the first |s| - ceil(0.85 |s|) + 1 of each (the prefix), so an
 index list of each prefix shingle that two nodes have holds every link.
 
 *Answers derived from a similar set's.* In the graph of shared lists each
-node finds a leader, the neighbour first in a random order, or that one's own
-leader. Where the two are alike (``related``, 40 %), all that the node keeps is
-its difference from the leader, D: shingles that one of the two lacks. The
+node finds a leader: of the nodes that come first, in a random order, in its
+lists, the one it meets most often, or that one's own. Where the two are alike
+(40 % or more), all that the node keeps is its difference from the leader, D:
+shingles that one of the two lacks. The
 links between the members of one leader follow from the differences alone,
 with no set read again:
 
@@ -27,9 +28,10 @@ whole.
 *Blocks of the index lists.* What is left are nodes of one list with
 different leaders and in different components. Lists are cut into blocks by
 size of the set and position of the shingle in it, hot ones by salt too; a
-pair of blocks is skipped where the size bounds, or the most that can be left
+pair of blocks is skipped where the sizes, or the most that can be left
 to share behind the positions, rule out each of its pairs. Pairs that pass the
-same bounds one by one are compared exactly. Of each pair of blocks only the
+same bounds one by one, in as many lists as sets of their sizes must share,
+are compared exactly. Of each pair of blocks only the
 links that join components are sent on. No list, group or component
 is gathered in one task, and no pair of a group becomes a row unless it is
 compared or linked.
@@ -48,12 +50,12 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
+from .bit_table import BitTable
 from .common import as_string_array, ready, slices, staged
 from .graph import components
-from .words import counted, shingles
+from .words import ascii_lowered, counted, shingles
 
 WIDTH = 4
 PERCENT = 85
@@ -62,7 +64,9 @@ TABLE_BITS, RANGE = 20, 4096
 #: Nodes, and shingles of their differences, a block holds on average.
 BLOCK, BLOCK_SHINGLES = 256, 1 << 16
 RELATED = 40
-LINKS = "a binary, b binary"
+LINKS = "a long, b long"
+#: Bits of the table that says which texts are wanted, 2**.
+KEY_BITS = 24
 
 
 def prefix_length(size, percent: int = PERCENT):
@@ -71,7 +75,7 @@ def prefix_length(size, percent: int = PERCENT):
 
 
 def _sets(texts: pa.Array, width: int):
-    doc, value, _ = counted(*shingles(pc.ascii_lower(texts), width))
+    doc, value, _ = counted(*shingles(ascii_lowered(texts), width))
     return doc, value, np.searchsorted(doc, np.arange(len(texts) + 1))
 
 
@@ -137,15 +141,24 @@ def _signed(own: DataFrame, levels: np.ndarray, width: int, percent: int) -> Dat
     return own.mapInArrow(sign, "doc_id long, text_key binary, node binary, size int, prefix array<long>")
 
 
-def _whole_sets(texts: DataFrame, width: int) -> DataFrame:
-    """(node, set) of (node, text)."""
+def _whole_sets(own: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
+    """(nid, set) for the (nid, text_key) of ``wanted``. The other texts stay
+    where they are: a bit table of the keys passes few of them on."""
+    table = BitTable(KEY_BITS).with_hashes(wanted.select(F.xxhash64("text_key").alias("h"))).share(own.sparkSession)
+
     def run(batches):
+        keys = BitTable(*table.value)
         for b in slices(batches):
-            _, value, at = _sets(as_string_array(b.column("text")), width)
-            yield pa.RecordBatch.from_arrays(
-                [b.column("node"), pa.LargeListArray.from_arrays(pa.array(at, pa.int64()), pa.array(value.view(np.int64)))
-                 .cast(pa.list_(pa.int64()))], names=["node", "set"])
-    return texts.mapInArrow(run, "node binary, set array<long>")
+            b = b.filter(pa.array(keys.has(b.column("h").to_numpy().view(np.uint64))))
+            if b.num_rows:
+                _, value, at = _sets(as_string_array(b.column("text")), width)
+                yield pa.RecordBatch.from_arrays(
+                    [b.column("text_key"), pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(value.view(np.int64)))],
+                    names=["text_key", "set"])
+
+    found = (own.select("text_key", "text", F.xxhash64("text_key").alias("h"))
+             .mapInArrow(run, "text_key binary, set array<long>"))
+    return found.groupBy("text_key").agg(F.first("set").alias("set")).join(wanted, "text_key").select("nid", "set")
 
 
 def _row(column, i: int) -> np.ndarray:
@@ -154,33 +167,28 @@ def _row(column, i: int) -> np.ndarray:
 
 
 def _related(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """(leader, node, size, other): each node's leader, the far one (``far``)
-    where the two are alike, else the near one, and how they differ."""
+    """(leader, nid, size, other) of the pairs (nid, leader) that are alike:
+    the size of the node's set and how it differs from the leader's."""
 
     def run(batches):
-        for b in slices(batches, "node", 1 << 10):
+        for b in batches:
             rows = []
             for i in range(b.num_rows):
-                own = _row(b.column("set"), i)
-                for name in ("far", "near"):
-                    if b.column(name)[i].as_buffer().equals(b.column("node")[i].as_buffer()):
-                        continue
-                    led = _row(b.column(f"{name}_set"), i)
-                    other = np.setxor1d(own, led, assume_unique=True)
-                    common = (len(own) + len(led) - len(other)) // 2
-                    if 100 * common >= percent * (len(other) + common):
-                        rows.append((b.column(name)[i].as_py(), b.column("node")[i].as_py(), len(own), other))
-                        break
+                own, led = _row(b.column("set"), i), _row(b.column("led"), i)
+                other = np.setxor1d(own, led, assume_unique=True)
+                common = (len(own) + len(led) - len(other)) // 2
+                if 100 * common >= percent * (len(other) + common):
+                    rows.append((i, len(own), other))
             if rows:
-                leader, node, size, other = zip(*rows, strict=True)
+                at, size, other = zip(*rows, strict=True)
+                some = b.take(pa.array(at))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(leader, pa.binary()), pa.array(node, pa.binary()), pa.array(size, pa.int32()),
-                     pa.array(other, pa.list_(pa.int64()))], names=["leader", "node", "size", "other"])
+                    [some.column("leader"), some.column("nid"), pa.array(size, pa.int32()),
+                     pa.array(other, pa.list_(pa.int64()))], names=["leader", "nid", "size", "other"])
 
-    side = lambda name: sets.select(F.col("node").alias(name), F.col("set").alias(f"{name}_set"))
-    rows = pairs.join(sets, "node").join(side("near"), "near").join(side("far"), "far")
-    return (rows.select("node", "near", "far", "set", "near_set", "far_set")
-            .mapInArrow(run, "leader binary, node binary, size int, other array<long>"))
+    led = sets.select(F.col("nid").alias("leader"), F.col("set").alias("led"))
+    return (pairs.join(sets, "nid").join(led, "leader").select("nid", "leader", "set", "led")
+            .mapInArrow(run, "leader long, nid long, size int, other array<long>"))
 
 
 def _forest(a: np.ndarray, b: np.ndarray) -> list[int]:
@@ -224,9 +232,9 @@ def _common(x: list[np.ndarray], y: list[np.ndarray]) -> np.ndarray:
 
 
 def _members(cell):
-    """(nodes, sizes, values) of a block's list of structs."""
+    """(nodes, sizes, differences) of a block's list of structs."""
     s = cell.values
-    node, size = s.field("node").to_pylist(), s.field("size").to_numpy(zero_copy_only=False).astype(np.int64)
+    node, size = (s.field(f).to_numpy(zero_copy_only=False).astype(np.int64) for f in ("nid", "size"))
     lists = s.field("other")
     flat, at = lists.values.to_numpy(zero_copy_only=False), lists.offsets.to_numpy()
     return node, size, [flat[at[i]:at[i + 1]] for i in range(len(node))]
@@ -237,17 +245,17 @@ def _group_links(related: DataFrame, percent: int) -> DataFrame:
     blocks as many as hold together what they hold together."""
     extent = F.size("other").alias("extent")
     whole = related.unionByName(related.groupBy("leader").agg(F.first("leader_size").alias("size"))
-                                .select("leader", F.col("leader").alias("node"), "size",
+                                .select("leader", F.col("leader").alias("nid"), "size",
                                         F.array().cast("array<long>").alias("other"), F.col("size").alias("leader_size")))
-    rows = whole.select("leader", "node", "size", "other", extent,
+    rows = whole.select("leader", "nid", "size", "other", extent,
                         F.floor(F.log2(F.size("other") + F.lit(1)) * 2).cast("int").alias("class"))
     salts = rows.groupBy("leader", "class").agg(
         (F.ceil(F.count("*") / BLOCK) + F.ceil(F.sum("extent") / BLOCK_SHINGLES)).alias("salts"))
     blocks = (rows.join(salts, ["leader", "class"])
-              .withColumn("block", F.struct("class", F.pmod(F.xxhash64("node"), F.col("salts")).alias("salt")))
+              .withColumn("block", F.struct("class", F.pmod(F.xxhash64("nid"), F.col("salts")).alias("salt")))
               .groupBy("leader", "block")
               .agg(F.min("size").alias("least"), F.max("size").alias("most"), F.min("extent").alias("low"),
-                   F.max("extent").alias("high"), F.collect_list(F.struct("node", "size", "other")).alias("members")))
+                   F.max("extent").alias("high"), F.collect_list(F.struct("nid", "size", "other")).alias("members")))
     blocks = staged(blocks, "group-blocks")
     x, y = (blocks.select("leader", *[F.col(c).alias(f"{c}_{n}") for c in blocks.columns[1:]]) for n in "xy")
     far = lambda p, q: (F.col(f"low_{p}") - F.col(f"high_{q}")) * (100 + percent)
@@ -263,23 +271,23 @@ def _group_links(related: DataFrame, percent: int) -> DataFrame:
                 apart = la[:, None] + lb[None, :] - 2 * _common(oa, ob)
                 both = sa[:, None] + sb[None, :]
                 p, q = np.nonzero((100 + percent) * (both - apart) >= 2 * percent * both)
-                number = {}
-                ida, idb = (np.array([number.setdefault(v, len(number)) for v in n]) for n in (na, nb))
-                keep = _forest(ida[p], idb[q])
+                keep = _forest(na[p], nb[q])
                 if keep:
-                    yield pa.RecordBatch.from_arrays([pa.array([na[p[k]] for k in keep], pa.binary()),
-                                                      pa.array([nb[q[k]] for k in keep], pa.binary())], names=["a", "b"])
+                    yield pa.RecordBatch.from_arrays([pa.array(na[p][keep]), pa.array(nb[q][keep])], names=["a", "b"])
 
     return x.join(y, "leader").where(near).select("members_x", "members_y").mapInArrow(run, LINKS)
 
 
 def _list_pairs(members: DataFrame, known: DataFrame, percent: int) -> DataFrame:
-    """(a, b): nodes of one index list in different components and with
-    different leaders, which no bound on size or position rules out.
-    ``known``: (node, leader, label)."""
-    rows = (members.join(known, "node", "left")
-            .select("token", "node", "size", "pos", F.coalesce("leader", "node").alias("leader"),
-                    F.coalesce("label", "node").alias("label")))
+    """(a, b): nodes of common index lists in different components and with
+    different leaders, which no bound rules out: sizes s <= t, linked from
+    alpha = ceil(85 (s + t) / 185) common shingles on, have k of them in
+    common among their first s - alpha + k and t - alpha + k, for any k. The
+    prefixes are long enough for k = alpha - ceil(0.85 t) + 1.
+    ``known``: (nid, leader, label)."""
+    rows = (members.join(known, "nid", "left")
+            .select("token", "nid", "size", "pos", F.coalesce("leader", "nid").alias("leader"),
+                    F.coalesce("label", "nid").alias("label")))
     open_ = (rows.groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high"),
                                        F.min("leader").alias("first"), F.max("leader").alias("last"),
                                        F.ceil(F.count("*") / BLOCK).alias("salts"))
@@ -288,49 +296,53 @@ def _list_pairs(members: DataFrame, known: DataFrame, percent: int) -> DataFrame
     blocks = (rows.join(open_, "token")
               .withColumn("block", F.struct(F.floor(F.log2("size") * 4).cast("int").alias("s"),
                                             F.floor(F.log2(F.col("pos") + F.lit(1))).cast("int").alias("p"),
-                                            F.pmod(F.xxhash64("node"), F.col("salts")).alias("salt")))
+                                            F.pmod(F.xxhash64("nid"), F.col("salts")).alias("salt")))
               .groupBy("token", "block")
               .agg(F.min("size").alias("least"), F.max("size").alias("most"), F.max(rest).alias("rest"),
                    F.min("label").alias("low"), F.max("label").alias("high"),
-                   F.collect_list(F.struct("node", "size", "pos", "leader", "label")).alias("members")))
+                   F.collect_list(F.struct("nid", "size", "pos", "leader", "label")).alias("members")))
     blocks = staged(blocks, "list-blocks")
     x, y = (blocks.select("token", *[F.col(c).alias(f"{c}_{n}") for c in blocks.columns[1:]]) for n in "xy")
     near = ((F.col("block_x") <= F.col("block_y"))
             & (F.col("most_x") * 100 >= F.col("least_y") * percent) & (F.col("most_y") * 100 >= F.col("least_x") * percent)
-            & (F.least("rest_x", "rest_y") * (100 + percent) >= (F.col("least_x") + F.col("least_y")) * percent)
+            & (F.least("rest_x", "rest_y") * 100 >= F.greatest("least_x", "least_y") * percent)
             & ~((F.col("low_x") == F.col("high_x")) & (F.col("low_y") == F.col("high_y")) & (F.col("low_x") == F.col("low_y"))))
 
     def run(batches):
         for b in batches:
             for i in range(b.num_rows):
                 (n, s, r, g, c), (m, t, u, h, d) = (_entries(b.column(f"members_{k}")[i]) for k in "xy")
-                both = s[:, None] + t[None, :]
+                large = np.maximum(s[:, None], t[None, :])
                 ok = ((c[:, None] != d[None, :]) & (g[:, None] != h[None, :])
-                      & (np.minimum(s[:, None], t[None, :]) * 100 >= np.maximum(s[:, None], t[None, :]) * percent)
-                      & (np.minimum(r[:, None], u[None, :]) * (100 + percent) >= both * percent))
+                      & (np.minimum(s[:, None], t[None, :]) * 100 >= large * percent)
+                      & (np.minimum(r[:, None], u[None, :]) * 100 >= large * percent))
+                if (b.column("block_x")[i].equals(b.column("block_y")[i])):
+                    ok &= n[:, None] > m[None, :]        # a block with itself has each pair twice
                 p, q = np.nonzero(ok)
                 if len(p):
-                    a, z = n[p], m[q]
-                    swap = a < z
-                    yield pa.RecordBatch.from_arrays([pa.array(np.where(swap, z, a), pa.binary()),
-                                                      pa.array(np.where(swap, a, z), pa.binary())], names=["a", "b"])
+                    alpha = -(-percent * (s[p] + t[q]) // (100 + percent))
+                    k = alpha + percent * large[p, q] // -100 + 1
+                    yield pa.RecordBatch.from_arrays([pa.array(np.maximum(n[p], m[q])), pa.array(np.minimum(n[p], m[q])),
+                                                      pa.array(k.astype(np.int32))], names=["a", "b", "k"])
 
-    return x.join(y, "token").where(near).select("members_x", "members_y").mapInArrow(run, LINKS).distinct()
+    return (x.join(y, "token").where(near).select("block_x", "block_y", "members_x", "members_y")
+            .mapInArrow(run, LINKS + ", k int").groupBy("a", "b").agg(F.count("*").alias("n"), F.max("k").alias("k"))
+            .where("n >= k").select("a", "b"))
 
 
 def _entries(cell):
     """(nodes, sizes, what is left from the position on, leaders, labels)."""
     s = cell.values
-    size = s.field("size").to_numpy(zero_copy_only=False).astype(np.int64)
-    node, leader, label = (np.array(s.field(f).to_pylist(), object) for f in ("node", "leader", "label"))
-    return node, size, size - s.field("pos").to_numpy(zero_copy_only=False), leader, label
+    node, size, pos, leader, label = (s.field(f).to_numpy(zero_copy_only=False).astype(np.int64)
+                                      for f in ("nid", "size", "pos", "leader", "label"))
+    return node, size, size - pos, leader, label
 
 
 def _compared(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs of nodes whose sets link."""
 
     def run(batches):
-        for b in slices(batches, "a", 1 << 10):
+        for b in batches:
             ok = np.zeros(b.num_rows, bool)
             for i in range(b.num_rows):
                 x, y = _row(b.column("set_a"), i), _row(b.column("set_b"), i)
@@ -338,57 +350,72 @@ def _compared(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                 ok[i] = 100 * common >= percent * (len(x) + len(y) - common)
             yield b.select(["a", "b"]).filter(pa.array(ok))
 
-    side = lambda n: sets.select(F.col("node").alias(n), F.col("set").alias(f"set_{n}"))
+    side = lambda n: sets.select(F.col("nid").alias(n), F.col("set").alias(f"set_{n}"))
     return (pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "set_a", "set_b")
             .mapInArrow(run, LINKS))
 
 
-def _leaders(members: DataFrame) -> DataFrame:
-    """(node, near, far): the first node, in a random order, of a node's lists,
-    and where that one's own leads on to."""
-    drawn = F.struct(F.xxhash64("node").alias("h"), "node")
-    first = members.groupBy("token").agg(F.min(drawn).alias("hub"))
-    near = staged(members.select("token", "node").join(first, "token").groupBy("node").agg(F.min("hub").alias("hub"))
-                  .select("node", F.col("hub.node").alias("near")), "near-leaders")
-    step = near.select(F.col("node").alias("of"), F.col("near").alias("next"))
-    twice = near.join(step, near.near == step.of).select("node", "near", F.col("next").alias("far"))
-    again = twice.join(step, twice.far == step.of).select("node", "near", F.col("next").alias("far"))
-    return again.where("node <> near OR node <> far")
+def _leaders(members: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """(nid, leader): for each node the one that comes first, in a random
+    order, in most of its lists (an eighth of the prefix at least), or that
+    one's own, where the sizes allow them to be alike."""
+    first = members.groupBy("token").agg(F.min(F.struct(F.xxhash64("nid").alias("h"), "nid")).alias("hub"))
+    shared = (members.join(first, "token").select("nid", "size", F.col("hub.nid").alias("hub")).where("nid <> hub")
+              .groupBy("nid", "hub").agg(F.count("*").alias("n"), F.min("size").alias("size"))
+              .where(F.col("n") * 8 >= prefix_length_of(F.col("size"))))
+    near = staged(shared.groupBy("nid").agg(F.max(F.struct("n", "hub")).alias("best"))
+                  .select("nid", F.col("best.hub").alias("near")), "near-leaders")
+    step = near.select(F.col("nid").alias("of"), F.col("near").alias("far"))
+    pairs = (near.join(step, F.col("near") == F.col("of"), "left")
+             .select("nid", F.when(F.col("far") == F.col("nid"), F.col("near"))
+                     .otherwise(F.coalesce("far", "near")).alias("leader")))
+    own, led = (nodes.select(F.col("nid").alias(n), F.col("size").alias(f"{n}_size")) for n in ("nid", "leader"))
+    return (pairs.join(own, "nid").join(led, "leader")
+            .where(F.least("nid_size", "leader_size") * 100 >= F.greatest("nid_size", "leader_size") * percent)
+            .select("nid", "leader", "leader_size"))
+
+
+def prefix_length_of(size, percent: int = PERCENT):
+    """:func:`prefix_length` of a column."""
+    return size - F.ceil(size * percent / 100) + 1
 
 
 def joined(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT,
            width: int = WIDTH) -> DataFrame:
     """(doc_id, n_shingles, component_id) for each row of ``docs``."""
-    spark = ready(docs.sparkSession)
+    ready(docs.sparkSession)
     own = docs.select(docs[id_col].cast("long").alias("doc_id"),
                       F.coalesce(docs[text_col].cast("string"), F.lit("")).alias("text"))
     own = own.withColumn("text_key", F.unhex(F.md5(F.col("text").cast("binary"))))
     rows = staged(_signed(own, _levels(own, width), width, percent), "sets")
     nodes = staged(rows.where("node IS NOT NULL").groupBy("node")
                    .agg(F.min("doc_id").alias("least"), F.min("text_key").alias("text_key"),
-                        F.first("size").alias("size"), F.first("prefix").alias("prefix")), "nodes")
-    postings = nodes.select("node", "size", F.posexplode("prefix").alias("pos", "token"))
+                        F.first("size").alias("size"), F.first("prefix").alias("prefix"))
+                   .withColumn("nid", F.monotonically_increasing_id()), "nodes")      # a short name, fixed once written
+    postings = nodes.select("nid", "size", F.posexplode("prefix").alias("pos", "token"))
     shared = postings.groupBy("token").agg(F.count("*").alias("n")).where("n > 1").select("token")
-    members = staged(postings.join(shared, "token").select("token", "node", "size", "pos"), "members")
+    members = staged(postings.join(shared, "token").select("token", "nid", "size", "pos"), "members")
 
-    # the sets of the nodes that are in a list
-    wanted = (members.select("node").distinct().join(nodes.select("node", "text_key"), "node")
-              .withColumnRenamed("text_key", "key"))
-    texts = own.select("text_key", "text").join(wanted, F.col("text_key") == F.col("key")).dropDuplicates(["node"])
-    sets = staged(_whole_sets(texts.select("node", "text"), width), "whole-sets")
+    def sets_of(some):
+        """The sets of the nodes in the columns of frames."""
+        return staged(_whole_sets(own, some.distinct().join(nodes.select("nid", "text_key"), "nid"), width), "whole-sets")
 
-    size = nodes.select(F.col("node").alias("leader"), F.col("size").alias("leader_size"))
-    related = staged(_related(staged(_leaders(members), "leaders"), sets, RELATED).join(size, "leader"), "related")
+    both = lambda frame, a, b: frame.select(F.explode(F.array(a, b)).alias("nid"))
+    leaders = staged(_leaders(members, nodes, RELATED), "leaders")
+    sets = sets_of(both(leaders, "nid", "leader"))
+    related = staged(_related(leaders.select("nid", "leader"), sets, RELATED)
+                     .join(leaders.select("nid", "leader_size"), "nid"), "related")
     links = staged(_group_links(related, percent), "group-links")
     label = staged(components(links), "classes").select(F.col("node").alias("of"), F.col("root").alias("label"))
-    lead = related.select("node", "leader").unionByName(
-        related.select(F.col("leader").alias("node"), "leader").distinct().join(related.select("node"), "node", "left_anti"))
-    known = staged(lead.join(label, F.col("node") == F.col("of"), "left").select("node", "leader", "label"), "known")
+    lead = related.select("nid", "leader").unionByName(
+        related.select(F.col("leader").alias("nid"), "leader").distinct().join(related.select("nid"), "nid", "left_anti"))
+    known = staged(lead.join(label, F.col("nid") == F.col("of"), "left").select("nid", "leader", "label"), "known")
     pairs = staged(_list_pairs(members, known, percent), "list-pairs")
-    links = links.unionByName(_compared(pairs, sets, percent))
+    links = links.unionByName(_compared(pairs, sets_of(both(pairs, "a", "b")), percent))
     of = components(links)
 
-    by_node = nodes.select("node", "least").join(of, "node", "left").select("node", "least", F.coalesce("root", "node").alias("root"))
+    by_node = (nodes.select("node", "nid", "least").join(of.withColumnRenamed("node", "of"), F.col("nid") == F.col("of"), "left")
+               .select("node", "least", F.coalesce("root", "nid").alias("root")))
     least = by_node.groupBy("root").agg(F.min("least").alias("component_id"))
     by_node = staged(by_node.join(least, "root").select("node", "component_id"), "components")
     return (rows.select("doc_id", "node", "size").join(by_node, "node", "left")

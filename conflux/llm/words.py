@@ -17,6 +17,22 @@ WIDTH = 5
 _MULT = np.uint64(0x9E3779B97F4A7C15)
 
 
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[ord("A"):ord("Z") + 1] += 32
+
+
+def ascii_lowered(texts: pa.Array) -> pa.Array:
+    """A-Z in lower case, of a ``large_string`` array without nulls. (Arrow's
+    own function goes wrong on slices.)"""
+    offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset:texts.offset + len(texts) + 1]
+    body = texts.buffers()[2]
+    if body is None or not len(texts) or offsets[0] == offsets[-1]:
+        return texts
+    data = np.frombuffer(body, np.uint8)[offsets[0]:offsets[-1]]
+    return pa.Array.from_buffers(texts.type, len(texts),
+                                 [None, pa.py_buffer(offsets - offsets[0]), pa.py_buffer(_LOWER[data])])
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A 64-bit finaliser: spreads every input bit over the whole value."""
     x = x ^ (x >> np.uint64(30))
@@ -47,6 +63,19 @@ def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return known[coded.indices.to_numpy()], offsets
 
 
+def runs(h: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """The hash of each run of ``width`` words, as :func:`shingles` has it for
+    a text of just these words, and its first word's position; runs over the
+    ends of texts included."""
+    s = np.full(max(0, len(h) - width + 1), width, np.uint64)
+    power = np.uint64(1)
+    with np.errstate(over="ignore"):
+        for k in range(width):
+            s += h[k:k + len(s)] * power
+            power = power * _MULT
+        return mix(s), np.arange(len(s))
+
+
 def shingles(texts: pa.Array, width: int = WIDTH) -> tuple[np.ndarray, np.ndarray]:
     """Text number and 64-bit hash of each shingle occurrence, texts in order."""
     h, off = word_hashes(texts)
