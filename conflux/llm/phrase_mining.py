@@ -2,28 +2,31 @@
 
 Texts are cut into pieces, pieces into words; a phrase is a run of at most
 ``longest`` words within a piece, counted for each language. A sample of the
-documents proposes the phrases that are frequent at a lowered threshold, level
-by level. One pass over all documents then counts exactly what the sample
-proposed together with its negative border: the phrases that it didn't
-propose, but whose first and last words less one it did (every word is
-counted). If nothing of the border is frequent, the counts are complete: the
+pieces, drawn one by one so that what a document repeats isn't drawn or missed
+as a whole, proposes the phrases that are frequent at a lowered threshold,
+level by level. One pass over all documents then counts exactly what the
+sample proposed together with its negative border: the phrases that it didn't
+propose, but whose first and last words less one it did (all other words are
+border). If nothing of the border is frequent, the counts are complete: the
 shortest missing phrase would have both those parts proposed, and so be
-counted. Otherwise the failures join the proposal and a further pass counts
-the border that this opens, until it closes; failures get longer by a word
-each time, so there are at most ``longest`` passes. The sample changes the
-cost, never the result.
-
-Proposals are held as a bit table of fixed size (2**``filter_bits`` bits, one
-for a phrase's hash; 2 MB by default), the only thing broadcast. A phrase that
-shares a bit is counted without need, no more; counts are of the words themselves, never of
-hashes. In a task, phrases of a slice are numbered exactly (a phrase of k
-words by the numbers of its two parts of k - 1) and summed before they
-leave it; a key with a third of all rows is one row from each task.
+counted. Otherwise the failures join the proposal, and a further pass counts
+them and the border that this opens, until it closes; new failures are longer
+by a word each time, so there are at most ``longest`` + 1 passes. The sample
+changes the cost, never the result.
+
+Proposals are held as a bit table of fixed size (2**``filter_bits`` bits, 2 MB
+by default), the only thing broadcast; a phrase that shares a bit counts as
+proposed. Proposed phrases are counted by their words. Of the border, which
+is nearly all of the rows, 64-bit hashes are counted: a clash can only raise a
+count, and what reaches the threshold is proposed and counted by its words in
+the next pass. In a task, phrases of a section are numbered exactly (a phrase
+of k words by the numbers of its two parts of k - 1) and summed before they
+leave it; a key with a third of all rows is a few rows from each task.
 
 Defined results: null text is empty, null lang is ``und``. A text without
 words, an empty table or one without frequent phrases gives no rows. Repeated
 rows count each time. A very long text is worked through in sections of
-``SLICE_BYTES``, each phrase belonging to the section of its first word; a
+``SECTION`` bytes, each phrase belonging to the section of its first word; a
 single word longer than that is taken whole.
 """
 
@@ -37,11 +40,12 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window, functions as F
 
+from .bit_table import BitTable
 from .common import as_string_array, ready, slices, staged
 from .words import mix
 
-COUNTS = "lang string, phrase string, n long"
-SECTION = 8 << 20
+COUNTS = "lang string, phrase string, h long, n long"
+SECTION = 2 << 20
 _KIND = np.zeros(256, np.uint8)                     # 0: of a word, 1: between words, 2: between pieces
 _KIND[list(b" \t")] = 1
 _KIND[list(b".,;:!?\n\x0b\x0c\r")] = 2
@@ -65,42 +69,6 @@ def gram_hash(words: list[np.ndarray], lang: np.ndarray) -> np.ndarray:
         return mix(s)
 
 
-class Proposal:
-    """Bits of the proposed phrases' hashes."""
-
-    def __init__(self, bits: int, table: np.ndarray | None = None):
-        self.bits = bits
-        self.table = np.zeros(1 << max(0, bits - 6), np.uint64) if table is None else table
-        self.shared = None
-
-    def has(self, hashes: np.ndarray) -> np.ndarray:
-        at = hashes >> np.uint64(64 - self.bits)
-        return (self.table[at >> np.uint64(6)] >> (at & np.uint64(63)) & np.uint64(1)).astype(bool)
-
-    def share(self, spark):
-        """The table as a broadcast."""
-        if self.shared is None:
-            self.shared = spark.sparkContext.broadcast((self.bits, self.table))
-        return self.shared
-
-    def release(self) -> None:
-        """Drop the broadcast: what was read through it is written."""
-        if self.shared is not None:
-            self.shared.destroy()
-            self.shared = None
-
-    def with_hashes(self, hashes: DataFrame) -> Proposal:
-        """Also the hashes of a frame (h); what comes to the driver is at most
-        the table."""
-        at = F.shiftrightunsigned("h", 64 - self.bits)
-        rows = (hashes.select(F.shiftright(at, 6).alias("word"),
-                              F.expr(f"shiftleft(1L, cast(shiftrightunsigned(h, {64 - self.bits}) & 63 AS int))").alias("bit"))
-                .groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow())
-        table = self.table.copy()
-        table[rows.column("word").to_numpy()] |= rows.column("bits").to_numpy().view(np.uint64)
-        return Proposal(self.bits, table)
-
-
 class Words:
     """The words of a section of texts: where they stand and which they are."""
 
@@ -115,15 +83,15 @@ class Words:
         first[begins] = word[begins]
         starts = np.flatnonzero(first)
         self.count = len(starts)
-        before = np.concatenate([[0], np.cumsum(word)])
-        ends = np.concatenate([before[starts], before[-1:]])
+        before = np.cumsum(word, dtype=np.int32)        # a section is far below 2 GB
+        ends = np.append(before[starts] - 1, before[-1:])
         body = np.ascontiguousarray(_LOWER[data[word]])
         coded = pa.Array.from_buffers(pa.large_string(), len(starts),
                                       [None, pa.py_buffer(np.ascontiguousarray(ends.astype(np.int64))), pa.py_buffer(body)])
         coded = pc.dictionary_encode(coded)
         self.spelt, self.word = coded.dictionary, coded.indices.to_numpy().astype(np.int64)
         text = np.searchsorted(offsets, starts, "right") - 1
-        breaks = np.cumsum(kind == 2)[starts]
+        breaks = np.cumsum(kind == 2, dtype=np.int32)[starts]
         new = np.ones(len(starts), bool)
         new[1:] = (breaks[1:] != breaks[:-1]) | (text[1:] != text[:-1])
         self.piece = np.cumsum(new)
@@ -131,10 +99,12 @@ class Words:
         self.own = starts < own
         self.hash, self.lang_hash = _hashes(self.spelt), lang_hash
 
-    def levels(self, longest: int, proposal: Proposal, counted: Proposal | None = None):
-        """(k, place, count, hash) of the distinct phrases of k words that are
-        counted under ``proposal`` and weren't under ``counted``: a place
-        where each stands, its number in the section, its hash."""
+    def levels(self, longest: int, proposal: BitTable, counted: BitTable | None = None):
+        """For each k (k, place, count, hash, proposed, known, was proposed) of
+        the distinct phrases of k words that are counted under ``proposal``: a
+        place where each stands, its number in the section, its hash, whether
+        it is proposed, whether it was counted under ``counted`` and was
+        proposed there."""
         number, inverse, some = None, None, np.arange(self.count)
         for k in range(1, longest + 1):
             if k == 1:
@@ -153,8 +123,9 @@ class Words:
                 pair = number[some] * size + number[some + 1]
             if not len(some):
                 return
-            _, place, inverse = np.unique(pair, return_index=True, return_inverse=True)
-            place = some[place]
+            inverse, distinct = pd.factorize(pair)
+            place = np.empty(len(distinct), np.int64)
+            place[inverse[::-1]] = some[::-1]            # where each stands first
             count = np.bincount(inverse[self.own[some]], minlength=len(place))
             h = gram_hash([self.hash[self.word[place + j]] for j in range(k)], self.lang_hash[self.lang[place]])
             proposed = proposal.has(h)
@@ -164,8 +135,8 @@ class Words:
             else:
                 known = np.ones(len(place), bool) if k == 1 else old_fit[place] & old_fit[place + 1]
                 old = known & counted.has(h)
-            out = (count > 0) & ~known
-            yield k, place[out], count[out], h[out]
+            out = count > 0
+            yield k, place[out], count[out], h[out], proposed[out], known[out], old[out]
 
     def phrases(self, place: np.ndarray, k: int) -> pa.Array:
         parts = [self.spelt.take(pa.array(self.word[place + j])) for j in range(k)]
@@ -191,10 +162,7 @@ def sections(batches, longest: int, most: int = SECTION):
         texts = as_string_array(b.column("text"))
         langs = pc.dictionary_encode(pc.fill_null(b.column("lang").cast(pa.string()), "und"))
         names, lang = langs.dictionary, langs.indices.to_numpy().astype(np.int64)
-        offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset:texts.offset + len(texts) + 1]
-        body = texts.buffers()[2]
-        data = np.frombuffer(body, np.uint8)[offsets[0]:offsets[-1]] if body is not None else np.zeros(0, np.uint8)
-        offsets = offsets - offsets[0]
+        data, offsets = _bytes(texts)
         if len(texts) > 1 or len(data) <= most:
             yield Words(data, offsets, lang, _hashes(names), len(data)), names
             continue
@@ -202,62 +170,111 @@ def sections(batches, longest: int, most: int = SECTION):
             yield Words(data[start:far], np.array([0, far - start]), lang, _hashes(names), end - start), names
 
 
-def _sampled(texts: DataFrame, longest: int, level: int, proposal: Proposal) -> DataFrame:
+def _bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of all texts one after another, and where each begins and the
+    last one ends."""
+    offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset:texts.offset + len(texts) + 1]
+    body = texts.buffers()[2]
+    data = np.frombuffer(body, np.uint8)[offsets[0]:offsets[-1]] if body is not None else np.zeros(0, np.uint8)
+    return data, offsets - offsets[0]
+
+
+def sampled_pieces(texts: DataFrame, one_in: int) -> DataFrame:
+    """(text, lang): of each text a piece in ``one_in``, each drawn by itself."""
+
+    def draw(batches):
+        for b in slices(batches, most=SECTION):
+            data, offsets = _bytes(as_string_array(b.column("text")))
+            starts = np.concatenate([np.flatnonzero(_KIND[data] == 2) + 1, offsets[:-1]])
+            starts = np.unique(starts[starts < len(data)])
+            size = np.diff(np.append(starts, len(data)))
+            of = np.searchsorted(offsets, starts, "right") - 1
+            with np.errstate(over="ignore"):
+                seed = b.column("seed").to_numpy().view(np.uint64)
+                drawn = mix(seed[of] + starts.astype(np.uint64) * _MULT) % np.uint64(one_in) == 0
+            kept = np.bincount(of, np.where(drawn, size, 0), len(offsets) - 1).astype(np.int64)
+            body = np.ascontiguousarray(data[np.repeat(drawn, size)])
+            text = pa.Array.from_buffers(pa.large_string(), len(kept),
+                                         [None, pa.py_buffer(np.concatenate([[0], np.cumsum(kept)])), pa.py_buffer(body)])
+            out = pa.RecordBatch.from_arrays([text.cast(pa.string()), b.column("lang")], names=["text", "lang"])
+            yield out.filter(pa.array(kept > 0))
+
+    seeded = texts.withColumn("seed", F.xxhash64("text", F.monotonically_increasing_id()))
+    return seeded.mapInArrow(draw, "text string, lang string")
+
+
+def _sampled(texts: DataFrame, longest: int, level: int, proposal: BitTable) -> DataFrame:
     """(h, n): the hashes of the sample's phrases of ``level`` words whose
     parts are proposed, with their counts."""
     table = proposal.share(texts.sparkSession)
 
     def count(batches):
-        proposed = Proposal(*table.value)
+        proposed, held = BitTable(*table.value), _Sums()
         for words, _ in sections(batches, longest):
-            for k, _, n, h in words.levels(level, proposed):
+            for k, _, n, h, *_ in words.levels(level, proposed):
                 if k == level:
-                    yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(n)], names=["h", "n"])
+                    yield from held.add(h, n)
+        yield from held.flush()
+
+    return texts.mapInArrow(count, "h long, n long").repartition("h").groupBy("h").agg(F.sum("n").alias("n"))
+
 
-    return texts.mapInArrow(count, "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
+class _Sums:
+    """Counts of hashes, added up in a task up to a bounded number of them."""
 
+    def __init__(self, most: int = 1 << 19):
+        self.most, self.parts, self.held = most, [], 0
 
-def _counted(texts: DataFrame, longest: int, proposal: Proposal, before: Proposal | None) -> DataFrame:
-    """(lang, phrase, n) of all phrases counted under the proposal, but not
-    before; the phrase '' stands for all words."""
+    def add(self, h: np.ndarray, n: np.ndarray):
+        self.parts.append((h, n))
+        self.held += len(h)
+        if self.held > self.most:
+            yield from self.flush()
+
+    def flush(self):
+        if self.held:
+            h, n = (np.concatenate(x) for x in zip(*self.parts, strict=True))
+            code, distinct = pd.factorize(h)
+            sums = np.zeros(len(distinct), np.int64)
+            np.add.at(sums, code, n)
+            yield pa.RecordBatch.from_arrays([pa.array(distinct.view(np.int64)), pa.array(sums)], names=["h", "n"])
+        self.parts, self.held = [], 0
+
+
+def _counted(texts: DataFrame, longest: int, proposal: BitTable, before: BitTable | None) -> DataFrame:
+    """(lang, phrase, h, n): the proposed phrases that weren't counted by their
+    words before, with null h, and the hashes of the border that weren't
+    counted before, with null lang and phrase. The phrase '' stands for all
+    words."""
     now = proposal.share(texts.sparkSession)
     then = None if before is None else before.share(texts.sparkSession)
+    fields = ["lang", "phrase", "h", "n"]
+
+    def border(batch):
+        none = pa.nulls(batch.num_rows, pa.string())
+        return pa.RecordBatch.from_arrays([none, none, *batch.columns], names=fields)
 
     def count(batches):
-        new, old = Proposal(*now.value), None if then is None else Proposal(*then.value)
+        new, old, held = BitTable(*now.value), None if then is None else BitTable(*then.value), _Sums()
         for words, names in sections(batches, longest):
-            for k, place, n, _ in words.levels(longest, new, old):
-                if k == 1 and len(n):
-                    total = np.zeros(len(names), np.int64)
-                    np.add.at(total, words.lang[place], n)
-                    yield pa.RecordBatch.from_arrays(
-                        [names, pa.array([""] * len(names), pa.string()), pa.array(total)], names=["lang", "phrase", "n"])
-                for a in range(0, len(n), 1 << 17):
-                    p = place[a:a + (1 << 17)]
+            if old is None and words.own.any():
+                total = np.bincount(words.lang[words.own], minlength=len(names))
+                yield pa.RecordBatch.from_arrays(
+                    [names, pa.array([""] * len(names), pa.string()), pa.nulls(len(names), pa.int64()),
+                     pa.array(total.astype(np.int64))], names=fields)
+            for k, place, n, h, proposed, known, was in words.levels(longest, new, old):
+                yield from map(border, held.add(h[~proposed & ~known], n[~proposed & ~known]))
+                some = np.flatnonzero(proposed & ~was)
+                for a in range(0, len(some), 1 << 16):
+                    p = some[a:a + (1 << 16)]
                     yield pa.RecordBatch.from_arrays(
-                        [names.take(pa.array(words.lang[p])), words.phrases(p, k).cast(pa.string()),
-                         pa.array(n[a:a + (1 << 17)])], names=["lang", "phrase", "n"])
-
-    return texts.mapInArrow(count, COUNTS).groupBy("lang", "phrase").agg(F.sum("n").alias("n"))
-
-
-def _missed(frequent: DataFrame, proposal: Proposal) -> DataFrame:
-    """(h): the hashes of frequent phrases that aren't proposed."""
-    table = proposal.share(frequent.sparkSession)
-
-    def test(batches):
-        proposed = Proposal(*table.value)
-        for b in batches:
-            words = pc.split_pattern(as_string_array(b.column("phrase")), " ")
-            hashed = _hashes(words.flatten())
-            start = words.offsets.to_numpy().astype(np.int64)
-            lang, size = _hashes(b.column("lang")), np.diff(start)
-            for k in np.unique(size):
-                of = np.flatnonzero(size == k)
-                h = gram_hash([hashed[start[of] + j] for j in range(k)], lang[of])
-                yield pa.RecordBatch.from_arrays([pa.array(h[~proposed.has(h)].view(np.int64))], names=["h"])
+                        [names.take(pa.array(words.lang[place[p]])), words.phrases(place[p], k).cast(pa.string()),
+                         pa.nulls(len(p), pa.int64()), pa.array(n[p])], names=fields)
+        yield from map(border, held.flush())
 
-    return frequent.where("phrase <> ''").select("lang", "phrase").mapInArrow(test, "h long")
+    # dealt out first: a task's counts are added up already, a second table of them would only take memory
+    return (texts.mapInArrow(count, COUNTS).repartition("lang", "phrase", "h")
+            .groupBy("lang", "phrase", "h").agg(F.sum("n").alias("n")))
 
 
 def frequent_phrases(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", least: int = 100,
@@ -268,21 +285,21 @@ def frequent_phrases(docs: DataFrame, text_col: str = "text", lang_col: str = "l
     many passes over all documents it took."""
     ready(docs.sparkSession)
     texts = docs.select(docs[text_col].cast("string").alias("text"), docs[lang_col].cast("string").alias("lang"))
-    drawn = F.pmod(F.xxhash64(F.col("text"), F.monotonically_increasing_id()), F.lit(sample_one_in)) == 0
-    sample = staged(texts.where(drawn), "phrase-sample")
+    sample = staged(sampled_pieces(texts, sample_one_in), "phrase-sample")
     expected = least / sample_one_in
     lowered = max(1, int(expected - 3.4 * expected**0.5))
-    proposal = Proposal(filter_bits)
-    for level in range(1, longest):      # a phrase of full length is part of no other
+    proposal = BitTable(filter_bits)
+    for level in range(1, longest + 1):
         last, proposal = proposal, proposal.with_hashes(_sampled(sample, longest, level, proposal).where(F.col("n") >= lowered))
         last.release()
     found, before, passes = None, None, 0
     while True:
         passes += 1
-        new = staged(_counted(texts, longest, proposal, before).where((F.col("n") >= least) | (F.col("phrase") == "")),
-                     "phrases")
+        rows = staged(_counted(texts, longest, proposal, before)
+                      .where((F.col("n") >= least) | (F.col("phrase") == "")), "phrases")
+        new = rows.where("h IS NULL").drop("h")
         found = new if found is None else found.unionByName(new)
-        missed = staged(_missed(new.where(F.size(F.split("phrase", " ")) < longest), proposal), "missed")
+        missed = rows.where("h IS NOT NULL").select("h")
         if before is not None:
             before.release()
         if missed.isEmpty():
