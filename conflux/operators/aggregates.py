@@ -97,10 +97,9 @@ def step_rows(jobs: DataFrame, steps_col: str = "etl_steps") -> DataFrame:
 
 def same_sets(a: DataFrame, b: DataFrame, col: str) -> DataFrame:
     """H2: one row ``same``: are the distinct values of ``a.col`` and
-    ``b.col`` the same set? Computed as a full outer join of the two
-    distinct sets (both tiny after the distinct's partial aggregation)."""
-    da = a.select(F.col(col).alias("_v")).distinct().withColumn("_a", F.lit(True))
-    db = b.select(F.col(col).alias("_v")).distinct().withColumn("_b", F.lit(True))
-    j = da.join(db, "_v", "full_outer")
-    return j.agg(F.coalesce(F.bool_and(F.col("_a").isNotNull() & F.col("_b").isNotNull()),
-                            F.lit(True)).alias("same"))
+    ``b.col`` the same set? A null is a value like any other. Both are
+    grouped by value at once (one shuffle, after a partial aggregation)."""
+    both = (a.select(F.col(col).alias("_v"), F.lit(True).alias("_a"), F.lit(False).alias("_b"))
+            .unionAll(b.select(F.col(col), F.lit(False), F.lit(True))))
+    seen = both.groupBy("_v").agg(F.bool_or("_a").alias("_a"), F.bool_or("_b").alias("_b"))
+    return seen.agg(F.coalesce(F.bool_and(F.col("_a") & F.col("_b")), F.lit(True)).alias("same"))

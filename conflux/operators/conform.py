@@ -79,36 +79,80 @@ class Constraints:
 VIOLATION_SCHEMA = "rule string, column_name string, key_text string, n_rows bigint"
 
 
+def _key_text(df: DataFrame, c: str) -> Column:
+    kind, col = df.schema[c].dataType, F.col(f"`{c}`")
+    if isinstance(kind, (T.ArrayType, T.StructType, T.MapType)):
+        return F.to_json(col)
+    if isinstance(kind, T.BinaryType):
+        return F.hex(col)
+    return (col + F.lit(0).cast(kind) if isinstance(kind, T.FractionalType) else col).cast("string")      # -0.0 is 0.0
+
+
+def _digest(df: DataFrame, columns: Sequence[str]) -> Column:
+    """What two rows have in common if and only if they agree in the columns:
+    a digest of the values with their lengths."""
+    parts = []
+    for c in columns:
+        text = _key_text(df, c)
+        parts.append(F.coalesce(F.concat(F.length(text).cast("string"), F.lit(":"), text), F.lit("n")))
+    return F.unhex(F.md5(F.concat(*parts).cast("binary")))
+
+
+def _rules(spec: Constraints) -> list[tuple[str, list[str], int]]:
+    not_null = list(dict.fromkeys([*spec.not_null, *spec.primary_key]))   # a key column holds no null either
+    return ([("not_null", [c], 0) for c in not_null]
+            + ([("primary_key", list(spec.primary_key), 0)] if spec.primary_key else [])
+            + [("max_length", [c], n) for c, n in spec.max_length.items()])
+
+
+def violated(df: DataFrame, spec: Constraints) -> DataFrame:
+    """C14 in one scan and one shuffle: ``(rule_no, digest, n_rows)`` of the
+    violated rules. Each row gives one cell for each rule it could break (its
+    key, a null, a text that is too long), and the cells are counted by rule
+    and digest; a text never leaves its task."""
+    cells = []
+    for i, (rule, columns, most) in enumerate(_rules(spec)):
+        key = F.struct(F.lit(i).alias("rule_no"), (F.lit(None).cast("binary") if rule == "not_null" else
+                                                   _digest(df, columns)).alias("digest"))
+        col = F.col(f"`{columns[0]}`")
+        cells.append(key if rule == "primary_key" else F.when(col.isNull(), key) if rule == "not_null"
+                     else F.when(F.char_length(col) > most, key))
+    keyed = [i for i, (rule, *_) in enumerate(_rules(spec)) if rule == "primary_key"]
+    if not cells:
+        return df.sparkSession.createDataFrame([], "rule_no int, digest binary, n_rows bigint")
+    counted = (df.select(F.explode(F.array_compact(F.array(*cells))).alias("cell")).select("cell.*").groupBy("rule_no", "digest")
+               .agg(F.count(F.lit(1)).cast("bigint").alias("n_rows")))
+    return counted.filter(~F.col("rule_no").isin(*keyed) | (F.col("n_rows") > 1)) if keyed else counted
+
+
 def violations(df: DataFrame, spec: Constraints) -> DataFrame:
     """C14: one row per violated rule and offending key/value:
-    ``(rule, column_name, key_text, n_rows)``. Every check is an aggregate
-    with a map-side partial step; nothing is collected."""
-    parts: list[DataFrame] = []
-    not_null = list(dict.fromkeys([*spec.not_null, *spec.primary_key]))   # a key column holds no null either
-    if not_null:
-        agg = df.agg(*[F.count(F.when(F.col(c).isNull(), 1)).alias(c) for c in not_null])
-        stack = ", ".join(f"'{c}', `{c}`" for c in not_null)
-        parts.append(agg.selectExpr(f"stack({len(not_null)}, {stack}) AS (column_name, n_rows)")
-                     .filter("n_rows > 0")
-                     .select(F.lit("not_null").alias("rule"), "column_name",
-                             F.lit(None).cast("string").alias("key_text"),
-                             F.col("n_rows").cast("bigint").alias("n_rows")))
-    if spec.primary_key:
-        pk = list(spec.primary_key)
-        parts.append(df.groupBy(*pk).agg(F.count(F.lit(1)).alias("n_rows"))
-                     .filter("n_rows > 1")
-                     .select(F.lit("primary_key").alias("rule"),
-                             F.lit(",".join(pk)).alias("column_name"),
-                             F.concat_ws(",", *[F.col(c).cast("string") for c in pk]).alias("key_text"),
-                             F.col("n_rows").cast("bigint")))
-    for c, n in spec.max_length.items():
-        parts.append(df.filter(F.char_length(F.col(c)) > n).groupBy(F.col(c).alias("key_text"))
-                     .agg(F.count(F.lit(1)).cast("bigint").alias("n_rows"))
-                     .select(F.lit("max_length").alias("rule"), F.lit(c).alias("column_name"),
-                             F.col("key_text").cast("string"), "n_rows"))
-    if not parts:
+    ``(rule, column_name, key_text, n_rows)``. The rules are checked by
+    :func:`violated`; the texts of what it finds are looked up after, by
+    digest, and nothing is collected."""
+    return _with_texts(df, spec, violated(df, spec))
+
+
+def _with_texts(df: DataFrame, spec: Constraints, found: DataFrame) -> DataFrame:
+    rules = _rules(spec)
+    if not rules:
         return df.sparkSession.createDataFrame([], VIOLATION_SCHEMA)
-    return reduce(DataFrame.unionByName, parts)
+    cells = []
+    for i, (rule, columns, most) in enumerate(rules):
+        if rule != "not_null":
+            text = F.concat_ws(",", *[F.col(f"`{c}`").cast("string") for c in columns])
+            cell = F.struct(F.lit(i).alias("no"), _digest(df, columns).alias("of"), text.alias("key_text"))
+            cells.append(cell if rule == "primary_key" else F.when(F.char_length(F.col(f"`{columns[0]}`")) > most, cell))
+    name = F.element_at(F.array(*[F.lit(",".join(c)) for _, c, _ in rules]), F.col("rule_no") + 1)
+    kind = F.element_at(F.array(*[F.lit(r) for r, *_ in rules]), F.col("rule_no") + 1)
+    if not cells:
+        texts = found.select(F.lit(-1).alias("no"), F.lit(None).cast("binary").alias("of"), F.lit(None).cast("string").alias("key_text"))
+    else:
+        texts = df.select(F.explode(F.array_compact(F.array(*cells))).alias("cell")).select("cell.*")
+    texts = texts.join(found.select("rule_no", "digest"), (F.col("no") == F.col("rule_no")) & (F.col("of") == F.col("digest")),
+                       "left_semi").groupBy("no", "of").agg(F.min("key_text").alias("key_text"))
+    return (found.join(texts, (F.col("no") == F.col("rule_no")) & (F.col("of") == F.col("digest")), "left")
+            .select(kind.alias("rule"), name.alias("column_name"), "key_text", "n_rows"))
 
 
 class ConstraintViolation(Exception):
@@ -118,10 +162,14 @@ class ConstraintViolation(Exception):
 def enforce(df: DataFrame, spec: Constraints) -> DataFrame:
     """Fail the load when any constraint is violated. All violations are
     written to the staging folder, which the error names; its text shows the
-    first few only."""
-    path = new_path(df.sparkSession, "violations")
-    violations(df, spec).write.parquet(path)
-    found = df.sparkSession.read.schema(VIOLATION_SCHEMA).parquet(path)
+    first few only. A clean load is one scan."""
+    spark, path = df.sparkSession, new_path(df.sparkSession, "violations")
+    violated(df, spec).write.parquet(f"{path}-digests")
+    digests = spark.read.schema("rule_no int, digest binary, n_rows bigint").parquet(f"{path}-digests")
+    if digests.isEmpty():
+        return df
+    _with_texts(df, spec, digests).write.parquet(path)
+    found = spark.read.schema(VIOLATION_SCHEMA).parquet(path)
     first = found.limit(5).collect()
     if first:
         raise ConstraintViolation("; ".join(

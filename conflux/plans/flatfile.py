@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, ty
 from ..operators.conform import REJECT_COLUMN, Constraints, conform, enforce
 from ..operators.project import add_lineage
 from ..session import new_path
-from ..sinks.tables import archive_source_files, delete_path, list_files, load_with_rowcount, replace_with
+from ..sinks.tables import archive_source_files, delete_path, finish_moves, list_files, load_with_rowcount, replace_with
 from ..sources.quoted import REASON, read_records, split, strict
 
 
@@ -92,6 +92,8 @@ def load_flat_file(spark: SparkSession, csv_path: str, target_schema: T.StructTy
     With ``archive_files`` the input files are moved to ``processed/``
     after a good load, or to ``error/`` (``err_`` prefix) when the load
     fails -- and the error is raised, never swallowed."""
+    if archive_files:
+        finish_moves(spark, csv_path)
     inputs = list_files(spark, csv_path) if archive_files else []
     rejected = 0
     try:

@@ -9,7 +9,8 @@ the number of configured jobs, so they are broadcast.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+import time
+from dataclasses import dataclass, replace
 from datetime import datetime
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
@@ -19,7 +20,7 @@ from ..operators.joins import Dim, task_catalog
 from ..operators.project import add_lineage, project_fields
 from ..operators.windows import number_tasks
 from ..session import new_path
-from ..sinks.tables import (append_load, archive_source_files, list_files, load_with_rowcount, path_exists, publish,
+from ..sinks.tables import (append_load, archive_source_files, finish_moves, list_files, load_with_rowcount, publish,
                             replace_with)
 from ..sources.messages import generate_messages
 from ..sources.relational import extract
@@ -53,6 +54,8 @@ def ingest(spark: SparkSession, task: dict, target_path: str | None = None) -> t
         if task.get("constraints") is not None:
             enforce(df, task["constraints"])
         return df, None
+    if task.get("archive_files"):
+        finish_moves(spark, task["file_path"])
     files = list_files(spark, task["file_path"]) if task.get("archive_files") else []
     try:
         n = _load(spark, task, target_path)
@@ -103,10 +106,9 @@ def consume_task(spark: SparkSession, task: dict) -> int:
     else:
         stream = kafka_source(spark, task["kafka_bootstrap_servers"], pattern,
                               max_offsets_per_trigger=task.get("max_offsets_per_trigger") or MAX_OFFSETS)
-    rows = lambda: spark.read.parquet(table).count() if path_exists(spark, table) else 0
-    before = rows()
+    targets = replace(targets, run_id=time.time_ns())
     SC.consume_available(stream, targets, f"{table}_checkpoint")
-    return rows() - before
+    return SC.rows_of_run(spark, targets)
 
 
 def produce_task(spark: SparkSession, task: dict) -> int:

@@ -184,41 +184,80 @@ def replace_with(spark: SparkSession, stage: str, target: str) -> None:
 
 
 def list_files(spark: SparkSession, path: str) -> list[str]:
-    """Data files under ``path`` (a file or a folder; hidden and ``_``
-    files skipped) -- a driver-side listing of file names only."""
+    """Data files of ``path`` (a file, or a folder's own files; folders in it,
+    such as ``processed/``, and hidden and ``_`` files aren't) -- a
+    driver-side listing of file names only."""
     fs, p, _ = _fs(spark, path)
     if fs.isFile(p):
         return [p.toString()]
-    out = []
-    it = fs.listFiles(p, True)
-    while it.hasNext():
-        f = it.next().getPath()
-        if not f.getName().startswith((".", "_")):
-            out.append(f.toString())
-    return out
+    return sorted(st.getPath().toString() for st in fs.listStatus(p)
+                  if st.isFile() and not st.getPath().getName().startswith((".", "_")))
+
+
+MOVES = "_moves"
+_MOVE_SCHEMA = "source string, target string"
 
 
 def archive_source_files(spark: SparkSession, files: Sequence[str], failed: bool,
                          when: datetime | None = None) -> list[str]:
     """Move each input file to ``processed/`` (or ``error/`` with an
     ``err_`` prefix) beside it, named ``<name>_<yyyyMMdd_HHmmss><ext>``.
-    File renames are metadata operations on the driver; only the short list
-    of input files passes through it. (A file *stream* does the same with
-    ``cleanSource=archive``.)"""
+
+    The planned moves are written first, as a list under ``_moves/`` in the
+    files' folder, and the list goes when all are done: a run that is cut off
+    amid its moves leaves it, and :func:`finish_moves` does the rest, so each
+    file is moved once. Renames are metadata operations, many at a time. (A
+    file *stream* does the same with ``cleanSource=archive``.)"""
     when = when or datetime.now()
     stamp = when.strftime("%Y%m%d_%H%M%S")
+    folder = F.concat(F.regexp_extract("source", "^(.*)/[^/]*$", 1), F.lit("/error/" if failed else "/processed/"))
     # the name rule is the I8 Column function; evaluate it once for the list
-    names = spark.createDataFrame([(f,) for f in files], "path string").select(
-        "path", archive_file_name(F.col("path"), F.lit(stamp), failed).alias("new_name")).collect()
-    moved = []
-    for row in names:
-        fs, src, jvm = _fs(spark, row.path)
-        folder = jvm.org.apache.hadoop.fs.Path(src.getParent(), "error" if failed else "processed")
-        fs.mkdirs(folder)
-        dst = jvm.org.apache.hadoop.fs.Path(folder, row.new_name)
-        if not fs.rename(src, dst):
-            raise OSError(f"could not move {row.path} to {dst.toString()}")
-        moved.append(dst.toString())
+    plan = spark.createDataFrame([(f,) for f in files], "source string").select(
+        "source", F.concat(folder, archive_file_name(F.col("source"), F.lit(stamp), failed)).alias("target"))
+    if not files:
+        return []
+    path = f"{files[0].rsplit('/', 1)[0]}/{MOVES}/{uuid.uuid4().hex}"
+    plan.coalesce(1).write.parquet(path)
+    return _move(spark, path)
+
+
+def finish_moves(spark: SparkSession, folder: str) -> list[str]:
+    """The moves that a run planned for a folder and was cut off in, done now."""
+    fs, p, jvm = _fs(spark, folder)
+    if fs.isFile(p):
+        p = p.getParent()
+    plans = jvm.org.apache.hadoop.fs.Path(p, MOVES)
+    if not fs.exists(plans):
+        return []
+    done = []
+    for st in fs.listStatus(plans):
+        # a list without its mark of success was never acted on
+        if fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
+            done += _move(spark, st.getPath().toString())
+        else:
+            fs.delete(st.getPath(), True)
+    return done
+
+
+def _move(spark: SparkSession, plan: str) -> list[str]:
+    from concurrent.futures import ThreadPoolExecutor
+    rows = spark.read.schema(_MOVE_SCHEMA).parquet(plan).collect()      # names only
+
+    def one(row) -> str:
+        fs, src, jvm = _fs(spark, row.source)
+        dst = jvm.org.apache.hadoop.fs.Path(row.target)
+        if not fs.exists(src):
+            if fs.exists(dst):
+                return row.target            # moved before the run was cut off
+            raise OSError(f"{row.source} is gone, and not at {row.target}")
+        fs.mkdirs(dst.getParent())
+        if fs.exists(dst) or not fs.rename(src, dst):
+            raise OSError(f"could not move {row.source} to {row.target}")
+        return row.target
+
+    with ThreadPoolExecutor(16) as pool:
+        moved = list(pool.map(one, rows))
+    delete_path(spark, plan)
     return moved
 
 
@@ -262,4 +301,4 @@ def append_run_log(entries: DataFrame, log_path: str) -> None:
 
 __all__ = ["truncate_and_load", "truncate_and_load_jdbc", "append_load", "load_with_rowcount",
            "staged_insert", "chunked_insert", "chunked_insert_jdbc", "archive_json",
-           "archive_source_files", "list_files", "publish", "reload_with_rowcount", "append_run_log", "delete_path", "path_exists", "replace_with"]
+           "archive_source_files", "finish_moves", "list_files", "publish", "reload_with_rowcount", "append_run_log", "delete_path", "path_exists", "replace_with"]

@@ -7,6 +7,10 @@ inside ``foreachBatch``: enrich (C6) -> per-topic cap carried across
 batches (S4) -> validate and route (C9/C10, S6) -> valid rows to the table
 (B9), rejects to the dead-letter sink (B8).
 
+What a batch wrote shows all at once: its table rows, dead letters and counts
+are read through the list of finished batches (:func:`read_table`,
+:func:`read_dead_letters`), and a batch joins that list last.
+
 Exactly-once per offset: the stream's checkpoint records which offsets a
 batch covered, and every write of batch ``N`` goes to its own
 ``batch_id=N`` folder with ``overwrite`` -- a batch replayed after a
@@ -21,7 +25,7 @@ import time
 from dataclasses import dataclass, replace
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from ..operators.project import enrich_message
 from ..operators.validate import DLQ_VALUE, REASON, route
@@ -87,12 +91,16 @@ class IngestTargets:
     group_id: str = "etl-group"
     created: datetime | None = None
     max_messages: int | None = None   # per topic and run
-    run_id: int = 0                   # whose counts the cap goes by; consume_available sets a new one
+    run_id: int = 0                   # whose counts the cap goes by; 0: consume_available sets a new one
 
     @property
     def pending(self) -> str:
         return f"{self.state}_pending"
 
+    @property
+    def commits(self) -> str:
+        return f"{self.table.rstrip('/')}_commits"
+
     @property
     def drains(self) -> str:
         return f"{self.state}_drains"
@@ -101,11 +109,43 @@ class IngestTargets:
 def _prior_counts(spark: SparkSession, t: IngestTargets, batch_id: int) -> DataFrame | None:
     if not path_exists(spark, t.state):
         return None
-    st = spark.read.parquet(t.state)
+    st = _visible(spark, t, t.state)
     return (st.filter((F.col("run_id") == t.run_id) & (F.col("batch_id") < batch_id)).groupBy("topic")
               .agg(F.sum("taken").alias("_prior")))
 
 
+def finished_batches(spark: SparkSession, t: IngestTargets) -> DataFrame:
+    """``(batch_id, run_id, rows, rejects)``: one row for each batch that is
+    written to its end."""
+    schema = "run_id bigint, rows bigint, rejects bigint, batch_id bigint"
+    if not path_exists(spark, t.commits):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(t.commits)
+
+
+def _visible(spark: SparkSession, t: IngestTargets, path: str) -> DataFrame:
+    """The rows of finished batches. ``batch_id`` is the partition column, so
+    folders of other batches aren't read."""
+    return spark.read.parquet(path).join(finished_batches(spark, t).select("batch_id"), "batch_id", "left_semi")
+
+
+def read_table(spark: SparkSession, t: IngestTargets) -> DataFrame:
+    """The loaded rows of finished batches."""
+    return _visible(spark, t, t.table)
+
+
+def read_dead_letters(spark: SparkSession, t: IngestTargets) -> DataFrame:
+    """The dead letters of finished batches."""
+    return _visible(spark, t, t.dlq)
+
+
+def rows_of_run(spark: SparkSession, t: IngestTargets) -> int:
+    """The rows that the finished batches of the run ``t.run_id`` loaded;
+    counted while they were written."""
+    done = finished_batches(spark, t).filter(F.col("run_id") == t.run_id)
+    return int(done.agg(F.coalesce(F.sum("rows"), F.lit(0))).first()[0])
+
+
 def _staged(df: DataFrame, tag: str) -> DataFrame:
     path = new_path(df.sparkSession, tag)
     df.write.parquet(path)
@@ -129,7 +169,10 @@ def ingest_batch(batch: DataFrame, batch_id: int, t: IngestTargets) -> None:
             (batch.groupBy("topic").agg(F.count(F.lit(1)).cast("bigint").alias("taken"))
              .withColumn("run_id", F.lit(t.run_id).cast("bigint"))
              .write.mode("overwrite").parquet(f"{t.state}/batch_id={batch_id}"))
-    routed = _staged(route(enrich_message(batch, t.group_id, t.created), RECORD_FIELDS), "routed")
+    counts = Observation("routes")
+    routed = route(enrich_message(batch, t.group_id, t.created), RECORD_FIELDS).observe(
+        counts, F.count(F.when(F.col(REASON).isNull(), 1)).alias("rows"), F.count(REASON).alias("rejects"))
+    routed = _staged(routed, "routed")
     (routed.filter(F.col(REASON).isNull())
            .select("topic", "partition", "offset", "timestamp", *RECORD_FIELDS,
                    "group_id", "date_created", "kafka_topic")
@@ -138,6 +181,10 @@ def ingest_batch(batch: DataFrame, batch_id: int, t: IngestTargets) -> None:
            .select(F.col("topic").alias("source_topic"), "partition", "offset", REASON,
                    F.col(DLQ_VALUE).alias("value"))
            .write.mode("overwrite").parquet(f"{t.dlq}/batch_id={batch_id}"))
+    # last: from here on the batch is read
+    done = counts.get
+    (spark.createDataFrame([(t.run_id, int(done["rows"]), int(done["rejects"]))], "run_id bigint, rows bigint, rejects bigint")
+     .coalesce(1).write.mode("overwrite").parquet(f"{t.commits}/batch_id={batch_id}"))
 
 
 def _pending_batches(spark: SparkSession, t: IngestTargets, checkpoint: str) -> tuple[list[int], int]:
@@ -187,7 +234,7 @@ def consume_available(stream: DataFrame, targets: IngestTargets, checkpoint: str
     if targets.max_messages is not None and not targets.state:
         raise ValueError("a capped run needs a state path for what it leaves")
     batches: list[int] = []
-    targets = replace(targets, run_id=time.time_ns())
+    targets = replace(targets, run_id=targets.run_id or time.time_ns())
     drain_pending(stream.sparkSession, targets, checkpoint)
 
     def run(df: DataFrame, batch_id: int) -> None:
@@ -210,7 +257,8 @@ def consume(spark: SparkSession, source_path: str, targets: IngestTargets, repla
     runs, in micro-batches of at most ``max_files_per_trigger`` files."""
     if replay:
         batch = spark.read.schema(MESSAGE_SCHEMA).format(fmt).load(source_path)
-        ingest_batch(batch, time.time_ns(), replace(targets, state=None))
+        run = time.time_ns()
+        ingest_batch(batch, run, replace(targets, state=None, run_id=targets.run_id or run))
     else:
         if not checkpoint:
             raise ValueError("a checkpoint location is required without replay")
