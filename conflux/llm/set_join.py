@@ -11,7 +11,8 @@ index list of each prefix shingle that two nodes have holds every link.
 
 *Answers derived from a similar set's.* In the graph of shared lists each
 node finds a leader: of the nodes that come first, in a random order, in its
-lists, the one it meets most often, or that one's own. Where the two are alike
+lists, the one it meets most often, or that one's own; nodes of lists in which
+another leader's group is the largest then go over to that one. Where the two are alike
 (40 % or more), all that the node keeps is its difference from the leader, D:
 shingles that one of the two lacks. The
 links between the members of one leader follow from the differences alone,
@@ -64,6 +65,8 @@ TABLE_BITS, RANGE = 20, 4096
 #: Nodes, and shingles of their differences, a block holds on average.
 BLOCK, BLOCK_SHINGLES = 256, 1 << 16
 RELATED = 40
+#: Members of a leader in one list that draw other nodes of the list to it.
+CROWD = 4
 LINKS = "a long, b long"
 #: Bits of the table that says which texts are wanted, 2**.
 KEY_BITS = 24
@@ -369,6 +372,26 @@ def _leaders(members: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     pairs = (near.join(step, F.col("near") == F.col("of"), "left")
              .select("nid", F.when(F.col("far") == F.col("nid"), F.col("near"))
                      .otherwise(F.coalesce("far", "near")).alias("leader")))
+    return _sized(pairs, nodes, percent)
+
+
+def _crowds(members: DataFrame, lead: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """(nid, leader): for nodes of lists in which another leader's group is the
+    largest, the leader they meet most of, if its groups there have
+    ``CROWD`` members or more and their sizes allow them to be alike.
+    ``lead``: (nid, leader) so far."""
+    rows = (members.select("token", "nid").join(lead, "nid", "left")
+            .select("token", "nid", F.coalesce("leader", "nid").alias("own")))
+    crowd = (rows.groupBy("token", "own").agg(F.count("*").alias("n")).groupBy("token")
+             .agg(F.max(F.struct("n", "own")).alias("most")).where(F.col("most.n") >= CROWD)
+             .select("token", F.col("most.own").alias("leader"), F.col("most.n").alias("n")))
+    met = (rows.join(crowd, "token").where("own <> leader AND nid <> leader").groupBy("nid", "leader").agg(F.sum("n").alias("n"))
+           .groupBy("nid").agg(F.max(F.struct("n", "leader")).alias("most")).select("nid", F.col("most.leader").alias("leader")))
+    return _sized(met, nodes, percent)
+
+
+def _sized(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """(nid, leader, leader_size) of pairs whose sizes allow them to be alike."""
     own, led = (nodes.select(F.col("nid").alias(n), F.col("size").alias(f"{n}_size")) for n in ("nid", "leader"))
     return (pairs.join(own, "nid").join(led, "leader")
             .where(F.least("nid_size", "leader_size") * 100 >= F.greatest("nid_size", "leader_size") * percent)
@@ -401,10 +424,16 @@ def joined(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", perc
         return staged(_whole_sets(own, some.distinct().join(nodes.select("nid", "text_key"), "nid"), width), "whole-sets")
 
     both = lambda frame, a, b: frame.select(F.explode(F.array(a, b)).alias("nid"))
-    leaders = staged(_leaders(members, nodes, RELATED), "leaders")
-    sets = sets_of(both(leaders, "nid", "leader"))
-    related = staged(_related(leaders.select("nid", "leader"), sets, RELATED)
-                     .join(leaders.select("nid", "leader_size"), "nid"), "related")
+    def related_to(leaders):
+        leaders = staged(leaders, "leaders")
+        found = _related(leaders.select("nid", "leader"), sets_of(both(leaders, "nid", "leader")), RELATED)
+        return staged(found.join(leaders.select("nid", "leader_size"), "nid"), "related")
+
+    related = related_to(_leaders(members, nodes, RELATED))
+    moved = related_to(_crowds(members, related.select("nid", "leader").unionByName(
+        related.select(F.col("leader").alias("nid"), "leader").distinct().join(related.select("nid"), "nid", "left_anti")),
+        nodes, RELATED))
+    related = moved.unionByName(related.join(moved.select("nid"), "nid", "left_anti"))
     links = staged(_group_links(related, percent), "group-links")
     label = staged(components(links), "classes").select(F.col("node").alias("of"), F.col("root").alias("label"))
     lead = related.select("nid", "leader").unionByName(
