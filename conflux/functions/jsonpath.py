@@ -47,10 +47,35 @@ def dedup_last(m: Column) -> Column:
     return F.when(F.size(keys) == F.size(F.array_distinct(keys)), m).otherwise(F.map_from_entries(last_only))
 
 
+_SPACE = " \t\r\n"
+
+
+def ends_with_object(json_text: Column | str) -> Column:
+    """Whether nothing but white space follows the first value of a text that
+    starts with an object. A parser that stops behind that value can't tell.
+
+    Most objects have one pair of brackets and end in it. For the others,
+    strings become a letter, and of what is left only the brackets are walked
+    through: the depth comes to zero once, at the end."""
+    text = F.rtrim(_c(json_text), F.lit(_SPACE))
+    closing = F.length(text) - F.length(F.replace(text, F.lit("}"), F.lit("")))
+    # possessive, so that long strings with many escapes need no stack
+    bare = F.regexp_replace(text, r'"[^"\\]*+(?:\\[\s\S][^"\\]*+)*+"', "s")
+    brackets = F.split(F.regexp_replace(bare, r"[^{}\[\]]++", ""), "")
+    step = lambda c: F.when(c.isin("{", "["), 1).when(c.isin("}", "]"), -1).otherwise(0)
+    walked = F.aggregate(
+        brackets, F.struct(F.lit(0).alias("depth"), F.lit(0).alias("ends")),
+        lambda at, c: F.struct((at["depth"] + step(c)).alias("depth"),
+                               (at["ends"] + F.when((step(c) < 0) & (at["depth"] == 1), 1).otherwise(0)).alias("ends")))
+    whole = F.endswith(bare, F.lit("}")) & (walked["ends"] == 1) & (walked["depth"] == 0)
+    return F.when(~F.endswith(text, F.lit("}")), False).when(closing == 1, True).otherwise(whole)
+
+
 def parse_json_object(json_text: Column | str) -> Column:
-    """JSON text -> ``map<string, variant>`` as Spark parses it (repeated
-    keys kept); null for anything that is not a single JSON object."""
-    return F.from_json(_c(json_text), "map<string,variant>")
+    """JSON text -> ``map<string, variant>`` (repeated keys kept); null for
+    anything that is not a single JSON object, also where other text follows
+    it or quotes are single."""
+    return F.when(ends_with_object(json_text), F.from_json(_c(json_text), "map<string,variant>", {"allowSingleQuotes": "false"}))
 
 
 def parse_object(json_text: Column | str) -> Column:
