@@ -1,9 +1,9 @@
 """Operator 11: phrase collocations by Toivonen's sampling.
 
 Texts are cut into pieces, pieces into words; a phrase is a run of at most
-``longest`` words within a piece, counted for each language. A sample of the
-pieces, drawn one by one so that what a document repeats isn't drawn or missed
-as a whole, proposes the phrases that are frequent at a lowered threshold,
+``longest`` words within a piece, counted for each language. A sample of
+short runs of words, drawn one by one so that what a document or a piece
+repeats isn't drawn or missed as a whole, proposes the phrases that are frequent at a lowered threshold,
 level by level. One pass over all documents then counts exactly what the
 sample proposed together with its negative border: the phrases that it didn't
 propose, but whose first and last words less one it did (all other words are
@@ -45,7 +45,8 @@ from .common import as_string_array, ready, slices, staged
 from .words import mix
 
 COUNTS = "lang string, phrase string, h long, n long"
-SECTION = 2 << 20
+SECTION = 4 << 20
+RUN = 512
 _KIND = np.zeros(256, np.uint8)                     # 0: of a word, 1: between words, 2: between pieces
 _KIND[list(b" \t")] = 1
 _KIND[list(b".,;:!?\n\x0b\x0c\r")] = 2
@@ -179,12 +180,17 @@ def _bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data, offsets - offsets[0]
 
 
-def sampled_pieces(texts: DataFrame, one_in: int) -> DataFrame:
-    """(text, lang): of each text a piece in ``one_in``, each drawn by itself."""
+def sampled_runs(texts: DataFrame, one_in: int) -> DataFrame:
+    """(text, lang): of the short runs of words of each text one in
+    ``one_in``, each drawn by itself. Pieces are runs, longer ones are cut at
+    the first space of every ``RUN`` bytes."""
 
     def draw(batches):
         for b in slices(batches, most=SECTION):
             data, offsets = _bytes(as_string_array(b.column("text")))
+            data = data.copy()
+            spaces = np.flatnonzero(_KIND[data] == 1)
+            data[spaces[np.unique(spaces // RUN, return_index=True)[1]]] = ord("\n")
             starts = np.concatenate([np.flatnonzero(_KIND[data] == 2) + 1, offsets[:-1]])
             starts = np.unique(starts[starts < len(data)])
             size = np.diff(np.append(starts, len(data)))
@@ -222,7 +228,7 @@ def _sampled(texts: DataFrame, longest: int, level: int, proposal: BitTable) ->
 class _Sums:
     """Counts of hashes, added up in a task up to a bounded number of them."""
 
-    def __init__(self, most: int = 1 << 19):
+    def __init__(self, most: int = 1 << 21):
         self.most, self.parts, self.held = most, [], 0
 
     def add(self, h: np.ndarray, n: np.ndarray):
@@ -278,16 +284,16 @@ def _counted(texts: DataFrame, longest: int, proposal: BitTable, before: BitTabl
 
 
 def frequent_phrases(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", least: int = 100,
-                     longest: int = 5, sample_one_in: int = 4, filter_bits: int = 24) -> tuple[DataFrame, int]:
+                     longest: int = 5, sample_one_in: int = 2, filter_bits: int = 24) -> tuple[DataFrame, int]:
     """(lang, phrase, n) of every phrase of up to ``longest`` words that stands
     ``least`` times or more in the texts of a language, words joined by a
     space, with one phrase '' a language for the number of all words; and how
     many passes over all documents it took."""
     ready(docs.sparkSession)
     texts = docs.select(docs[text_col].cast("string").alias("text"), docs[lang_col].cast("string").alias("lang"))
-    sample = staged(sampled_pieces(texts, sample_one_in), "phrase-sample")
-    expected = least / sample_one_in
-    lowered = max(1, int(expected - 3.4 * expected**0.5))
+    sample = staged(sampled_runs(texts, sample_one_in), "phrase-sample")
+    share = 1 / sample_one_in
+    lowered = max(1, int(least * share - 4.5 * (least * share * (1 - share)) ** 0.5))
     proposal = BitTable(filter_bits)
     for level in range(1, longest + 1):
         last, proposal = proposal, proposal.with_hashes(_sampled(sample, longest, level, proposal).where(F.col("n") >= lowered))
