@@ -96,12 +96,16 @@ def test_border_failures_are_followed_until_closed(spark):
     assert passes == 6          # words, then phrases a word longer in each pass
 
 
-def test_sample_draws_pieces_by_themselves(spark):
-    """Of one text that repeats a piece, about its share is drawn, whole pieces only."""
-    texts = spark.createDataFrame([("a b c. " * 4000, "en"), (None, None), ("", "en"), ("no breaks", "en")], "text string, lang string")
-    rows = phrase_mining.sampled_pieces(texts, 4).collect()
-    long = max((r.text for r in rows), key=len)
-    assert set(long.split(".")) <= {"a b c", " a b c", " ", ""} and 800 < long.count(".") < 1200
+def test_sample_draws_short_runs_by_themselves(spark):
+    """Of what one text or one piece repeats about its share is drawn, no phrase that isn't there, and all of it one in one."""
+    rows = [("a b c. " * 4000, "en"), ("x y " * 30000, "en"), (None, None), ("", "en"), ("w" * 3000, "en")]
+    texts = spark.createDataFrame(rows, "text string, lang string")
+    for one_in in (1, 2, 8):
+        got = " | ".join(r.text for r in phrase_mining.sampled_runs(texts, one_in).collect())
+        for word, n in (("a", 4000), ("y", 30000)):
+            assert abs(got.count(word) - n / one_in) < 0.25 * n / one_in
+        f, _ = brute_counts([(got.replace("|", "."), "en")], 3)
+        assert set(f["en"]) - {"w" * 3000} <= set(brute_counts(rows, 3)[0]["en"])
 
 
 def test_a_full_bit_table_only_costs_time(spark):
