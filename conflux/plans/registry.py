@@ -1280,24 +1280,38 @@ def batch_visibility(spark, sf):
     return every.groupBy("what").agg(F.sum("n").cast("bigint").alias("n"))
 
 
-@check("cap_per_run", "WITH " + M_SQL + """,
+CAP_RUN_SQL = "WITH " + M_SQL + """,
 p AS (SELECT (SELECT count(*) FROM events) // 12 AS cap, (SELECT max("offset") FROM m) // 2 AS half),
 n AS (SELECT topic, count(*) AS n_all, count(*) FILTER (WHERE "offset" < (SELECT half FROM p)) AS n_first
       FROM m GROUP BY topic),
 l AS (SELECT topic, n_all, least(n_first, cap) + least(n_all - least(n_first, cap), cap) AS loaded, cap FROM n, p)
 SELECT 'checkpoint' AS mode, topic, CAST(loaded AS BIGINT) AS n_loaded, CAST(n_all - loaded AS BIGINT) AS n_pending FROM l
-UNION ALL SELECT 'replay', topic, CAST(2 * least(n_all, cap) AS BIGINT), CAST(0 AS BIGINT) FROM l""")
+UNION ALL SELECT 'replay', topic, CAST(2 * least(n_all, cap) AS BIGINT), CAST(0 AS BIGINT) FROM l"""
+
+
+@check("cap_per_run", CAP_RUN_SQL)
 def cap_per_run(spark, sf):
     """S2 + S4: two capped checkpointed runs with files landing between them,
     and two capped replays. Each run takes up to the cap of each topic; what
     a checkpointed run leaves is pending."""
+    return _capped_runs(spark, sf, False)
+
+
+@check("cap_per_run_ranges", CAP_RUN_SQL)
+def cap_per_run_ranges(spark, sf):
+    """The same with offsets in order: what is pending is a few ranges, read
+    again from the landed messages."""
+    return _capped_runs(spark, sf, True)
+
+
+def _capped_runs(spark, sf, in_order):
     msgs, events = _messages(spark, sf), _t(spark, sf, "events")
     cap, half = events.count() // 12, msgs.agg(F.max("offset")).first()[0] // 2
     src, ck = new_path(spark, "msg-files"), new_path(spark, "ckpt")
 
     def targets():
         return SC.IngestTargets(table=new_path(spark, "msg-table"), dlq=new_path(spark, "msg-dlq"),
-                                state=new_path(spark, "msg-state"), created=RUN_TS, max_messages=cap)
+                                state=new_path(spark, "msg-state"), created=RUN_TS, max_messages=cap, in_order=in_order)
 
     def loaded(t):
         both = spark.read.parquet(t.table).select("topic").unionByName(
@@ -1310,7 +1324,8 @@ def cap_per_run(spark, sf):
         SC.consume(spark, src, a, checkpoint=ck)
     for _ in range(2):
         SC.consume(spark, src, b, replay=True)
-    left = SC.pending_messages(spark, a, ck).groupBy("topic").agg(F.count(F.lit(1)).alias("n_pending"))
+    landed = spark.read.schema(MS.MESSAGE_SCHEMA).json(src) if in_order else None
+    left = SC.pending_messages(spark, a, ck, landed).groupBy("topic").agg(F.count(F.lit(1)).alias("n_pending"))
     kept = loaded(a).join(left, "topic", "full_outer").select(
         F.lit("checkpoint").alias("mode"), "topic", F.coalesce("n_loaded", F.lit(0)).cast("bigint").alias("n_loaded"),
         F.coalesce("n_pending", F.lit(0)).cast("bigint").alias("n_pending"))

@@ -25,7 +25,7 @@ import time
 from dataclasses import dataclass, replace
 from datetime import datetime
 
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, Window, functions as F
 
 from ..operators.project import enrich_message
 from ..operators.validate import DLQ_VALUE, REASON, route
@@ -91,12 +91,17 @@ class IngestTargets:
     group_id: str = "etl-group"
     created: datetime | None = None
     max_messages: int | None = None   # per topic and run
+    in_order: bool = False            # offsets of a partition arrive in order: what is pending is kept as ranges
     run_id: int = 0                   # whose counts the cap goes by; 0: consume_available sets a new one
 
     @property
     def pending(self) -> str:
         return f"{self.state}_pending"
 
+    @property
+    def ranges(self) -> str:
+        return f"{self.state}_ranges"
+
     @property
     def commits(self) -> str:
         return f"{self.table.rstrip('/')}_commits"
@@ -152,20 +157,61 @@ def _staged(df: DataFrame, tag: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+RANGES = "topic string, partition int, first bigint, last bigint"
+
+
+def _past(batch: DataFrame, taken: DataFrame) -> DataFrame:
+    """``(topic, partition, first, last)``: the offsets a batch leaves past the
+    cap, one range for each partition, as a topic is taken in the order of
+    partition and offset."""
+    key = ["topic", "partition"]
+    every = batch.groupBy(*key).agg(F.min("offset").alias("low"), F.max("offset").alias("last"))
+    got = taken.groupBy(*[F.col(c).alias(f"_{c}") for c in key]).agg(F.max("offset").alias("_end"))
+    same = F.col("topic").eqNullSafe(F.col("_topic")) & F.col("partition").eqNullSafe(F.col("_partition"))
+    return (every.join(got, same, "left").select("topic", F.col("partition").cast("int").alias("partition"),
+                                                 F.coalesce(F.col("_end") + 1, F.col("low")).alias("first"), "last")
+            .filter("first <= last"))
+
+
+def merged_ranges(ranges: DataFrame) -> DataFrame:
+    """Ranges that overlap or follow one another as one. A window over the
+    ranges of a partition, which are few: one a batch."""
+    along = Window.partitionBy("topic", "partition").orderBy("first", "last")
+    before = F.max("last").over(along.rowsBetween(Window.unboundedPreceding, -1))
+    opens = F.when(before.isNull() | (F.col("first") > before + 1), 1).otherwise(0)
+    return (ranges.withColumn("_opens", opens).withColumn("_of", F.sum("_opens").over(along))
+            .groupBy("topic", "partition", "_of").agg(F.min("first").alias("first"), F.max("last").alias("last")).drop("_of"))
+
+
+def messages_in(landing: DataFrame, ranges: DataFrame) -> DataFrame:
+    """The landed messages whose offsets lie in ranges that don't overlap."""
+    r = ranges.select(F.col("topic").alias("_topic"), F.col("partition").alias("_partition"), "first", "last")
+    inside = (F.col("topic").eqNullSafe(F.col("_topic")) & F.col("partition").eqNullSafe(F.col("_partition"))
+              & F.col("offset").between(F.col("first"), F.col("last")))
+    return landing.join(r, inside, "left_semi")
+
+
 def ingest_batch(batch: DataFrame, batch_id: int, t: IngestTargets) -> None:
     """S3: one micro-batch, capped, validated and routed. The messages past
-    the cap go as they are to ``t.pending``; the parsed ones to a written
-    stage, from which table and dead letters are filled."""
+    the cap go as they are to ``t.pending``, or with ``t.in_order`` only their
+    ranges of offsets to ``t.ranges``; the parsed ones to a written stage, from
+    which table and dead letters are filled."""
     spark = batch.sparkSession
     if t.max_messages is not None:
         prior = _prior_counts(spark, t, batch_id) if t.state else None
-        marked = _staged(cap_rows(batch, ["topic"], [F.col("partition"), F.col("offset")],
-                                  [F.col("partition"), F.floor(F.col("offset") / CAP_BUCKET)],
-                                  t.max_messages, prior=prior, flag=_TAKEN), "micro-batch")
-        batch = marked.filter(_TAKEN).drop(_TAKEN)
+        by = (["topic"], [F.col("partition"), F.col("offset")], [F.col("partition"), F.floor(F.col("offset") / CAP_BUCKET)])
+        if t.in_order:
+            taken = _staged(cap_rows(batch, *by, t.max_messages, prior=prior), "micro-batch")
+            if t.state:
+                _past(batch, taken).write.mode("overwrite").parquet(f"{t.ranges}/batch_id={batch_id}")
+            batch = taken
+        else:
+            marked = _staged(cap_rows(batch, *by, t.max_messages, prior=prior, flag=_TAKEN), "micro-batch")
+            batch = marked.filter(_TAKEN).drop(_TAKEN)
+            if t.state:
+                (marked.filter(~F.col(_TAKEN)).drop(_TAKEN)
+                 .write.mode("overwrite").parquet(f"{t.pending}/batch_id={batch_id}"))
         if t.state:
-            (marked.filter(~F.col(_TAKEN)).drop(_TAKEN)
-             .write.mode("overwrite").parquet(f"{t.pending}/batch_id={batch_id}"))
             (batch.groupBy("topic").agg(F.count(F.lit(1)).cast("bigint").alias("taken"))
              .withColumn("run_id", F.lit(t.run_id).cast("bigint"))
              .write.mode("overwrite").parquet(f"{t.state}/batch_id={batch_id}"))
@@ -191,51 +237,65 @@ def _pending_batches(spark: SparkSession, t: IngestTargets, checkpoint: str) ->
     """The batches whose pending messages no drain has taken over, and the
     number of drains so far. A batch counts once its stream has committed
     it: one that hasn't will be run again."""
-    if not (t.state and path_exists(spark, t.pending)):
+    left = t.ranges if t.in_order else t.pending
+    if not (t.state and path_exists(spark, left)):
         return [], 0
     drains = spark.read.parquet(t.drains).collect() if path_exists(spark, t.drains) else []   # a row for each run
     over = {b for d in drains for b in d["covers"]}
     done = {d["drain"] for d in drains}
-    found = [r["batch_id"] for r in spark.read.parquet(t.pending).select("batch_id").distinct().collect()]
+    found = [r["batch_id"] for r in spark.read.parquet(left).select("batch_id").distinct().collect()]
     return sorted(b for b in found if b not in over
                   and (b in done if b < 0 else path_exists(spark, f"{checkpoint}/commits/{b}"))), len(drains)
 
 
-def drain_pending(spark: SparkSession, t: IngestTargets, checkpoint: str) -> None:
+def _left(spark: SparkSession, t: IngestTargets, live: list[int], landing: DataFrame | None) -> DataFrame:
+    if not live:
+        return spark.createDataFrame([], MESSAGE_SCHEMA)
+    if not t.in_order:
+        return spark.read.parquet(t.pending).filter(F.col("batch_id").isin(live)).drop("batch_id")
+    if landing is None:
+        raise ValueError("pending ranges are read again from the landed messages")
+    ranges = spark.read.schema(RANGES + ", batch_id bigint").parquet(t.ranges).filter(F.col("batch_id").isin(live))
+    return messages_in(landing, merged_ranges(ranges.drop("batch_id")))
+
+
+def drain_pending(spark: SparkSession, t: IngestTargets, checkpoint: str, landing: DataFrame | None = None) -> None:
     """Load what earlier runs left past the cap, up to this run's cap, as
     batch -1, -2, ...; what is still past it stays pending under that batch.
     The drain counts once its row in ``t.drains`` is written; a drain cut
-    off before is done again into the same folders."""
+    off before is done again into the same folders. Ranges (``t.in_order``)
+    are read again from ``landing``."""
     live, drained = _pending_batches(spark, t, checkpoint)
     if not live:
         return
     number = -(drained + 1)
-    left = spark.read.parquet(t.pending).filter(F.col("batch_id").isin(live)).drop("batch_id")
-    ingest_batch(left, number, t)
+    ingest_batch(_left(spark, t, live, landing), number, t)
     (spark.createDataFrame([(live,)], "covers array<bigint>").coalesce(1)
      .write.mode("overwrite").parquet(f"{t.drains}/drain={number}"))
 
 
-def pending_messages(spark: SparkSession, t: IngestTargets, checkpoint: str) -> DataFrame:
+def pending_messages(spark: SparkSession, t: IngestTargets, checkpoint: str, landing: DataFrame | None = None) -> DataFrame:
     """The messages that no run has loaded yet because of the cap."""
-    live, _ = _pending_batches(spark, t, checkpoint)
-    if not live:
-        return spark.createDataFrame([], MESSAGE_SCHEMA)
-    return spark.read.parquet(t.pending).filter(F.col("batch_id").isin(live)).drop("batch_id")
+    return _left(spark, t, _pending_batches(spark, t, checkpoint)[0], landing)
 
 
-def consume_available(stream: DataFrame, targets: IngestTargets, checkpoint: str) -> int:
+def consume_available(stream: DataFrame, targets: IngestTargets, checkpoint: str, landing: DataFrame | None = None) -> int:
     """Consume what is available now, then stop (the bounded run of a
     consumer that stops when idle). Returns the number of micro-batches.
 
     S4: a run takes up to ``max_messages`` of each topic. What it leaves
     stays pending and comes first in the next run, so nothing is lost though
-    the stream commits its offsets; that needs ``targets.state``."""
+    the stream commits its offsets; that needs ``targets.state``. Where each
+    partition's offsets arrive in order, as from a broker, ``targets.in_order``
+    keeps ranges instead of messages and reads them again from ``landing``, a
+    batch frame of the same messages; nothing is written a second time."""
+    if targets.in_order and targets.max_messages is not None and landing is None:
+        raise ValueError("a capped run that keeps ranges needs the landed messages")
     if targets.max_messages is not None and not targets.state:
         raise ValueError("a capped run needs a state path for what it leaves")
     batches: list[int] = []
     targets = replace(targets, run_id=targets.run_id or time.time_ns())
-    drain_pending(stream.sparkSession, targets, checkpoint)
+    drain_pending(stream.sparkSession, targets, checkpoint, landing)
 
     def run(df: DataFrame, batch_id: int) -> None:
         ingest_batch(df, batch_id, targets)
@@ -262,4 +322,5 @@ def consume(spark: SparkSession, source_path: str, targets: IngestTargets, repla
     else:
         if not checkpoint:
             raise ValueError("a checkpoint location is required without replay")
-        consume_available(message_file_stream(spark, source_path, max_files_per_trigger, fmt=fmt), targets, checkpoint)
+        landing = spark.read.schema(MESSAGE_SCHEMA).format(fmt).load(source_path) if targets.in_order else None
+        consume_available(message_file_stream(spark, source_path, max_files_per_trigger, fmt=fmt), targets, checkpoint, landing)

@@ -138,3 +138,45 @@ def test_sets_with_nulls(spark):
     b = spark.createDataFrame([("x",)], "v string")
     same = lambda p, q: same_sets(p, q, "v").first().same
     assert same(a, a) and same(b, b) and not same(a, b) and not same(b, a) and same(a.limit(0), b.limit(0))
+
+
+def test_what_is_pending_is_kept_as_ranges(spark, tmp_path):
+    """Runs with a cap over two partitions: rows by range, not by message, each message loaded once."""
+    root, ck = str(tmp_path / "src"), str(tmp_path / "ck")
+    t = SC.IngestTargets(table=str(tmp_path / "t"), dlq=str(tmp_path / "d"), state=str(tmp_path / "s"), max_messages=30, in_order=True)
+
+    def land(start, n):
+        rows = [(topic, p, start + i, '{"name":"n","address":"a","transaction_id":"x","amount":1}') for topic in "ab" for p in (0, 1)
+                for i in range(n)]
+        (spark.createDataFrame(rows, "topic string, partition int, offset bigint, value string")
+         .withColumn("timestamp", F.lit("2024-01-01T00:00:00")).coalesce(1).write.mode("append").json(root))
+
+    def now():
+        landing = spark.read.schema(SC.MESSAGE_SCHEMA).json(root)
+        rows = [(r.topic, r.partition, r.offset) for r in SC.read_table(spark, t).collect()]
+        left = [(r.topic, r.partition, r.offset) for r in SC.pending_messages(spark, t, ck, landing).collect()]
+        assert len(set(rows)) == len(rows) and len(set(left)) == len(left) and not set(rows) & set(left)
+        return len(rows), len(left)
+    land(0, 50)
+    SC.consume(spark, root, t, checkpoint=ck)
+    assert now() == (60, 140)
+    ranges = spark.read.parquet(t.ranges)
+    assert sorted((r.topic, r.partition, r.first, r.last) for r in ranges.collect()) == [
+        ("a", 0, 30, 49), ("a", 1, 0, 49), ("b", 0, 30, 49), ("b", 1, 0, 49)]
+    land(50, 10)
+    for want in ((120, 120), (180, 60), (240, 0), (240, 0)):
+        SC.consume(spark, root, t, checkpoint=ck)
+        assert now() == want
+    assert not os.path.exists(t.pending) and SC.read_table(spark, t).count() == 240
+    with pytest.raises(ValueError, match="landed messages"):
+        SC.consume_available(SC.message_file_stream(spark, root), t, ck)
+
+
+def test_merged_ranges(spark):
+    rnd = random.Random(6)
+    rows = [(rnd.choice("ab"), rnd.randint(0, 1), a, a + rnd.randint(0, 9)) for a in (rnd.randint(0, 120) for _ in range(60))]
+    got = SC.merged_ranges(spark.createDataFrame(rows, SC.RANGES)).collect()
+    cover = lambda rs: {(t, p, x) for t, p, a, b in rs for x in range(a, b + 1)}
+    assert cover(map(tuple, got)) == cover(rows)
+    assert len(cover(rows)) == sum(r.last - r.first + 1 for r in got)            # none overlaps another
+    assert not any((r.topic, r.partition, r.last + 1) in cover(rows) for r in got)
