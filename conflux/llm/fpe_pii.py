@@ -22,7 +22,8 @@ Formats and their validation:
 - IPv4 addresses: four numbers up to 255;
 - dates from 1900 to 2099, year-first, day-first or month-first: real days,
   also before ``T`` and a time, which stays;
-- access keys and values behind ``password=``, ``token =`` and the like: letters and digits within their kind.
+- access keys and values behind ``password=``, ``token =`` and the like: letters and digits within their kind,
+  at any length (values of over 64 characters in linked blocks).
 
 What isn't valid stays as it is.
 
@@ -87,6 +88,10 @@ class Feistel:
         self.key = hashlib.blake2b(key, digest_size=32).digest()
 
     def _f(self, tweak: bytes, r: int, x: int, half: int) -> int:
+        if half > 448:          # more than one digest holds
+            raw = b"%d|%d|" % (r, half) + x.to_bytes(half // 8 + 1, "big") + tweak
+            out = hashlib.shake_256(self.key + raw).digest(half // 8 + 9)
+            return int.from_bytes(out, "big") & ((1 << half) - 1)
         out = hashlib.blake2b(b"%d|%d|%d|%s" % (r, half, x, tweak), key=self.key,
                               digest_size=min(64, half // 8 + 9)).digest()
         return int.from_bytes(out, "big") & ((1 << half) - 1)
@@ -109,9 +114,35 @@ class Feistel:
         return x
 
 
+#: Characters that are permuted as one number.
+LINK = 64
+
+
 def _chars(f: Feistel, s: str, tweak: bytes, back: bool) -> str:
     """Letters and digits permuted within their kind; the case pattern and all
-    else stays. Equal but for case gives equal but for case."""
+    else stays. Equal but for case gives equal but for case.
+
+    A value of more than ``LINK`` characters is permuted in linked blocks of as
+    many, from front to back, each under a digest of what came out before, then
+    from back to front: every character depends on all, and the time grows
+    with the length."""
+    if len(s) <= LINK:
+        return _block(f, s, tweak, back)
+    blocks = [s[i:i + LINK] for i in range(0, len(s), LINK)]
+    tweak += b"|%d" % len(s)
+    for way in ((1, 0) if back else (0, 1)):
+        order = range(len(blocks)) if way == 0 else range(len(blocks) - 1, -1, -1)
+        chain, done = b"", list(blocks)
+        for i in order:
+            new = _block(f, blocks[i], tweak + b"|%d|%d|" % (way, i) + chain, back)
+            done[i] = new
+            out = blocks[i] if back else new        # what this pass gave, or had given, here
+            chain = hashlib.blake2b(chain + out.lower().encode(), key=f.key, digest_size=16).digest()
+        blocks = done
+    return "".join(blocks)
+
+
+def _block(f: Feistel, s: str, tweak: bytes, back: bool) -> str:
     low, x, size = s.lower(), 0, 1
     kinds = [string.digits if c in string.digits else string.ascii_lowercase if c in string.ascii_lowercase else ""
              for c in low]
