@@ -20,6 +20,7 @@ from ..functions import jsonpath as J
 from ..functions import text as X
 from ..functions import timefmt as TM
 from ..operators import aggregates as AG
+from ..operators import folding as FO
 from ..operators import joins as JN
 from ..operators import project as PR
 from ..operators import windows as WN
@@ -809,6 +810,25 @@ def run_status(spark, sf):
     return AG.run_status(fx.run_log(_t(spark, sf, "events")))
 
 
+@check("run_status_updates", "WITH " + RUN_LOG_SQL + """
+SELECT CAST(job_inst_id AS INTEGER) AS job_inst_id,
+       arg_max(task_status, (log_ts, logging_seq)) FILTER (WHERE task_status IS NOT NULL) AS last_status,
+       max(log_ts) FILTER (WHERE task_status = 'running') AS start_time,
+       max(log_ts) FILTER (WHERE task_status IN ('failed', 'succeeded')) AS end_time,
+       arg_min(error_msg, (log_ts, logging_seq)) FILTER (WHERE is_error) AS error_msg,
+       coalesce(bool_or(task_status = 'failed'), false) AS any_failed,
+       CAST(count(*) AS BIGINT) AS n_entries
+FROM rl GROUP BY job_inst_id""")
+def run_status_updates(spark, sf):
+    """E4 kept in a state: the log grows three times, each update reads what is new."""
+    entries = fx.run_log(_t(spark, sf, "events"))
+    log, state = new_path(spark, "runlog"), new_path(spark, "run-state")
+    for k in range(3):
+        SK.append_run_log(entries.filter(F.col("logging_seq") % 3 == k), log)
+        out = FO.update_status(spark, log, state)
+    return out
+
+
 @check("topics_seen", "WITH " + M_SQL + "SELECT DISTINCT topic FROM m")
 def topics_seen(spark, sf):
     """E5."""

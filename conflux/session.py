@@ -11,6 +11,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import SparkSession
 
@@ -89,9 +92,30 @@ def staging_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+_scope: ContextVar[str] = ContextVar("staging_scope", default="")
+
+
 def new_path(spark: SparkSession, tag: str) -> str:
     """A fresh, never reused path under the staging root."""
-    return f"{staging_root(spark)}/conflux/{tag}-{uuid.uuid4().hex[:12]}"
+    return f"{staging_root(spark)}/conflux/{_scope.get()}{tag}-{uuid.uuid4().hex[:12]}"
+
+
+@contextmanager
+def staging(spark: SparkSession) -> Iterator[str]:
+    """Whatever is staged within the block goes when it ends, whether it fails
+    or not. Frames are lazy: write a result that reads staged data, to a path
+    of its own, before the block ends. Blocks may be nested."""
+    root, outer = staging_root(spark), _scope.get()
+    folder = f"{outer}scope-{uuid.uuid4().hex[:12]}/"
+    token = _scope.set(folder)
+    path = f"{root}/conflux/{folder}"
+    try:
+        yield path
+    finally:
+        _scope.reset(token)
+        jvm = spark.sparkContext._jvm
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
 def spread(df, min_partitions: int | None = None):

@@ -180,3 +180,29 @@ def test_merged_ranges(spark):
     assert cover(map(tuple, got)) == cover(rows)
     assert len(cover(rows)) == sum(r.last - r.first + 1 for r in got)            # none overlaps another
     assert not any((r.topic, r.partition, r.last + 1) in cover(rows) for r in got)
+
+
+def test_status_updates_equal_the_full_fold_and_read_the_tail(spark, sf, tmp_path):
+    import shutil
+
+    from conflux import fixtures as fx
+    from conflux.operators.aggregates import run_status
+    from conflux.operators.folding import update_status
+    entries = fx.run_log(spark.read.parquet(f"{sf}/events.parquet"))
+    log, state, away = str(tmp_path / "log"), str(tmp_path / "state"), tmp_path / "away"
+    rows = lambda df: sorted(map(tuple, df.select("job_inst_id", "last_status", "start_time", "end_time", "error_msg", "any_failed",
+                                                  "n_entries").collect()), key=str)
+    for k in range(3):
+        SK.append_run_log(entries.filter(F.col("logging_seq") % 3 == k), log)
+        got = rows(update_status(spark, log, state))
+        assert got == rows(run_status(entries.filter(F.col("logging_seq") % 3 <= k)
+                                            .withColumn("job_inst_id", F.col("job_inst_id").cast("int"))))
+        assert rows(update_status(spark, log, state)) == got             # nothing new: nothing changes
+    for d, _, names in list(os.walk(log)):                               # what is folded isn't read again
+        for n in names:
+            if n.startswith("part-"):
+                away.mkdir(exist_ok=True)
+                shutil.move(os.path.join(d, n), away / n)
+    SK.append_run_log(entries.limit(5), log)
+    again = update_status(spark, log, state)
+    assert again.agg(F.sum("n_entries")).first()[0] == entries.count() + 5

@@ -31,3 +31,22 @@ def test_cluster_conf_runs_the_flagship(spark, sf):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_what_is_staged_in_a_block_goes_with_it(spark, tmp_path):
+    import os
+
+    import pytest
+    from conflux.session import new_path, staging
+    kept = str(tmp_path / "kept")
+    with staging(spark) as outer:
+        path = new_path(spark, "a")
+        spark.range(3).write.parquet(path)
+        with pytest.raises(ValueError), staging(spark) as inner:
+            spark.range(2).write.parquet(new_path(spark, "b"))
+            assert inner.startswith(outer) and os.path.exists(inner.removeprefix("file:"))
+            raise ValueError
+        assert not os.path.exists(inner.removeprefix("file:"))
+        spark.read.parquet(path).write.parquet(kept)
+    assert not os.path.exists(outer.removeprefix("file:")) and "scope-" not in new_path(spark, "c")
+    assert spark.read.parquet(kept).count() == 3
