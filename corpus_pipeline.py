@@ -20,8 +20,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from conflux.llm import containment, fpe_pii, lang_mix, near_dedup, piece_offsets
-from conflux.llm.common import staged
 from conflux.llm.registry import PII_KEY
+from conflux.session import new_path, staging
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -52,8 +52,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages in order over the whole table."""
+    """All stages in order over the whole table. What a stage has staged for
+    itself goes once its result is written."""
     docs = spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
     for name, stage in STAGES[:-1]:
-        docs = staged(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        path = new_path(spark, f"pipeline-{name}")
+        with staging(spark):
+            stage(spark, docs, sf_dir).write.option("compression", "zstd").parquet(path)
+        docs = spark.read.parquet(path)
     return STAGES[-1][1](spark, docs, sf_dir)
