@@ -2,17 +2,17 @@
 
 Texts are cut into pieces, pieces into words; a phrase is a run of at most
 ``longest`` words within a piece, counted for each language. A sample of
-short runs of words, drawn one by one so that what a document or a piece
-repeats isn't drawn or missed as a whole, proposes the phrases that are frequent at a lowered threshold,
+short runs of words, one of every few successive ones so that what a document
+or a piece repeats isn't drawn or missed as a whole, proposes the phrases that are frequent at a lowered threshold,
 level by level. One pass over all documents then counts exactly what the
 sample proposed together with its negative border: the phrases that it didn't
 propose, but whose first and last words less one it did (all other words are
 border). If nothing of the border is frequent, the counts are complete: the
 shortest missing phrase would have both those parts proposed, and so be
 counted. Otherwise the failures join the proposal, and a further pass counts
-them and the border that this opens, until it closes; new failures are longer
-by a word each time, so there are at most ``longest`` + 1 passes. The sample
-changes the cost, never the result.
+them, all that holds them and the border that this opens, until it closes; new
+failures are longer by a word each time, so there are at most ``longest`` + 1
+passes, and mostly two. The sample changes the cost, never the result.
 
 Proposals are held as a bit table of fixed size (2**``filter_bits`` bits, 2 MB
 by default), the only thing broadcast; a phrase that shares a bit counts as
@@ -45,8 +45,10 @@ from .common import as_string_array, ready, slices, staged
 from .words import mix
 
 COUNTS = "lang string, phrase string, h long, n long"
+#: Bytes of text a task works on at once.
 SECTION = 4 << 20
-RUN = 512
+#: Bytes of a run that is drawn for the sample.
+RUN = 128
 _KIND = np.zeros(256, np.uint8)                     # 0: of a word, 1: between words, 2: between pieces
 _KIND[list(b" \t")] = 1
 _KIND[list(b".,;:!?\n\x0b\x0c\r")] = 2
@@ -105,7 +107,9 @@ class Words:
         the distinct phrases of k words that are counted under ``proposal``: a
         place where each stands, its number in the section, its hash, whether
         it is proposed, whether it was counted under ``counted`` and was
-        proposed there."""
+        proposed there. With ``counted``, what holds a newly proposed phrase
+        counts as proposed: new ones are few, and a word that is repeated
+        without end doesn't take a pass for each length."""
         number, inverse, some = None, None, np.arange(self.count)
         for k in range(1, longest + 1):
             if k == 1:
@@ -115,6 +119,8 @@ class Words:
                 fit[some] = proposed[inverse]
                 old_fit = np.zeros(self.count + 1, bool)
                 old_fit[some] = old[inverse]
+                fresh_at = np.zeros(self.count + 1, bool)
+                fresh_at[some] = fresh[inverse]
                 number = np.zeros(self.count + 1, np.int64)
                 number[some] = inverse
                 size = len(proposed)
@@ -136,6 +142,10 @@ class Words:
             else:
                 known = np.ones(len(place), bool) if k == 1 else old_fit[place] & old_fit[place + 1]
                 old = known & counted.has(h)
+            fresh = proposed & ~old if counted is not None else old
+            if k > 1:
+                fresh = fresh | fresh_at[place] | fresh_at[place + 1]
+            proposed = proposed | fresh
             out = count > 0
             yield k, place[out], count[out], h[out], proposed[out], known[out], old[out]
 
@@ -181,15 +191,16 @@ def _bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def sampled_runs(texts: DataFrame, one_in: int) -> DataFrame:
-    """(text, lang): of the short runs of words of each text one in
-    ``one_in``, each drawn by itself. Pieces are runs, longer ones are cut at
-    the first space of every ``RUN`` bytes."""
+    """(text, lang): of each ``one_in`` successive short runs of words of a text
+    one, drawn at random. Pieces are runs, longer ones are cut at the first
+    space of every ``RUN`` bytes; so of a word that one place repeats for some
+    runs about its share is drawn."""
 
     def draw(batches):
         for b in slices(batches, most=SECTION):
             data, offsets = _bytes(as_string_array(b.column("text")))
             data = data.copy()
-            spaces = np.flatnonzero(_KIND[data] == 1)
+            spaces = np.flatnonzero(_KIND[data] == 1) if one_in > 1 else np.zeros(0, np.int64)
             data[spaces[np.unique(spaces // RUN, return_index=True)[1]]] = ord("\n")
             starts = np.concatenate([np.flatnonzero(_KIND[data] == 2) + 1, offsets[:-1]])
             starts = np.unique(starts[starts < len(data)])
@@ -197,7 +208,9 @@ def sampled_runs(texts: DataFrame, one_in: int) -> DataFrame:
             of = np.searchsorted(offsets, starts, "right") - 1
             with np.errstate(over="ignore"):
                 seed = b.column("seed").to_numpy().view(np.uint64)
-                drawn = mix(seed[of] + starts.astype(np.uint64) * _MULT) % np.uint64(one_in) == 0
+                number = (np.arange(len(starts)) - np.searchsorted(of, of)).astype(np.uint64)
+                layer, n = number // np.uint64(one_in), np.uint64(one_in)
+                drawn = number % n == mix(seed[of] + (layer + np.uint64(1)) * _MULT) % n
             kept = np.bincount(of, np.where(drawn, size, 0), len(offsets) - 1).astype(np.int64)
             body = np.ascontiguousarray(data[np.repeat(drawn, size)])
             text = pa.Array.from_buffers(pa.large_string(), len(kept),
@@ -293,9 +306,10 @@ def frequent_phrases(docs: DataFrame, text_col: str = "text", lang_col: str = "l
     texts = docs.select(docs[text_col].cast("string").alias("text"), docs[lang_col].cast("string").alias("lang"))
     sample = staged(sampled_runs(texts, sample_one_in), "phrase-sample")
     share = 1 / sample_one_in
-    lowered = max(1, int(least * share - 4.5 * (least * share * (1 - share)) ** 0.5))
     proposal = BitTable(filter_bits)
     for level in range(1, longest + 1):
+        expected = least * share * (1 if sample_one_in == 1 else max(0.5, 1 - (level - 1) / 12))     # less what lies across runs
+        lowered = max(1, int(expected - 4.5 * (expected * (1 - share)) ** 0.5))
         last, proposal = proposal, proposal.with_hashes(_sampled(sample, longest, level, proposal).where(F.col("n") >= lowered))
         last.release()
     found, before, passes = None, None, 0
@@ -310,6 +324,8 @@ def frequent_phrases(docs: DataFrame, text_col: str = "text", lang_col: str = "l
             before.release()
         if missed.isEmpty():
             proposal.release()
+            if passes > 2:        # further passes can count a phrase again, with the same result
+                found = found.groupBy("lang", "phrase").agg(F.max("n").alias("n"))
             return found, passes
         before, proposal = proposal, proposal.with_hashes(missed)
 
