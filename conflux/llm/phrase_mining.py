@@ -17,7 +17,8 @@ passes, and mostly two. The sample changes the cost, never the result.
 Proposals are held as a bit table of fixed size (2**``filter_bits`` bits, 2 MB
 by default), the only thing broadcast; a phrase that shares a bit counts as
 proposed. Proposed phrases are counted by their words. Of the border, which
-is nearly all of the rows, 64-bit hashes are counted: a clash can only raise a
+is nearly all there is to count, hashes of 48 bits are counted, which travel
+packed, a range of hashes in a row: a clash can only raise a
 count, and what reaches the threshold is proposed and counted by its words in
 the next pass. In a task, phrases of a section are numbered exactly (a phrase
 of k words by the numbers of its two parts of k - 1) and summed before they
@@ -47,6 +48,8 @@ from .words import mix
 COUNTS = "lang string, phrase string, h long, n long"
 #: Bytes of text a task works on at once.
 SECTION = 4 << 20
+#: Border phrases whose counts a task holds.
+HELD = 1 << 21
 #: Bytes of a run that is drawn for the sample.
 RUN = 128
 _KIND = np.zeros(256, np.uint8)                     # 0: of a word, 1: between words, 2: between pieces
@@ -241,7 +244,7 @@ def _sampled(texts: DataFrame, longest: int, level: int, proposal: BitTable) ->
 class _Sums:
     """Counts of hashes, added up in a task up to a bounded number of them."""
 
-    def __init__(self, most: int = 1 << 21):
+    def __init__(self, most: int = HELD):
         self.most, self.parts, self.held = most, [], 0
 
     def add(self, h: np.ndarray, n: np.ndarray):
@@ -260,40 +263,137 @@ class _Sums:
         self.parts, self.held = [], 0
 
 
-def _counted(texts: DataFrame, longest: int, proposal: BitTable, before: BitTable | None) -> DataFrame:
+#: Bits of a border phrase's hash that are kept.
+KEPT = 48
+
+
+def ranges_of(partitions: int) -> int:
+    """Bits that deal hashes out: eight ranges or more for each partition of a
+    shuffle, so that a range, which one task adds up, shrinks with them."""
+    return min(24, max(10, (8 * partitions - 1).bit_length()))
+
+
+def packed(h: np.ndarray, n: np.ndarray, dealt: int):
+    """(range, blob) for each range of hashes that some of ``h`` lie in: their
+    first ``KEPT`` bits in order as gaps, with their counts, compressed. A count
+    over 255 is written as several."""
+    code, distinct = pd.factorize(h >> np.uint64(64 - KEPT))
+    sums = np.zeros(len(distinct), np.int64)
+    np.add.at(sums, code, n)
+    order = np.argsort(distinct)
+    h, n = distinct[order], sums[order]
+    times = -(-n // 255)
+    h, last = np.repeat(h, times), np.cumsum(times) - 1
+    small = np.full(len(h), 255, np.int64)
+    small[last] = n - 255 * (times - 1)
+    of = (h >> np.uint64(KEPT - dealt)).astype(np.int64)
+    some, starts = np.unique(of, return_index=True)
+    for r, i, j in zip(some.tolist(), starts.tolist(), [*starts[1:].tolist(), len(h)], strict=True):
+        gap = np.diff(h[i:j], prepend=np.uint64(r << (KEPT - dealt)))
+        raw = gap.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :5].T.tobytes() + small[i:j].astype(np.uint8).tobytes()
+        yield r, (j - i).to_bytes(4, "little") + pa.compress(raw, "zstd", asbytes=True)
+
+
+def unpacked(r: int, blob: bytes, dealt: int) -> tuple[np.ndarray, np.ndarray]:
+    """The hashes' first bits and the counts of a blob."""
+    m = int.from_bytes(blob[:4], "little")
+    raw = np.frombuffer(pa.decompress(blob[4:], 6 * m, "zstd", asbytes=True), np.uint8)
+    gap = np.zeros((m, 8), np.uint8)
+    gap[:, :5] = raw[:5 * m].reshape(5, m).T
+    h = np.cumsum(gap.reshape(-1).view("<u8")) + np.uint64(r << (KEPT - dealt))
+    return h, raw[5 * m:].astype(np.int64)
+
+
+ROWS = "lang string, phrase string, n long, range int, blob binary"
+
+
+def _added_up(batches, least: int, dealt: int):
+    """What a partition of :func:`_counted` holds, added up: first the phrases,
+    then range by range of hashes those that reach ``least``."""
+    table, held, now = None, [], None
+
+    def border():
+        if held:
+            h, n = (np.concatenate(x) for x in zip(*held, strict=True))
+            held.clear()
+            code, distinct = pd.factorize(h)
+            sums = np.zeros(len(distinct), np.int64)
+            np.add.at(sums, code, n)
+            many = sums >= least
+            none = pa.nulls(int(many.sum()), pa.string())
+            yield pa.RecordBatch.from_arrays(
+                [none, none, pa.array((distinct[many] << np.uint64(64 - KEPT)).view(np.int64)), pa.array(sums[many])],
+                names=["lang", "phrase", "h", "n"])
+
+    def phrases():
+        if table is not None:
+            for b in table.to_batches(1 << 16):
+                yield pa.RecordBatch.from_arrays([b.column("lang"), b.column("phrase"), pa.nulls(b.num_rows, pa.int64()), b.column("n")],
+                                                 names=["lang", "phrase", "h", "n"])
+
+    for b in batches:
+        words = b.filter(pc.is_null(b.column("blob")))
+        if words.num_rows:
+            new = pa.Table.from_batches([words.select(["lang", "phrase", "n"])])
+            new = (new if table is None else pa.concat_tables([table, new])).group_by(["lang", "phrase"]).aggregate([("n", "sum")])
+            table = new.rename_columns(["n" if c == "n_sum" else c for c in new.column_names]).select(["lang", "phrase", "n"])
+        for r, blob in zip(b.column("range").to_pylist(), b.column("blob"), strict=True):
+            if r is not None:
+                if r != now:
+                    yield from border()
+                    now = r
+                held.append(unpacked(r, blob.as_py(), dealt))
+    yield from border()
+    yield from phrases()
+
+
+def _counted(texts: DataFrame, longest: int, proposal: BitTable, before: BitTable | None, least: int) -> DataFrame:
     """(lang, phrase, h, n): the proposed phrases that weren't counted by their
     words before, with null h, and the hashes of the border that weren't
-    counted before, with null lang and phrase. The phrase '' stands for all
-    words."""
+    counted before and reach ``least``, with null lang and phrase. The phrase ''
+    stands for all words."""
     now = proposal.share(texts.sparkSession)
     then = None if before is None else before.share(texts.sparkSession)
-    fields = ["lang", "phrase", "h", "n"]
+    fields = ["lang", "phrase", "n", "range", "blob"]
+    dealt = ranges_of(int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
-    def border(batch):
-        none = pa.nulls(batch.num_rows, pa.string())
-        return pa.RecordBatch.from_arrays([none, none, *batch.columns], names=fields)
+    def spelt(lang, phrase, n):
+        return pa.RecordBatch.from_arrays([lang, phrase, pa.array(n), pa.nulls(len(n), pa.int32()), pa.nulls(len(n), pa.binary())],
+                                          names=fields)
 
     def count(batches):
-        new, old, held = BitTable(*now.value), None if then is None else BitTable(*then.value), _Sums()
+        new, old = BitTable(*now.value), None if then is None else BitTable(*then.value)
+        parts, held = [], 0
+
+        def border():
+            if parts:
+                r, blob = zip(*packed(*(np.concatenate(x) for x in zip(*parts, strict=True)), dealt), strict=True)
+                none = pa.nulls(len(r), pa.string())
+                yield pa.RecordBatch.from_arrays([none, none, pa.nulls(len(r), pa.int64()), pa.array(r, pa.int32()),
+                                                  pa.array(blob, pa.binary())], names=fields)
+                parts.clear()
+
         for words, names in sections(batches, longest):
             if old is None and words.own.any():
                 total = np.bincount(words.lang[words.own], minlength=len(names))
-                yield pa.RecordBatch.from_arrays(
-                    [names, pa.array([""] * len(names), pa.string()), pa.nulls(len(names), pa.int64()),
-                     pa.array(total.astype(np.int64))], names=fields)
+                yield spelt(names, pa.array([""] * len(names), pa.string()), total.astype(np.int64))
             for k, place, n, h, proposed, known, was in words.levels(longest, new, old):
-                yield from map(border, held.add(h[~proposed & ~known], n[~proposed & ~known]))
+                rest = ~proposed & ~known
+                if rest.any():
+                    parts.append((h[rest], n[rest]))
+                    held += int(rest.sum())
                 some = np.flatnonzero(proposed & ~was)
                 for a in range(0, len(some), 1 << 16):
                     p = some[a:a + (1 << 16)]
-                    yield pa.RecordBatch.from_arrays(
-                        [names.take(pa.array(words.lang[place[p]])), words.phrases(place[p], k).cast(pa.string()),
-                         pa.nulls(len(p), pa.int64()), pa.array(n[p])], names=fields)
-        yield from map(border, held.flush())
+                    yield spelt(names.take(pa.array(words.lang[place[p]])), words.phrases(place[p], k).cast(pa.string()), n[p])
+            if held > HELD:
+                yield from border()
+                held = 0
+        yield from border()
 
-    # dealt out first: a task's counts are added up already, a second table of them would only take memory
-    return (texts.mapInArrow(count, COUNTS).repartition("lang", "phrase", "h")
-            .groupBy("lang", "phrase", "h").agg(F.sum("n").alias("n")))
+    # a task's counts are added up already: they are dealt out as they are, each range of hashes to one task
+    return (texts.mapInArrow(count, ROWS).repartition("lang", "phrase", "range").sortWithinPartitions("range")
+            .mapInArrow(lambda batches: _added_up(batches, least, dealt), COUNTS))
 
 
 def frequent_phrases(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", least: int = 100,
@@ -315,7 +415,7 @@ def frequent_phrases(docs: DataFrame, text_col: str = "text", lang_col: str = "l
     found, before, passes = None, None, 0
     while True:
         passes += 1
-        rows = staged(_counted(texts, longest, proposal, before)
+        rows = staged(_counted(texts, longest, proposal, before, least)
                       .where((F.col("n") >= least) | (F.col("phrase") == "")), "phrases")
         new = rows.where("h IS NULL").drop("h")
         found = new if found is None else found.unionByName(new)
