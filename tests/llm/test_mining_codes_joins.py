@@ -93,7 +93,36 @@ def test_border_failures_are_followed_until_closed(spark):
         found, passes = phrase_mining.frequent_phrases(docs, least=20, sample_one_in=one_in, filter_bits=16)
         assert sorted(tuple(r) for r in found.where("phrase <> ''").collect()) == want
         assert passes == (1 if one_in == 1 else passes) and passes <= 6
-    assert passes == 6          # words, then phrases a word longer in each pass
+    assert passes == 2          # words, then them and what holds them
+
+
+def test_failures_among_proposed_words_are_longer_each_time(spark, monkeypatch):
+    """Nothing that holds a failure is counted with it: the border opens a word at a time, and closes all the same."""
+    rows = [(f"common one two three four five, tail{i} one", "en") for i in range(30)]
+    docs = spark.createDataFrame(rows, "text string, lang string")
+    f, _ = brute_counts(rows)
+    want = sorted(("en", p, n) for p, n in f["en"].items() if n >= 20)
+    for bits in (6, 12):          # a small table proposes some by chance
+        found, passes = phrase_mining.frequent_phrases(docs, least=20, sample_one_in=10**9, filter_bits=bits)
+        rows_ = [tuple(r) for r in found.where("phrase <> ''").collect()]
+        assert sorted(rows_) == want and len(set(rows_)) == len(rows_)
+
+
+def test_packed_counts_come_back():
+    rng = np.random.default_rng(3)
+    assert [phrase_mining.ranges_of(p) for p in (1, 200, 20_000)] == [10, 11, 18]
+    for n, dealt in ((1, 10), (5, 18), (4000, 11)):
+        h = rng.integers(0, 2**64, n, np.uint64)
+        h = np.concatenate([h, h[:n // 2], np.array([0, 2**64 - 1], np.uint64)])
+        counts = rng.choice([1, 1, 1, 2, 254, 255, 256, 510, 70_000], len(h))
+        got, want = Counter(), Counter()
+        for r, blob in phrase_mining.packed(h, counts, dealt):
+            for x, c in zip(*phrase_mining.unpacked(r, blob, dealt), strict=True):
+                assert int(x) >> (phrase_mining.KEPT - dealt) == r
+                got[int(x)] += int(c)
+        for x, c in zip(h, counts, strict=True):
+            want[int(x) >> (64 - phrase_mining.KEPT)] += int(c)
+        assert got == want
 
 
 def test_sample_draws_short_runs_by_themselves(spark):

@@ -311,6 +311,23 @@ def test_store_gives_back_the_librarys_ids(spark, awkward, empty, monkeypatch):
     assert token_store.store_digests(empty, path).count() == 0
 
 
+def test_encoding_by_unit_is_the_librarys():
+    """Random texts of words with punctuation, contractions, marks, foreign letters, odd white space and special strings."""
+    from tokenizers import Tokenizer
+    path = P.path("byte_bpe_50k.json")
+    tok, own = Tokenizer.from_file(path), token_store.Encoder(path)
+    assert own.by_run
+    rnd = random.Random(11)
+    bits = ["the", "Été", "ßa", "Ωmega", "日本", "ǅ", "ª", "it's", "we'll", "x1", "42", "...", "?!", "a.b", "-", "’s", "é", "\u0301",
+            " ", "  ", "\n", "\t", "\xa0", "<|endoftext|>", "naïve,", "end.", "(sic)", "🙂", ",", "A", "ɏɐ", "\x1c", "Ġ"]
+    texts = ["".join(rnd.choice(bits) + rnd.choice(["", " ", " "]) for _ in range(rnd.randint(0, 40))) for _ in range(4000)]
+    for k in range(0, len(texts), 500):
+        flat, n = own.encode(texts[k:k + 500])
+        at = np.cumsum(n) - n
+        for t, a, m in zip(texts[k:k + 500], at, n, strict=True):
+            assert flat[a:a + m].tolist() == tok.encode(t, add_special_tokens=False).ids, t
+
+
 def test_documents_across_blocks(spark, tmp_path):
     """A document of more than two blocks, read back whole."""
     words = " ".join(f"{i:x}" for i in range(400_000))
@@ -343,6 +360,29 @@ def test_pseudonyms_keep_format_link_and_undo(kind):
     assert fpe_pii.pseudonymise(fpe_pii.Feistel(b"other"), value)[0] != first
 
 
+@pytest.mark.parametrize("n", [7, 64, 65, 200, 400, 1000, 100_000])
+def test_long_secrets_change_all_over_and_undo(n):
+    f, rnd = fpe_pii.Feistel(b"k"), random.Random(n)
+    chars = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"
+    value = "".join(rnd.choice(chars) for _ in range(n))
+    text, kinds = fpe_pii.pseudonymise(f, f"token={value} x")
+    new = text[6:-2]
+    assert kinds == ["password"] and len(new) == n and new != value
+    assert [(c.isdigit(), c.isupper()) for c in new] == [(c.isdigit(), c.isupper()) for c in value]
+    same = [a == b for a, b in zip(new, value, strict=True)]
+    runs = max((len(r) for r in "".join("x" if y else " " for y in same).split()), default=0)
+    chance = (10 / 62 / 10 + 52 / 62 / 26) * n       # a character meets itself
+    assert sum(same) < chance + 5 * chance**0.5 + 3 and runs <= 5
+    assert fpe_pii.pseudonymise(f, text, back=True) == (f"token={value} x", kinds)
+    assert fpe_pii.pseudonymise(f, f"token={value.swapcase()}")[0][6:] == new.swapcase()
+    for at in (0, n // 2, n - 1):        # every character depends on every other
+        other = value[:at] + ("7" if value[at].isdigit() and value[at] != "7" else "8" if value[at].isdigit()
+                              else "q" if value[at].lower() != "q" else "r") + value[at + 1:]
+        again = fpe_pii.pseudonymise(f, f"token={other}")[0][6:]
+        if n > 64:
+            assert sum(a == b for a, b in zip(new.lower(), again.lower(), strict=True)) < 2 * chance + 5 * chance**0.5 + 5
+
+
 def test_equal_values_stay_linked_however_written():
     f = fpe_pii.Feistel(b"k")
     a, b = (fpe_pii.pseudonymise(f, x)[0] for x in ("4111 1111 1111 1111", "4111111111111111"))
@@ -437,13 +477,23 @@ def test_documents_stay_where_no_language_was_learnt(awkward, empty):
 
 # 8
 
-def brute_pairs(docs, items, threshold=0.8):
+def brute_pairs(docs, items, threshold=0.8, short_inside=True):
     sh = lambda t: set(shingle_weights(t or ""))
     out = set()
-    q = [(i, sh(t)) for i, t in items]
+    q = [(i, sh(t), (t or "").lower().split()) for i, t in items]
     for d, t in docs:
-        x = sh(t)
-        out |= {(d, i) for i, s in q if s and len(s & x) / len(s) >= threshold}
+        x, w = sh(t), (t or "").lower().split()
+        for i, s, words in q:
+            if not words:
+                continue
+            if len(words) >= 5:
+                found = len(s & x) / len(s) >= threshold
+            elif short_inside:
+                found = any(w[k:k + len(words)] == words for k in range(len(w)))
+            else:
+                found = w == words
+            if found:
+                out.add((d, i))
     return out
 
 
@@ -454,14 +504,29 @@ def test_contained_items_equal_brute_force(spark, part_bytes):
     for k, (_, t) in enumerate(items[:12]):        # inside long documents, some words changed
         w = [x if rnd.random() > 0.015 else "changed" for x in t.split()]
         docs.append((50_000 + k, " ".join([f"f{k}x{i}" for i in range(rnd.randint(0, 4000))] + w + ["tail"] * 50)))
-    items += [(900, "tail tail tail tail tail"), (901, "one two"), (902, None), (903, ""), (903, "a b c d e f")]
-    docs += [(60_000, "One  Two"), (60_001, "one two three"), (None, "x a b c d e f y")]
+    items += [(900, "tail tail tail tail tail"), (901, "one two"), (902, None), (903, ""), (903, "a b c d e f"),
+              (904, "Two three"), (905, "two"), (906, "p q r s"), (907, "one TWO")]
+    docs += [(60_000, "One  Two"), (60_001, "one two three"), (None, "x a b c d e f y"), (60_002, "two"), (60_003, "three one"),
+             (60_004, "two one p q r\ns t u v w x y z two three one")]
     df, it = (spark.createDataFrame(x, f"{n} long, text string") for x, n in ((docs, "doc_id"), (items, "item_id")))
     got = containment.find_items(df, it, part_bytes=part_bytes).collect()
     assert {(r.doc_id, r.item_id) for r in got} == brute_pairs(docs, items) and len(got) == len(set(got))
-    clean = containment.decontaminate(df, it, part_bytes=part_bytes).collect()
-    bad = {d for d, _ in brute_pairs(docs, items)}
-    assert {r.doc_id for r in clean} == {d for d, _ in docs} - bad
+    for inside in (False, True):
+        clean = containment.decontaminate(df, it, part_bytes=part_bytes, short_inside=inside).collect()
+        bad = {d for d, _ in brute_pairs(docs, items, short_inside=inside)}
+        assert {r.doc_id for r in clean} == {d for d, _ in docs} - bad
+
+
+def test_a_part_of_the_items_has_a_bounded_size(spark):
+    """However many items: 100,000 of 15 words make parts of under 64 MB each, one held at a time."""
+    items = spark.range(100_000).selectExpr(
+        "id as item_id", "array_join(transform(sequence(1, 15), i -> concat('w', xxhash64(id, i))), ' ') as text")
+    sizes = []
+    for index, several in containment.item_parts(spark, items, "item_id", "text", 64, 0.8, 64 << 20, 1 << 15):
+        assert several and len(index.value.ids) < 40_000
+        sizes.append(len(__import__("pickle").dumps(index.value)))
+        assert index.value.nbytes() < 64 << 20
+    assert len(sizes) == 4 and max(sizes) < 64 << 20
 
 
 def test_containment_of_awkward_rows(spark, awkward, empty):
@@ -549,6 +614,24 @@ def test_pieces_are_the_librarys(spark, awkward, empty):
     assert piece_offsets.encode(empty, path).count() == 0
 
 
+def test_space_marks_in_texts_are_the_librarys():
+    """U+2581 next to spaces, special strings and marks: ids, and spans that cover the text."""
+    import sentencepiece
+    path = P.path("piece_bpe_32k.model")
+    lib, own = sentencepiece.SentencePieceProcessor(model_file=path), piece_offsets.Model(path)
+    rnd = random.Random(12)
+    bits = ["\u2581", " ", "  ", "a", "the", "█", "\u2580\u2583", "<s>", "</s>", "<unk>", "<0x41>", "é", "e\u0301", "日", "\n", "\t", "12%",
+            "\u3000", "\xa0", "|", "word", ".", "🙂"]
+    texts = ["▁ ▁ x", "|▁▁▁ 12%", "██ ▁▂▃ ▁ ▁"] + ["".join(rnd.choice(bits) for _ in range(rnd.randint(0, 30))) for _ in range(8000)]
+    flat, n = own.encode(texts)
+    at = np.cumsum(n) - n
+    for t, a, m in zip(texts, at, n, strict=True):
+        ids = flat[a:a + m]
+        assert ids.tolist() == lib.encode(t), t
+        starts, ends = own.spans(t, ids)
+        assert (starts[1:] == ends[:-1]).all() and (not m or (starts[0] == 0 and ends[-1] == len(t.encode())))
+
+
 @pytest.mark.parametrize("rule", ["nmt_nfkc", "nfkc", "nmt_nfkc_cf", "identity"])
 def test_normalisation_is_the_librarys(rule):
     import sentencepiece
@@ -567,12 +650,31 @@ def test_normalisation_is_the_librarys(rule):
 # shared
 
 def test_unit_ids_forget_and_relearn():
-    units = UnitIds(lambda new: [[len(x)] * len(x) for x in new], most=3)
+    units = UnitIds(lambda new: [[len(x)] * len(x) for x in new], most_bytes=600)
     for words in (["a", "bb"], ["ccc", "a", "dddd"], ["eeeee", "a", "", "bb"]):
         ids, n = units.gather(units.places(words))
         assert ids.tolist() == [len(w) for w in words for _ in w] and n.tolist() == [len(w) for w in words]
 
 
+def test_unit_ids_stay_within_their_bytes():
+    """A million distinct words, tokenized a few thousand at a time."""
+    import tracemalloc
+    calls = []
+
+    def ids(new):
+        calls.append(len(new))
+        return [[1, 2, 3]] * len(new)
+    units = UnitIds(ids, most_bytes=16 << 20)
+    tracemalloc.start()
+    for k in range(50):
+        places = units.places([f"word{k * 20_000 + i}" for i in range(20_000)] + ["often"])
+        assert units.lengths(places).tolist() == [3] * 20_001
+        assert units.held_bytes() <= 16 << 20
+    held, _ = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert held < 40 << 20 and max(calls) <= 4096 and sum(calls) == 1_000_001
+
+
 def test_pipeline(spark):
     import corpus_pipeline
     docs = spark.read.parquet(f"{SF}/documents.parquet")
@@ -598,3 +700,4 @@ def test_pipeline_stages_keep_columns(spark, awkward, empty):
             out = stage(spark, docs, SF)
             assert out.columns == docs.columns and out.dtypes == docs.dtypes
             out.count()
+        assert corpus_pipeline.STAGES[-1][1](spark, docs, SF).count() == docs.count()
