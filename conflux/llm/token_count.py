@@ -11,7 +11,8 @@ is doubled, in the end up to the whole left chunk, which then grows by the
 right one; so a text without any white space is encoded in one piece.
 
 Documents up to ``chunk_chars`` are cut at all their stable boundaries (the
-white space itself) and counted by distinct word.
+white space itself) and counted by distinct word; what a worker remembers of
+words is bounded by bytes (:mod:`conflux.llm.units`).
 
 Defined results: null text counts as empty: 0 bytes, 0 tokens. Every input
 row gives one row, repeated ids and null ids included. Special strings inside
@@ -25,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from .common import as_string_array, id_and_text, slices
-from .units import UnitIds
+from .units import TEXT_BYTES, UnitIds
 
 SCHEMA = "doc_id long, n_bytes long, n_tokens long, over_limit boolean"
 
@@ -95,13 +96,22 @@ def splice(counter, text: str, chunk_chars: int, overlap_chars: int, agree: int
     return out + left.ids[first:]
 
 
+def _counter(path: str) -> Counter:
+    """The worker's counter. (A task's function travels with copies of what it
+    names; only through a function of this module does it reach what the
+    worker keeps from task to task.)"""
+    if path not in _loaded:
+        _loaded[path] = Counter(path)
+    return _loaded[path]
+
+
 def count_tokens(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text",
                  limit: int = 2048, chunk_chars: int = 32768, overlap_chars: int = 256) -> DataFrame:
     """One row for each row of ``docs``: doc_id, n_bytes, n_tokens, over_limit."""
 
     def run(batches):
-        counter = _loaded.get(tokenizer_path) or _loaded.setdefault(tokenizer_path, Counter(tokenizer_path))
-        for b in slices(batches):
+        counter = _counter(tokenizer_path)
+        for b in slices(batches, most=TEXT_BYTES):
             texts = as_string_array(b.column("text")).to_pylist()
             raw = [t.encode() for t in texts]
             n_tokens = np.zeros(len(texts), np.int64)

@@ -3,52 +3,78 @@
 A tokenizer which splits its text before merging treats some places as
 boundaries whatever stands around them. Texts cut at such places give the
 same ids in pieces as whole. Most pieces recur, so each worker keeps the ids
-of those it has met and runs the tokenizer on new ones only. What is kept is
-bounded and never changes a result.
+of those it has met and runs the tokenizer on new ones only, a few thousand at
+a time. What is kept is bounded by bytes and never changes a result: it comes
+in two generations, of which the older one is dropped when the newer one is
+full; units met again move to the newer one, so frequent ones stay.
 """
 
 from __future__ import annotations
 
+import os
+from array import array
 from collections.abc import Callable, Sequence
+from sys import getsizeof
 
 import numpy as np
 
+#: A worker is one thread of its executor; the tokenizers' own threads only cost memory.
+os.environ["TOKENIZERS_PARALLELISM"] = "false"
+
+#: Bytes of text a task tokenizes at once.
+TEXT_BYTES = 2 << 20
+#: Units given to the tokenizer in one call.
+TOGETHER = 4096
+#: What an entry takes up beside its key and its ids.
+_ENTRY = 143
+
 
 class UnitIds:
-    """Ids of units, remembered up to ``most`` units."""
+    """Ids of units, of which up to ``most_bytes`` are remembered."""
 
-    def __init__(self, encode_many: Callable[[list], Sequence[Sequence[int]]], most: int = 500_000,
+    def __init__(self, encode_many: Callable[[list], Sequence[Sequence[int]]], most_bytes: int = 256 << 20,
                  dtype=np.uint32):
-        self.encode_many, self.most, self.dtype = encode_many, most, dtype
-        self._clear()
-
-    def _clear(self) -> None:
-        self.index: dict = {}
-        self.flat = np.empty(1 << 16, self.dtype)
-        self.start = np.zeros(1 << 14, np.int64)     # start[k]: where unit k's ids begin
-        self.used = 0
-
-    def _learn(self, new: list) -> None:
-        ids = self.encode_many(new)
-        n = np.fromiter(map(len, ids), np.int64, len(ids))
-        need, k = self.used + int(n.sum()), len(self.index)
-        if need > len(self.flat):
-            self.flat = np.resize(self.flat, max(need, 2 * len(self.flat)))
-        if k + len(new) + 1 > len(self.start):
-            self.start = np.resize(self.start, max(k + len(new) + 1, 2 * len(self.start)))
-        self.flat[self.used:need] = [i for one in ids for i in one]
-        self.start[k + 1:k + 1 + len(new)] = self.used + np.cumsum(n)
-        self.index.update(zip(new, range(k, k + len(new)), strict=True))
-        self.used = need
+        self.encode_many, self.most, self.dtype = encode_many, most_bytes, np.dtype(dtype)
+        self.new: dict = {}
+        self.old: dict = {}
+        self.new_bytes = self.old_bytes = 0
+        self.flat = np.zeros(0, self.dtype)
+        self.start = np.zeros(1, np.int64)
+
+    def held_bytes(self) -> int:
+        """What the remembered units take up."""
+        return self.new_bytes + self.old_bytes
+
+    def _keep(self, unit, ids: bytes) -> None:
+        size = getsizeof(unit) + len(ids) + _ENTRY
+        if self.new_bytes + size > self.most // 2:
+            self.old, self.old_bytes = self.new, self.new_bytes
+            self.new, self.new_bytes = {}, 0
+        self.new[unit] = ids
+        self.new_bytes += size
 
     def places(self, units: list) -> np.ndarray:
-        """The number of each unit in what is remembered, new ones learnt."""
-        if len(self.index) > self.most:
-            self._clear()
-        new = list(set(units).difference(self.index))
-        if new:
-            self._learn(new)
-        return np.fromiter(map(self.index.__getitem__, units), np.int64, len(units))
+        """The number of each unit among the distinct ones of this call, whose
+        ids :meth:`lengths` and :meth:`gather` give until the next call."""
+        distinct = list(dict.fromkeys(units))
+        number = dict(zip(distinct, range(len(distinct)), strict=True))
+        found: list = list(map(self.new.get, distinct))
+        unknown: list = []
+        for i in [i for i, ids in enumerate(found) if ids is None]:
+            if (ids := self.old.get(distinct[i])) is None:
+                unknown.append(i)
+            else:
+                found[i] = ids
+                self._keep(distinct[i], ids)
+        for k in range(0, len(unknown), TOGETHER):
+            some = unknown[k:k + TOGETHER]
+            for i, ids in zip(some, self.encode_many([distinct[i] for i in some]), strict=True):
+                found[i] = array(self.dtype.char, ids).tobytes()
+                self._keep(distinct[i], found[i])
+        self.flat = np.frombuffer(b"".join(found), self.dtype)
+        self.start = np.concatenate([[0], np.cumsum(np.fromiter(map(len, found), np.int64, len(found)))])
+        self.start //= self.dtype.itemsize
+        return np.fromiter(map(number.__getitem__, units), np.int64, len(units))
 
     def lengths(self, places: np.ndarray) -> np.ndarray:
         return self.start[places + 1] - self.start[places]
