@@ -9,9 +9,11 @@ the library's own.
 
 No piece of the model holds a space after another character, so what lies
 between two spaces gets the same ids alone as in its text (the space before a
-word is what the library puts before a text anyway). Texts without double or
-outer spaces are therefore encoded by distinct word; any other text as a
-whole, and so every text with a model for which this doesn't hold.
+word is what the library puts before a text anyway). But for runs of spaces: a
+piece may be several of them, as may a space and the character U+2581 that
+stands for one. Texts without double or outer spaces and without U+2581 are
+therefore encoded by distinct word; any other text as a whole, and so every
+text with a model for which this doesn't hold.
 
 Defined results: null text counts as empty: no pieces, decoded text empty.
 Every row gives one row.
@@ -27,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from .common import as_string_array, id_and_text, slices
-from .units import UnitIds
+from .units import TEXT_BYTES, UnitIds
 
 SPACE = "\u2581"
 _loaded: dict = {}
@@ -153,7 +155,7 @@ class Model:
         units, n_units, whole = [], np.zeros(len(texts), np.int64), {}
         for k, t in enumerate(texts):
             w = t.split(" ")
-            if "" in w:                            # outer or double spaces, or empty
+            if "" in w or SPACE in t:              # outer or double spaces, empty, or the mark itself
                 whole[k] = np.array(self.lib.encode(t), np.int32)
             else:
                 units += w
@@ -199,7 +201,7 @@ def encode(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: s
 
     def run(batches):
         model = _model(model_path)
-        for b in slices(batches):
+        for b in slices(batches, most=TEXT_BYTES):
             rows = list(_each(model, b))
             yield pa.RecordBatch.from_arrays(
                 [b.column("doc_id"), pa.array([r[1] for r in rows], pa.list_(pa.int32())),
@@ -220,7 +222,7 @@ def encode_digests(docs: DataFrame, model_path: str, id_col: str = "doc_id", tex
     def run(batches):
         model = _model(model_path)
         decimal = model.decimal.__getitem__
-        for b in slices(batches):
+        for b in slices(batches, most=TEXT_BYTES):
             n, ids_sha, text_sha, covered = [], [], [], []
             for _, ids, _, ends in _each(model, b):
                 own = ids.tolist()
