@@ -307,6 +307,12 @@ def unpacked(r: int, blob: bytes, dealt: int) -> tuple[np.ndarray, np.ndarray]:
 ROWS = "lang string, phrase string, n long, range int, blob binary"
 
 
+def _summed(table: pa.Table) -> pa.Table:
+    """(lang, phrase, n) with each phrase once."""
+    out = table.group_by(["lang", "phrase"]).aggregate([("n", "sum")])
+    return out.rename_columns(["n" if c == "n_sum" else c for c in out.column_names]).select(["lang", "phrase", "n"])
+
+
 def _added_up(batches, least: int, dealt: int):
     """What a partition of :func:`_counted` holds, added up: first the phrases,
     then range by range of hashes those that reach ``least``."""
@@ -335,8 +341,7 @@ def _added_up(batches, least: int, dealt: int):
         words = b.filter(pc.is_null(b.column("blob")))
         if words.num_rows:
             new = pa.Table.from_batches([words.select(["lang", "phrase", "n"])])
-            new = (new if table is None else pa.concat_tables([table, new])).group_by(["lang", "phrase"]).aggregate([("n", "sum")])
-            table = new.rename_columns(["n" if c == "n_sum" else c for c in new.column_names]).select(["lang", "phrase", "n"])
+            table = _summed(new if table is None else pa.concat_tables([table, new]))
         for r, blob in zip(b.column("range").to_pylist(), b.column("blob"), strict=True):
             if r is not None:
                 if r != now:
@@ -357,13 +362,24 @@ def _counted(texts: DataFrame, longest: int, proposal: BitTable, before: BitTabl
     fields = ["lang", "phrase", "n", "range", "blob"]
     dealt = ranges_of(int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
-    def spelt(lang, phrase, n):
-        return pa.RecordBatch.from_arrays([lang, phrase, pa.array(n), pa.nulls(len(n), pa.int32()), pa.nulls(len(n), pa.binary())],
-                                          names=fields)
-
     def count(batches):
         new, old = BitTable(*now.value), None if then is None else BitTable(*then.value)
-        parts, held = [], 0
+        parts, held, table, waiting = [], 0, None, []
+
+        def spelt(lang, phrase, n):
+            waiting.append(pa.Table.from_arrays([lang, phrase, pa.array(n)], names=["lang", "phrase", "n"]))
+
+        def phrases(last: bool):
+            """The proposed phrases' counts, added up until they are too many."""
+            nonlocal table
+            if waiting:
+                table = _summed(pa.concat_tables([*waiting] if table is None else [table, *waiting]))
+                waiting.clear()
+            if table is not None and (last or len(table) > HELD // 4):
+                for b in table.to_batches(1 << 16):
+                    yield pa.RecordBatch.from_arrays([*b.columns, pa.nulls(len(b), pa.int32()), pa.nulls(len(b), pa.binary())],
+                                                     names=fields)
+                table = None
 
         def border():
             if parts:
@@ -376,7 +392,7 @@ def _counted(texts: DataFrame, longest: int, proposal: BitTable, before: BitTabl
         for words, names in sections(batches, longest):
             if old is None and words.own.any():
                 total = np.bincount(words.lang[words.own], minlength=len(names))
-                yield spelt(names, pa.array([""] * len(names), pa.string()), total.astype(np.int64))
+                spelt(names, pa.array([""] * len(names), pa.string()), total.astype(np.int64))
             for k, place, n, h, proposed, known, was in words.levels(longest, new, old):
                 rest = ~proposed & ~known
                 if rest.any():
@@ -385,10 +401,12 @@ def _counted(texts: DataFrame, longest: int, proposal: BitTable, before: BitTabl
                 some = np.flatnonzero(proposed & ~was)
                 for a in range(0, len(some), 1 << 16):
                     p = some[a:a + (1 << 16)]
-                    yield spelt(names.take(pa.array(words.lang[place[p]])), words.phrases(place[p], k).cast(pa.string()), n[p])
+                    spelt(names.take(pa.array(words.lang[place[p]])), words.phrases(place[p], k).cast(pa.string()), n[p])
+            yield from phrases(False)
             if held > HELD:
                 yield from border()
                 held = 0
+        yield from phrases(True)
         yield from border()
 
     # a task's counts are added up already: they are dealt out as they are, each range of hashes to one task
