@@ -68,9 +68,18 @@ def write_text_csv(df: DataFrame, path: str, sep: str = ",",
 _CP1252_EXTRA = "€‚ƒ„…†‡ˆ‰Š‹ŒŽ‘’“”•–—˜™š›œžŸ"
 
 
-def _not_stageable(name: str, multi_line: bool) -> Column:
-    text = F.col(f"`{name}`").cast("string")
-    bad = text.rlike(rf"[^\x00-\x7f\xa0-\xff{_CP1252_EXTRA}]")
+# What the encoding lacks. The few ranges come first: nearly every character leaves at them, while a negated
+# class of all that fits tries each of its parts on each character.
+_NOT_CP1252 = rf"[\x80-\x9f\x{{100}}-\x{{10ffff}}&&[^{_CP1252_EXTRA}]]"
+#: Types whose text is ASCII on one line.
+_PLAIN = (T.NumericType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)
+
+
+def _not_stageable(field: T.StructField, multi_line: bool) -> Column:
+    if isinstance(field.dataType, _PLAIN):
+        return F.lit(False)
+    text = F.col(f"`{field.name}`").cast("string")
+    bad = text.rlike(_NOT_CP1252)
     return F.coalesce(bad if multi_line else bad | text.rlike(r"[\r\n]"), F.lit(False))
 
 
@@ -78,8 +87,8 @@ def split_stageable(df: DataFrame, multi_line: bool = False) -> tuple[DataFrame,
     """A5's reject mode: the rows that the staging encoding and format can
     hold, and the others."""
     bad = F.lit(False)
-    for c in df.columns:
-        bad = bad | _not_stageable(c, multi_line)
+    for f in df.schema:
+        bad = bad | _not_stageable(f, multi_line)
     return df.filter(~bad), df.filter(bad)
 
 
@@ -89,8 +98,8 @@ def stage_delimited(df: DataFrame, path: str, multi_line: bool = False) -> str:
     the encoding lacks is an error, as is a line break unless the stage will
     be read with ``multi_line``; :func:`split_stageable` keeps such rows
     apart."""
-    checked = [F.when(_not_stageable(c, multi_line), F.raise_error(F.lit(f"value of {c} can't be staged")))
-               .otherwise(F.col(f"`{c}`").cast("string")).alias(c) for c in df.columns]
+    checked = [F.when(_not_stageable(f, multi_line), F.raise_error(F.lit(f"value of {f.name} can't be staged")))
+               .otherwise(F.col(f"`{f.name}`").cast("string")).alias(f.name) for f in df.schema]
     return write_text_csv(df.select(checked), path, sep=STAGE_DELIMITER, encoding=STAGE_ENCODING)
 
 
