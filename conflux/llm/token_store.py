@@ -20,8 +20,12 @@ that lie in several.
 
 What units of text the tokenizer may be given: it splits its text before every
 space that follows and precedes something else than white space. Texts whose
-spaces are all like that, or at the very start or end, are encoded by distinct
-word with the space before it; any other text as a whole.
+spaces are all like that, or at the very start or end, are cut at them, any
+other text is encoded as a whole. A unit of Latin letters, digits, ASCII
+punctuation other than apostrophes and single line breaks is cut further, into
+the runs of each that the tokenizer would cut it into; words with and without
+punctuation behind them then share their ids. All cutting is done on arrays of
+bytes, and each distinct unit of a slice is looked up once.
 
 Defined results: null text counts as empty and has only the end id. Rows of
 equal id are ordered by a hash of their text, then by it, null ids first; each
@@ -36,91 +40,127 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import new_path
 from . import rans
 from .common import as_string_array, id_and_text, ready, slices
-from .units import TEXT_BYTES, UnitIds
+from .units import UnitIds
 
 PIECES = ("part int, block int, n_ids long, doc_ids array<long>, rows array<long>, sizes array<long>, "
           "first_open boolean, last_open boolean")
 _TOGETHER = 8          # blocks coded side by side
 _INNER = re.compile(r" \s")
-#: Latin letters, which every version of Unicode has as such, and punctuation.
-_LETTERS = re.compile("([A-Za-zÀ-ÖØ-öø-ɏ]*)([.,;:!?]*)")
-#: How byte-level tokenizers write bytes: printable ones as they are, the others from U+0100 on.
+#: Kinds of bytes. Latin letters are those up to U+024F, which every version of Unicode has as such; what follows the
+#: first byte of another character may be taken for one, as the first byte makes its unit odd.
+_SPACE, _LINE, _LETTER, _DIGIT, _MARK, _ODD = range(6)
+_LATIN = rb"(?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf]|[\xc4-\xc8][\x80-\xbf]|\xc9[\x80-\x8f])"
+_RUN = re.compile(rb" ?(?:" + _LATIN + rb"+|[0-9]+|[!-&(-/:-@\[-`{-~]+)|\n")
+#: How byte-level tokenizers write bytes: printable ones as they are, the others from U+0100 on. They write no line
+#: break, which stands for 0 here.
 _PRINTED = [*range(33, 127), *range(161, 173), *range(174, 256)]
-_BYTE_CHARS = {b: chr(c) for b, c in zip((b for b in range(256) if b not in _PRINTED), range(256, 512))}
+_SPELT = np.zeros(256, "<u2")
+_SPELT[_PRINTED] = _PRINTED
+_SPELT[_SPELT == 0] = range(256, 512 - len(_PRINTED))
+_SPELT[0] = ord("\n")
 _loaded: dict = {}
 
 
+def _kinds(special: list[str]) -> np.ndarray:
+    """The kind of each byte; those that special tokens begin with are odd."""
+    kind = np.full(256, _ODD, np.uint8)
+    kind[32], kind[10] = _SPACE, _LINE
+    kind[33:127] = _MARK
+    kind[list(b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz")] = _LETTER
+    kind[48:58] = _DIGIT
+    kind[0x80:0xc0] = kind[0xc3:0xca] = _LETTER
+    kind[ord("'")] = _ODD
+    kind[[t.strip().encode()[0] for t in special if t.strip()]] = _ODD
+    return kind
+
+
 class Encoder:
-    """The tokenizer with the ids of words it has met, one for each worker."""
+    """The tokenizer with the ids of units it has met, one for each worker."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
         self.tok = Tokenizer.from_file(path)
-        self.by_run = self._splits_runs()
-        self.punctuation: dict[str, list[int]] = {}
+        self.model = self.tok.model
+        special = [t.content for t in self.tok.get_added_tokens_decoder().values()]
+        self.kind = _kinds(special)
+        self.by_run = self._splits_runs(special)
         self.units = UnitIds(self._ids)
 
-    def _splits_runs(self) -> bool:
-        """Whether the tokenizer takes letters with the space before them, and
-        the punctuation behind, each as one run to its merges."""
+    def _splits_runs(self, special: list[str]) -> bool:
+        """Whether the tokenizer takes letters, digits and marks, each with the
+        space before them, as one run to its merges."""
         spec = json.loads(self.tok.to_str())
         pre, model = spec["pre_tokenizer"] or {}, spec["model"]
         return (pre.get("type") == "ByteLevel" and pre.get("use_regex", True) and not pre["add_prefix_space"]
                 and model["type"] == "BPE" and not model.get("dropout") and spec["normalizer"] is None
-                and not any(_LETTERS.fullmatch(t.content.strip()) for t in self.tok.get_added_tokens_decoder().values()))
-
-    def _run(self, run: str) -> list[int]:
-        """The ids of a run, in the characters that stand for its bytes."""
-        spelt = run.replace(" ", _BYTE_CHARS[32]) if run.isascii() else run.encode().decode("latin-1").translate(_BYTE_CHARS)
-        return [t.id for t in self.tok.model.tokenize(spelt)]
-
-    def _behind(self, run: str) -> list[int]:
-        """The same for punctuation, of which there is little."""
-        if run not in self.punctuation:
-            if len(self.punctuation) >= 1 << 14:
-                self.punctuation.clear()
-            self.punctuation[run] = self._run(run)
-        return self.punctuation[run]
-
-    def _ids(self, new: list) -> list:
-        """The ids of new units; those of letters with punctuation behind skip
-        the library's splitting, which is most of its cost."""
-        out: list = [None] * len(new)
-        rest = []
-        for i, unit in enumerate(new):
-            if self.by_run and type(unit) is str and (m := _LETTERS.fullmatch(unit)) and m[1]:
-                out[i] = self._run(" " + m[1]) + (self._behind(m[2]) if m[2] else [])
-            else:
-                rest.append(i)
-        found = self.tok.encode_batch_fast([new[i][0] if type(new[i]) is tuple else " " + new[i] for i in rest],
-                                           add_special_tokens=False)
-        for i, e in zip(rest, found, strict=True):
-            out[i] = e.ids
-        return out
-
-    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+                and not any(re.match(r"[\w\s]|$", t) for t in special))
+
+    def _ids(self, new: list[bytes]) -> list:
+        """The ids of new units; runs skip the library's splitting, which is
+        most of its cost."""
+        is_run = [self.by_run and bool(_RUN.fullmatch(unit)) for unit in new]
+        raw = b"\0".join([u for u, run in zip(new, is_run, strict=True) if run])       # which no run holds
+        runs = iter(_SPELT[np.frombuffer(raw, np.uint8)].tobytes().decode("utf-16-le").split("\n"))
+        rest = iter(self.tok.encode_batch_fast([u.decode() for u, run in zip(new, is_run, strict=True) if not run],
+                                               add_special_tokens=False))
+        tokenize = self.model.tokenize
+        return [[t.id for t in tokenize(next(runs))] if run else next(rest).ids for run in is_run]
+
+    def _starts(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+        """Where units of texts begin, given as bytes one after another."""
+        kind = self.kind[data]
+        begins = kind == _SPACE
+        begins[offsets[:-1][offsets[:-1] < offsets[1:]]] = True
+        if not self.by_run:
+            return np.flatnonzero(begins)
+        first = np.flatnonzero(begins)
+        same = kind[1:] == kind[:-1]
+        odd = np.concatenate([
+            np.flatnonzero(kind == _ODD), np.flatnonzero(same & (kind[1:] == _LINE)),
+            # multiplication and division signs, and letters from U+0250 on
+            np.flatnonzero((data[:-1] == 0xc3) & ((data[1:] == 0x97) | (data[1:] == 0xb7))),
+            np.flatnonzero((data[:-1] == 0xc9) & (data[1:] >= 0x90))])
+        whole = np.zeros(len(first), bool)
+        whole[np.searchsorted(first, odd, "right") - 1] = True
+        cut = ~same & (kind[:-1] != _SPACE)
+        if len(odd):
+            cut &= ~np.repeat(whole, np.diff(np.append(first, len(data))))[1:]
+        begins[1:] |= cut
+        return np.flatnonzero(begins)
+
+    def _by_unit(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset:texts.offset + len(texts) + 1]
+        data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)[offsets[0]:offsets[-1]]
+        offsets = offsets - offsets[0]
+        if not len(data):
+            return np.zeros(0, np.uint32), np.zeros(len(texts), np.int64)
+        starts = self._starts(data, offsets)
+        coded = pa.Array.from_buffers(pa.large_binary(), len(starts),
+                                      [None, pa.py_buffer(np.append(starts, len(data))), pa.py_buffer(data)])
+        coded = pc.dictionary_encode(coded)
+        self.units.find(coded.dictionary.to_pylist())
+        flat, n = self.units.gather(coded.indices.to_numpy())
+        ends = np.concatenate([[0], np.cumsum(n)])[np.searchsorted(starts, offsets)]
+        return flat, np.diff(ends)
+
+    def encode(self, texts: list[str] | pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts one after another, and each text's number."""
-        units: list = []
-        n_units, whole = np.zeros(len(texts), np.int64), {}
-        for k, t in enumerate(texts):
-            if _INNER.search(t):
-                whole[k] = np.array(self.tok.encode(t, add_special_tokens=False).ids, np.uint32)
-            else:
-                w = t.split(" ")
-                w[0] = (w[0],)                  # the one without a space before it
-                units += w
-                n_units[k] = len(w)
-        flat, n = self.units.gather(self.units.places(units))
-        ends = np.concatenate([[0], np.cumsum(n)])[np.concatenate([[0], np.cumsum(n_units)])]
-        if not whole:
-            return flat, np.diff(ends)
-        parts = [whole[k] if k in whole else flat[ends[k]:ends[k + 1]] for k in range(len(texts))]
+        if not isinstance(texts, pa.Array):
+            texts = pa.array(texts, pa.large_string())
+        inner = pc.match_substring_regex(texts, r" [\s\pZ\x0b\x1c-\x1f\x85]").to_numpy(zero_copy_only=False)
+        if not inner.any():
+            return self._by_unit(texts)
+        flat, n = self._by_unit(texts.filter(pa.array(~inner)))
+        cut = iter(np.split(flat, np.cumsum(n)[:-1])) if len(n) else iter(())
+        parts = [np.array(self.tok.encode(t.as_py(), add_special_tokens=False).ids, np.uint32) if whole else next(cut)
+                 for t, whole in zip(texts, inner, strict=True)]
         return np.concatenate(parts), np.fromiter(map(len, parts), np.int64, len(parts))
 
 
@@ -193,8 +233,8 @@ def write_store(docs: DataFrame, path: str, tokenizer_path: str, end_id: int = 0
         encoder = _encoder(tokenizer_path)
 
         def stream():
-            for b in slices(batches, most=TEXT_BYTES):
-                ids, n = encoder.encode(as_string_array(b.column("text")).to_pylist())
+            for b in slices(batches):
+                ids, n = encoder.encode(as_string_array(b.column("text")))
                 yield b.column("doc_id").to_pylist(), n + 1, np.insert(ids, np.cumsum(n), end_id)
         yield from _cut(stream(), width)
 

@@ -58,6 +58,12 @@ class UnitIds:
         ids :meth:`lengths` and :meth:`gather` give until the next call."""
         distinct = list(dict.fromkeys(units))
         number = dict(zip(distinct, range(len(distinct)), strict=True))
+        self.find(distinct)
+        return np.fromiter(map(number.__getitem__, units), np.int64, len(units))
+
+    def find(self, distinct: list) -> None:
+        """The same for units that are distinct already, by their place in the
+        list."""
         found: list = list(map(self.new.get, distinct))
         unknown: list = []
         for i in [i for i, ids in enumerate(found) if ids is None]:
@@ -74,7 +80,6 @@ class UnitIds:
         self.flat = np.frombuffer(b"".join(found), self.dtype)
         self.start = np.concatenate([[0], np.cumsum(np.fromiter(map(len, found), np.int64, len(found)))])
         self.start //= self.dtype.itemsize
-        return np.fromiter(map(number.__getitem__, units), np.int64, len(units))
 
     def lengths(self, places: np.ndarray) -> np.ndarray:
         return self.start[places + 1] - self.start[places]

@@ -47,3 +47,33 @@ def test_checking_a_text_costs_little_more_than_reading_it(spark, tmp_path):
         return min(took)
 
     assert seconds(FS.split_stageable(df, multi_line=True)[0]) < 6 * seconds(df.where(~F.col("t").rlike("[\u0100-\uffff]"))) + 0.2
+
+
+def test_words_share_ids_whatever_stands_behind_them():
+    import public_tokenizers
+    from conflux.llm.token_store import Encoder
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    own = Encoder(path)
+    text = "".join(f" zerbleon{mark}" for mark in ["", ",", ".", "***", ".\nzerbleon", "42", "?!"])
+    flat, n = own.encode([text])
+    assert flat.tolist() == own.tok.encode(text, add_special_tokens=False).ids and n.tolist() == [len(flat)]
+    # the word with and without a space before it, four kinds of marks, a number, a line break
+    assert len(own.units.new) == 8
+
+
+def test_cut_units_have_the_librarys_ids():
+    import random
+    import public_tokenizers
+    from conflux.llm.token_store import Encoder
+    own = Encoder(public_tokenizers.path("byte_bpe_50k.json"))
+    assert own.by_run
+    rnd = random.Random(4)
+    bits = ["the", "Ça", "ɏ", "ɐ", "ɑb", "×", "÷", "ÿ", "it's", "'s", "'", "''ll", "x1", "42", "٣", "²", "...", "<", "<|", "<|endoftext|>", "|>", "\n",
+            "\n\n", "\r\n", "\t", "\0", "\x1c", "\x7f", "\x85", "\xa0", "　", "日本", "🙂", "é", "_", "~", "-", "(a)", "Ωm", "ǅ"]
+    texts = ["".join(rnd.choice(bits) + rnd.choice(["", "", " "]) for _ in range(rnd.randint(0, 12))) for _ in range(20000)]
+    texts += ["", " ", "  ", "\n", " \n", "\n ", " a", "a ", "a\n b", "a\n\n b", "a\n"]
+    for k in range(0, len(texts), 700):
+        flat, n = own.encode(texts[k:k + 700])
+        at = n.cumsum() - n
+        for t, a, m in zip(texts[k:k + 700], at, n, strict=True):
+            assert flat[a:a + m].tolist() == own.tok.encode(t, add_special_tokens=False).ids, repr(t)
