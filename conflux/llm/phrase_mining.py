@@ -17,10 +17,11 @@ passes, and mostly two. The sample changes the cost, never the result.
 Proposals are held as a bit table of fixed size (2**``filter_bits`` bits, 2 MB
 by default), the only thing broadcast; a phrase that shares a bit counts as
 proposed. Proposed phrases are counted by their words. Of the border, which
-is nearly all there is to count, hashes of 48 bits are counted, which travel
-packed, a range of hashes in a row: a clash can only raise a
-count, and what reaches the threshold is proposed and counted by its words in
-the next pass. In a task, phrases of a section are numbered exactly (a phrase
+is nearly all there is to count, hashes of 48 bits are counted: a clash can
+only raise a count, and what reaches the threshold is proposed and counted by
+its words in the next pass. Both travel packed, all that a task has of a range
+of hashes in a row: however many phrases pass the threshold, a task sends no
+more rows than there are ranges for each table of them it has filled. In a task, phrases of a section are numbered exactly (a phrase
 of k words by the numbers of its two parts of k - 1) and summed before they
 leave it; a key with a third of all rows is a few rows from each task.
 
@@ -33,6 +34,7 @@ single word longer than that is taken whole.
 
 from __future__ import annotations
 
+import json
 import re
 
 import numpy as np
@@ -304,19 +306,42 @@ def unpacked(r: int, blob: bytes, dealt: int) -> tuple[np.ndarray, np.ndarray]:
     return h, raw[5 * m:].astype(np.int64)
 
 
-ROWS = "lang string, phrase string, n long, range int, blob binary"
+def packed_phrases(table: pa.Table, dealt: int):
+    """(range, blob) for each range of hashes that some of the phrases (key, h,
+    n) lie in: their counts and their keys, a line each, compressed."""
+    h, n = table.column("h").to_numpy(), table.column("n").to_numpy()
+    order = np.argsort(h)
+    h, n = h[order], n[order]
+    keys = table.column("key").combine_chunks().take(pa.array(order))
+    lines = pc.binary_join_element_wise(keys, pa.scalar("", pa.large_string()), pa.scalar("\n", pa.large_string()))
+    data, offsets = _bytes(lines)
+    some, starts = np.unique((h >> np.uint64(64 - dealt)).astype(np.int64), return_index=True)
+    for r, i, j in zip(some.tolist(), starts.tolist(), [*starts[1:].tolist(), len(h)], strict=True):
+        raw = n[i:j].astype("<i8").view(np.uint8).reshape(-1, 8).T.tobytes() + data[offsets[i]:offsets[j]].tobytes()
+        yield r, (j - i).to_bytes(4, "little") + len(raw).to_bytes(8, "little") + pa.compress(raw, "zstd", asbytes=True)
+
+
+def unpacked_phrases(blob: bytes) -> tuple[bytes, np.ndarray]:
+    """The lines of keys and the counts of a blob."""
+    m, size = int.from_bytes(blob[:4], "little"), int.from_bytes(blob[4:12], "little")
+    raw = pa.decompress(blob[12:], size, "zstd", asbytes=True)
+    n = np.ascontiguousarray(np.frombuffer(raw, np.uint8)[:8 * m].reshape(8, m).T).reshape(-1).view("<i8")
+    return raw[8 * m:], n
+
+
+ROWS = "range int, spelt boolean, blob binary"
 
 
 def _summed(table: pa.Table) -> pa.Table:
-    """(lang, phrase, n) with each phrase once."""
-    out = table.group_by(["lang", "phrase"]).aggregate([("n", "sum")])
-    return out.rename_columns(["n" if c == "n_sum" else c for c in out.column_names]).select(["lang", "phrase", "n"])
+    """(key, h, n) with each phrase once."""
+    out = table.group_by(["key", "h"]).aggregate([("n", "sum")])
+    return out.rename_columns(["n" if c == "n_sum" else c for c in out.column_names]).select(["key", "h", "n"])
 
 
 def _added_up(batches, least: int, dealt: int):
-    """What a partition of :func:`_counted` holds, added up: first the phrases,
-    then range by range of hashes those that reach ``least``."""
-    table, held, now = None, [], None
+    """What a partition of :func:`_sent` holds, added up range by range of
+    hashes: what reaches ``least``, and the numbers of all words."""
+    lines, held, now = [], [], None
 
     def border():
         if held:
@@ -332,42 +357,56 @@ def _added_up(batches, least: int, dealt: int):
                 names=["lang", "phrase", "h", "n"])
 
     def phrases():
-        if table is not None:
-            for b in table.to_batches(1 << 16):
-                yield pa.RecordBatch.from_arrays([b.column("lang"), b.column("phrase"), pa.nulls(b.num_rows, pa.int64()), b.column("n")],
-                                                 names=["lang", "phrase", "h", "n"])
+        if lines:
+            data = np.frombuffer(b"".join([x for x, _ in lines]), np.uint8)
+            n = np.concatenate([x for _, x in lines])
+            lines.clear()
+            ends = np.append(0, np.flatnonzero(data == ord("\n")) + 1)
+            coded = pc.dictionary_encode(pa.Array.from_buffers(pa.large_string(), len(n), [None, pa.py_buffer(ends), pa.py_buffer(data)]))
+            sums = np.zeros(len(coded.dictionary), np.int64)
+            np.add.at(sums, coded.indices.to_numpy(), n)
+            many = (sums >= least) | pc.ends_with(coded.dictionary, "\t\n").to_numpy(zero_copy_only=False)
+            found, sums = coded.dictionary.filter(pa.array(many)).to_pylist(), sums[many]
+            for i in range(0, len(found), 1 << 16):
+                lang, phrase = zip(*(key[:-1].split("\t") for key in found[i:i + (1 << 16)]), strict=True)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(list(map(json.loads, lang)), pa.string()), pa.array(phrase, pa.string()),
+                     pa.nulls(len(lang), pa.int64()), pa.array(sums[i:i + (1 << 16)])], names=["lang", "phrase", "h", "n"])
 
     for b in batches:
-        words = b.filter(pc.is_null(b.column("blob")))
-        if words.num_rows:
-            new = pa.Table.from_batches([words.select(["lang", "phrase", "n"])])
-            table = _summed(new if table is None else pa.concat_tables([table, new]))
-        for r, blob in zip(b.column("range").to_pylist(), b.column("blob"), strict=True):
-            if r is not None:
-                if r != now:
-                    yield from border()
-                    now = r
+        for r, spelt, blob in zip(b.column("range").to_pylist(), b.column("spelt").to_pylist(), b.column("blob"), strict=True):
+            if r != now:
+                yield from border()
+                yield from phrases()
+                now = r
+            if spelt:
+                lines.append(unpacked_phrases(blob.as_py()))
+            else:
                 held.append(unpacked(r, blob.as_py(), dealt))
     yield from border()
     yield from phrases()
 
 
-def _counted(texts: DataFrame, longest: int, proposal: BitTable, before: BitTable | None, least: int) -> DataFrame:
-    """(lang, phrase, h, n): the proposed phrases that weren't counted by their
-    words before, with null h, and the hashes of the border that weren't
-    counted before and reach ``least``, with null lang and phrase. The phrase ''
-    stands for all words."""
+def _sent(texts: DataFrame, longest: int, proposal: BitTable, before: BitTable | None, dealt: int) -> DataFrame:
+    """(range, spelt, blob): each task's counts of the proposed phrases that
+    weren't counted by their words before, spelt, and of the border that wasn't
+    counted before. The phrase '' stands for all words."""
     now = proposal.share(texts.sparkSession)
     then = None if before is None else before.share(texts.sparkSession)
-    fields = ["lang", "phrase", "n", "range", "blob"]
-    dealt = ranges_of(int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
     def count(batches):
         new, old = BitTable(*now.value), None if then is None else BitTable(*then.value)
         parts, held, table, waiting = [], 0, None, []
 
-        def spelt(lang, phrase, n):
-            waiting.append(pa.Table.from_arrays([lang, phrase, pa.array(n)], names=["lang", "phrase", "n"]))
+        def spelt(lang, phrase, h, n):
+            """A key is the language in JSON, a tab and the phrase: neither holds a line break or another tab."""
+            key = pc.binary_join_element_wise(lang, phrase, pa.scalar("\t", pa.large_string()))
+            waiting.append(pa.Table.from_arrays([key, pa.array(h), pa.array(n)], names=["key", "h", "n"]))
+
+        def rows(some, is_spelt):
+            r, blob = zip(*some, strict=True)
+            return pa.RecordBatch.from_arrays([pa.array(r, pa.int32()), pa.array([is_spelt] * len(r)), pa.array(blob, pa.binary())],
+                                              names=["range", "spelt", "blob"])
 
         def phrases(last: bool):
             """The proposed phrases' counts, added up until they are too many."""
@@ -375,24 +414,20 @@ def _counted(texts: DataFrame, longest: int, proposal: BitTable, before: BitTabl
             if waiting:
                 table = _summed(pa.concat_tables([*waiting] if table is None else [table, *waiting]))
                 waiting.clear()
-            if table is not None and (last or len(table) > HELD // 4):
-                for b in table.to_batches(1 << 16):
-                    yield pa.RecordBatch.from_arrays([*b.columns, pa.nulls(len(b), pa.int32()), pa.nulls(len(b), pa.binary())],
-                                                     names=fields)
+            if table is not None and len(table) and (last or len(table) > HELD // 4):
+                yield rows(packed_phrases(table, dealt), True)
                 table = None
 
         def border():
             if parts:
-                r, blob = zip(*packed(*(np.concatenate(x) for x in zip(*parts, strict=True)), dealt), strict=True)
-                none = pa.nulls(len(r), pa.string())
-                yield pa.RecordBatch.from_arrays([none, none, pa.nulls(len(r), pa.int64()), pa.array(r, pa.int32()),
-                                                  pa.array(blob, pa.binary())], names=fields)
+                yield rows(packed(*(np.concatenate(x) for x in zip(*parts, strict=True)), dealt), False)
                 parts.clear()
 
         for words, names in sections(batches, longest):
+            langs = pa.array([json.dumps(x) for x in names.to_pylist()], pa.large_string())
             if old is None and words.own.any():
                 total = np.bincount(words.lang[words.own], minlength=len(names))
-                spelt(names, pa.array([""] * len(names), pa.string()), total.astype(np.int64))
+                spelt(langs, pa.array([""] * len(names), pa.large_string()), words.lang_hash, total.astype(np.int64))
             for k, place, n, h, proposed, known, was in words.levels(longest, new, old):
                 rest = ~proposed & ~known
                 if rest.any():
@@ -401,7 +436,7 @@ def _counted(texts: DataFrame, longest: int, proposal: BitTable, before: BitTabl
                 some = np.flatnonzero(proposed & ~was)
                 for a in range(0, len(some), 1 << 16):
                     p = some[a:a + (1 << 16)]
-                    spelt(names.take(pa.array(words.lang[place[p]])), words.phrases(place[p], k).cast(pa.string()), n[p])
+                    spelt(langs.take(pa.array(words.lang[place[p]])), words.phrases(place[p], k), h[p], n[p])
             yield from phrases(False)
             if held > HELD:
                 yield from border()
@@ -409,8 +444,17 @@ def _counted(texts: DataFrame, longest: int, proposal: BitTable, before: BitTabl
         yield from phrases(True)
         yield from border()
 
+    return texts.mapInArrow(count, ROWS)
+
+
+def _counted(texts: DataFrame, longest: int, proposal: BitTable, before: BitTable | None, least: int) -> DataFrame:
+    """(lang, phrase, h, n): what reaches ``least`` of the proposed phrases that
+    weren't counted by their words before, with null h, and of the border's
+    hashes that weren't counted before, with null lang and phrase. The phrase ''
+    stands for all words."""
+    dealt = ranges_of(int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     # a task's counts are added up already: they are dealt out as they are, each range of hashes to one task
-    return (texts.mapInArrow(count, ROWS).repartition("lang", "phrase", "range").sortWithinPartitions("range")
+    return (_sent(texts, longest, proposal, before, dealt).repartition("range").sortWithinPartitions("range")
             .mapInArrow(lambda batches: _added_up(batches, least, dealt), COUNTS))
 
 

@@ -3,6 +3,7 @@
 import time
 from datetime import date
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from conflux.sources import files as FS
@@ -77,3 +78,20 @@ def test_cut_units_have_the_librarys_ids():
         at = n.cumsum() - n
         for t, a, m in zip(texts[k:k + 700], at, n, strict=True):
             assert flat[a:a + m].tolist() == own.tok.encode(t, add_special_tokens=False).ids, repr(t)
+
+
+def test_a_task_sends_no_more_rows_than_ranges(spark):
+    """However many phrases are proposed; each is counted, by its language and words."""
+    from conflux.llm import phrase_mining as PM
+    from conflux.llm.bit_table import BitTable
+    words = [f"w{i}" for i in range(30_000)]
+    odd = 'a"\t\nb\u2028'
+    df = spark.createDataFrame([(" ".join(words), odd), (" ".join(words[:20_000]), odd), ("w1, w1", None), ("", "no")],
+                               "text string, lang string").coalesce(1)
+    full = BitTable(7, np.full(2, -1).astype(np.uint64))         # everything counts as proposed
+    assert PM._sent(df, 2, full, None, 10).count() <= 1024
+    found, passes = PM.frequent_phrases(df, least=2, longest=2, sample_one_in=1)
+    got = {(r.lang, r.phrase): r.n for r in found.collect()}
+    assert len(got) == found.count()
+    assert got == ({(odd, w): 2 for w in words[:20_000]} | {(odd, f"{a} {b}"): 2 for a, b in zip(words[:19_999], words[1:20_000])}
+                   | {(odd, ""): 50_000, ("und", ""): 2, ("und", "w1"): 2, ("no", ""): 0})
