@@ -334,8 +334,13 @@ ROWS = "range int, spelt boolean, blob binary"
 
 def _summed(table: pa.Table) -> pa.Table:
     """(key, h, n) with each phrase once."""
-    out = table.group_by(["key", "h"]).aggregate([("n", "sum")])
-    return out.rename_columns(["n" if c == "n_sum" else c for c in out.column_names]).select(["key", "h", "n"])
+    coded = pc.dictionary_encode(table.column("key").combine_chunks())
+    code = coded.indices.to_numpy()
+    first = np.flatnonzero(np.diff(np.maximum.accumulate(code), prepend=-1))        # numbers are given as they come
+    sums = np.zeros(len(coded.dictionary), np.int64)
+    np.add.at(sums, code, table.column("n").to_numpy())
+    return pa.Table.from_arrays([coded.dictionary, pa.array(table.column("h").to_numpy()[first]), pa.array(sums)],
+                                names=["key", "h", "n"])
 
 
 def _added_up(batches, least: int, dealt: int):
@@ -411,10 +416,10 @@ def _sent(texts: DataFrame, longest: int, proposal: BitTable, before: BitTable |
         def phrases(last: bool):
             """The proposed phrases' counts, added up until they are too many."""
             nonlocal table
-            if waiting:
+            if waiting and (last or sum(map(len, waiting)) > HELD // 8):
                 table = _summed(pa.concat_tables([*waiting] if table is None else [table, *waiting]))
                 waiting.clear()
-            if table is not None and len(table) and (last or len(table) > HELD // 4):
+            if table is not None and (last or len(table) > HELD // 4):
                 yield rows(packed_phrases(table, dealt), True)
                 table = None
 
