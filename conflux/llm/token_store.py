@@ -46,12 +46,13 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import new_path
 from . import rans
-from .common import as_string_array, id_and_text, ready, slices
+from .common import as_string_array, id_and_text, ready, slices, staged
 from .units import UnitIds
 
 PIECES = ("part int, block int, n_ids long, doc_ids array<long>, rows array<long>, sizes array<long>, "
           "first_open boolean, last_open boolean")
 _TOGETHER = 8          # blocks coded side by side
+_TEXT_BYTES = 8 << 20  # of which distinct units are looked up once
 _INNER = re.compile(r" \s")
 #: Kinds of bytes. Latin letters are those up to U+024F, which every version of Unicode has as such; what follows the
 #: first byte of another character may be taken for one, as the first byte makes its unit odd.
@@ -145,7 +146,7 @@ class Encoder:
         coded = pa.Array.from_buffers(pa.large_binary(), len(starts),
                                       [None, pa.py_buffer(np.append(starts, len(data))), pa.py_buffer(data)])
         coded = pc.dictionary_encode(coded)
-        self.units.find(coded.dictionary.to_pylist())
+        self.units.find(coded.dictionary.to_numpy(zero_copy_only=False).tolist())
         flat, n = self.units.gather(coded.indices.to_numpy())
         ends = np.concatenate([[0], np.cumsum(n)])[np.searchsorted(starts, offsets)]
         return flat, np.diff(ends)
@@ -233,7 +234,7 @@ def write_store(docs: DataFrame, path: str, tokenizer_path: str, end_id: int = 0
         encoder = _encoder(tokenizer_path)
 
         def stream():
-            for b in slices(batches):
+            for b in slices(batches, most=_TEXT_BYTES):
                 ids, n = encoder.encode(as_string_array(b.column("text")))
                 yield b.column("doc_id").to_pylist(), n + 1, np.insert(ids, np.cumsum(n), end_id)
         yield from _cut(stream(), width)
@@ -348,8 +349,9 @@ def read_digests(spark: SparkSession, path: str) -> DataFrame:
                       pa.int64()), pa.array(open_)],
             names=["part", "row", "doc_id", "start", "n_tokens", "ids_crc32", "open"])
 
-    pieces = decoded_blocks(spark, path, each, "part int, row long, doc_id long, start long, n_tokens long, "
-                                               "ids_crc32 long, open boolean")
+    # both parts of the result read them: blocks are decoded once
+    pieces = staged(decoded_blocks(spark, path, each, "part int, row long, doc_id long, start long, n_tokens long, "
+                                                      "ids_crc32 long, open boolean"), "pieces")
     names = ["doc_id", "start", "n_tokens", "ids_crc32"]
 
     def join(pdf):

@@ -14,6 +14,7 @@ from __future__ import annotations
 import os
 from array import array
 from collections.abc import Callable, Sequence
+from itertools import chain, pairwise
 from sys import getsizeof
 
 import numpy as np
@@ -53,6 +54,25 @@ class UnitIds:
         self.new[unit] = ids
         self.new_bytes += size
 
+    def _keep_all(self, units: list, ids: list[bytes]) -> None:
+        """The same for several units at once."""
+        size = sum(map(getsizeof, units)) + sum(map(len, ids)) + _ENTRY * len(units)
+        if size > self.most // 2:
+            for one in zip(units, ids, strict=True):
+                self._keep(*one)
+            return
+        if self.new_bytes + size > self.most // 2:
+            self.old, self.old_bytes = self.new, self.new_bytes
+            self.new, self.new_bytes = {}, 0
+        self.new.update(zip(units, ids, strict=True))
+        self.new_bytes += size
+
+    def _encoded(self, units: list) -> list[bytes]:
+        ids = self.encode_many(units)
+        raw = array(self.dtype.char, chain.from_iterable(ids)).tobytes()
+        ends = (np.cumsum([0, *map(len, ids)]) * self.dtype.itemsize).tolist()
+        return [raw[a:b] for a, b in pairwise(ends)]
+
     def places(self, units: list) -> np.ndarray:
         """The number of each unit among the distinct ones of this call, whose
         ids :meth:`lengths` and :meth:`gather` give until the next call."""
@@ -65,18 +85,24 @@ class UnitIds:
         """The same for units that are distinct already, by their place in the
         list."""
         found: list = list(map(self.new.get, distinct))
-        unknown: list = []
-        for i in [i for i, ids in enumerate(found) if ids is None]:
-            if (ids := self.old.get(distinct[i])) is None:
-                unknown.append(i)
-            else:
-                found[i] = ids
-                self._keep(distinct[i], ids)
+        older, unknown = self.old, []
+        missing = [i for i, ids in enumerate(found) if ids is None]
+        for k in range(0, len(missing), TOGETHER):
+            again = []
+            for i in missing[k:k + TOGETHER]:
+                if (ids := older.get(distinct[i])) is None:
+                    unknown.append(i)
+                else:
+                    found[i] = ids
+                    again.append(i)
+            self._keep_all([distinct[i] for i in again], [found[i] for i in again])
         for k in range(0, len(unknown), TOGETHER):
             some = unknown[k:k + TOGETHER]
-            for i, ids in zip(some, self.encode_many([distinct[i] for i in some]), strict=True):
-                found[i] = array(self.dtype.char, ids).tobytes()
-                self._keep(distinct[i], found[i])
+            units = [distinct[i] for i in some]
+            ids = self._encoded(units)
+            for i, x in zip(some, ids, strict=True):
+                found[i] = x
+            self._keep_all(units, ids)
         self.flat = np.frombuffer(b"".join(found), self.dtype)
         self.start = np.concatenate([[0], np.cumsum(np.fromiter(map(len, found), np.int64, len(found)))])
         self.start //= self.dtype.itemsize
