@@ -32,6 +32,8 @@ from .common import as_string_array, crc_mod, id_and_text, ready, slices
 BITS = 14
 SPACE = 32
 UNKNOWN = "und"
+#: Text a task takes apart at once: its trigrams are some forty times as large.
+TEXT_BYTES = 256 << 10
 
 
 @functools.cache
@@ -141,7 +143,7 @@ def learn(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", p
 
     def count(batches):
         sums: dict[str, np.ndarray] = {}
-        for b in slices(batches):
+        for b in slices(batches, most=TEXT_BYTES):
             texts, langs = as_string_array(b.column("text")).to_pylist(), np.array(b.column("lang").to_pylist(), object)
             doc, bucket, _ = trigrams(texts)
             names, code = np.unique(langs.astype(str), return_inverse=True)
@@ -170,7 +172,7 @@ def identify(docs: DataFrame, model: Mixture, id_col: str = "doc_id", text_col:
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
-        for b in slices(batches, most=2 << 20):
+        for b in slices(batches, most=TEXT_BYTES):
             pred, score = shared.value.predict(as_string_array(b.column("text")).to_pylist())
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(pred, pa.string()), pa.array(score)],
                                              names=["doc_id", "lang_pred", "score"])
@@ -185,7 +187,7 @@ def with_language(docs: DataFrame, model: Mixture, text_col: str = "text") -> Da
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
-        for b in slices(batches, text_col, 2 << 20):
+        for b in slices(batches, text_col, TEXT_BYTES):
             texts, model = as_string_array(b.column(text_col)).to_pylist(), shared.value
             keep = [p != UNKNOWN for p in model.predict(texts)[0]] if model.langs else trigrams(texts)[2].tolist()
             yield b.filter(pa.array(keep, pa.bool_()))

@@ -52,6 +52,8 @@ from .words import counted, mix, shingles
 #: in the signature whose similarity makes it a link.
 COARSE, FINE = (25, 5), (128, 12)
 SIMILARITY = 0.8
+#: Registers of the texts that a task signs at once.
+SIGNATURES = 1 << 20
 SIGNED = "doc_id long, node binary, bands array<long>, bits array<long>"
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
@@ -111,6 +113,14 @@ def band_keys(texts: pa.Array, bands: int, rows: int) -> tuple[list, list]:
     return keys, [x if h else None for x, h in zip(np.concatenate(packed, axis=1), has, strict=True)]
 
 
+def few_at_once(batches, registers: int):
+    """Slices whose texts and signatures are of a few MB."""
+    most = max(1, SIGNATURES // registers)
+    for b in slices(batches, most=2 << 20):
+        for start in range(0, b.num_rows, most):
+            yield b.slice(start, most)
+
+
 def similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
     """The larger of the probability Jaccard similarity and the plain one of
     two texts given as distinct shingles, in order, with weights."""
@@ -186,7 +196,7 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", thr
 
     def signer(bands, rows):
         def sign(batches):
-            for b in slices(batches):
+            for b in few_at_once(batches, bands * rows):
                 keys, bits = band_keys(as_string_array(b.column("text")), bands, rows)
                 yield pa.RecordBatch.from_arrays(
                     [b.column("doc_id"), b.column("node"), pa.array(keys, pa.list_(pa.int64())),

@@ -143,7 +143,8 @@ class Model:
         self.by_word = (self.normalize.plain and self.normalize.prefix and self.fallback
                         and not any(SPACE in p.piece.lstrip(SPACE) or p.type == kinds.USER_DEFINED
                                     for p in proto.pieces))
-        self.words = UnitIds(lambda new: self.lib.encode(new, num_threads=1), dtype=np.int32)
+        # the worker keeps them while it goes on to other work
+        self.words = UnitIds(lambda new: self.lib.encode(new, num_threads=1), most_bytes=64 << 20, dtype=np.int32)
         self.decimal = [str(i).encode() for i in range(len(proto.pieces))]
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
